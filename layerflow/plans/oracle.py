@@ -41,7 +41,7 @@ def typed_sql(r: ColumnRule) -> str:
 def reject_sql(rules: list[ColumnRule]) -> str:
     parts = [f"CASE WHEN NULLIF(trim({r.source}), '') IS NOT NULL AND {typed_sql(r)} IS NULL "
              f"THEN '{r.target}' END" for r in rules if r.kind == "cast"]
-    return "concat_ws(',', " + ", ".join(parts) + ")"
+    return "concat_ws(',', " + ", ".join(parts) + ")" if parts else "''"
 
 
 def _landed(exprs, source, ts) -> str:

@@ -29,7 +29,7 @@ from layerflow.plans.transforms import curate, enrich, land
 from layerflow.session import RunContext, scratch_dir
 from layerflow.sources.files import stage_csv, with_lineage, read_csv_strings
 from layerflow.sources.tables import high_watermark, incremental_read
-from layerflow.streaming.landing import land_stream
+from layerflow.streaming.landing import land_available
 
 UTC = dt.timezone.utc
 # The two landing runs every query uses.
@@ -138,9 +138,7 @@ def q_stream_land(spark, sf):
     drop = ws.stage(_sel(ws.t("part"), S.product_exprs("new")), "stream")
     name = ws.name("product_raw")
     tb.create_table(spark, name, dims.PRODUCT.raw_schema, ws.table_root("product_raw"))
-    q = land_stream(spark, drop, dims.PRODUCT_RAW, name, RUN2,
-                    checkpoint=f"{ws.root}/_stream_ckpt")
-    q.awaitTermination()
+    land_available(spark, drop, dims.PRODUCT_RAW, name, RUN2, checkpoint=f"{ws.root}/_stream_ckpt")
     return _out(spark.table(name).drop("source_file_name", "job_run_id"))
 
 

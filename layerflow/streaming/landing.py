@@ -31,8 +31,17 @@ def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], t
     ckpt = checkpoint or f"{shared_root(spark)}/layerflow/streams/{table.replace('.', '_')}"
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
-        tb.append_rows(spark, table, batch)
+        tb.append_rows(batch.sparkSession, table, batch)
 
     return (df.writeStream.trigger(availableNow=True)
             .option("checkpointLocation", ckpt)
             .foreachBatch(append_batch).start())
+
+
+def land_available(spark: SparkSession, drop_folder: str, columns: Sequence[str], table: str,
+                   run: RunContext, checkpoint: str | None = None) -> int:
+    """Land the files not landed before, wait, and return the rows landed."""
+    q = land_stream(spark, drop_folder, columns, table, run, checkpoint)
+    q.awaitTermination()
+    spark.catalog.refreshTable(table)
+    return sum(p["numInputRows"] for p in q.recentProgress)
