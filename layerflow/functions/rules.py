@@ -19,6 +19,10 @@ from layerflow.functions import cleaning as C
 
 REJECT_COLUMN = "_rejected_columns"
 
+
+def has_rejects(column: str = REJECT_COLUMN):
+    return F.col(column) != F.lit("")
+
 RULE_KINDS = ("copy", "text", "upper", "lower", "blank_to_null", "cast", "flag",
               "path", "parent_path", "default")
 
@@ -76,14 +80,16 @@ def apply_rules(df: DataFrame, rules: list[ColumnRule], keep: list[str] = (),
                 track_rejects: bool = False) -> DataFrame:
     """One projection: every rule's output plus the ``keep`` columns.
 
-    With ``track_rejects`` an array column lists the targets whose cast failed
-    on this row (empty when the row is clean)."""
+    With ``track_rejects`` a string column lists, comma-separated, the
+    targets whose cast failed on this row ('' when the row is clean).
+    ``concat_ws`` skips NULLs and stays in whole-stage codegen (a lambda
+    based array filter would not)."""
     cols = [r.expression().alias(r.target) for r in rules]
     cols += [F.col(k) for k in keep]
     if track_rejects:
         checks = [F.when(r.failure(), F.lit(r.target)) for r in rules if r.failure() is not None]
-        arr = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-        cols.append(arr.alias(REJECT_COLUMN))
+        lst = F.concat_ws(",", *checks) if checks else F.lit("")
+        cols.append(lst.alias(REJECT_COLUMN))
     return df.select(*cols)
 
 

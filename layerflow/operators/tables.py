@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+NOT_NULL_PROPERTY = "layerflow.not_null"
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*){0,2}$")
 
 
@@ -67,11 +69,20 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
                  column_comments: dict[str, str] | None = None,
                  properties: dict[str, str] | None = None) -> bool:
     """CREATE TABLE IF NOT EXISTS over a first, empty snapshot below ``root``.
-    Returns True when the table was created."""
+    Returns True when the table was created.
+
+    Parquet tables drop NOT NULL from the schema, so the declared NOT NULL
+    columns are kept in a table property and enforced by every write."""
     check_name(name)
     if spark.catalog.tableExists(name):
         return False
     loc = new_snapshot_location(root)
+    empty = spark.createDataFrame([], schema)
+    (empty.write.partitionBy(*partition_by) if partition_by else empty.write).parquet(loc)
+    required = [f.name for f in schema.fields if not f.nullable]
+    properties = dict(properties or {})
+    if required:
+        properties[NOT_NULL_PROPERTY] = ",".join(required)
     sql = f"CREATE TABLE {name} ({ddl_columns(schema, column_comments)}) USING parquet"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
@@ -117,8 +128,13 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return out
 
 
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {check_name(name)}").collect()}
+
+
 def not_null_columns(spark: SparkSession, name: str) -> list[str]:
-    return [f.name for f in spark.table(name).schema.fields if not f.nullable]
+    value = table_properties(spark, name).get(NOT_NULL_PROPERTY, "")
+    return [c for c in value.split(",") if c]
 
 
 def enforce_not_null(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:

@@ -35,8 +35,10 @@ OP = "_op"
 DUP = "_dup"
 
 
-def parse_keys(merge_keys: str | Sequence[str]) -> list[str]:
-    """``"a, b"`` or ``["a", "b"]`` -> ``["a", "b"]``."""
+def parse_keys(merge_keys: str | Sequence[str] | None) -> list[str]:
+    """``"a, b"`` or ``["a", "b"]`` -> ``["a", "b"]``; none is an error."""
+    if merge_keys is None:
+        merge_keys = []
     keys = merge_keys.split(",") if isinstance(merge_keys, str) else list(merge_keys)
     keys = [k.strip() for k in keys if k and k.strip()]
     if not keys:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerflow.functions.rules import REJECT_COLUMN, rules_from_metadata
+from layerflow.functions.rules import REJECT_COLUMN, has_rejects, rules_from_metadata
 from layerflow.operators import tables as tb
 from layerflow.operators.publish import WriteResult, publish
 from layerflow.operators.upsert import parse_keys
@@ -154,11 +154,11 @@ class Pipeline:
         stage = scratch_dir(self.spark, "curated")
         obs = Observation()
         df.observe(obs, F.count(F.lit(1)).alias("n"),
-                   F.count_if(F.size(REJECT_COLUMN) > 0).alias("rejected")
+                   F.count_if(has_rejects()).alias("rejected")
                    ).write.parquet(stage)
         staged = self.spark.read.parquet(stage)
         m = obs.get
-        rejects = staged.filter(F.size(REJECT_COLUMN) > 0)
+        rejects = staged.filter(has_rejects())
         if int(m["rejected"]):
             rname = name + "_rejects"
             if not self.spark.catalog.tableExists(rname):

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.functions.rules import REJECT_COLUMN, ColumnRule, rules_from_metadata
+from layerflow.functions.rules import REJECT_COLUMN, has_rejects, rules_from_metadata
 from layerflow.operators import tables as tb
 from layerflow.operators.dedup import dedup_latest
 from layerflow.operators.publish import publish
@@ -159,8 +159,8 @@ def q_curate_entities(spark, sf):
 def q_quarantine_rejects(spark, sf):
     ws = Workspace(spark, sf)
     cur = _curated(ws, dims.PRODUCT, product_raw(ws))
-    return (cur.filter(F.size(REJECT_COLUMN) > 0)
-            .select("product_id", F.array_join(REJECT_COLUMN, ",").alias("rejected_columns")))
+    return cur.filter(has_rejects()).select("product_id",
+                                            F.col(REJECT_COLUMN).alias("rejected_columns"))
 
 
 def q_dedup_latest(spark, sf):
