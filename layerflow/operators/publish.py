@@ -1,9 +1,24 @@
 """``publish``: APPEND or MERGE a DataFrame into a table and return exact
 read / inserted / updated counts taken from the write itself (one
-``Observation``), not from a second pass over the data."""
+``Observation`` on the written rows), not from a second pass over the data.
+
+Merge strategies for an existing target:
+
+- ``auto`` (default): the source is staged once in the shared folder (this
+  cuts its lineage, so a lost executor never recomputes the upstream plan,
+  and counts it); then its keys are broadcast when the count is under
+  :func:`broadcast_row_limit`, else the full outer join is used.  When the
+  target is bucketed on the merge keys the source is staged with the same
+  buckets, so the join, the duplicate-key check and the snapshot write run
+  bucket by bucket with no exchange at all.
+- ``broadcast``: as ``auto`` without staging; the source keys are counted
+  first and the join falls back to ``shuffle`` above the limit.
+- ``shuffle``: full outer sort-merge join, no staging.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -55,95 +70,166 @@ def broadcast_row_limit(spark: SparkSession, schema: T.StructType, keys: Sequenc
     return limit // per_key
 
 
-def _count(df: DataFrame, write) -> int:
+@dataclass
+class Staged:
+    """A source written once to the shared folder and registered as a table
+    (bucketed like the target when that lets the merge skip shuffles)."""
+    table: str
+    rows: int
+    metrics: dict
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.table)
+
+    def drop(self, spark: SparkSession) -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {self.table}")   # external: files stay for audit
+
+
+def stage(spark: SparkSession, df: DataFrame, near: str, bucket_by: Sequence[str] = (),
+          buckets: int = 0, metrics: Sequence = ()) -> Staged:
+    """Write ``df`` below the shared root and register it next to ``near``
+    (a table name, for its schema).  ``metrics`` are extra aggregates
+    observed on the same pass."""
+    obs = Observation()
+    if buckets:
+        df = df.repartition(buckets, *bucket_by)
+    # observed in the final stage: counted once per partition even on retries
+    observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics)
+    loc = scratch_dir(spark, "stage")
+    base = near.rsplit(".", 1)[0] if "." in near else "default"
+    name = f"{base}.lf_stage_{uuid.uuid4().hex[:12]}"
+    w = observed.write.format("parquet").mode("errorifexists").option("path", loc)
+    if buckets:
+        w = w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    w.saveAsTable(name)
+    m = dict(obs.get)
+    return Staged(name, int(m.pop("_rows")), m)
+
+
+def _create_and_fill(spark: SparkSession, df: DataFrame, table: str, root: str,
+                     schema: T.StructType | None, keys, buckets: int,
+                     partition_by: Sequence[str]) -> WriteResult:
+    schema = schema or df.schema
+    bucket_by = keys if (buckets and keys) else ()
+    if bucket_by:
+        # bucket keys are merge keys: declare them NOT NULL
+        schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable and f.name not in keys,
+                                             f.metadata) for f in schema.fields])
+    tb.create_table(spark, table, schema, root, partition_by=partition_by,
+                    bucket_by=bucket_by, buckets=buckets if bucket_by else 0)
+    out = tb.enforce_not_null(tb.aligned(df, spark.table(table).schema),
+                              tb.not_null_columns(spark, table), table)
     obs = Observation()
-    write(df.observe(obs, F.count(F.lit(1)).alias("n")))
-    return int(obs.get["n"])
+    loc = tb.write_snapshot(spark, table, out, observation=obs,
+                            metrics=[F.count(F.lit(1)).alias("n")])
+    tb.switch_snapshot(spark, table, loc)
+    n = int(obs.get["n"])
+    return WriteResult(n, n, 0, strategy="create")
 
 
 def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
             merge_keys: str | Sequence[str] | None = None, *,
             root: str | None = None, schema: T.StructType | None = None,
             strategy: str = "auto", check_unique: bool = True,
-            staged_rows: int | None = None) -> WriteResult:
+            staged: Staged | None = None, buckets: int = 0,
+            partition_by: Sequence[str] = ()) -> WriteResult:
     """Write ``df`` into ``table``.
 
-    APPEND adds the rows (inserted = read).  MERGE upserts on ``merge_keys``;
-    a missing table is created (from ``schema`` when given, else the
-    DataFrame's) and filled (inserted = read).  ``root`` is the folder for
-    the table's snapshots when it has to be created.
-
-    ``strategy`` for an existing MERGE target: ``shuffle`` (full outer
-    sort-merge join), ``broadcast`` (source keys broadcast; the caller vouches
-    for the size) or ``auto``: the source is staged once in the shared
-    folder (cutting its lineage and counting it), then broadcast when its
-    row count is under :func:`broadcast_row_limit`, shuffled otherwise.
-    """
+    APPEND adds the rows (inserted = read).  MERGE upserts on ``merge_keys``.
+    A missing table is created from ``schema`` (else the DataFrame's) below
+    ``root`` - bucketed into ``buckets`` on the merge keys when given - and
+    filled (inserted = read).  ``staged``: ``df`` was already staged by
+    :func:`stage` (its count is reused)."""
     kind = (load_type or "").upper()
     if kind not in (APPEND, MERGE):
         raise ValueError(f"Unknown load_type {load_type!r} for {table}")
     keys = up.parse_keys(merge_keys) if kind == MERGE else None
-    if kind == MERGE and not keys:
-        raise ValueError(f"MERGE load_type requires merge_keys for {table}")
 
     if not spark.catalog.tableExists(table):
         if root is None:
             raise ValueError(f"{table} does not exist and no root folder was given")
-        tb.create_table(spark, table, schema or df.schema, root)
-        target_schema = spark.table(table).schema
-        out = tb.enforce_not_null(tb.aligned(df, target_schema),
-                                  tb.not_null_columns(spark, table), table)
-        n = _count(out, lambda d: d.write.mode("append").insertInto(table))
-        return WriteResult(n, n, 0, strategy="create")
+        return _create_and_fill(spark, df, table, root, schema, keys, buckets, partition_by)
 
     if kind == APPEND:
         target_schema = spark.table(table).schema
         out = tb.enforce_not_null(tb.aligned(df, target_schema),
                                   tb.not_null_columns(spark, table), table)
-        n = _count(out, lambda d: d.write.mode("append").insertInto(table))
+        obs = Observation()
+        out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").insertInto(table)
+        spark.catalog.refreshTable(table)
+        n = int(obs.get["n"])
         return WriteResult(n, n, 0, strategy="append")
 
     return merge_into(spark, df, table, keys, strategy=strategy, check_unique=check_unique,
-                      staged_rows=staged_rows)
+                      staged=staged)
+
+
+def _write_merged(spark: SparkSession, table: str, tagged: DataFrame, obs: Observation,
+                  aligned: bool) -> str:
+    """Observe the tagged rows, drop replaced ones and the tags, write."""
+    bcols, n = tb.bucket_spec(spark, table)
+    if n and not aligned:
+        tagged = tagged.repartition(n, *bcols)
+    rows = up.merged_rows(tagged.observe(obs, *up.merge_metrics_columns()))
+    return tb.write_snapshot(spark, table, rows, aligned=True)
+
+
+def co_located(spark: SparkSession, table: str, keys: Sequence[str]) -> tuple[list[str], int]:
+    """The target's bucket spec when it is bucketed on exactly the merge keys."""
+    bcols, n = tb.bucket_spec(spark, table)
+    return (bcols, n) if n and sorted(bcols) == sorted(keys) else ([], 0)
 
 
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,
                strategy: str = "auto", check_unique: bool = True,
-               staged_rows: int | None = None) -> WriteResult:
-    """Upsert ``df`` into the existing ``table`` (see :func:`publish`).
-    ``staged_rows``: the source is already materialized with this many rows,
-    so ``auto`` decides without staging it again."""
+               staged: Staged | None = None) -> WriteResult:
+    """Upsert ``df`` into the existing ``table`` (see module doc)."""
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+    keys = list(keys)
     target = spark.table(table)
-    src = up.align_to(df, target.schema)
-
-    if strategy == "auto" and staged_rows is not None:
-        strategy = ("broadcast" if staged_rows <= broadcast_row_limit(spark, target.schema, keys)
-                    else "shuffle")
-    if strategy == "auto":
-        stage = scratch_dir(spark, "stage")
-        n = _count(src, lambda d: d.write.mode("errorifexists").parquet(stage))
-        src = spark.read.parquet(stage)
-        strategy = "broadcast" if n <= broadcast_row_limit(spark, target.schema, keys) else "shuffle"
-
-    if strategy == "broadcast":
-        if check_unique and up.duplicate_keys(src, keys).limit(1).count() > 0:
-            raise MergeCardinalityError(f"duplicate source keys {list(keys)} for {table}")
-        tagged = up.upsert_broadcast(target, src, keys)
-    elif strategy == "shuffle":
-        tagged = up.upsert_shuffle(target, src, keys, check_unique=check_unique)
+    bcols, nb = co_located(spark, table, keys)
+    limit = broadcast_row_limit(spark, target.schema, keys)
+    own_stage = None
+
+    if staged is None and (strategy == "auto" or (nb and strategy == "shuffle")):
+        own_stage = staged = stage(spark, up.align_to(df, target.schema), table, bcols, nb)
+    if staged is not None:
+        src, n = up.align_to(staged.frame(spark), target.schema), staged.rows
+        aligned = bool(nb) and sorted(tb.bucket_spec(spark, staged.table)[0]) == sorted(keys)
     else:
-        raise ValueError(f"unknown merge strategy {strategy!r}")
+        src = up.align_to(df, target.schema)
+        n = src.select(*keys).limit(limit + 1).count() if strategy == "broadcast" else None
+        aligned = False
 
-    obs = Observation()
-    rows = up.merged_rows(tagged.observe(obs, *up.merge_metrics_columns()))
-    rows = tb.enforce_not_null(rows, tb.not_null_columns(spark, table), table)
-    loc = tb.write_snapshot(spark, table, rows)
-    m = obs.get
-    if int(m["dup_rows"]) > 0:
-        # the new snapshot is never switched in
-        raise MergeCardinalityError(
-            f"{m['dup_rows']} source rows share a key {list(keys)} in merge into {table}")
-    tb.switch_snapshot(spark, table, loc)
+    chosen = "shuffle"
+    if strategy in ("auto", "broadcast") and n is not None and n <= limit:
+        chosen = "broadcast"
+    try:
+        if chosen == "broadcast":
+            if check_unique and up.duplicate_keys(src, keys).limit(1).count() > 0:
+                raise MergeCardinalityError(f"duplicate source keys {keys} for {table}")
+            tagged = up.upsert_broadcast(target, src, keys)
+        else:
+            tagged = up.upsert_shuffle(target, src, keys, check_unique=check_unique)
+
+        # the tags are counted on the written rows, so replaced target rows
+        # ('D') are filtered after the observation inside the final stage
+        obs = Observation()
+        rows = tb.enforce_not_null(tagged, tb.not_null_columns(spark, table), table)
+        # broadcast on a bucketed target: the target's bucket files stay
+        # per task, the few source rows add small files (no shuffle)
+        loc = _write_merged(spark, table, rows, obs,
+                            aligned or (nb > 0 and chosen == "broadcast"))
+        m = obs.get
+        if int(m["dup_rows"]) > 0:
+            # the new snapshot is never switched in
+            raise MergeCardinalityError(
+                f"{m['dup_rows']} source rows share a key {keys} in merge into {table}")
+        tb.switch_snapshot(spark, table, loc)
+    finally:
+        if own_stage is not None:
+            own_stage.drop(spark)
     c = up.counts_from_metrics(m)
     return WriteResult(c["records_read"], c["records_inserted"], c["records_updated"],
-                       strategy=strategy)
+                       strategy=chosen + ("-colocated" if aligned and chosen == "shuffle" else ""))

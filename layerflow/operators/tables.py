@@ -67,25 +67,40 @@ def new_snapshot_location(root: str) -> str:
 def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str,
                  comment: str | None = None, partition_by: Sequence[str] = (),
                  column_comments: dict[str, str] | None = None,
-                 properties: dict[str, str] | None = None) -> bool:
+                 properties: dict[str, str] | None = None,
+                 bucket_by: Sequence[str] = (), buckets: int = 0) -> bool:
     """CREATE TABLE IF NOT EXISTS over a first, empty snapshot below ``root``.
     Returns True when the table was created.
 
     Parquet tables drop NOT NULL from the schema, so the declared NOT NULL
-    columns are kept in a table property and enforced by every write."""
+    columns are kept in a table property and enforced by every write.
+
+    ``bucket_by``/``buckets`` store the table hash-bucketed on its merge
+    keys, so keyed merges join bucket to bucket without shuffling the
+    table.  Bucket columns must be NOT NULL: NULL keys would all share one
+    bucket."""
     check_name(name)
     if spark.catalog.tableExists(name):
         return False
+    required = [f.name for f in schema.fields if not f.nullable]
+    if bucket_by:
+        if buckets <= 0:
+            raise ValueError("bucketed table needs buckets > 0")
+        nullable = [c for c in bucket_by if c not in required]
+        if nullable:
+            raise ValueError(f"bucket columns must be NOT NULL: {nullable}")
     loc = new_snapshot_location(root)
     empty = spark.createDataFrame([], schema)
     (empty.write.partitionBy(*partition_by) if partition_by else empty.write).parquet(loc)
-    required = [f.name for f in schema.fields if not f.nullable]
     properties = dict(properties or {})
     if required:
         properties[NOT_NULL_PROPERTY] = ",".join(required)
     sql = f"CREATE TABLE {name} ({ddl_columns(schema, column_comments)}) USING parquet"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
+    if bucket_by:
+        cols = ", ".join(f"`{c}`" for c in bucket_by)
+        sql += f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {int(buckets)} BUCKETS"
     sql += f" LOCATION {sql_string(loc)}"
     if comment:
         sql += f" COMMENT {sql_string(comment)}"
@@ -167,12 +182,55 @@ def append_rows(spark: SparkSession, name: str, df: DataFrame) -> None:
     spark.catalog.refreshTable(name)
 
 
-def write_snapshot(spark: SparkSession, name: str, df: DataFrame) -> str:
+def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int]:
+    """(bucket columns, bucket count); ([], 0) for an unbucketed table."""
+    info = table_info(spark, name)
+    n = int(info.get("Num Buckets", "0") or 0)
+    if n <= 0:
+        return [], 0
+    cols = [c.strip().strip("`") for c in info.get("Bucket Columns", "").strip("[]").split(",")]
+    return [c for c in cols if c], n
+
+
+def write_bucketed(df: DataFrame, location: str, bucket_by: Sequence[str], buckets: int,
+                   partition_by: Sequence[str] = (), table: str | None = None) -> None:
+    """Write ``df`` as bucketed Parquet files at ``location``.
+
+    Bucketed writes need a catalog table; a throw-away external table is
+    registered over ``location`` and dropped again (its files stay)."""
+    spark = df.sparkSession
+    base = (table or "default.x").rsplit(".", 1)[0]
+    tmp = f"{base}.lf_snap_{uuid.uuid4().hex[:12]}"
+    w = (df.write.format("parquet").mode("errorifexists").option("path", location)
+         .bucketBy(buckets, *bucket_by).sortBy(*bucket_by))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(tmp)
+    spark.sql(f"DROP TABLE IF EXISTS {tmp}")
+
+
+def write_snapshot(spark: SparkSession, name: str, df: DataFrame, aligned: bool = False,
+                   observation=None, metrics: Sequence[Column] = ()) -> str:
     """Write ``df`` (already in the table's column order) as a new snapshot
-    directory; the table is not switched yet."""
+    directory with the table's partitioning and bucketing; the table is not
+    switched yet.
+
+    For a bucketed table the rows are hash-partitioned into the bucket count
+    first (one file per bucket) unless ``aligned`` says each partition
+    already holds one bucket (after a bucket-to-bucket join).  The
+    ``observation`` is attached after any repartition, i.e. in the final
+    stage, where Spark applies each partition's metrics exactly once."""
     loc = new_snapshot_location(table_location(spark, name).rsplit("/", 1)[0])
-    w = df.write.mode("errorifexists").format("parquet")
     parts = partition_columns(spark, name)
+    bcols, n = bucket_spec(spark, name)
+    if n and not aligned:
+        df = df.repartition(n, *bcols)
+    if observation is not None:
+        df = df.observe(observation, *metrics)
+    if n:
+        write_bucketed(df, loc, bcols, n, parts, table=name)
+        return loc
+    w = df.write.mode("errorifexists").format("parquet")
     if parts:
         w = w.partitionBy(*parts)
     w.save(loc)

@@ -183,6 +183,7 @@ def oracle_sql() -> dict[str, str]:
         "merge_first_run": "SELECT * FROM supplier",
         "merge_upsert": _MERGED,
         "merge_upsert_broadcast": _MERGED,
+        "merge_bucketed": _MERGED,
         "merge_metrics": (f"SELECT (SELECT count(*) FROM {_CUST_S}) AS records_read, "
                           f"count(*) FILTER (WHERE t.c_custkey IS NULL) AS records_inserted, "
                           f"count(*) FILTER (WHERE t.c_custkey IS NOT NULL) AS records_updated "
@@ -230,6 +231,9 @@ def oracle_sql() -> dict[str, str]:
         "run_table": gold_sql(P, " UNION ALL ".join([
             _landed(S.product_exprs("new"), "part", T2),
             _landed(S.product_exprs("new_twin"), "part", T2)])),
+        "run_table_bucketed": gold_sql(P, " UNION ALL ".join([
+            _landed(S.product_exprs("new"), "part", T2),
+            _landed(S.product_exprs("new_twin"), "part", T2)])),
         "run_layer": curated_sql(C, _landed(S.customer_exprs("new"), S.CUSTOMER_JOIN, T2)),
         "run_layer_skip": ("SELECT 'DIM_ENTITIES' AS table_name, '0' AS layer, 'SUCCESS' AS status, "
                            "count(*) AS records_read, count(*) AS records_inserted, "

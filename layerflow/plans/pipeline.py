@@ -12,18 +12,18 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerflow.functions.rules import REJECT_COLUMN, has_rejects, rules_from_metadata
 from layerflow.operators import tables as tb
-from layerflow.operators.publish import WriteResult, publish
+from layerflow.operators.publish import WriteResult, co_located, publish, stage
 from layerflow.operators.upsert import parse_keys
 from layerflow.plans import audit as au
 from layerflow.plans import dims, specs
 from layerflow.plans.transforms import curate, enrich, land
-from layerflow.session import RunContext, scratch_dir
+from layerflow.session import RunContext
 from layerflow.sources.jdbc import read_jdbc
 from layerflow.sources.files import with_lineage
 from layerflow.sources.tables import high_watermark, incremental_read
@@ -35,6 +35,7 @@ class PipelineConfig:
     audit_table: str
     root: str                      # folder below which new tables get their snapshots
     strategy: str = "auto"         # merge strategy, see operators.publish
+    buckets: int = 0               # >0: MERGE targets bucketed on their keys
     jdbc_url: str | None = None
     jdbc_options: dict = field(default_factory=dict)
 
@@ -138,36 +139,39 @@ class Pipeline:
         return f"{self.config.root}/{name.replace('.', '/')}"
 
     def _write(self, ctx: LayerContext, df: DataFrame, schema) -> WriteResult:
-        t = ctx.target
+        spark, cfg, t = self.spark, self.config, ctx.target
         name = t.table_name
-        keys = t.merge_keys if ctx.layer != 0 else None
         load_type = t.load_type or ("APPEND" if ctx.layer == 0 else "MERGE")
-        if ctx.layer != 0 and load_type.upper() == "MERGE":
-            keys = parse_keys(keys or "")
-        if schema is not None and ctx.spec.partition_column and not self.spark.catalog.tableExists(name):
-            tb.create_table(self.spark, name, schema, self._table_root(name),
-                            partition_by=[ctx.spec.partition_column])
+        keys = parse_keys(t.merge_keys) if ctx.layer != 0 and load_type.upper() == "MERGE" else None
+        if "." in name:
+            tb.create_schema(spark, name.rsplit(".", 1)[0])
+        parts = [ctx.spec.partition_column] if ctx.spec.partition_column else []
+        opts = dict(root=self._table_root(name), schema=schema, strategy=cfg.strategy,
+                    buckets=cfg.buckets if keys else 0, partition_by=parts)
         if REJECT_COLUMN not in df.columns:
-            return publish(self.spark, df, name, load_type, keys, root=self._table_root(name),
-                           schema=schema, strategy=self.config.strategy)
-        # one staged pass gives the source rows, the reject count and the reject rows
-        stage = scratch_dir(self.spark, "curated")
-        obs = Observation()
-        df.observe(obs, F.count(F.lit(1)).alias("n"),
-                   F.count_if(has_rejects()).alias("rejected")
-                   ).write.parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        m = obs.get
-        rejects = staged.filter(has_rejects())
-        if int(m["rejected"]):
-            rname = name + "_rejects"
-            if not self.spark.catalog.tableExists(rname):
-                tb.create_table(self.spark, rname, rejects.schema, self._table_root(rname))
-            tb.append_rows(self.spark, rname, rejects)
-        res = publish(self.spark, staged.drop(REJECT_COLUMN), name, load_type, keys,
-                      root=self._table_root(name), schema=schema,
-                      strategy=self.config.strategy, staged_rows=int(m["n"]))
-        res.records_rejected = int(m["rejected"])
+            return publish(spark, df, name, load_type, keys, **opts)
+        # one staged pass gives the source rows, the reject count and the reject rows;
+        # it is bucketed like the target so the merge needs no shuffle
+        bcols, nb = [], 0
+        if keys and spark.catalog.tableExists(name):
+            bcols, nb = co_located(spark, name, keys)
+        elif keys and cfg.buckets:
+            bcols, nb = keys, cfg.buckets
+        st = stage(spark, df, name, bcols, nb, metrics=[F.count_if(has_rejects()).alias("rejected")])
+        try:
+            staged = st.frame(spark)
+            rejected = int(st.metrics["rejected"])
+            if rejected:
+                rname = name + "_rejects"
+                rejects = staged.filter(has_rejects())
+                if not spark.catalog.tableExists(rname):
+                    tb.create_table(spark, rname, rejects.schema, self._table_root(rname))
+                tb.append_rows(spark, rname, rejects)
+            res = publish(spark, staged.drop(REJECT_COLUMN), name, load_type, keys,
+                          staged=st, **opts)
+        finally:
+            st.drop(spark)
+        res.records_rejected = rejected
         return res
 
     def run_layer(self, table_id: str, layer: int) -> str:

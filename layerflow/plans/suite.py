@@ -245,6 +245,17 @@ def q_merge_metrics(spark, sf):
         "records_read bigint, records_inserted bigint, records_updated bigint")
 
 
+def q_merge_bucketed(spark, sf):
+    """Target bucketed on the key: the merge joins bucket to bucket (no
+    exchange of the target) and writes one file per bucket."""
+    ws = Workspace(spark, sf)
+    target, source = _customer_target_source(ws)
+    name = ws.name("customer_b")
+    publish(spark, target, name, "MERGE", "c_custkey", root=ws.table_root("customer_b"), buckets=8)
+    publish(spark, source, name, "MERGE", "c_custkey", strategy="shuffle")
+    return spark.table(name)
+
+
 def q_merge_composite_key(spark, sf):
     ws = Workspace(spark, sf)
     latest = dedup_latest(ws.t("lineitem"), ["l_orderkey", "l_linenumber"], [("l_shipdate", "desc")])
@@ -482,7 +493,7 @@ def _drops(ws: Workspace) -> dict[str, str]:
     }
 
 
-def _pipeline(spark, sf, active=(True, True, True), table_ids=None):
+def _pipeline(spark, sf, active=(True, True, True), table_ids=None, buckets=0):
     ws = Workspace(spark, sf)
     drops = _drops(ws)
     ids = table_ids or ("DIM_PRODUCT", "DIM_CUSTOMER", "DIM_ENTITIES")
@@ -490,7 +501,8 @@ def _pipeline(spark, sf, active=(True, True, True), table_ids=None):
     tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
     publish(spark, specs.metadata_frame(spark, _dimension_metadata(ws, drops, active, ids)),
             meta, "APPEND")
-    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables")
+    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables",
+                         buckets=buckets)
     return ws, Pipeline(spark, cfg, RUN2), cfg
 
 
@@ -500,6 +512,15 @@ def q_run_table(spark, sf):
     return _out(spark.table(ws.name("dim_product_gold")))
 
 
+def q_run_table_bucketed(spark, sf):
+    """Two runs with bucketed curated and gold tables; the second run's
+    merges are co-located."""
+    ws, p, _ = _pipeline(spark, sf, table_ids=("DIM_PRODUCT",), buckets=8)
+    p.run_table("DIM_PRODUCT")
+    p.run_table("DIM_PRODUCT")
+    return _out(spark.table(ws.name("dim_product_gold")))
+
+
 def q_run_layer(spark, sf):
     ws, p, _ = _pipeline(spark, sf, table_ids=("DIM_CUSTOMER",))
     p.run_layer("DIM_CUSTOMER", 0)
@@ -554,6 +575,7 @@ QUERIES = {
     "merge_upsert": q_merge_upsert,
     "merge_upsert_broadcast": q_merge_upsert_broadcast,
     "merge_metrics": q_merge_metrics,
+    "merge_bucketed": q_merge_bucketed,
     "merge_composite_key": q_merge_composite_key,
     "merge_null_key": q_merge_null_key,
     "merge_cardinality": q_merge_cardinality,
@@ -574,6 +596,7 @@ QUERIES = {
     "incremental_read": q_incremental_read,
     "partitioned_write": q_partitioned_write,
     "run_table": q_run_table,
+    "run_table_bucketed": q_run_table_bucketed,
     "run_layer": q_run_layer,
     "run_layer_skip": q_run_layer_skip,
     "run_active": q_run_active,
