@@ -147,6 +147,11 @@ def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {check_name(name)}").collect()}
 
 
+def set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
+    props = ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {check_name(name)} SET TBLPROPERTIES ({props})")
+
+
 def not_null_columns(spark: SparkSession, name: str) -> list[str]:
     value = table_properties(spark, name).get(NOT_NULL_PROPERTY, "")
     return [c for c in value.split(",") if c]

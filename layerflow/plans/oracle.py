@@ -63,9 +63,11 @@ def entities_raw_sql() -> str:
     return _landed(S.ENTITIES, "supplier", T2)
 
 
-def curated_cte(rules: list[ColumnRule], key: str, raw_sql: str, run_id: str = "run-2") -> str:
+def curated_cte(rules: list[ColumnRule], key: str, raw_sql: str, run_id: str = "run-2",
+                run_id_sql: str | None = None) -> str:
     """``cur`` CTE: typed rows, latest per key with the full tie-break,
-    plus ``_rejects`` (comma list)."""
+    plus ``_rejects`` (comma list).  ``run_id_sql`` computes the run id per
+    row instead of the constant ``run_id``."""
     typed = ", ".join(f"{typed_sql(r)} AS {r.target}" for r in rules)
     order = ", ".join(["ingestion_timestamp DESC NULLS LAST"]
                       + [f"{r.target} ASC NULLS FIRST" for r in rules if r.target != key])
@@ -73,7 +75,8 @@ def curated_cte(rules: list[ColumnRule], key: str, raw_sql: str, run_id: str = "
             f"FROM ({raw_sql})), "
             f"ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY {order}) AS _rn "
             f"FROM typed), "
-            f"cur AS (SELECT * EXCLUDE (_rn, ingestion_timestamp), '{run_id}' AS job_run_id "
+            f"cur AS (SELECT * EXCLUDE (_rn, ingestion_timestamp), "
+            f"{run_id_sql or repr(run_id)} AS job_run_id "
             f"FROM ranked WHERE _rn = 1)")
 
 
@@ -86,13 +89,35 @@ def curated_sql(d: dims.Dimension, raw_sql: str) -> str:
     return f"WITH {curated_cte(d.rules, d.key, raw_sql)} SELECT {_ts_text(cols)} FROM cur"
 
 
-def gold_sql(d: dims.Dimension, raw_sql: str) -> str:
+def gold_sql(d: dims.Dimension, raw_sql: str, run_id_sql: str | None = None) -> str:
     derived = {r.target: typed_sql(r) for r in d.gold_rules}
     cols = [c for c in d.gold_order if c != "gold_load_timestamp"]
     sel = ", ".join(f"{derived[c]} AS {c}" if c in derived else
                     (f"CAST({c} AS VARCHAR) AS {c}" if c == "dwh_update_date" else c)
                     for c in cols)
-    return f"WITH {curated_cte(d.rules, d.key, raw_sql)} SELECT {sel} FROM cur"
+    return f"WITH {curated_cte(d.rules, d.key, raw_sql, run_id_sql=run_id_sql)} SELECT {sel} FROM cur"
+
+
+# The incremental flow's second landing holds the customers
+# whose balance is above 5000 (a change feed of part of the table).
+_CHANGED = f"{S.CUSTOMER_JOIN} WHERE c_acctbal > 5000"
+_INC_RUN_ID = f"CASE WHEN ingestion_timestamp = {T2} THEN 'run-2' ELSE 'run-1' END"
+
+
+def _incremental_audit_sql() -> str:
+    C = dims.CUSTOMER
+    old, new = (_landed(S.customer_exprs("old"), S.CUSTOMER_JOIN, T1),
+                _landed(S.customer_exprs("new"), _CHANGED, T2))
+
+    def rejects(raw):
+        return (f"(WITH {curated_cte(C.rules, C.key, raw)} "
+                f"SELECT count(*) FILTER (WHERE _rejects <> '') FROM cur)")
+    n, m = "(SELECT count(*) FROM customer)", f"(SELECT count(*) FROM {_CHANGED})"
+    rows = [f"('run-1', '0', {n}, {n}, 0, 0)", f"('run-1', '1', {n}, {n}, 0, {rejects(old)})",
+            f"('run-1', '2', {n}, {n}, 0, 0)", f"('run-2', '0', {m}, {m}, 0, 0)",
+            f"('run-2', '1', {m}, 0, {m}, {rejects(new)})", f"('run-2', '2', {m}, 0, {m}, 0)"]
+    return ("SELECT * FROM (VALUES " + ", ".join(rows) + ") AS v(job_run_id, layer, "
+            "records_read, records_inserted, records_updated, records_rejected)")
 
 
 _CUST_T = "(SELECT * FROM customer WHERE c_acctbal < 5000)"
@@ -234,6 +259,10 @@ def oracle_sql() -> dict[str, str]:
         "run_table_bucketed": gold_sql(P, " UNION ALL ".join([
             _landed(S.product_exprs("new"), "part", T2),
             _landed(S.product_exprs("new_twin"), "part", T2)])),
+        "run_incremental": gold_sql(C, " UNION ALL ".join([
+            _landed(S.customer_exprs("old"), S.CUSTOMER_JOIN, T1),
+            _landed(S.customer_exprs("new"), _CHANGED, T2)]), run_id_sql=_INC_RUN_ID),
+        "run_incremental_audit": _incremental_audit_sql(),
         "run_layer": curated_sql(C, _landed(S.customer_exprs("new"), S.CUSTOMER_JOIN, T2)),
         "run_layer_skip": ("SELECT 'DIM_ENTITIES' AS table_name, '0' AS layer, 'SUCCESS' AS status, "
                            "count(*) AS records_read, count(*) AS records_inserted, "

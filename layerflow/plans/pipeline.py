@@ -8,6 +8,7 @@ only data action, the audit log gets a start and an end event per run.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -26,7 +27,11 @@ from layerflow.plans.transforms import curate, enrich, land
 from layerflow.session import RunContext
 from layerflow.sources.jdbc import read_jdbc
 from layerflow.sources.files import with_lineage
-from layerflow.sources.tables import high_watermark, incremental_read
+from layerflow.sources.tables import (WATERMARK_PROPERTY, encode_watermark, next_batch,
+                                      stored_watermark)
+
+# The load-time column each layer writes.
+LOAD_TS = {0: "ingestion_timestamp", 1: "curated_load_timestamp", 2: "gold_load_timestamp"}
 
 
 @dataclass
@@ -47,20 +52,48 @@ class LayerContext:
     layer: int
     run: RunContext
     config: PipelineConfig
+    # set by upstream() in incremental mode: (source table, column, new token)
+    watermark: tuple[str, str, str] | None = None
+    nothing_new: bool = False
 
     @property
     def target(self) -> specs.LayerSpec:
         return self.spec.layer(self.layer)
 
-    def upstream(self) -> DataFrame:
-        """The previous layer's table, narrowed by the watermark column when
-        the metadata names one and the target already holds it."""
-        df = self.spark.table(self.spec.layer(self.layer - 1).table_name)
+    def watermark_column(self, columns) -> str | None:
+        """Incremental mode is on when the metadata names a watermark column.
+        Layer 1 reads the raw table by that column; later layers read the
+        previous layer by its load time, which changes exactly on the rows
+        the previous run inserted or updated."""
         wm = self.spec.watermark_column
+        if not wm:
+            return None
+        if self.layer > 1 and LOAD_TS[self.layer - 1] in columns:
+            return LOAD_TS[self.layer - 1]
+        if wm not in columns:
+            raise ValueError(f"{self.spec.table_id}: watermark column {wm!r} is not in "
+                             f"layer {self.layer - 1}")
+        return wm
+
+    def upstream(self) -> DataFrame:
+        """The previous layer's table; in incremental mode only the rows
+        after the watermark stored on the target by the last successful run,
+        up to the current maximum (recorded here, stored after the write)."""
+        src = self.spec.layer(self.layer - 1).table_name
+        df = self.spark.table(src)
+        col = self.watermark_column(df.columns)
+        if col is None:
+            return df
         tgt = self.target.table_name
-        if wm and self.spark.catalog.tableExists(tgt) and wm in self.spark.table(tgt).columns:
-            df = incremental_read(df, wm, high_watermark(self.spark.table(tgt), wm))
-        return df
+        last = None
+        if self.spark.catalog.tableExists(tgt):
+            last = stored_watermark(tb.table_properties(self.spark, tgt), src, col)
+        batch, token = next_batch(df, col, last)
+        if token is None:
+            self.nothing_new = True
+        else:
+            self.watermark = (src, col, token)
+        return batch
 
 
 @dataclass(frozen=True)
@@ -190,13 +223,45 @@ class Pipeline:
             if tr is None:
                 raise LookupError(f"no transform registered as {ls.script_path!r}")
             ctx = LayerContext(spark, spec, int(layer), self.run, cfg)
-            res = self._write(ctx, tr.fn(ctx), tr.schema(ctx))
+            self._check_run_after_downstream(ctx)
+            df = tr.fn(ctx)
+            if ctx.nothing_new:
+                res = WriteResult(strategy="no-new-rows")   # the target is not rewritten
+            else:
+                res = self._write(ctx, df, tr.schema(ctx))
+                if ctx.watermark:
+                    # after the snapshot switch: a failed run leaves the old
+                    # watermark, and the rerun reads the same rows again
+                    tb.set_properties(spark, ls.table_name,
+                                      {WATERMARK_PROPERTY: encode_watermark(*ctx.watermark)})
         except Exception as e:
             au.end_run(spark, cfg.audit_table, h, au.REJECTED, error_message=str(e))
             raise
         au.end_run(spark, cfg.audit_table, h, au.SUCCESS, **res.counts())
         return au.SUCCESS
 
+    def _check_run_after_downstream(self, ctx: LayerContext) -> None:
+        """In incremental mode the next layer skips rows at or below its
+        watermark.  Rows this run writes carry ``run_ts`` as load time, so a
+        run not later than that watermark would write rows nobody reads:
+        refuse it instead of losing them."""
+        nxt = ctx.layer + 1
+        if not ctx.spec.watermark_column or nxt not in ctx.spec.layers:
+            return
+        col = LOAD_TS[ctx.layer]
+        if ctx.layer == 0 and ctx.spec.watermark_column != col:
+            return      # a business column of the source, not our load time
+        down = ctx.spec.layer(nxt).table_name
+        if not self.spark.catalog.tableExists(down):
+            return
+        token = stored_watermark(tb.table_properties(self.spark, down),
+                                 ctx.target.table_name, col)
+        ts = ctx.run.run_ts_naive().replace(tzinfo=_dt.timezone.utc)
+        micros = int(ts.timestamp()) * 1_000_000 + ts.microsecond
+        if token is not None and token.lstrip("-").isdigit() and int(token) >= micros:
+            raise ValueError(f"{ctx.spec.table_id}: run time {ts} is not after the watermark "
+                             f"of {down}; its rows would never be read downstream")
+
     def run_table(self, table_id: str, layers=specs.LAYERS) -> str:
         """Layers in order; stop at the first SKIPPED; errors propagate."""
         for layer in layers:

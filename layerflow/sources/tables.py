@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+WATERMARK_PROPERTY = "layerflow.watermark"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -25,3 +30,54 @@ def incremental_read(source: DataFrame, column: str, last_value=None) -> DataFra
         return source
     bound = F.lit(last_value).cast(source.schema[column].dataType)
     return source.filter(F.col(column) > bound)
+
+
+# A watermark travels as text made on the JVM side: TIMESTAMP values as
+# microseconds since the epoch (independent of any time zone), everything
+# else as its string cast.  No Python datetime conversion is involved.
+
+def _token_of_max(df: DataFrame, column: str) -> Column:
+    m = F.max(column)
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return F.unix_micros(m).cast("string")
+    return m.cast("string")
+
+
+def watermark_value(token: str, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_micros(F.lit(int(token)))
+    return F.lit(token).cast(data_type)
+
+
+def next_batch(source: DataFrame, column: str, last_token: str | None = None
+               ) -> tuple[DataFrame, str | None]:
+    """The rows after ``last_token`` up to the current maximum, and the
+    token of that maximum (None: nothing new).
+
+    One small job reads only ``column`` of the newer rows (the lower bound is
+    pushed into the scan) to fix the upper bound; rows that arrive while the
+    batch runs are above it and wait for the next batch."""
+    dt = source.schema[column].dataType
+    newer = source
+    if last_token is not None:
+        newer = source.filter(F.col(column) > watermark_value(last_token, dt))
+    token = newer.agg(_token_of_max(newer, column).alias("wm")).first()["wm"]
+    if token is None:
+        return newer, None
+    return newer.filter(F.col(column) <= watermark_value(token, dt)), token
+
+
+def encode_watermark(source: str, column: str, token: str) -> str:
+    return json.dumps({"source": source, "column": column, "value": token}, sort_keys=True)
+
+
+def stored_watermark(properties: dict[str, str], source: str, column: str) -> str | None:
+    """The token stored on a target for this source table and column; a
+    watermark of another source or column does not apply."""
+    raw = properties.get(WATERMARK_PROPERTY)
+    if not raw:
+        return None
+    d = json.loads(raw)
+    if d.get("source") != source or d.get("column") != column:
+        return None
+    return d.get("value")
