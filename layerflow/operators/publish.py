@@ -14,6 +14,12 @@ Merge strategies for an existing target:
 - ``broadcast``: as ``auto`` without staging; the source keys are counted
   first and the join falls back to ``shuffle`` above the limit.
 - ``shuffle``: full outer sort-merge join, no staging.
+
+A target partitioned on columns that are all merge keys keeps every key in
+one partition, so only the partitions the source touches can change: those
+are read (partition pruning), merged, written as a new snapshot of just
+those partitions and switched partition by partition.  Untouched partitions
+are neither read nor rewritten.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -180,6 +187,30 @@ def co_located(spark: SparkSession, table: str, keys: Sequence[str]) -> tuple[li
     return (bcols, n) if n and sorted(bcols) == sorted(keys) else ([], 0)
 
 
+# Most partitions one merge rewrites one by one; above it the whole table
+# is rewritten as one snapshot (one metastore call instead of thousands).
+MAX_SCOPED_PARTITIONS = 5000
+
+
+def partition_scope(spark: SparkSession, table: str, keys: Sequence[str], src: DataFrame):
+    """Predicate selecting the target partitions ``src`` can touch, or None
+    when the merge must rewrite the whole table: the table is not
+    partitioned, is bucketed, is partitioned on a non-key column (a row could
+    move between partitions), or the source spans too many partitions or a
+    NULL partition value.  Only the distinct partition values (catalog-sized)
+    reach the driver."""
+    parts = tb.partition_columns(spark, table)
+    if not parts or not set(parts) <= set(keys) or tb.bucket_spec(spark, table)[1]:
+        return None
+    values = src.select(*parts).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()
+    if not values or len(values) > MAX_SCOPED_PARTITIONS or any(v is None for r in values for v in r):
+        return None
+    if len(parts) == 1:
+        return F.col(parts[0]).isin([r[0] for r in values])
+    return reduce(lambda a, b: a | b, [
+        reduce(lambda x, y: x & y, [F.col(c) == F.lit(r[c]) for c in parts]) for r in values])
+
+
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,
                strategy: str = "auto", check_unique: bool = True,
                staged: Staged | None = None) -> WriteResult:
@@ -201,6 +232,9 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
         src = up.align_to(df, target.schema)
         n = src.select(*keys).limit(limit + 1).count() if strategy == "broadcast" else None
         aligned = False
+    scope = partition_scope(spark, table, keys, src)
+    if scope is not None:
+        target = target.filter(scope)
 
     chosen = "shuffle"
     if strategy in ("auto", "broadcast") and n is not None and n <= limit:
@@ -226,10 +260,14 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
             # the new snapshot is never switched in
             raise MergeCardinalityError(
                 f"{m['dup_rows']} source rows share a key {keys} in merge into {table}")
-        tb.switch_snapshot(spark, table, loc)
+        if scope is not None:
+            tb.switch_partitions(spark, table, loc, tb.written_fragments(spark, table, loc))
+        else:
+            tb.switch_snapshot(spark, table, loc)
     finally:
         if own_stage is not None:
             own_stage.drop(spark)
     c = up.counts_from_metrics(m)
     return WriteResult(c["records_read"], c["records_inserted"], c["records_updated"],
-                       strategy=chosen + ("-colocated" if aligned and chosen == "shuffle" else ""))
+                       strategy=chosen + ("-colocated" if aligned and chosen == "shuffle" else "")
+                       + ("-partitions" if scope is not None else ""))

@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -252,6 +253,56 @@ def switch_snapshot(spark: SparkSession, name: str, location: str) -> None:
             pass
 
 
+def partition_fragments(spark: SparkSession, name: str) -> list[str]:
+    """Partitions as ``SHOW PARTITIONS`` prints them: the escaped directory
+    path below the table (``a=1/b=x%2Fy``)."""
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {check_name(name)}").collect()]
+
+
+def fragment_spec(fragment: str) -> str:
+    """``a=1/b=x%2Fy`` -> ``PARTITION`` spec text ``a = '1', b = 'x/y'``."""
+    out = []
+    for piece in fragment.split("/"):
+        k, v = piece.split("=", 1)
+        out.append(f"`{unquote(k)}` = {sql_string(unquote(v))}")
+    return ", ".join(out)
+
+
+def written_fragments(spark: SparkSession, name: str, location: str) -> list[str]:
+    """Partition directories Spark wrote below ``location`` for table
+    ``name``'s layout, found by the catalog itself: a throw-away external
+    table over the folder and ``RECOVER PARTITIONS`` (directory listing
+    only, no data is read)."""
+    base = name.rsplit(".", 1)[0] if "." in name else "default"
+    tmp = f"{base}.lf_parts_{uuid.uuid4().hex[:12]}"
+    parts = partition_columns(spark, name)
+    spark.sql(f"CREATE TABLE {tmp} ({ddl_columns(spark.table(name).schema)}) USING parquet "
+              f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) "
+              f"LOCATION {sql_string(location)}")
+    try:
+        spark.sql(f"ALTER TABLE {tmp} RECOVER PARTITIONS")
+        return partition_fragments(spark, tmp)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {tmp}")     # external: the files stay
+
+
+def switch_partitions(spark: SparkSession, name: str, location: str,
+                      fragments: Sequence[str]) -> None:
+    """Point each given partition of ``name`` at its directory below
+    ``location`` (a new snapshot of just those partitions); other partitions
+    are untouched.  Each switch is one metastore call, atomic per partition."""
+    existing = set(partition_fragments(spark, name))
+    for f in fragments:
+        path = sql_string(f"{location.rstrip('/')}/{f}")
+        if f in existing:
+            spark.sql(f"ALTER TABLE {check_name(name)} PARTITION ({fragment_spec(f)}) "
+                      f"SET LOCATION {path}")
+        else:
+            spark.sql(f"ALTER TABLE {check_name(name)} ADD PARTITION ({fragment_spec(f)}) "
+                      f"LOCATION {path}")
+    spark.catalog.refreshTable(name)
+
+
 def replace_rows(spark: SparkSession, name: str, df: DataFrame) -> str:
     """Write and switch in one call."""
     schema = spark.table(name).schema

@@ -253,6 +253,9 @@ def oracle_sql() -> dict[str, str]:
                              "(SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15')"),
         "partitioned_write": _ORDERS.format(status="o_orderstatus", prio="o_orderpriority")
                              + " WHERE o_orderstatus = 'O'",
+        "merge_partitioned": _ORDERS.format(
+            status="o_orderstatus",
+            prio="CASE WHEN o_orderstatus = 'P' THEN '0-NOW' ELSE o_orderpriority END"),
         "run_table": gold_sql(P, " UNION ALL ".join([
             _landed(S.product_exprs("new"), "part", T2),
             _landed(S.product_exprs("new_twin"), "part", T2)])),

@@ -461,6 +461,18 @@ def q_partitioned_write(spark, sf):
     return _out(spark.table(name).filter(F.col("o_orderstatus") == "O"))
 
 
+def q_merge_partitioned(spark, sf):
+    """Target partitioned by a key column: the merge of the changed 'P'
+    orders reads, rewrites and switches only partition P."""
+    ws = Workspace(spark, sf)
+    o, name = ws.t("orders"), ws.name("orders_mp")
+    tb.create_table(spark, name, o.schema, ws.table_root("orders_mp"), partition_by=["o_orderstatus"])
+    publish(spark, o, name, "APPEND")
+    changed = o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderpriority", F.lit("0-NOW"))
+    publish(spark, changed, name, "MERGE", ["o_orderstatus", "o_orderkey"])
+    return _out(spark.table(name))
+
+
 # ---------------------------------------------------------------- runs
 
 # Metadata rows for the three dimensions.
@@ -629,6 +641,7 @@ QUERIES = {
     "custom_transform": q_custom_transform,
     "incremental_read": q_incremental_read,
     "partitioned_write": q_partitioned_write,
+    "merge_partitioned": q_merge_partitioned,
     "run_table": q_run_table,
     "run_table_bucketed": q_run_table_bucketed,
     "run_incremental": q_run_incremental,

@@ -67,3 +67,32 @@ def test_bad_names_rejected():
     with pytest.raises(ValueError):
         tb.check_name("a.b; DROP TABLE x")
     assert tb.sql_string("it's a \\ test") == "'it\\'s a \\\\ test'"
+
+
+def test_partition_scoped_merge(spark, ws):
+    from layerflow.operators.publish import publish
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    name = ws.name("op")
+    tb.create_table(spark, name, o.schema, ws.table_root("op"), partition_by=["o_orderstatus"])
+    publish(spark, o, name, "APPEND")
+    before = {f: spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({tb.fragment_spec(f)})")
+              .filter("col_name = 'Location'").first()[1] for f in tb.partition_fragments(spark, name)}
+    src = (o.filter("o_orderstatus = 'P'").withColumn("o_orderpriority", F.lit("0-NOW"))
+           .unionByName(spark.createDataFrame(
+               [(10**9, 1, "Q/x", 1.0, None, "new")], o.schema)))
+    for strategy in ("auto", "shuffle"):
+        res = publish(spark, src, name, "MERGE", ["o_orderstatus", "o_orderkey"], strategy=strategy)
+        assert res.strategy.endswith("-partitions")
+        n_p = o.filter("o_orderstatus = 'P'").count()
+        assert (res.records_inserted, res.records_updated) == (
+            (1, n_p) if strategy == "auto" else (0, n_p + 1))
+    after = {f: spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({tb.fragment_spec(f)})")
+             .filter("col_name = 'Location'").first()[1] for f in tb.partition_fragments(spark, name)}
+    assert after["o_orderstatus=F"] == before["o_orderstatus=F"]
+    assert after["o_orderstatus=O"] == before["o_orderstatus=O"]
+    assert after["o_orderstatus=P"] != before["o_orderstatus=P"]
+    assert "o_orderstatus=Q%2Fx" in after
+    t = spark.table(name)
+    assert t.count() == o.count() + 1
+    assert t.filter("o_orderpriority = '0-NOW'").count() == o.filter("o_orderstatus = 'P'").count()
+    assert t.filter("o_orderstatus = 'Q/x'").count() == 1
