@@ -250,7 +250,38 @@ def switch_snapshot(spark: SparkSession, name: str, location: str) -> None:
         try:
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         except Exception:  # catalogs that do not track partitions discover them on read
-            pass
+            return
+        frags = partition_fragments(spark, name)
+        # Spark's in-memory catalog moves the partitions with the table; a
+        # Hive metastore keeps their old locations.  One lookup tells which.
+        if frags and not _points_into(partition_location(spark, name, frags[0]), location):
+            repoint_partitions(spark, name, location)
+
+
+def partition_location(spark: SparkSession, name: str, fragment: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(name)} "
+                     f"PARTITION ({fragment_spec(fragment)})").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
+def _points_into(path: str, snapshot: str) -> bool:
+    return f"/{snapshot.rstrip('/').rsplit('/', 1)[-1]}/" in path
+
+
+def repoint_partitions(spark: SparkSession, name: str, location: str) -> None:
+    """Every catalog partition of ``name`` read from the snapshot at
+    ``location``: re-pointed when the snapshot has its directory, dropped
+    (metadata only) when it has not."""
+    written = set(written_fragments(spark, name, location))
+    for f in partition_fragments(spark, name):
+        if _points_into(partition_location(spark, name, f), location):
+            continue
+        if f in written:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({fragment_spec(f)}) "
+                      f"SET LOCATION {sql_string(location.rstrip('/') + '/' + f)}")
+        else:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({fragment_spec(f)})")
+    spark.catalog.refreshTable(name)
 
 
 def partition_fragments(spark: SparkSession, name: str) -> list[str]:

@@ -96,3 +96,26 @@ def test_partition_scoped_merge(spark, ws):
     assert t.count() == o.count() + 1
     assert t.filter("o_orderpriority = '0-NOW'").count() == o.filter("o_orderstatus = 'P'").count()
     assert t.filter("o_orderstatus = 'Q/x'").count() == 1
+
+
+def test_repoint_stale_partitions(spark, ws):
+    """A catalog that leaves partitions behind on SET LOCATION (Hive) is
+    simulated by pointing partitions at an older snapshot by hand."""
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    name = ws.name("rp")
+    tb.create_table(spark, name, o.schema, ws.table_root("rp"), partition_by=["o_orderstatus"])
+    tb.append_rows(spark, name, o)
+    cur = tb.table_location(spark, name)
+    old = tb.new_snapshot_location(ws.table_root("rp"))
+    o.filter("o_orderstatus <> 'P'").withColumn("o_orderpriority", F.lit("OLD")) \
+        .write.partitionBy("o_orderstatus").parquet(old)
+    for f in ("o_orderstatus=F", "o_orderstatus=O"):
+        spark.sql(f"ALTER TABLE {name} PARTITION ({tb.fragment_spec(f)}) "
+                  f"SET LOCATION '{old}/{f}'")
+    spark.sql(f"ALTER TABLE {name} ADD PARTITION (o_orderstatus = 'Z') LOCATION '{old}/z'")
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).filter("o_orderpriority = 'OLD'").count() > 0
+    tb.repoint_partitions(spark, name, cur)
+    assert spark.table(name).filter("o_orderpriority = 'OLD'").count() == 0
+    assert spark.table(name).count() == o.count()
+    assert "o_orderstatus=Z" not in tb.partition_fragments(spark, name)
