@@ -27,7 +27,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -187,28 +186,17 @@ def co_located(spark: SparkSession, table: str, keys: Sequence[str]) -> tuple[li
     return (bcols, n) if n and sorted(bcols) == sorted(keys) else ([], 0)
 
 
-# Most partitions one merge rewrites one by one; above it the whole table
-# is rewritten as one snapshot (one metastore call instead of thousands).
-MAX_SCOPED_PARTITIONS = 5000
-
-
 def partition_scope(spark: SparkSession, table: str, keys: Sequence[str], src: DataFrame):
     """Predicate selecting the target partitions ``src`` can touch, or None
     when the merge must rewrite the whole table: the table is not
     partitioned, is bucketed, is partitioned on a non-key column (a row could
     move between partitions), or the source spans too many partitions or a
-    NULL partition value.  Only the distinct partition values (catalog-sized)
-    reach the driver."""
+    NULL partition value."""
     parts = tb.partition_columns(spark, table)
     if not parts or not set(parts) <= set(keys) or tb.bucket_spec(spark, table)[1]:
         return None
-    values = src.select(*parts).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()
-    if not values or len(values) > MAX_SCOPED_PARTITIONS or any(v is None for r in values for v in r):
-        return None
-    if len(parts) == 1:
-        return F.col(parts[0]).isin([r[0] for r in values])
-    return reduce(lambda a, b: a | b, [
-        reduce(lambda x, y: x & y, [F.col(c) == F.lit(r[c]) for c in parts]) for r in values])
+    values = tb.touched_partitions(src, parts)
+    return None if values is None else tb.partition_predicate(parts, values)
 
 
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,

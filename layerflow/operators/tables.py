@@ -334,6 +334,44 @@ def switch_partitions(spark: SparkSession, name: str, location: str,
     spark.catalog.refreshTable(name)
 
 
+# Most partitions one rewrite switches one by one; above it the whole table
+# is rewritten as one snapshot (one metastore call instead of thousands).
+MAX_SCOPED_PARTITIONS = 5000
+
+
+def touched_partitions(df: DataFrame, parts: Sequence[str]) -> list | None:
+    """Distinct partition values of ``df``'s rows, or None when there are
+    more than :data:`MAX_SCOPED_PARTITIONS` or a NULL among them.  Only
+    these values (catalog-sized) reach the driver."""
+    values = df.select(*parts).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()
+    if len(values) > MAX_SCOPED_PARTITIONS or any(v is None for r in values for v in r):
+        return None
+    return values
+
+
+def partition_predicate(parts: Sequence[str], values: list) -> Column:
+    """Rows in the given partitions; a partition filter for the scan."""
+    if not values:
+        return F.lit(False)
+    if len(parts) == 1:
+        return F.col(parts[0]).isin([r[0] for r in values])
+    ors = None
+    for r in values:
+        ands = None
+        for c in parts:
+            e = F.col(c) == F.lit(r[c])
+            ands = e if ands is None else ands & e
+        ors = ands if ors is None else ors | ands
+    return ors
+
+
+def replace_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
+    """Write ``df`` (rows of some partitions, in table order) as a new
+    snapshot of just those partitions and switch them."""
+    loc = write_snapshot(spark, name, df)
+    switch_partitions(spark, name, loc, written_fragments(spark, name, loc))
+
+
 def replace_rows(spark: SparkSession, name: str, df: DataFrame) -> str:
     """Write and switch in one call."""
     schema = spark.table(name).schema

@@ -18,12 +18,30 @@ def update_rows(df: DataFrame, assignments: dict[str, Column],
 
 def update_table(spark: SparkSession, table: str, assignments: dict[str, Column],
                  where: Column | None = None) -> int:
-    """Rewrite ``table`` with the update applied; returns the rows matched."""
+    """Rewrite ``table`` with the update applied; returns the rows matched.
+
+    On a partitioned table whose partition columns are not assigned, a
+    first pass (predicate and partition columns only, filters pushed into
+    the scan) finds the partitions holding matching rows; only those are
+    rewritten and switched, and nothing is written when no row matches."""
     df = spark.table(table)
     hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    parts = tb.partition_columns(spark, table)
+    values = None
+    if where is not None and parts and not set(parts) & set(assignments) \
+            and not tb.bucket_spec(spark, table)[1]:
+        values = tb.touched_partitions(df.filter(hit), parts)
     obs = Observation()
-    out = update_rows(df.observe(obs, F.count_if(hit).alias("n")), assignments, where)
-    tb.replace_rows(spark, table, out)
+    if values is None:
+        out = update_rows(df.observe(obs, F.count_if(hit).alias("n")), assignments, where)
+        tb.replace_rows(spark, table, out)
+        return int(obs.get["n"])
+    if not values:
+        return 0
+    scoped = df.filter(tb.partition_predicate(parts, values))
+    out = update_rows(scoped.observe(obs, F.count_if(hit).alias("n")), assignments, where)
+    tb.replace_partitions(spark, table, tb.enforce_not_null(
+        tb.aligned(out, df.schema), tb.not_null_columns(spark, table), table))
     return int(obs.get["n"])
 
 

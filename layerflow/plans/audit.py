@@ -58,8 +58,15 @@ _APPEND_LOCK = threading.Lock()
 
 
 def _append(spark: SparkSession, table: str, row: dict) -> None:
+    # the row is built from AUDIT_SCHEMA, whose NOT NULL fields createDataFrame
+    # verifies, so it goes in by position when the table still has that shape
+    df = tb.literal_rows(spark, [row], AUDIT_SCHEMA)
     with _APPEND_LOCK:
-        tb.append_rows(spark, table, tb.literal_rows(spark, [row], AUDIT_SCHEMA))
+        if spark.table(table).columns == AUDIT_SCHEMA.names:
+            df.write.mode("append").insertInto(table)
+            spark.catalog.refreshTable(table)
+        else:
+            tb.append_rows(spark, table, df)
 
 
 def start_run(spark: SparkSession, table: str, run: RunContext, table_id: str, layer,

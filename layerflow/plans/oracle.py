@@ -256,6 +256,9 @@ def oracle_sql() -> dict[str, str]:
         "merge_partitioned": _ORDERS.format(
             status="o_orderstatus",
             prio="CASE WHEN o_orderstatus = 'P' THEN '0-NOW' ELSE o_orderpriority END"),
+        "update_partitioned": _ORDERS.format(
+            status="o_orderstatus",
+            prio="CASE WHEN o_orderstatus = 'P' THEN '0-URGENT' ELSE o_orderpriority END"),
         "run_table": gold_sql(P, " UNION ALL ".join([
             _landed(S.product_exprs("new"), "part", T2),
             _landed(S.product_exprs("new_twin"), "part", T2)])),

@@ -473,6 +473,17 @@ def q_merge_partitioned(spark, sf):
     return _out(spark.table(name))
 
 
+def q_update_partitioned(spark, sf):
+    """UPDATE on a table partitioned by status: the matching rows sit in
+    partition P, so only P is rewritten and switched."""
+    ws = Workspace(spark, sf)
+    o, name = ws.t("orders"), ws.name("orders_up")
+    tb.create_table(spark, name, o.schema, ws.table_root("orders_up"), partition_by=["o_orderstatus"])
+    publish(spark, o, name, "APPEND")
+    update_table(spark, name, {"o_orderpriority": F.lit("0-URGENT")}, F.col("o_orderstatus") == "P")
+    return _out(spark.table(name))
+
+
 # ---------------------------------------------------------------- runs
 
 # Metadata rows for the three dimensions.
@@ -495,20 +506,21 @@ def _dimension_metadata(ws: Workspace, sources: dict[str, str], active=(True, Tr
     return out
 
 
-def _drops(ws: Workspace) -> dict[str, str]:
-    p, c, s = ws.t("part"), _customer_src(ws), ws.t("supplier")
-    return {
-        "DIM_PRODUCT": ws.stage(_sel(p, S.product_exprs("new")).unionByName(
-            _sel(p, S.product_exprs("new_twin"))), "p"),
-        "DIM_CUSTOMER": ws.stage(_sel(c, S.customer_exprs("new")), "c"),
-        "DIM_ENTITIES": ws.stage(_sel(s, S.ENTITIES), "e"),
+def _drops(ws: Workspace, ids=("DIM_PRODUCT", "DIM_CUSTOMER", "DIM_ENTITIES")) -> dict[str, str]:
+    """Stage the landing CSV of each requested dimension."""
+    make = {
+        "DIM_PRODUCT": lambda: ws.stage(_sel(ws.t("part"), S.product_exprs("new")).unionByName(
+            _sel(ws.t("part"), S.product_exprs("new_twin"))), "p"),
+        "DIM_CUSTOMER": lambda: ws.stage(_sel(_customer_src(ws), S.customer_exprs("new")), "c"),
+        "DIM_ENTITIES": lambda: ws.stage(_sel(ws.t("supplier"), S.ENTITIES), "e"),
     }
+    return {i: make[i]() for i in ids}
 
 
 def _pipeline(spark, sf, active=(True, True, True), table_ids=None, buckets=0):
     ws = Workspace(spark, sf)
-    drops = _drops(ws)
     ids = table_ids or ("DIM_PRODUCT", "DIM_CUSTOMER", "DIM_ENTITIES")
+    drops = _drops(ws, ids)
     meta = ws.name("ingestion_metadata")
     tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
     publish(spark, specs.metadata_frame(spark, _dimension_metadata(ws, drops, active, ids)),
@@ -642,6 +654,7 @@ QUERIES = {
     "incremental_read": q_incremental_read,
     "partitioned_write": q_partitioned_write,
     "merge_partitioned": q_merge_partitioned,
+    "update_partitioned": q_update_partitioned,
     "run_table": q_run_table,
     "run_table_bucketed": q_run_table_bucketed,
     "run_incremental": q_run_incremental,

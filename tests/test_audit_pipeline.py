@@ -30,7 +30,7 @@ def test_audit_events_and_latest_state(spark, ws):
 def _pipeline(spark, ws, active=(True, True, True), ids=("DIM_PRODUCT",), extra=None):
     meta = ws.name("meta")
     tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
-    rows = _dimension_metadata(ws, _drops(ws), active, ids) + (extra or [])
+    rows = _dimension_metadata(ws, _drops(ws, ids), active, ids) + (extra or [])
     publish(spark, specs.metadata_frame(spark, rows), meta, "APPEND")
     cfg = PipelineConfig(meta, ws.name("audit"), f"{ws.root}/tables")
     return Pipeline(spark, cfg, RUN2), cfg

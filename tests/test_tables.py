@@ -119,3 +119,34 @@ def test_repoint_stale_partitions(spark, ws):
     assert spark.table(name).filter("o_orderpriority = 'OLD'").count() == 0
     assert spark.table(name).count() == o.count()
     assert "o_orderstatus=Z" not in tb.partition_fragments(spark, name)
+
+
+def _locations(spark, name):
+    return {f: tb.partition_location(spark, name, f) for f in tb.partition_fragments(spark, name)}
+
+
+def test_partition_scoped_update(spark, ws):
+    from layerflow.operators.update import update_table
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    name = ws.name("up")
+    tb.create_table(spark, name, o.schema, ws.table_root("up"), partition_by=["o_orderstatus"])
+    tb.append_rows(spark, name, o)
+    before = _locations(spark, name)
+    # matches rows of partition P only; the predicate column is also assigned
+    n = update_table(spark, name, {"o_orderpriority": F.lit("0-NOW")},
+                     (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
+    want = o.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'").count()
+    assert n == want > 0
+    after = _locations(spark, name)
+    assert after["o_orderstatus=F"] == before["o_orderstatus=F"]
+    assert after["o_orderstatus=P"] != before["o_orderstatus=P"]
+    t = spark.table(name)
+    assert t.count() == o.count() and t.filter("o_orderpriority = '0-NOW'").count() == want
+    # no match: nothing is written
+    assert update_table(spark, name, {"o_orderpriority": F.lit("z")}, F.col("o_orderkey") < 0) == 0
+    assert _locations(spark, name) == after
+    # assigning the partition column moves rows: whole-table rewrite
+    assert update_table(spark, name, {"o_orderstatus": F.lit("X")},
+                        F.col("o_orderpriority") == "0-NOW") == want
+    assert spark.table(name).filter("o_orderstatus = 'X'").count() == want
+    assert spark.table(name).count() == o.count()
