@@ -7,7 +7,8 @@ Merge strategies for an existing target:
 - ``auto`` (default): the source is staged once in the shared folder (this
   cuts its lineage, so a lost executor never recomputes the upstream plan,
   and counts it); then its keys are broadcast when the count is under
-  :func:`broadcast_row_limit`, else the full outer join is used.  When the
+  :func:`broadcast_budget` (Spark's broadcast threshold, measured against the
+  exact key bytes observed while staging), else the full outer join is used.  When the
   target is bucketed on the merge keys the source is staged with the same
   buckets, so the join, the duplicate-key check and the snapshot write run
   bucket by bucket with no exchange at all.
@@ -28,7 +29,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,23 +58,55 @@ class MergeCardinalityError(ValueError):
     """More than one source row for a key (MERGE would be ambiguous)."""
 
 
-_KEY_BYTES = {T.StringType: 20, T.LongType: 8, T.IntegerType: 4, T.DateType: 4,
-              T.TimestampType: 8, T.TimestampNTZType: 8, T.BooleanType: 1}
+# Bytes per key value of fixed-width types, and per broadcast
+# row (UnsafeRow header, null bits, field slots, hash-map entry).
+_FIXED_BYTES = {T.LongType: 8, T.IntegerType: 4, T.ShortType: 2, T.ByteType: 1, T.DateType: 4,
+                T.TimestampType: 8, T.TimestampNTZType: 8, T.BooleanType: 1, T.DoubleType: 8,
+                T.FloatType: 4}
+ROW_OVERHEAD = 48
+KEY_BYTES = "_key_bytes"
 
 
-def broadcast_row_limit(spark: SparkSession, schema: T.StructType, keys: Sequence[str]) -> int:
-    """Most source keys to broadcast: Spark's broadcast threshold over an
-    estimated per-key size (key bytes + hash-map overhead).  0 when
-    broadcasting is disabled."""
+def key_size(schema: T.StructType, keys: Sequence[str]) -> Column:
+    """Bytes one row's keys take in a broadcast hash relation: the measured
+    length of string/binary keys, the width of fixed ones, plus overhead."""
+    total = F.lit(ROW_OVERHEAD)
+    for k in keys:
+        dt = schema[k].dataType
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(k)), F.lit(0))
+        else:
+            total = total + F.lit(_FIXED_BYTES.get(type(dt), 16))
+    return total
+
+
+def key_bytes_metric(schema: T.StructType, keys: Sequence[str]) -> Column:
+    """Aggregate for a staging ``Observation``: total broadcast bytes."""
+    return F.coalesce(F.sum(key_size(schema, keys)), F.lit(0)).cast("long").alias(KEY_BYTES)
+
+
+def broadcast_budget(spark: SparkSession) -> int:
+    """Spark's broadcast threshold in bytes; 0 when broadcasting is off."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     try:
         limit = int(str(raw).lower().rstrip("b"))
     except ValueError:
         limit = 10 * 1024 * 1024
-    if limit <= 0:
-        return 0
-    per_key = 48 + sum(_KEY_BYTES.get(type(schema[k].dataType), 16) for k in keys)
-    return limit // per_key
+    return max(limit, 0)
+
+
+def measured_key_bytes(spark: SparkSession, src: DataFrame, keys: Sequence[str]) -> int | None:
+    """Broadcast bytes of ``src``'s keys, or None when they exceed the
+    budget.  Reads at most the rows that could fit (one bounded job)."""
+    budget = broadcast_budget(spark)
+    if budget <= 0:
+        return None
+    cap = budget // ROW_OVERHEAD + 1
+    r = (src.select(*keys).limit(cap)
+         .agg(F.count(F.lit(1)).alias("n"), key_bytes_metric(src.schema, keys)).first())
+    if r["n"] >= cap or r[KEY_BYTES] > budget:
+        return None
+    return int(r[KEY_BYTES])
 
 
 @dataclass
@@ -208,24 +241,31 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
     keys = list(keys)
     target = spark.table(table)
     bcols, nb = co_located(spark, table, keys)
-    limit = broadcast_row_limit(spark, target.schema, keys)
+    budget = broadcast_budget(spark)
     own_stage = None
 
     if staged is None and (strategy == "auto" or (nb and strategy == "shuffle")):
-        own_stage = staged = stage(spark, up.align_to(df, target.schema), table, bcols, nb)
+        own_stage = staged = stage(spark, up.align_to(df, target.schema), table, bcols, nb,
+                                   metrics=[key_bytes_metric(target.schema, keys)])
+    kbytes = None       # measured broadcast size of the source keys
     if staged is not None:
-        src, n = up.align_to(staged.frame(spark), target.schema), staged.rows
+        src = up.align_to(staged.frame(spark), target.schema)
         aligned = bool(nb) and sorted(tb.bucket_spec(spark, staged.table)[0]) == sorted(keys)
+        if strategy != "shuffle":
+            kbytes = staged.metrics.get(KEY_BYTES)
+            if kbytes is None:
+                kbytes = measured_key_bytes(spark, src, keys)
     else:
         src = up.align_to(df, target.schema)
-        n = src.select(*keys).limit(limit + 1).count() if strategy == "broadcast" else None
         aligned = False
+        if strategy == "broadcast":
+            kbytes = measured_key_bytes(spark, src, keys)
     scope = partition_scope(spark, table, keys, src)
     if scope is not None:
         target = target.filter(scope)
 
     chosen = "shuffle"
-    if strategy in ("auto", "broadcast") and n is not None and n <= limit:
+    if strategy in ("auto", "broadcast") and kbytes is not None and 0 < budget and kbytes <= budget:
         chosen = "broadcast"
     try:
         if chosen == "broadcast":

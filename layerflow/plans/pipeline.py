@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from layerflow.functions.rules import REJECT_COLUMN, has_rejects, rules_from_metadata
 from layerflow.operators import tables as tb
-from layerflow.operators.publish import WriteResult, co_located, publish, stage
+from layerflow.operators.publish import WriteResult, co_located, key_bytes_metric, publish, stage
 from layerflow.operators.upsert import parse_keys
 from layerflow.plans import audit as au
 from layerflow.plans import dims, specs
@@ -190,7 +190,10 @@ class Pipeline:
             bcols, nb = co_located(spark, name, keys)
         elif keys and cfg.buckets:
             bcols, nb = keys, cfg.buckets
-        st = stage(spark, df, name, bcols, nb, metrics=[F.count_if(has_rejects()).alias("rejected")])
+        metrics = [F.count_if(has_rejects()).alias("rejected")]
+        if keys:
+            metrics.append(key_bytes_metric(df.schema, keys))
+        st = stage(spark, df, name, bcols, nb, metrics=metrics)
         try:
             staged = st.frame(spark)
             rejected = int(st.metrics["rejected"])

@@ -85,3 +85,25 @@ def test_plans(spark):
     assert "BroadcastHashJoin" in bplan and "SortMergeJoin" not in bplan
     splan = upsert_shuffle(t, s, ["c_custkey"])._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" in splan or "SortMergeJoin" in splan
+
+
+@pytest.mark.parametrize("strategy", ["auto", "broadcast"])
+def test_broadcast_only_under_measured_key_bytes(spark, ws, strategy):
+    """200 keys of 5,000 bytes: ~1 MB of keys.  A 20-byte-per-key guess
+    would broadcast them under a 100 kB threshold; the measured size must
+    not, and a 10 MB threshold must."""
+    rows = [("k%04d" % i + "x" * 4995, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "key string, v long")
+    name = ws.name("wide_keys")
+    publish(spark, df, name, "MERGE", "key", root=ws.table_root("wide_keys"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(100 * 1024))
+        r = publish(spark, df.withColumn("v", F.col("v") + 1), name, "MERGE", "key", strategy=strategy)
+        assert r.strategy.startswith("shuffle") and r.records_updated == 200
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        r = publish(spark, df.withColumn("v", F.col("v") + 2), name, "MERGE", "key", strategy=strategy)
+        assert r.strategy == "broadcast" and r.records_updated == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(r.v for r in spark.table(name).collect()) == [i + 2 for i in range(200)]
