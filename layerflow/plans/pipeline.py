@@ -41,6 +41,7 @@ class PipelineConfig:
     root: str                      # folder below which new tables get their snapshots
     strategy: str = "auto"         # merge strategy, see operators.publish
     buckets: int = 0               # >0: MERGE targets bucketed on their keys
+    audit_max_files: int = au.AUDIT_MAX_FILES
     jdbc_url: str | None = None
     jdbc_options: dict = field(default_factory=dict)
 
@@ -266,14 +267,17 @@ class Pipeline:
                              f"of {down}; its rows would never be read downstream")
 
     def run_table(self, table_id: str, layers=specs.LAYERS) -> str:
-        """Layers in order; stop at the first SKIPPED; errors propagate."""
+        """Layers in order; stop at the first SKIPPED; errors propagate.
+        Afterwards the audit log is compacted once it holds too many files."""
+        status = au.SUCCESS
         for layer in layers:
             status = self.run_layer(table_id, layer)
             if status == au.SKIPPED:
-                return au.SKIPPED
+                break
             if status != au.SUCCESS:
                 raise RuntimeError(f"unexpected status {status} for {table_id} layer {layer}")
-        return au.SUCCESS
+        au.maybe_compact(self.spark, self.config.audit_table, self.config.audit_max_files)
+        return status
 
     def run_active(self, table_group: str | None = None, max_parallel: int = 1) -> dict[str, str]:
         """Every active table; up to ``max_parallel`` tables run at once as

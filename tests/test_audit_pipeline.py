@@ -90,3 +90,16 @@ def test_lookup_errors_and_active_list(spark):
     with pytest.raises(LookupError, match="more than one"):
         specs.lookup(meta, "A")
     assert specs.lookup(meta, "B").table_group == "FACT"
+
+
+def test_audit_log_compacts_itself(spark, ws):
+    from layerflow.plans.pipeline import Pipeline, PipelineConfig
+    p, cfg = _pipeline(spark, ws, ids=("DIM_ENTITIES",))
+    p2 = Pipeline(spark, PipelineConfig(cfg.metadata_table, cfg.audit_table, cfg.root,
+                                        audit_max_files=4), RUN2)
+    assert p2.run_table("DIM_ENTITIES") == au.SUCCESS
+    ev = spark.table(cfg.audit_table)
+    assert len(ev.inputFiles()) <= 4 and ev.count() == 6
+    st = au.latest_state(ev).collect()
+    assert sorted((r.layer, r.status) for r in st) == [("0", "SUCCESS"), ("1", "SUCCESS"),
+                                                       ("2", "SUCCESS")]
