@@ -8,6 +8,7 @@ only data action, the audit log gets a start and an end event per run.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -163,6 +164,9 @@ def _gold_generic(ctx: LayerContext) -> DataFrame:
 
 class Pipeline:
     def __init__(self, spark: SparkSession, config: PipelineConfig, run: RunContext):
+        if run.executed_by is None:
+            # the session's user, as Spark SQL's current_user() reports it
+            run = dataclasses.replace(run, executed_by=spark.sql("SELECT current_user()").first()[0])
         self.spark, self.config, self.run = spark, config, run
         au.ensure_audit_table(spark, config.audit_table, f"{config.root}/_audit")
 

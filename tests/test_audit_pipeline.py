@@ -100,6 +100,7 @@ def test_audit_log_compacts_itself(spark, ws):
     assert p2.run_table("DIM_ENTITIES") == au.SUCCESS
     ev = spark.table(cfg.audit_table)
     assert len(ev.inputFiles()) <= 4 and ev.count() == 6
+    assert {r.executed_by for r in ev.collect()} == {spark.sql("SELECT current_user()").first()[0]}
     st = au.latest_state(ev).collect()
     assert sorted((r.layer, r.status) for r in st) == [("0", "SUCCESS"), ("1", "SUCCESS"),
                                                        ("2", "SUCCESS")]
