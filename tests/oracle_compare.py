@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -44,7 +45,13 @@ def main():
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    spark = build_session("local[8]")
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's kind of session: none of build_session's settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = build_session("local[8]")
     qs, sqls = queries(), oracle_sql()
     bad = 0
     for name in names or list(qs):
