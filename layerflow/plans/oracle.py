@@ -269,6 +269,10 @@ def oracle_sql() -> dict[str, str]:
             _landed(S.customer_exprs("old"), S.CUSTOMER_JOIN, T1),
             _landed(S.customer_exprs("new"), _CHANGED, T2)]), run_id_sql=_INC_RUN_ID),
         "run_incremental_audit": _incremental_audit_sql(),
+        "run_stream_landing": gold_sql(C, " UNION ALL ".join([
+            _landed(S.customer_exprs("old"), S.CUSTOMER_JOIN, T1),
+            _landed(S.customer_exprs("new"), _CHANGED, T2)]), run_id_sql=_INC_RUN_ID),
+        "run_stream_landing_audit": _incremental_audit_sql(),
         "run_layer": curated_sql(C, _landed(S.customer_exprs("new"), S.CUSTOMER_JOIN, T2)),
         "run_layer_skip": ("SELECT 'DIM_ENTITIES' AS table_name, '0' AS layer, 'SUCCESS' AS status, "
                            "count(*) AS records_read, count(*) AS records_inserted, "

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as _dt
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -27,7 +28,8 @@ from layerflow.plans import dims, specs
 from layerflow.plans.transforms import curate, enrich, land
 from layerflow.session import RunContext
 from layerflow.sources.jdbc import read_jdbc
-from layerflow.sources.files import with_lineage
+from layerflow.sources.files import LINEAGE_COLUMNS, with_lineage
+from layerflow.streaming.landing import land_available
 from layerflow.sources.tables import (WATERMARK_PROPERTY, encode_watermark, next_batch,
                                       stored_watermark)
 
@@ -43,6 +45,7 @@ class PipelineConfig:
     strategy: str = "auto"         # merge strategy, see operators.publish
     buckets: int = 0               # >0: MERGE targets bucketed on their keys
     audit_max_files: int = au.AUDIT_MAX_FILES
+    stream_landing: bool = False   # layer 0 lands only files not landed before
     jdbc_url: str | None = None
     jdbc_options: dict = field(default_factory=dict)
 
@@ -232,22 +235,50 @@ class Pipeline:
                 raise LookupError(f"no transform registered as {ls.script_path!r}")
             ctx = LayerContext(spark, spec, int(layer), self.run, cfg)
             self._check_run_after_downstream(ctx)
-            df = tr.fn(ctx)
-            if ctx.nothing_new:
-                res = WriteResult(strategy="no-new-rows")   # the target is not rewritten
+            if self._streams(ctx):
+                res = self._land_new_files(ctx, tr.schema(ctx))
             else:
-                res = self._write(ctx, df, tr.schema(ctx))
-                if ctx.watermark:
-                    # after the snapshot switch: a failed run leaves the old
-                    # watermark, and the rerun reads the same rows again
-                    tb.set_properties(spark, ls.table_name,
-                                      {WATERMARK_PROPERTY: encode_watermark(*ctx.watermark)})
+                res = self._transform_and_write(ctx, tr)
         except Exception as e:
             au.end_run(spark, cfg.audit_table, h, au.REJECTED, error_message=str(e))
             raise
         au.end_run(spark, cfg.audit_table, h, au.SUCCESS, **res.counts())
         return au.SUCCESS
 
+    def _transform_and_write(self, ctx: LayerContext, tr: Transform) -> WriteResult:
+        df = tr.fn(ctx)
+        if ctx.nothing_new:
+            return WriteResult(strategy="no-new-rows")   # the target is not rewritten
+        res = self._write(ctx, df, tr.schema(ctx))
+        if ctx.watermark:
+            # after the snapshot switch: a failed run leaves the old
+            # watermark, and the rerun reads the same rows again
+            tb.set_properties(self.spark, ctx.target.table_name,
+                              {WATERMARK_PROPERTY: encode_watermark(*ctx.watermark)})
+        return res
+
+    def _streams(self, ctx: LayerContext) -> bool:
+        return (ctx.layer == 0 and self.config.stream_landing
+                and (ctx.spec.source_system or "FILE").upper() == "FILE")
+
+    def _land_new_files(self, ctx: LayerContext, schema) -> WriteResult:
+        """Layer 0 as an ``availableNow`` stream over the drop folder: the
+        files already landed are listed in a checkpoint in the shared folder,
+        so a run reads only new files."""
+        spark, name = self.spark, ctx.target.table_name
+        if schema is None:
+            raise ValueError(f"{ctx.spec.table_id}: stream landing needs a declared raw schema")
+        if "." in name:
+            tb.create_schema(spark, name.rsplit(".", 1)[0])
+        parts = [ctx.spec.partition_column] if ctx.spec.partition_column else []
+        tb.create_table(spark, name, schema, self._table_root(name), partition_by=parts)
+        folder = ctx.spec.source_table
+        ckpt = (f"{self.config.root}/_landing/{name.replace('.', '/')}/"
+                f"{hashlib.sha1(folder.encode()).hexdigest()[:12]}")
+        cols = [f.name for f in schema.fields if f.name not in LINEAGE_COLUMNS]
+        n = land_available(spark, folder, cols, name, ctx.run, checkpoint=ckpt)
+        return WriteResult(n, n, 0, strategy="new-files")
+
     def _check_run_after_downstream(self, ctx: LayerContext) -> None:
         """In incremental mode the next layer skips rows at or below its
         watermark.  Rows this run writes carry ``run_ts`` as load time, so a

@@ -545,24 +545,30 @@ def q_run_table_bucketed(spark, sf):
     return _out(spark.table(ws.name("dim_product_gold")))
 
 
-def incremental_runs(spark, sf, incremental=True):
+def incremental_runs(spark, sf, incremental=True, stream=False):
     """Customer dimension in two runs: run 1 lands every customer, run 2
     only the changed ones (balance above 5000).  With a watermark column
     in the metadata, run 2's curation and gold layers read only the rows
-    landed after run 1."""
+    landed after run 1.  ``stream``: the changed rows arrive as new files in
+    the same drop folder, and layer 0 lands only those files."""
     ws = Workspace(spark, sf)
     c = _customer_src(ws)
     drop1 = ws.stage(_sel(c, S.customer_exprs("old")), "c1")
-    drop2 = ws.stage(_sel(c.filter(F.col("c_acctbal") > 5000), S.customer_exprs("new")), "c2")
+    changed = _sel(c.filter(F.col("c_acctbal") > 5000), S.customer_exprs("new"))
     meta = ws.name("ingestion_metadata")
     tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
     rows = _dimension_metadata(ws, {"DIM_CUSTOMER": drop1}, table_ids=("DIM_CUSTOMER",))
     if incremental:
         rows[0]["watermark_column"] = "ingestion_timestamp"
     publish(spark, specs.metadata_frame(spark, rows), meta, "APPEND")
-    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables")
+    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables",
+                         stream_landing=stream)
     Pipeline(spark, cfg, RUN1).run_table("DIM_CUSTOMER")
-    update_table(spark, meta, {"source_table": F.lit(drop2)}, F.col("table_id") == "DIM_CUSTOMER")
+    if stream:
+        stage_csv(changed, drop1, mode="append")
+    else:
+        drop2 = ws.stage(changed, "c2")
+        update_table(spark, meta, {"source_table": F.lit(drop2)}, F.col("table_id") == "DIM_CUSTOMER")
     Pipeline(spark, cfg, RUN2).run_table("DIM_CUSTOMER")
     return ws, cfg
 
@@ -579,6 +585,18 @@ def q_run_incremental_audit(spark, sf):
         "records_rejected")
 
 
+def q_run_stream_landing(spark, sf):
+    ws, _ = incremental_runs(spark, sf, stream=True)
+    return _out(spark.table(ws.name("dim_customer_gold")))
+
+
+def q_run_stream_landing_audit(spark, sf):
+    _, cfg = incremental_runs(spark, sf, stream=True)
+    return au.latest_state(spark.table(cfg.audit_table)).select(
+        "job_run_id", "layer", "records_read", "records_inserted", "records_updated",
+        "records_rejected")
+
+
 def q_run_layer(spark, sf):
     ws, p, _ = _pipeline(spark, sf, table_ids=("DIM_CUSTOMER",))
     p.run_layer("DIM_CUSTOMER", 0)
@@ -659,6 +677,8 @@ QUERIES = {
     "run_table_bucketed": q_run_table_bucketed,
     "run_incremental": q_run_incremental,
     "run_incremental_audit": q_run_incremental_audit,
+    "run_stream_landing": q_run_stream_landing,
+    "run_stream_landing_audit": q_run_stream_landing_audit,
     "run_layer": q_run_layer,
     "run_layer_skip": q_run_layer_skip,
     "run_active": q_run_active,

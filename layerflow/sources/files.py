@@ -45,10 +45,11 @@ def with_lineage(df: DataFrame, run: RunContext, source_name: str | None = None,
     })
 
 
-def stage_csv(df: DataFrame, path: str) -> str:
+def stage_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Write ``df`` as header CSV keeping leading/trailing spaces (Spark's CSV
-    writer strips them by default).  Used to land sources into a drop folder."""
-    (df.write.mode("errorifexists")
+    writer strips them by default).  Used to land sources into a drop folder;
+    ``mode="append"`` adds new files to an existing one."""
+    (df.write.mode(mode)
        .option("header", "true")
        .option("ignoreLeadingWhiteSpace", "false")
        .option("ignoreTrailingWhiteSpace", "false")

@@ -3,13 +3,13 @@
 ``readStream`` keeps the list of files already landed in the checkpoint, so
 each run (``availableNow``: process what is there, then stop) lands only new
 files - the streaming form of the append-only raw layer.  Each micro-batch
-is appended through the table's commit protocol; a batch replayed after a
-failure can land its rows twice, which the latest-row dedup of the curated
-layer absorbs (raw is history, not the served table).
+is appended through the table's commit protocol and its epoch recorded on
+the table, so a replayed batch is not appended again.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,10 @@ from layerflow.session import RunContext, shared_root
 from layerflow.sources.files import all_string_schema, with_lineage
 
 
+def _epoch_key(checkpoint: str) -> str:
+    return "layerflow.landed_epoch." + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
+
 def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], table: str,
                 run: RunContext, checkpoint: str | None = None,
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -31,7 +35,15 @@ def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], t
     ckpt = checkpoint or f"{shared_root(spark)}/layerflow/streams/{table.replace('.', '_')}"
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
-        tb.append_rows(batch.sparkSession, table, batch)
+        # a batch replayed after a failure is skipped when the table already
+        # records its epoch for this checkpoint (the gap between append and
+        # record can still replay one batch; curation's dedup absorbs it)
+        s = batch.sparkSession
+        done = tb.table_properties(s, table).get(_epoch_key(ckpt))
+        if done is not None and int(done) >= epoch_id:
+            return
+        tb.append_rows(s, table, batch)
+        tb.set_properties(s, table, {_epoch_key(ckpt): str(epoch_id)})
 
     return (df.writeStream.trigger(availableNow=True)
             .option("checkpointLocation", ckpt)

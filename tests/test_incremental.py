@@ -63,3 +63,14 @@ def test_next_batch_bounds(spark):
     ids = spark.range(10).withColumnRenamed("id", "k")
     b, t = next_batch(ids, "k", "6")
     assert sorted(r.k for r in b.collect()) == [7, 8, 9] and t == "9"
+
+
+def test_stream_landing_lands_only_new_files(spark):
+    ws, cfg = incremental_runs(spark, SF, stream=True)
+    gold, raw = ws.name("dim_customer_gold"), ws.name("dim_customer_raw")
+    n_raw, loc = spark.table(raw).count(), tb.table_location(spark, gold)
+    assert Pipeline(spark, cfg, RUN3).run_table("DIM_CUSTOMER") == au.SUCCESS
+    st = au.latest_state(spark.table(cfg.audit_table)).filter(F.col("job_run_id") == "run-3")
+    assert {r.layer: r.records_read for r in st.collect()} == {"0": 0, "1": 0, "2": 0}
+    assert spark.table(raw).count() == n_raw
+    assert tb.table_location(spark, gold) == loc
