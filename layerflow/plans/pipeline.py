@@ -186,7 +186,9 @@ class Pipeline:
         keys = parse_keys(t.merge_keys) if ctx.layer != 0 and load_type.upper() == "MERGE" else None
         if "." in name:
             tb.create_schema(spark, name.rsplit(".", 1)[0])
-        parts = [ctx.spec.partition_column] if ctx.spec.partition_column else []
+        # the metadata's partition column applies to the layers that have it
+        pc = ctx.spec.partition_column
+        parts = [pc] if pc and pc in df.columns else []
         opts = dict(root=self._table_root(name), schema=schema, strategy=cfg.strategy,
                     buckets=cfg.buckets if keys else 0, partition_by=parts)
         if REJECT_COLUMN not in df.columns:
@@ -270,7 +272,8 @@ class Pipeline:
             raise ValueError(f"{ctx.spec.table_id}: stream landing needs a declared raw schema")
         if "." in name:
             tb.create_schema(spark, name.rsplit(".", 1)[0])
-        parts = [ctx.spec.partition_column] if ctx.spec.partition_column else []
+        pc = ctx.spec.partition_column
+        parts = [pc] if pc and pc in schema.names else []
         tb.create_table(spark, name, schema, self._table_root(name), partition_by=parts)
         folder = ctx.spec.source_table
         ckpt = (f"{self.config.root}/_landing/{name.replace('.', '/')}/"
