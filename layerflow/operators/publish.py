@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from layerflow.operators import tables as tb
 from layerflow.operators import upsert as up
-from layerflow.session import scratch_dir
+from layerflow.session import scratch_schema
 
 APPEND, MERGE = "APPEND", "MERGE"
 
@@ -121,23 +121,22 @@ class Staged:
         return spark.table(self.table)
 
     def drop(self, spark: SparkSession) -> None:
-        spark.sql(f"DROP TABLE IF EXISTS {self.table}")   # external: files stay for audit
+        spark.sql(f"DROP TABLE IF EXISTS {self.table}")   # managed: its files go too
 
 
 def stage(spark: SparkSession, df: DataFrame, near: str, bucket_by: Sequence[str] = (),
           buckets: int = 0, metrics: Sequence = ()) -> Staged:
-    """Write ``df`` below the shared root and register it next to ``near``
-    (a table name, for its schema).  ``metrics`` are extra aggregates
+    """Write ``df`` as a managed table of the scratch schema (in the shared
+    folder), for the merge into ``near``.  ``metrics`` are extra aggregates
     observed on the same pass."""
     obs = Observation()
     if buckets:
         df = df.repartition(buckets, *bucket_by)
     # observed in the final stage: counted once per partition even on retries
     observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics)
-    loc = scratch_dir(spark, "stage")
-    base = near.rsplit(".", 1)[0] if "." in near else "default"
-    name = f"{base}.lf_stage_{uuid.uuid4().hex[:12]}"
-    w = observed.write.format("parquet").mode("errorifexists").option("path", loc)
+    tag = near.replace(".", "_")[-40:]
+    name = f"{scratch_schema(spark)}.lf_stage_{tag}_{uuid.uuid4().hex[:12]}"
+    w = observed.write.format("parquet").mode("errorifexists")
     if buckets:
         w = w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     w.saveAsTable(name)

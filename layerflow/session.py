@@ -66,6 +66,17 @@ def scratch_dir(spark: SparkSession, tag: str = "run") -> str:
     return f"{base}/layerflow/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+SCRATCH_SCHEMA = "lf_scratch"
+
+
+def scratch_schema(spark: SparkSession) -> str:
+    """Schema for short-lived staging tables, located in the shared folder.
+    Its tables are managed, so dropping one also removes its files."""
+    loc = f"{shared_root(spark)}/layerflow/scratch_db"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA} LOCATION '{loc}'")
+    return SCRATCH_SCHEMA
+
+
 def _utc_now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0)
 

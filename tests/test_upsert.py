@@ -107,3 +107,16 @@ def test_broadcast_only_under_measured_key_bytes(spark, ws, strategy):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert sorted(r.v for r in spark.table(name).collect()) == [i + 2 for i in range(200)]
+
+
+def test_staged_source_is_removed(spark, ws):
+    import os
+    from layerflow.session import scratch_schema, shared_root
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    name = ws.name("staged_gone")
+    publish(spark, c, name, "MERGE", "c_custkey", root=ws.table_root("staged_gone"))
+    publish(spark, c, name, "MERGE", "c_custkey")          # auto: stages the source
+    schema = scratch_schema(spark)
+    assert [t.name for t in spark.catalog.listTables(schema) if "staged_gone" in t.name] == []
+    folder = f"{shared_root(spark)}/layerflow/scratch_db"
+    assert [d for d in os.listdir(folder) if "staged_gone" in d] == []
