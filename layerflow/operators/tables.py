@@ -372,6 +372,36 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
     switch_partitions(spark, name, loc, written_fragments(spark, name, loc))
 
 
+def _snapshot_names(paths) -> set[str]:
+    return {part for p in paths for part in str(p).split("/") if part.startswith("snap-")}
+
+
+def expire_snapshots(spark: SparkSession, name: str, older_than_seconds: float = 3600) -> list[str]:
+    """Delete the snapshot folders of ``name`` that neither the table nor any
+    of its partitions reads any more and that are older than the grace
+    period (queries still reading an old snapshot keep working).  Returns
+    the deleted folders.  Metadata work on the driver: a file listing of the
+    current snapshot and one recursive delete per expired folder."""
+    import time
+
+    loc = table_location(spark, name)
+    root = loc.rstrip("/").rsplit("/", 1)[0]
+    live = _snapshot_names([loc] + list(spark.table(name).inputFiles()))
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    cutoff_ms = (time.time() - older_than_seconds) * 1000
+    deleted = []
+    for st in fs.listStatus(path):
+        p = st.getPath()
+        n = p.getName()
+        if (st.isDirectory() and n.startswith("snap-") and n not in live
+                and st.getModificationTime() <= cutoff_ms):
+            fs.delete(p, True)
+            deleted.append(p.toString())
+    return deleted
+
+
 def replace_rows(spark: SparkSession, name: str, df: DataFrame) -> str:
     """Write and switch in one call."""
     schema = spark.table(name).schema

@@ -46,6 +46,8 @@ class PipelineConfig:
     buckets: int = 0               # >0: MERGE targets bucketed on their keys
     audit_max_files: int = au.AUDIT_MAX_FILES
     stream_landing: bool = False   # layer 0 lands only files not landed before
+    # set: after each write, delete the target's unread snapshots older than this
+    expire_snapshots_after: float | None = None
     jdbc_url: str | None = None
     jdbc_options: dict = field(default_factory=dict)
 
@@ -257,6 +259,9 @@ class Pipeline:
             # watermark, and the rerun reads the same rows again
             tb.set_properties(self.spark, ctx.target.table_name,
                               {WATERMARK_PROPERTY: encode_watermark(*ctx.watermark)})
+        if self.config.expire_snapshots_after is not None:
+            tb.expire_snapshots(self.spark, ctx.target.table_name,
+                                self.config.expire_snapshots_after)
         return res
 
     def _streams(self, ctx: LayerContext) -> bool:
@@ -314,7 +319,10 @@ class Pipeline:
                 break
             if status != au.SUCCESS:
                 raise RuntimeError(f"unexpected status {status} for {table_id} layer {layer}")
-        au.maybe_compact(self.spark, self.config.audit_table, self.config.audit_max_files)
+        if au.maybe_compact(self.spark, self.config.audit_table, self.config.audit_max_files) \
+                and self.config.expire_snapshots_after is not None:
+            tb.expire_snapshots(self.spark, self.config.audit_table,
+                                self.config.expire_snapshots_after)
         return status
 
     def run_active(self, table_group: str | None = None, max_parallel: int = 1) -> dict[str, str]:

@@ -126,3 +126,19 @@ def test_partition_column_applies_where_present(spark, ws):
         return sorted(str(sorted(r.asDict().items())) for r in
                       spark.table(w.name("dim_customer_gold")).drop("gold_load_timestamp").collect())
     assert rows(ws) == rows(ws2)
+
+
+def test_pipeline_expires_old_snapshots(spark, ws):
+    import os
+    from layerflow.plans.pipeline import Pipeline, PipelineConfig
+    _, cfg = _pipeline(spark, ws, ids=("DIM_ENTITIES",))
+    p = Pipeline(spark, PipelineConfig(cfg.metadata_table, cfg.audit_table, cfg.root,
+                                       expire_snapshots_after=0), RUN2)
+    for _ in range(3):
+        assert p.run_table("DIM_ENTITIES") == au.SUCCESS
+    gold = ws.name("dim_entities_gold")
+    root = tb.table_location(spark, gold).split(":", 1)[-1].rsplit("/", 1)[0]
+    assert [d for d in os.listdir(root) if d.startswith("snap-")] == \
+        [tb.table_location(spark, gold).rsplit("/", 1)[1]]
+    assert spark.table(gold).count() == spark.read.parquet(
+        "/root/testdata/sf0.001/supplier.parquet").count()

@@ -150,3 +150,23 @@ def test_partition_scoped_update(spark, ws):
                         F.col("o_orderpriority") == "0-NOW") == want
     assert spark.table(name).filter("o_orderstatus = 'X'").count() == want
     assert spark.table(name).count() == o.count()
+
+
+def test_expire_snapshots_keeps_what_is_read(spark, ws):
+    from layerflow.operators.publish import publish
+    from layerflow.operators.update import update_table
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    name = ws.name("ex")
+    tb.create_table(spark, name, o.schema, ws.table_root("ex"), partition_by=["o_orderstatus"])
+    publish(spark, o, name, "APPEND")
+    update_table(spark, name, {"o_orderpriority": F.lit("U")}, F.col("o_orderstatus") == "P")
+    publish(spark, o.filter("o_orderstatus = 'F'"), name, "MERGE", ["o_orderstatus", "o_orderkey"])
+    update_table(spark, name, {"o_totalprice": F.lit(1.0)})          # whole-table snapshot
+    update_table(spark, name, {"o_orderpriority": F.lit("V")}, F.col("o_orderstatus") == "O")
+    before = sorted(map(str, spark.table(name).collect()))
+    assert tb.expire_snapshots(spark, name, older_than_seconds=3600) == []   # grace period
+    gone = tb.expire_snapshots(spark, name, older_than_seconds=0)
+    assert len(gone) >= 3
+    spark.catalog.refreshTable(name)
+    assert sorted(map(str, spark.table(name).collect())) == before
+    assert tb.expire_snapshots(spark, name, older_than_seconds=0) == []
