@@ -74,3 +74,17 @@ def test_stream_landing_lands_only_new_files(spark):
     assert {r.layer: r.records_read for r in st.collect()} == {"0": 0, "1": 0, "2": 0}
     assert spark.table(raw).count() == n_raw
     assert tb.table_location(spark, gold) == loc
+
+
+def test_watermark_bounds_reach_the_scan(spark, ws):
+    """Both bounds of a batch are pushed into the Parquet scan of the
+    upstream table (row groups outside the batch are skipped)."""
+    from layerflow.operators.publish import publish as pub
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    name = ws.name("ev_hist")
+    pub(spark, ev, name, "APPEND", root=ws.table_root("ev_hist"))
+    _, tok = next_batch(spark.table(name).filter("ts < '2024-01-15'"), "ts")
+    batch, _ = next_batch(spark.table(name), "ts", tok)
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("]", 1)[0]
+    assert "GreaterThan(ts," in pushed and "LessThanOrEqual(ts," in pushed, pushed
