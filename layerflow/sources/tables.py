@@ -51,20 +51,27 @@ def watermark_value(token: str, data_type: T.DataType) -> Column:
 
 def next_batch(source: DataFrame, column: str, last_token: str | None = None
                ) -> tuple[DataFrame, str | None]:
-    """The rows after ``last_token`` up to the current maximum, and the
-    token of that maximum (None: nothing new).
+    """The rows after ``last_token`` up to the current maximum, plus rows
+    whose ``column`` is NULL, and the token of that maximum (None: nothing
+    new).
 
     One small job reads only ``column`` of the newer rows (the lower bound is
     pushed into the scan) to fix the upper bound; rows that arrive while the
     batch runs are above it and wait for the next batch."""
     dt = source.schema[column].dataType
+    c = F.col(column)
     newer = source
     if last_token is not None:
-        newer = source.filter(F.col(column) > watermark_value(last_token, dt))
+        newer = source.filter(c > watermark_value(last_token, dt))
     token = newer.agg(_token_of_max(newer, column).alias("wm")).first()["wm"]
     if token is None:
         return newer, None
-    return newer.filter(F.col(column) <= watermark_value(token, dt)), token
+    upper = c <= watermark_value(token, dt)
+    if last_token is not None:
+        upper = (c > watermark_value(last_token, dt)) & upper
+    # rows without a watermark cannot be placed in any range: they are in
+    # every batch (a merge applies them again, with the same result)
+    return source.filter(upper | c.isNull()), token
 
 
 def encode_watermark(source: str, column: str, token: str) -> str:

@@ -63,6 +63,12 @@ def test_next_batch_bounds(spark):
     ids = spark.range(10).withColumnRenamed("id", "k")
     b, t = next_batch(ids, "k", "6")
     assert sorted(r.k for r in b.collect()) == [7, 8, 9] and t == "9"
+    # a NULL watermark is in every batch, never lost
+    nulls = spark.createDataFrame([(1, None), (2, 5), (3, 8)], "id int, k int")
+    b, t = next_batch(nulls, "k")
+    assert sorted(r.id for r in b.collect()) == [1, 2, 3] and t == "8"
+    b, t = next_batch(nulls, "k", "5")
+    assert sorted(r.id for r in b.collect()) == [1, 3] and t == "8"
 
 
 def test_stream_landing_lands_only_new_files(spark):
