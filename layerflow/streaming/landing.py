@@ -24,6 +24,24 @@ def _epoch_key(checkpoint: str) -> str:
     return "layerflow.landed_epoch." + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
 
+def batch_appender(table: str, checkpoint: str):
+    """``foreachBatch`` function appending each micro-batch once: a batch
+    replayed after a failure is skipped when the table already records its
+    epoch for this checkpoint (only a failure between the append and the
+    record can replay a batch; curation's dedup absorbs that)."""
+    key = _epoch_key(checkpoint)
+
+    def append_batch(batch: DataFrame, epoch_id: int) -> None:
+        s = batch.sparkSession
+        done = tb.table_properties(s, table).get(key)
+        if done is not None and int(done) >= epoch_id:
+            return
+        tb.append_rows(s, table, batch)
+        tb.set_properties(s, table, {key: str(epoch_id)})
+
+    return append_batch
+
+
 def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], table: str,
                 run: RunContext, checkpoint: str | None = None,
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -34,17 +52,7 @@ def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], t
     df = with_lineage(reader.csv(drop_folder), run)
     ckpt = checkpoint or f"{shared_root(spark)}/layerflow/streams/{table.replace('.', '_')}"
 
-    def append_batch(batch: DataFrame, epoch_id: int) -> None:
-        # a batch replayed after a failure is skipped when the table already
-        # records its epoch for this checkpoint (the gap between append and
-        # record can still replay one batch; curation's dedup absorbs it)
-        s = batch.sparkSession
-        done = tb.table_properties(s, table).get(_epoch_key(ckpt))
-        if done is not None and int(done) >= epoch_id:
-            return
-        tb.append_rows(s, table, batch)
-        tb.set_properties(s, table, {_epoch_key(ckpt): str(epoch_id)})
-
+    append_batch = batch_appender(table, ckpt)
     return (df.writeStream.trigger(availableNow=True)
             .option("checkpointLocation", ckpt)
             .foreachBatch(append_batch).start())

@@ -170,3 +170,19 @@ def test_expire_snapshots_keeps_what_is_read(spark, ws):
     spark.catalog.refreshTable(name)
     assert sorted(map(str, spark.table(name).collect())) == before
     assert tb.expire_snapshots(spark, name, older_than_seconds=0) == []
+
+
+def test_replayed_stream_batch_is_not_appended_twice(spark, ws):
+    from layerflow.streaming.landing import batch_appender
+    o = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    name = ws.name("landed")
+    tb.create_table(spark, name, o.schema, ws.table_root("landed"))
+    append = batch_appender(name, f"{ws.root}/ckpt")
+    append(o, 0)
+    append(o, 0)          # replay of epoch 0
+    assert spark.table(name).count() == o.count()
+    append(o, 1)
+    assert spark.table(name).count() == 2 * o.count()
+    # another checkpoint (another stream) keeps its own epochs
+    batch_appender(name, f"{ws.root}/other")(o, 0)
+    assert spark.table(name).count() == 3 * o.count()
