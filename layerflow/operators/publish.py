@@ -16,11 +16,11 @@ Merge strategies for an existing target:
   first and the join falls back to ``shuffle`` above the limit.
 - ``shuffle``: full outer sort-merge join, no staging.
 
-A target partitioned on columns that are all merge keys keeps every key in
-one partition, so only the partitions the source touches can change: those
-are read (partition pruning), merged, written as a new snapshot of just
-those partitions and switched partition by partition.  Untouched partitions
-are neither read nor rewritten.
+On a partitioned target only the partitions a merge can change are read
+(partition pruning), merged, written as a new snapshot of just those
+partitions and switched partition by partition (see
+:func:`partition_scope`); untouched partitions are neither read nor
+rewritten, partitions left empty are dropped.
 """
 
 from __future__ import annotations
@@ -203,12 +203,12 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
 
 
 def _write_merged(spark: SparkSession, table: str, tagged: DataFrame, obs: Observation,
-                  aligned: bool) -> str:
+                  aligned: bool, extra: Sequence[Column] = ()) -> str:
     """Observe the tagged rows, drop replaced ones and the tags, write."""
     bcols, n = tb.bucket_spec(spark, table)
     if n and not aligned:
         tagged = tagged.repartition(n, *bcols)
-    rows = up.merged_rows(tagged.observe(obs, *up.merge_metrics_columns()))
+    rows = up.merged_rows(tagged.observe(obs, *up.merge_metrics_columns(), *extra))
     return tb.write_snapshot(spark, table, rows, aligned=True)
 
 
@@ -218,17 +218,58 @@ def co_located(spark: SparkSession, table: str, keys: Sequence[str]) -> tuple[li
     return (bcols, n) if n and sorted(bcols) == sorted(keys) else ([], 0)
 
 
-def partition_scope(spark: SparkSession, table: str, keys: Sequence[str], src: DataFrame):
-    """Predicate selecting the target partitions ``src`` can touch, or None
-    when the merge must rewrite the whole table: the table is not
-    partitioned, is bucketed, is partitioned on a non-key column (a row could
-    move between partitions), or the source spans too many partitions or a
-    NULL partition value."""
+# Partition column types whose values can be named in a PARTITION spec.
+_SPEC_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType)
+PARTS = "_parts"
+
+
+@dataclass
+class Scope:
+    """The partitions a merge rewrites."""
+    parts: list[str]
+    values: list
+    may_empty: bool      # a row can move out of its partition
+
+    @property
+    def predicate(self) -> Column:
+        return tb.partition_predicate(self.parts, self.values)
+
+
+def partition_scope(spark: SparkSession, table: str, keys: Sequence[str], src: DataFrame,
+                    broadcast_keys: bool = False) -> Scope | None:
+    """The target partitions a merge of ``src`` can change, or None when it
+    must rewrite the whole table (not partitioned, bucketed, too many
+    partitions or a NULL partition value).
+
+    With partition columns among the keys a key lives in one partition, so
+    the source's partitions are all.  Otherwise a row can move: the
+    partitions of the target rows whose keys are in the source count too,
+    found by a semi join that reads only key and partition columns (the
+    source keys broadcast when their measured size allows)."""
     parts = tb.partition_columns(spark, table)
-    if not parts or not set(parts) <= set(keys) or tb.bucket_spec(spark, table)[1]:
+    if not parts or tb.bucket_spec(spark, table)[1]:
         return None
-    values = tb.touched_partitions(src, parts)
-    return None if values is None else tb.partition_predicate(parts, values)
+    if set(parts) <= set(keys):
+        values = tb.touched_partitions(src, parts)
+        return None if values is None else Scope(parts, values, False)
+    target = spark.table(table)
+    if not all(isinstance(target.schema[c].dataType, _SPEC_TYPES) for c in parts):
+        return None
+    skeys = src.select(*keys)
+    if broadcast_keys:
+        skeys = F.broadcast(skeys)
+    hit = target.select(*keys, *parts).join(skeys, list(keys), "left_semi")
+    values = tb.touched_partitions(hit.select(*parts).unionByName(src.select(*parts)), parts)
+    return None if values is None else Scope(parts, values, True)
+
+
+def _drop_partitions(spark: SparkSession, table: str, parts: Sequence[str], values) -> None:
+    """Catalog entries of partitions the merge emptied (their files stay in
+    the old snapshot until it expires)."""
+    for v in values:
+        spec = ", ".join(f"`{c}` = {tb.sql_string(str(v[c]))}" for c in parts)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
 
 
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,
@@ -259,12 +300,17 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
         aligned = False
         if strategy == "broadcast":
             kbytes = measured_key_bytes(spark, src, keys)
-    scope = partition_scope(spark, table, keys, src)
+    fits = kbytes is not None and 0 < budget and kbytes <= budget
+    scope = partition_scope(spark, table, keys, src, broadcast_keys=fits)
+    extra = []
     if scope is not None:
-        target = target.filter(scope)
+        target = target.filter(scope.predicate)
+        if scope.may_empty:    # the partitions that keep rows, to find emptied ones
+            extra = [F.collect_set(F.when(F.col(up.OP) != "D", F.struct(*scope.parts)))
+                     .alias(PARTS)]
 
     chosen = "shuffle"
-    if strategy in ("auto", "broadcast") and kbytes is not None and 0 < budget and kbytes <= budget:
+    if strategy in ("auto", "broadcast") and fits:
         chosen = "broadcast"
     try:
         if chosen == "broadcast":
@@ -281,7 +327,7 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
         # broadcast on a bucketed target: the target's bucket files stay
         # per task, the few source rows add small files (no shuffle)
         loc = _write_merged(spark, table, rows, obs,
-                            aligned or (nb > 0 and chosen == "broadcast"))
+                            aligned or (nb > 0 and chosen == "broadcast"), extra)
         m = obs.get
         if int(m["dup_rows"]) > 0:
             # the new snapshot is never switched in
@@ -289,6 +335,10 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
                 f"{m['dup_rows']} source rows share a key {keys} in merge into {table}")
         if scope is not None:
             tb.switch_partitions(spark, table, loc, tb.written_fragments(spark, table, loc))
+            if scope.may_empty:
+                kept = {tuple(r) for r in m[PARTS]}
+                _drop_partitions(spark, table, scope.parts,
+                                 [v for v in scope.values if tuple(v) not in kept])
         else:
             tb.switch_snapshot(spark, table, loc)
     finally:

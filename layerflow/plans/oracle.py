@@ -256,6 +256,11 @@ def oracle_sql() -> dict[str, str]:
         "merge_partitioned": _ORDERS.format(
             status="o_orderstatus",
             prio="CASE WHEN o_orderstatus = 'P' THEN '0-NOW' ELSE o_orderpriority END"),
+        "merge_partition_moves": (
+            "SELECT c_custkey, CASE WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal > 5000 "
+            "THEN 'changed' ELSE c_name END AS c_name, c_nationkey, c_acctbal, "
+            "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'X/new' ELSE c_mktsegment END AS c_mktsegment "
+            "FROM customer"),
         "update_partitioned": _ORDERS.format(
             status="o_orderstatus",
             prio="CASE WHEN o_orderstatus = 'P' THEN '0-URGENT' ELSE o_orderpriority END"),

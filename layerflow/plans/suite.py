@@ -473,6 +473,22 @@ def q_merge_partitioned(spark, sf):
     return _out(spark.table(name))
 
 
+def q_merge_partition_moves(spark, sf):
+    """Target partitioned by segment, keyed by customer: the merge moves
+    every HOUSEHOLD customer to a new segment (that partition empties and is
+    dropped) and renames rich AUTOMOBILE customers; other partitions are
+    not rewritten."""
+    ws = Workspace(spark, sf)
+    c, name = ws.t("customer"), ws.name("customer_mp")
+    tb.create_table(spark, name, c.schema, ws.table_root("customer_mp"), partition_by=["c_mktsegment"])
+    publish(spark, c, name, "APPEND")
+    moved = c.filter(F.col("c_mktsegment") == "HOUSEHOLD").withColumn("c_mktsegment", F.lit("X/new"))
+    renamed = c.filter((F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_acctbal") > 5000)) \
+        .withColumn("c_name", F.lit("changed"))
+    publish(spark, moved.unionByName(renamed), name, "MERGE", "c_custkey")
+    return _out(spark.table(name))
+
+
 def q_update_partitioned(spark, sf):
     """UPDATE on a table partitioned by status: the matching rows sit in
     partition P, so only P is rewritten and switched."""
@@ -673,6 +689,7 @@ QUERIES = {
     "partitioned_write": q_partitioned_write,
     "merge_partitioned": q_merge_partitioned,
     "update_partitioned": q_update_partitioned,
+    "merge_partition_moves": q_merge_partition_moves,
     "run_table": q_run_table,
     "run_table_bucketed": q_run_table_bucketed,
     "run_incremental": q_run_incremental,

@@ -186,3 +186,36 @@ def test_replayed_stream_batch_is_not_appended_twice(spark, ws):
     # another checkpoint (another stream) keeps its own epochs
     batch_appender(name, f"{ws.root}/other")(o, 0)
     assert spark.table(name).count() == 3 * o.count()
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
+def test_partition_scoped_merge_on_non_key_partition(spark, ws, strategy):
+    """Partitioned by segment, keyed by customer: rows move between
+    partitions, a partition is emptied and dropped, untouched ones keep
+    their files; rows equal an unpartitioned merge."""
+    from layerflow.operators.publish import publish
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    part, flat = ws.name(f"cp_{strategy}"), ws.name(f"cf_{strategy}")
+    tb.create_table(spark, part, c.schema, ws.table_root(f"cp_{strategy}"),
+                    partition_by=["c_mktsegment"])
+    publish(spark, c, part, "APPEND")
+    publish(spark, c, flat, "MERGE", "c_custkey", root=ws.table_root(f"cf_{strategy}"))
+    before = _locations(spark, part)
+    moved = c.filter("c_mktsegment = 'HOUSEHOLD'").withColumn("c_mktsegment", F.lit("X/new"))
+    changed = c.filter("c_mktsegment = 'AUTOMOBILE' AND c_acctbal > 5000") \
+        .withColumn("c_name", F.lit("changed"))
+    new = spark.createDataFrame([(10**6, "n", 1, 1.0, "BUILDING")], c.schema)
+    src = moved.unionByName(changed).unionByName(new)
+    r1 = publish(spark, src, part, "MERGE", "c_custkey", strategy=strategy)
+    r2 = publish(spark, src, flat, "MERGE", "c_custkey", strategy=strategy)
+    assert r1.strategy.endswith("-partitions")
+    assert (r1.records_inserted, r1.records_updated) == (r2.records_inserted, r2.records_updated)
+
+    def rows(n):
+        return sorted(str(sorted(r.asDict().items())) for r in spark.table(n).collect())
+    assert rows(part) == rows(flat)
+    after = _locations(spark, part)
+    assert "c_mktsegment=HOUSEHOLD" not in after and "c_mktsegment=X%2Fnew" in after
+    for seg in ("FURNITURE", "MACHINERY"):
+        assert after[f"c_mktsegment={seg}"] == before[f"c_mktsegment={seg}"]
+    assert after["c_mktsegment=AUTOMOBILE"] != before["c_mktsegment=AUTOMOBILE"]
