@@ -192,6 +192,9 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
         target_schema = spark.table(table).schema
         out = tb.enforce_not_null(tb.aligned(df, target_schema),
                                   tb.not_null_columns(spark, table), table)
+        parts = tb.partition_columns(spark, table)
+        if parts:   # few files per partition; the observation stays in the final stage
+            out = out.hint("rebalance", *parts)
         obs = Observation()
         out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").insertInto(table)
         spark.catalog.refreshTable(table)
@@ -205,9 +208,8 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
 def _write_merged(spark: SparkSession, table: str, tagged: DataFrame, obs: Observation,
                   aligned: bool, extra: Sequence[Column] = ()) -> str:
     """Observe the tagged rows, drop replaced ones and the tags, write."""
-    bcols, n = tb.bucket_spec(spark, table)
-    if n and not aligned:
-        tagged = tagged.repartition(n, *bcols)
+    if not aligned:
+        tagged = tb.clustered_for_write(spark, table, tagged)
     rows = up.merged_rows(tagged.observe(obs, *up.merge_metrics_columns(), *extra))
     return tb.write_snapshot(spark, table, rows, aligned=True)
 

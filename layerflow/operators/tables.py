@@ -184,6 +184,9 @@ def append_rows(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Append by column name into the current snapshot."""
     target = spark.table(name)
     out = enforce_not_null(aligned(df, target.schema), not_null_columns(spark, name), name)
+    parts = partition_columns(spark, name)
+    if parts:
+        out = out.hint("rebalance", *parts)
     out.write.mode("append").insertInto(name)
     spark.catalog.refreshTable(name)
 
@@ -215,24 +218,42 @@ def write_bucketed(df: DataFrame, location: str, bucket_by: Sequence[str], bucke
     spark.sql(f"DROP TABLE IF EXISTS {tmp}")
 
 
+def clustered_for_write(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """Rows laid out for ``name``'s files: hash-partitioned into the bucket
+    count for a bucketed table (one file per bucket), ``REBALANCE`` by the
+    partition columns for a partitioned one (few files per partition, and
+    AQE splits a hot partition over several tasks), unchanged otherwise."""
+    bcols, n = bucket_spec(spark, name)
+    if n:
+        return df.repartition(n, *bcols)
+    parts = partition_columns(spark, name)
+    if parts:
+        return df.hint("rebalance", *parts)
+    return df
+
+
 def write_snapshot(spark: SparkSession, name: str, df: DataFrame, aligned: bool = False,
-                   observation=None, metrics: Sequence[Column] = ()) -> str:
+                   observation=None, metrics: Sequence[Column] = (),
+                   drop_after: Sequence[str] = ()) -> str:
     """Write ``df`` (already in the table's column order) as a new snapshot
     directory with the table's partitioning and bucketing; the table is not
     switched yet.
 
-    For a bucketed table the rows are hash-partitioned into the bucket count
-    first (one file per bucket) unless ``aligned`` says each partition
-    already holds one bucket (after a bucket-to-bucket join).  The
-    ``observation`` is attached after any repartition, i.e. in the final
-    stage, where Spark applies each partition's metrics exactly once."""
+    The rows are laid out by :func:`clustered_for_write` unless ``aligned``
+    says they already are (each task holds one bucket after a
+    bucket-to-bucket join, or the caller clustered them).  The
+    ``observation`` is attached after that exchange, i.e. in the final
+    stage, where Spark applies each partition's metrics exactly once;
+    ``drop_after`` columns are only there for it."""
     loc = new_snapshot_location(table_location(spark, name).rsplit("/", 1)[0])
     parts = partition_columns(spark, name)
     bcols, n = bucket_spec(spark, name)
-    if n and not aligned:
-        df = df.repartition(n, *bcols)
+    if not aligned:
+        df = clustered_for_write(spark, name, df)
     if observation is not None:
         df = df.observe(observation, *metrics)
+    if drop_after:
+        df = df.drop(*drop_after)
     if n:
         write_bucketed(df, loc, bcols, n, parts, table=name)
         return loc

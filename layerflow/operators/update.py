@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from layerflow.operators import tables as tb
 
+_HIT = "_lf_hit"
+
 
 def update_rows(df: DataFrame, assignments: dict[str, Column],
                 where: Column | None = None) -> DataFrame:
@@ -31,17 +33,21 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column]
     if where is not None and parts and not set(parts) & set(assignments) \
             and not tb.bucket_spec(spark, table)[1]:
         values = tb.touched_partitions(df.filter(hit), parts)
+    if values is not None and not values:
+        return 0
+    if values is not None:
+        df = df.filter(tb.partition_predicate(parts, values))
+    # the match flag rides along to the final stage, where it is counted
+    out = update_rows(df.withColumn(_HIT, hit), assignments, where)
+    out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields], _HIT)
+    out = tb.enforce_not_null(out, tb.not_null_columns(spark, table), table)
     obs = Observation()
+    loc = tb.write_snapshot(spark, table, out, observation=obs,
+                            metrics=[F.count_if(F.col(_HIT)).alias("n")], drop_after=[_HIT])
     if values is None:
-        out = update_rows(df.observe(obs, F.count_if(hit).alias("n")), assignments, where)
-        tb.replace_rows(spark, table, out)
-        return int(obs.get["n"])
-    if not values:
-        return 0
-    scoped = df.filter(tb.partition_predicate(parts, values))
-    out = update_rows(scoped.observe(obs, F.count_if(hit).alias("n")), assignments, where)
-    tb.replace_partitions(spark, table, tb.enforce_not_null(
-        tb.aligned(out, df.schema), tb.not_null_columns(spark, table), table))
+        tb.switch_snapshot(spark, table, loc)
+    else:
+        tb.switch_partitions(spark, table, loc, tb.written_fragments(spark, table, loc))
     return int(obs.get["n"])
 
 

@@ -219,3 +219,22 @@ def test_partition_scoped_merge_on_non_key_partition(spark, ws, strategy):
     for seg in ("FURNITURE", "MACHINERY"):
         assert after[f"c_mktsegment={seg}"] == before[f"c_mktsegment={seg}"]
     assert after["c_mktsegment=AUTOMOBILE"] != before["c_mktsegment=AUTOMOBILE"]
+
+
+def test_partitioned_writes_make_few_files(spark, ws):
+    """REBALANCE by partition column: each partition gets about one file,
+    not one per shuffle task (8 here)."""
+    from layerflow.operators.publish import publish
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").repartition(8)
+    name = ws.name("ff")
+    tb.create_table(spark, name, o.schema, ws.table_root("ff"), partition_by=["o_orderstatus"])
+    publish(spark, o, name, "APPEND")
+    publish(spark, o.withColumn("o_orderpriority", F.lit("x")), name, "MERGE",
+            ["o_orderstatus", "o_orderkey"], strategy="shuffle")
+    files = spark.table(name).inputFiles()
+    per_part = {}
+    for f in files:
+        d = f.rsplit("/", 2)[-2]
+        per_part[d] = per_part.get(d, 0) + 1
+    assert len(per_part) == 3 and max(per_part.values()) <= 2, per_part
+    assert spark.table(name).filter("o_orderpriority = 'x'").count() == o.count()
