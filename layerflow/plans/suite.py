@@ -27,7 +27,7 @@ from layerflow.plans import sources_sql as S
 from layerflow.plans.pipeline import LayerContext, Pipeline, PipelineConfig, register, TRANSFORMS
 from layerflow.plans.transforms import curate, enrich, land
 from layerflow.session import RunContext, scratch_dir
-from layerflow.sources.files import stage_csv, with_lineage, read_csv_strings
+from layerflow.sources.files import stage_csv
 from layerflow.sources.tables import high_watermark, incremental_read
 from layerflow.streaming.landing import land_available
 
