@@ -220,8 +220,6 @@ def co_located(spark: SparkSession, table: str, keys: Sequence[str]) -> tuple[li
     return (bcols, n) if n and sorted(bcols) == sorted(keys) else ([], 0)
 
 
-# Partition column types whose values can be named in a PARTITION spec.
-_SPEC_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType)
 PARTS = "_parts"
 
 
@@ -255,7 +253,7 @@ def partition_scope(spark: SparkSession, table: str, keys: Sequence[str], src: D
         values = tb.touched_partitions(src, parts)
         return None if values is None else Scope(parts, values, False)
     target = spark.table(table)
-    if not all(isinstance(target.schema[c].dataType, _SPEC_TYPES) for c in parts):
+    if not tb.nameable_partitions(target.schema, parts):
         return None
     skeys = src.select(*keys)
     if broadcast_keys:
@@ -265,15 +263,6 @@ def partition_scope(spark: SparkSession, table: str, keys: Sequence[str], src: D
     return None if values is None else Scope(parts, values, True)
 
 
-def _drop_partitions(spark: SparkSession, table: str, parts: Sequence[str], values) -> None:
-    """Catalog entries of partitions the merge emptied (their files stay in
-    the old snapshot until it expires)."""
-    for v in values:
-        spec = ", ".join(f"`{c}` = {tb.sql_string(str(v[c]))}" for c in parts)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    spark.catalog.refreshTable(table)
-
-
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,
                strategy: str = "auto", check_unique: bool = True,
                staged: Staged | None = None) -> WriteResult:
@@ -339,8 +328,8 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
             tb.switch_partitions(spark, table, loc, tb.written_fragments(spark, table, loc))
             if scope.may_empty:
                 kept = {tuple(r) for r in m[PARTS]}
-                _drop_partitions(spark, table, scope.parts,
-                                 [v for v in scope.values if tuple(v) not in kept])
+                tb.drop_partitions(spark, table, scope.parts,
+                                   [v for v in scope.values if tuple(v) not in kept])
         else:
             tb.switch_snapshot(spark, table, loc)
     finally:

@@ -386,6 +386,23 @@ def partition_predicate(parts: Sequence[str], values: list) -> Column:
     return ors
 
 
+# Partition column types whose values can be named in a PARTITION spec.
+_SPEC_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType)
+
+
+def nameable_partitions(schema: T.StructType, parts: Sequence[str]) -> bool:
+    return all(isinstance(schema[c].dataType, _SPEC_TYPES) for c in parts)
+
+
+def drop_partitions(spark: SparkSession, name: str, parts: Sequence[str], values) -> None:
+    """Catalog entries of partitions a rewrite emptied (their files stay in
+    the old snapshot until it expires)."""
+    for v in values:
+        spec = ", ".join(f"`{c}` = {sql_string(str(v[c]))}" for c in parts)
+        spark.sql(f"ALTER TABLE {check_name(name)} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(name)
+
+
 def replace_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Write ``df`` (rows of some partitions, in table order) as a new
     snapshot of just those partitions and switch them."""

@@ -22,17 +22,23 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column]
                  where: Column | None = None) -> int:
     """Rewrite ``table`` with the update applied; returns the rows matched.
 
-    On a partitioned table whose partition columns are not assigned, a
-    first pass (predicate and partition columns only, filters pushed into
-    the scan) finds the partitions holding matching rows; only those are
-    rewritten and switched, and nothing is written when no row matches."""
+    On a partitioned table a first pass (predicate and partition columns
+    only, filters pushed into the scan) finds the partitions holding matching
+    rows - and, when partition columns are assigned, the partitions the rows
+    move to; only those are rewritten and switched, partitions left empty
+    are dropped, and nothing is written when no row matches."""
     df = spark.table(table)
     hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     parts = tb.partition_columns(spark, table)
-    values = None
-    if where is not None and parts and not set(parts) & set(assignments) \
-            and not tb.bucket_spec(spark, table)[1]:
-        values = tb.touched_partitions(df.filter(hit), parts)
+    values, moves = None, bool(set(parts) & set(assignments))
+    if where is not None and parts and not tb.bucket_spec(spark, table)[1] \
+            and (not moves or tb.nameable_partitions(df.schema, parts)):
+        matched = df.filter(hit)
+        cand = matched.select(*parts)
+        if moves:
+            cand = cand.unionByName(matched.select(*[
+                assignments.get(c, F.col(c)).cast(df.schema[c].dataType).alias(c) for c in parts]))
+        values = tb.touched_partitions(cand, parts)
     if values is not None and not values:
         return 0
     if values is not None:
@@ -41,14 +47,20 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column]
     out = update_rows(df.withColumn(_HIT, hit), assignments, where)
     out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields], _HIT)
     out = tb.enforce_not_null(out, tb.not_null_columns(spark, table), table)
+    metrics = [F.count_if(F.col(_HIT)).alias("n")]
+    if values is not None and moves:     # partitions that keep rows
+        metrics.append(F.collect_set(F.struct(*parts)).alias("_parts"))
     obs = Observation()
-    loc = tb.write_snapshot(spark, table, out, observation=obs,
-                            metrics=[F.count_if(F.col(_HIT)).alias("n")], drop_after=[_HIT])
+    loc = tb.write_snapshot(spark, table, out, observation=obs, metrics=metrics, drop_after=[_HIT])
+    m = obs.get
     if values is None:
         tb.switch_snapshot(spark, table, loc)
     else:
         tb.switch_partitions(spark, table, loc, tb.written_fragments(spark, table, loc))
-    return int(obs.get["n"])
+        if moves:
+            kept = {tuple(r) for r in m["_parts"]}
+            tb.drop_partitions(spark, table, parts, [v for v in values if tuple(v) not in kept])
+    return int(m["n"])
 
 
 def add_column_with_backfill(spark: SparkSession, table: str, column: str, data_type: str,

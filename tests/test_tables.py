@@ -238,3 +238,30 @@ def test_partitioned_writes_make_few_files(spark, ws):
         per_part[d] = per_part.get(d, 0) + 1
     assert len(per_part) == 3 and max(per_part.values()) <= 2, per_part
     assert spark.table(name).filter("o_orderpriority = 'x'").count() == o.count()
+
+
+def test_update_moving_rows_between_partitions(spark, ws):
+    from layerflow.operators.update import update_table
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    name, flat = ws.name("mv"), ws.name("mv_flat")
+    tb.create_table(spark, name, o.schema, ws.table_root("mv"), partition_by=["o_orderstatus"])
+    tb.create_table(spark, flat, o.schema, ws.table_root("mv_flat"))
+    tb.append_rows(spark, name, o)
+    tb.append_rows(spark, flat, o)
+    before = _locations(spark, name)
+    for t in (name, flat):
+        # P empties into the new partition Z; F and O hold no match
+        assert update_table(spark, t, {"o_orderstatus": F.lit("Z")},
+                            F.col("o_orderstatus") == "P") == o.filter("o_orderstatus = 'P'").count()
+    after = _locations(spark, name)
+    assert "o_orderstatus=P" not in after and "o_orderstatus=Z" in after
+    assert after["o_orderstatus=F"] == before["o_orderstatus=F"]
+    assert after["o_orderstatus=O"] == before["o_orderstatus=O"]
+
+    def rows(n):
+        return sorted(str(sorted(r.asDict().items())) for r in spark.table(n).collect())
+    assert rows(name) == rows(flat)
+    # rows move into an existing partition that also keeps its own rows
+    for t in (name, flat):
+        update_table(spark, t, {"o_orderstatus": F.lit("F")}, F.col("o_orderpriority") == "1-URGENT")
+    assert rows(name) == rows(flat)
