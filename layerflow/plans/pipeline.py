@@ -107,15 +107,19 @@ class LayerContext:
 class Transform:
     fn: Callable[[LayerContext], DataFrame]
     schema: Callable[[LayerContext], T.StructType | None] = lambda ctx: None
+    # narrow: scans and projections only; cheap to recompute, so a merge
+    # need not stage it first
+    narrow: bool = False
 
 
 TRANSFORMS: dict[str, Transform] = {}
 
 
-def register(name: str, schema: Callable[[LayerContext], T.StructType | None] | None = None):
+def register(name: str, schema: Callable[[LayerContext], T.StructType | None] | None = None,
+             narrow: bool = False):
     """Decorator: make ``fn(ctx) -> DataFrame`` runnable under ``name``."""
     def deco(fn):
-        TRANSFORMS[name] = Transform(fn, schema or (lambda ctx: None))
+        TRANSFORMS[name] = Transform(fn, schema or (lambda ctx: None), narrow)
         return fn
     return deco
 
@@ -136,7 +140,7 @@ def _register_dimension(d: dims.Dimension) -> None:
     register(f"{d.name}.l0", lambda ctx: d.raw_schema)(lambda ctx: _land_source(ctx, d.raw))
     register(f"{d.name}.l1", lambda ctx: d.curated_schema)(
         lambda ctx: curate(ctx.upstream(), d.rules, [d.key], ctx.run))
-    register(f"{d.name}.l2", lambda ctx: d.gold_schema)(
+    register(f"{d.name}.l2", lambda ctx: d.gold_schema, narrow=True)(
         lambda ctx: enrich(ctx.upstream(), d.gold_rules, d.gold_order, ctx.run))
 
 
@@ -157,7 +161,7 @@ def _curate_generic(ctx: LayerContext) -> DataFrame:
     return curate(ctx.upstream(), rules, parse_keys(t.merge_keys), ctx.run)
 
 
-@register("gold_rules")
+@register("gold_rules", narrow=True)
 def _gold_generic(ctx: LayerContext) -> DataFrame:
     """Layer 2 from metadata: the curated columns plus rule outputs."""
     t = ctx.target
@@ -181,17 +185,23 @@ class Pipeline:
     def _table_root(self, name: str) -> str:
         return f"{self.config.root}/{name.replace('.', '/')}"
 
-    def _write(self, ctx: LayerContext, df: DataFrame, schema) -> WriteResult:
+    def _write(self, ctx: LayerContext, df: DataFrame, schema, narrow: bool = False) -> WriteResult:
         spark, cfg, t = self.spark, self.config, ctx.target
         name = t.table_name
         load_type = t.load_type or ("APPEND" if ctx.layer == 0 else "MERGE")
         keys = parse_keys(t.merge_keys) if ctx.layer != 0 and load_type.upper() == "MERGE" else None
+        strategy = cfg.strategy
+        if (narrow and strategy == "auto" and keys and REJECT_COLUMN not in df.columns
+                and not (spark.catalog.tableExists(name) and co_located(spark, name, keys)[1])):
+            # a narrow source is merged straight from its plan: a bounded job
+            # measures its keys for the broadcast choice, nothing is staged
+            strategy = "broadcast"
         if "." in name:
             tb.create_schema(spark, name.rsplit(".", 1)[0])
         # the metadata's partition column applies to the layers that have it
         pc = ctx.spec.partition_column
         parts = [pc] if pc and pc in df.columns else []
-        opts = dict(root=self._table_root(name), schema=schema, strategy=cfg.strategy,
+        opts = dict(root=self._table_root(name), schema=schema, strategy=strategy,
                     buckets=cfg.buckets if keys else 0, partition_by=parts)
         if REJECT_COLUMN not in df.columns:
             return publish(spark, df, name, load_type, keys, **opts)
@@ -253,7 +263,7 @@ class Pipeline:
         df = tr.fn(ctx)
         if ctx.nothing_new:
             return WriteResult(strategy="no-new-rows")   # the target is not rewritten
-        res = self._write(ctx, df, tr.schema(ctx))
+        res = self._write(ctx, df, tr.schema(ctx), tr.narrow)
         if ctx.watermark:
             # after the snapshot switch: a failed run leaves the old
             # watermark, and the rerun reads the same rows again
