@@ -48,6 +48,9 @@ def test_run_table_counts_rejects(spark, ws):
     assert rej.count() == st[1].records_rejected
     gold = spark.table(ws.name("dim_product_gold"))
     assert gold.count() == n and "product_category_path" in gold.columns
+    assert gold.count() == spark.table(ws.name("dim_product_curated")).count()
+    ev = spark.table(cfg.audit_table)
+    assert au.latest_state(ev).count() == ev.select("audit_id").distinct().count() == 3
     assert tb.not_null_columns(spark, ws.name("dim_product_gold")) == ["product_id"]
 
 
