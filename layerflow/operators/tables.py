@@ -414,30 +414,58 @@ def _snapshot_names(paths) -> set[str]:
     return {part for p in paths for part in str(p).split("/") if part.startswith("snap-")}
 
 
+def _old_folders(spark: SparkSession, root: str, older_than_seconds: float, keep=lambda n: False):
+    """(path, name) of folders directly below ``root`` older than the grace
+    period and not kept; deleted by the caller's loop."""
+    import time
+
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return fs, []
+    cutoff_ms = (time.time() - older_than_seconds) * 1000
+    out = [(st.getPath(), st.getPath().getName()) for st in fs.listStatus(path)
+           if st.isDirectory() and st.getModificationTime() <= cutoff_ms
+           and not keep(st.getPath().getName())]
+    return fs, out
+
+
+def clean_scratch(spark: SparkSession, older_than_seconds: float = 86400) -> list[str]:
+    """Remove staging tables a crashed run left behind: every folder of the
+    scratch schema older than the grace period goes, with its catalog entry
+    when one is still registered.  Returns the removed folders."""
+    from layerflow.session import SCRATCH_SCHEMA, shared_root
+
+    root = f"{shared_root(spark)}/layerflow/scratch_db"
+    registered = set()
+    if spark.catalog.databaseExists(SCRATCH_SCHEMA):
+        registered = {t.name for t in spark.catalog.listTables(SCRATCH_SCHEMA)}
+    fs, old = _old_folders(spark, root, older_than_seconds)
+    removed = []
+    for p, n in old:
+        if n in registered:
+            spark.sql(f"DROP TABLE IF EXISTS {SCRATCH_SCHEMA}.{check_name(n)}")
+        if fs.exists(p):
+            fs.delete(p, True)
+        removed.append(p.toString())
+    return removed
+
+
 def expire_snapshots(spark: SparkSession, name: str, older_than_seconds: float = 3600) -> list[str]:
     """Delete the snapshot folders of ``name`` that neither the table nor any
     of its partitions reads any more and that are older than the grace
     period (queries still reading an old snapshot keep working).  Returns
     the deleted folders.  Metadata work on the driver: a file listing of the
     current snapshot and one recursive delete per expired folder."""
-    import time
-
     loc = table_location(spark, name)
     root = loc.rstrip("/").rsplit("/", 1)[0]
     live = _snapshot_names([loc] + list(spark.table(name).inputFiles()))
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    cutoff_ms = (time.time() - older_than_seconds) * 1000
-    deleted = []
-    for st in fs.listStatus(path):
-        p = st.getPath()
-        n = p.getName()
-        if (st.isDirectory() and n.startswith("snap-") and n not in live
-                and st.getModificationTime() <= cutoff_ms):
-            fs.delete(p, True)
-            deleted.append(p.toString())
-    return deleted
+    fs, old = _old_folders(spark, root, older_than_seconds,
+                           keep=lambda n: not n.startswith("snap-") or n in live)
+    for p, _ in old:
+        fs.delete(p, True)
+    return [p.toString() for p, _ in old]
 
 
 def replace_rows(spark: SparkSession, name: str, df: DataFrame) -> str:

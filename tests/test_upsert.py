@@ -120,3 +120,20 @@ def test_staged_source_is_removed(spark, ws):
     assert [t.name for t in spark.catalog.listTables(schema) if "staged_gone" in t.name] == []
     folder = f"{shared_root(spark)}/layerflow/scratch_db"
     assert [d for d in os.listdir(folder) if "staged_gone" in d] == []
+
+
+def test_clean_scratch_after_a_crash(spark, ws):
+    """A run that died after staging leaves a scratch table; an orphan
+    folder stands for one whose catalog entry died with the driver."""
+    from layerflow.operators import tables as tb
+    from layerflow.operators.publish import stage
+    from layerflow.session import SCRATCH_SCHEMA, shared_root
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    st = stage(spark, c, ws.name("crashed"))
+    orphan = f"{shared_root(spark)}/layerflow/scratch_db/lf_stage_orphan"
+    c.write.parquet(orphan)
+    assert tb.clean_scratch(spark, older_than_seconds=3600) == []
+    removed = tb.clean_scratch(spark, older_than_seconds=0)
+    assert any(r.endswith(st.table.split(".")[1]) for r in removed)
+    assert any(r.endswith("lf_stage_orphan") for r in removed)
+    assert st.table.split(".")[1] not in {t.name for t in spark.catalog.listTables(SCRATCH_SCHEMA)}
