@@ -38,7 +38,8 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), extra=extra)
 
     # warm-up (JVM, codegen caches) on the smallest data, not timed
-    QUERIES["merge_upsert"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+    for q in ("merge_upsert", "run_table"):
+        QUERIES[q](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
 
     times = {}
     for name in names:
