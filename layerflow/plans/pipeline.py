@@ -232,9 +232,11 @@ class Pipeline:
         res.records_rejected = rejected
         return res
 
-    def run_layer(self, table_id: str, layer: int) -> str:
+    def run_layer(self, table_id: str, layer: int, spec: specs.TableSpec | None = None) -> str:
+        """One (table, layer); ``spec``: the table's metadata when the caller
+        already looked it up."""
         spark, cfg = self.spark, self.config
-        spec = specs.lookup(self.metadata(), table_id)
+        spec = spec or specs.lookup(self.metadata(), table_id)
         ls = spec.layer(layer)
         if not ls.is_active:
             h = au.start_run(spark, cfg.audit_table, self.run, table_id, layer,
@@ -323,8 +325,9 @@ class Pipeline:
         """Layers in order; stop at the first SKIPPED; errors propagate.
         Afterwards the audit log is compacted once it holds too many files."""
         status = au.SUCCESS
+        spec = specs.lookup(self.metadata(), table_id)     # one lookup for all layers
         for layer in layers:
-            status = self.run_layer(table_id, layer)
+            status = self.run_layer(table_id, layer, spec)
             if status == au.SKIPPED:
                 break
             if status != au.SUCCESS:
