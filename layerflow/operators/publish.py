@@ -95,18 +95,21 @@ def broadcast_budget(spark: SparkSession) -> int:
     return max(limit, 0)
 
 
-def measured_key_bytes(spark: SparkSession, src: DataFrame, keys: Sequence[str]) -> int | None:
-    """Broadcast bytes of ``src``'s keys, or None when they exceed the
-    budget.  Reads at most the rows that could fit (one bounded job)."""
+def measured_keys(spark: SparkSession, src: DataFrame, keys: Sequence[str]) -> tuple[int | None, bool]:
+    """(broadcast bytes of ``src``'s keys or None when they exceed the
+    budget, whether a non-NULL key repeats).  One bounded job: it reads at
+    most the rows that could fit, and counts duplicates only then."""
     budget = broadcast_budget(spark)
     if budget <= 0:
-        return None
+        return None, False
     cap = budget // ROW_OVERHEAD + 1
     r = (src.select(*keys).limit(cap)
-         .agg(F.count(F.lit(1)).alias("n"), key_bytes_metric(src.schema, keys)).first())
+         .agg(F.count(F.lit(1)).alias("n"), key_bytes_metric(src.schema, keys),
+              F.count_if(~up.any_null(keys)).alias("nn"),
+              F.count_distinct(*[F.col(k) for k in keys]).alias("d")).first())
     if r["n"] >= cap or r[KEY_BYTES] > budget:
-        return None
-    return int(r[KEY_BYTES])
+        return None, False
+    return int(r[KEY_BYTES]), int(r["nn"]) > int(r["d"])
 
 
 @dataclass
@@ -279,18 +282,19 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
         own_stage = staged = stage(spark, up.align_to(df, target.schema), table, bcols, nb,
                                    metrics=[key_bytes_metric(target.schema, keys)])
     kbytes = None       # measured broadcast size of the source keys
+    dup = None          # a repeated source key, when already known
     if staged is not None:
         src = up.align_to(staged.frame(spark), target.schema)
         aligned = bool(nb) and sorted(tb.bucket_spec(spark, staged.table)[0]) == sorted(keys)
         if strategy != "shuffle":
             kbytes = staged.metrics.get(KEY_BYTES)
             if kbytes is None:
-                kbytes = measured_key_bytes(spark, src, keys)
+                kbytes, dup = measured_keys(spark, src, keys)
     else:
         src = up.align_to(df, target.schema)
         aligned = False
         if strategy == "broadcast":
-            kbytes = measured_key_bytes(spark, src, keys)
+            kbytes, dup = measured_keys(spark, src, keys)
     fits = kbytes is not None and 0 < budget and kbytes <= budget
     scope = partition_scope(spark, table, keys, src, broadcast_keys=fits)
     extra = []
@@ -305,7 +309,9 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
         chosen = "broadcast"
     try:
         if chosen == "broadcast":
-            if check_unique and up.duplicate_keys(src, keys).limit(1).count() > 0:
+            if check_unique and dup is None:
+                dup = up.duplicate_keys(src, keys).limit(1).count() > 0
+            if check_unique and dup:
                 raise MergeCardinalityError(f"duplicate source keys {keys} for {table}")
             tagged = up.upsert_broadcast(target, src, keys)
         else:

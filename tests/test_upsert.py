@@ -137,3 +137,13 @@ def test_clean_scratch_after_a_crash(spark, ws):
     assert any(r.endswith(st.table.split(".")[1]) for r in removed)
     assert any(r.endswith("lf_stage_orphan") for r in removed)
     assert st.table.split(".")[1] not in {t.name for t in spark.catalog.listTables(SCRATCH_SCHEMA)}
+
+
+def test_measured_keys_duplicates(spark):
+    from layerflow.operators.publish import measured_keys
+    df = spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 3), (1, None), (1, None)],
+                               "a int, b int")
+    n, dup = measured_keys(spark, df, ["a", "b"])
+    assert n is not None and dup is False          # rows with a NULL key part never match
+    n, dup = measured_keys(spark, df.union(spark.createDataFrame([(1, 2)], df.schema)), ["a", "b"])
+    assert dup is True
