@@ -1,3 +1,4 @@
+import re
 import subprocess
 import sys
 
@@ -10,7 +11,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    assert set(oracle_sql()) == set(queries())
+    own = {q for q in queries() if not re.fullmatch(r"op\d+_.*|pipeline", q)}
+    assert own <= set(oracle_sql()) <= set(queries())
 
 
 def test_oracle_matches_on_small_data():
