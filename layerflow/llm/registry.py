@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, pii, quality, secret_scan
+from layerflow.llm import chat, langid, pii, quality, secret_scan
 
 QUERIES = {
     "op4_quality": quality.op4_quality,
     "op5_chat": chat.op5_chat,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_pii": pii.op7_pii,
+    "op9_langid": langid.op9_langid,
 }
 
 
