@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, langid, pii, quality, secret_scan
+from layerflow.llm import chat, langid, pii, quality, secret_scan, warc
 
 QUERIES = {
+    "op3_warc": warc.op3_warc,
     "op4_quality": quality.op4_quality,
     "op5_chat": chat.op5_chat,
     "op6_secrets": secret_scan.op6_secrets,
@@ -15,6 +16,7 @@ QUERIES = {
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_warc": warc.OP3_SQL,
         "op4_quality": quality.OP4_SQL,
         "op5_chat": chat.OP5_SQL,
     }
