@@ -147,7 +147,8 @@ def fit(labelled: DataFrame) -> Model:
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own_type = docs.schema[id_col].dataType
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast((model.langs, model.vocab, model.weights, model.bias))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,7 +157,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             named, sure = own.predict([None if t is None or t is pd.NA else t for t in p["text"].astype(object)])
             yield pd.DataFrame({"doc_id": p["doc_id"], "lang_pred": named, "score": sure})
 
-    return rows.mapInPandas(run, rows.select("doc_id").schema.add("lang_pred", "string").add("score", "double"))
+    out = rows.mapInPandas(run, "doc_id string, lang_pred string, score double")
+    return out.withColumn("doc_id", F.col("doc_id").cast(own_type))
 
 
 def held_out(doc_id: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, langid, pii, quality, secret_scan, warc
+from layerflow.llm import chat, langid, packing, pii, quality, secret_scan, warc
 
 QUERIES = {
     "op3_warc": warc.op3_warc,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_chat": chat.op5_chat,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_pii": pii.op7_pii,
+    "op8_packing": packing.op8_packing,
     "op9_langid": langid.op9_langid,
 }
 
