@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, langid, packing, pii, quality, secret_scan, warc
+from layerflow.llm import chat, decontam, langid, packing, pii, quality, secret_scan, warc
 
 QUERIES = {
+    "op1_decontam": decontam.op1_decontam,
     "op3_warc": warc.op3_warc,
     "op4_quality": quality.op4_quality,
     "op5_chat": chat.op5_chat,
