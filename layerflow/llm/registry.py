@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, decontam, langid, packing, pii, quality, secret_scan, warc
+from layerflow.llm import chat, decontam, langid, licences, packing, pii, quality, secret_scan, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_packing": packing.op8_packing,
     "op9_langid": langid.op9_langid,
+    "op10_licences": licences.op10_licences,
 }
 
 
