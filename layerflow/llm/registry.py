@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, decontam, langid, licences, packing, pii, quality, secret_scan, warc
+from layerflow.llm import chat, decontam, langid, licences, ngram_join, packing, pii, quality, secret_scan, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
+    "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_warc": warc.op3_warc,
     "op4_quality": quality.op4_quality,
     "op5_chat": chat.op5_chat,
@@ -19,6 +20,7 @@ QUERIES = {
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_ngram_join": ngram_join.OP2_SQL,
         "op3_warc": warc.OP3_SQL,
         "op4_quality": quality.OP4_SQL,
         "op5_chat": chat.OP5_SQL,
