@@ -20,7 +20,7 @@ from layerflow.session import build_session  # noqa: E402
 
 HEADLINE = [
     "land_csv", "curate_product", "curate_customer", "dedup_composite", "gold_product_path",
-    "merge_upsert", "merge_upsert_broadcast", "merge_composite_key", "publish_append",
+    "merge_upsert", "merge_upsert_broadcast", "merge_composite_key", "merge_repeated_target", "publish_append",
     "update_where", "incremental_read", "merge_partitioned", "merge_partition_moves",
     "update_partitioned", "run_table", "run_incremental",
     "run_active",

@@ -76,20 +76,22 @@ class ColumnRule:
         return C.cast_failed(F.col(self.source), self.expression())
 
 
+def failed_targets(rules: list[ColumnRule]) -> Column:
+    """Comma-separated targets whose cast failed on a row ('' when it is clean).  ``concat_ws`` skips
+    NULLs and stays in whole-stage codegen (a lambda based array filter would not)."""
+    checks = [F.when(r.failure(), F.lit(r.target)) for r in rules if r.failure() is not None]
+    return F.concat_ws(",", *checks) if checks else F.lit("")
+
+
 def apply_rules(df: DataFrame, rules: list[ColumnRule], keep: list[str] = (),
                 track_rejects: bool = False) -> DataFrame:
     """One projection: every rule's output plus the ``keep`` columns.
 
-    With ``track_rejects`` a string column lists, comma-separated, the
-    targets whose cast failed on this row ('' when the row is clean).
-    ``concat_ws`` skips NULLs and stays in whole-stage codegen (a lambda
-    based array filter would not)."""
+    With ``track_rejects`` a string column has :func:`failed_targets`."""
     cols = [r.expression().alias(r.target) for r in rules]
     cols += [F.col(k) for k in keep]
     if track_rejects:
-        checks = [F.when(r.failure(), F.lit(r.target)) for r in rules if r.failure() is not None]
-        lst = F.concat_ws(",", *checks) if checks else F.lit("")
-        cols.append(lst.alias(REJECT_COLUMN))
+        cols.append(failed_targets(rules).alias(REJECT_COLUMN))
     return df.select(*cols)
 
 

@@ -1,26 +1,13 @@
-"""``publish``: APPEND or MERGE a DataFrame into a table and return exact
-read / inserted / updated counts taken from the write itself (one
-``Observation`` on the written rows), not from a second pass over the data.
+"""``publish``: APPEND or MERGE a DataFrame into a table and return exact read / inserted / updated
+counts; inserted and updated are taken from the written rows themselves (one ``Observation``).
 
-Merge strategies for an existing target:
+MERGE has one form (see :mod:`layerflow.operators.upsert`).  Its plan reads the source more than once
+(keys for the count, rows for each join), so a source is first staged in the shared folder; that also
+cuts its lineage, so a lost executor never recomputes the upstream plan.  ``narrow`` sources (scans and
+projections) are cheap to read again and are merged straight from their plan.
 
-- ``auto`` (default): the source is staged once in the shared folder (this
-  cuts its lineage, so a lost executor never recomputes the upstream plan,
-  and counts it); then its keys are broadcast when the count is under
-  :func:`broadcast_budget` (Spark's broadcast threshold, measured against the
-  exact key bytes observed while staging), else the full outer join is used.  When the
-  target is bucketed on the merge keys the source is staged with the same
-  buckets, so the join, the duplicate-key check and the snapshot write run
-  bucket by bucket with no exchange at all.
-- ``broadcast``: as ``auto`` without staging; the source keys are counted
-  first and the join falls back to ``shuffle`` above the limit.
-- ``shuffle``: full outer sort-merge join, no staging.
-
-On a partitioned target only the partitions a merge can change are read
-(partition pruning), merged, written as a new snapshot of just those
-partitions and switched partition by partition (see
-:func:`partition_scope`); untouched partitions are neither read nor
-rewritten, partitions left empty are dropped.
+On a partitioned target only the partitions that a merge can change are read and rewritten.  On a table
+format with row-level operations the merge goes through ``DataFrame.mergeInto``.
 """
 
 from __future__ import annotations
@@ -28,8 +15,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +26,8 @@ from layerflow.operators import upsert as up
 from layerflow.session import scratch_schema
 
 APPEND, MERGE = "APPEND", "MERGE"
+# Providers whose files are rewritten here; others have row-level operations of their own.
+FILE_PROVIDERS = ("parquet", "orc", "json", "csv", "text", "hive")
 
 
 @dataclass
@@ -55,67 +45,12 @@ class WriteResult:
 
 
 class MergeCardinalityError(ValueError):
-    """More than one source row for a key (MERGE would be ambiguous)."""
-
-
-# Bytes per key value of fixed-width types, and per broadcast
-# row (UnsafeRow header, null bits, field slots, hash-map entry).
-_FIXED_BYTES = {T.LongType: 8, T.IntegerType: 4, T.ShortType: 2, T.ByteType: 1, T.DateType: 4,
-                T.TimestampType: 8, T.TimestampNTZType: 8, T.BooleanType: 1, T.DoubleType: 8,
-                T.FloatType: 4}
-ROW_OVERHEAD = 48
-KEY_BYTES = "_key_bytes"
-
-
-def key_size(schema: T.StructType, keys: Sequence[str]) -> Column:
-    """Bytes one row's keys take in a broadcast hash relation: the measured
-    length of string/binary keys, the width of fixed ones, plus overhead."""
-    total = F.lit(ROW_OVERHEAD)
-    for k in keys:
-        dt = schema[k].dataType
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            total = total + F.coalesce(F.octet_length(F.col(k)), F.lit(0))
-        else:
-            total = total + F.lit(_FIXED_BYTES.get(type(dt), 16))
-    return total
-
-
-def key_bytes_metric(schema: T.StructType, keys: Sequence[str]) -> Column:
-    """Aggregate for a staging ``Observation``: total broadcast bytes."""
-    return F.coalesce(F.sum(key_size(schema, keys)), F.lit(0)).cast("long").alias(KEY_BYTES)
-
-
-def broadcast_budget(spark: SparkSession) -> int:
-    """Spark's broadcast threshold in bytes; 0 when broadcasting is off."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        limit = 10 * 1024 * 1024
-    return max(limit, 0)
-
-
-def measured_keys(spark: SparkSession, src: DataFrame, keys: Sequence[str]) -> tuple[int | None, bool]:
-    """(broadcast bytes of ``src``'s keys or None when they exceed the
-    budget, whether a non-NULL key repeats).  One bounded job: it reads at
-    most the rows that could fit, and counts duplicates only then."""
-    budget = broadcast_budget(spark)
-    if budget <= 0:
-        return None, False
-    cap = budget // ROW_OVERHEAD + 1
-    r = (src.select(*keys).limit(cap)
-         .agg(F.count(F.lit(1)).alias("n"), key_bytes_metric(src.schema, keys),
-              F.count_if(~up.any_null(keys)).alias("nn"),
-              F.count_distinct(*[F.col(k) for k in keys]).alias("d")).first())
-    if r["n"] >= cap or r[KEY_BYTES] > budget:
-        return None, False
-    return int(r[KEY_BYTES]), int(r["nn"]) > int(r["d"])
+    """More than one source row for a target row (MERGE would be ambiguous)."""
 
 
 @dataclass
 class Staged:
-    """A source written once to the shared folder and registered as a table
-    (bucketed like the target when that lets the merge skip shuffles)."""
+    """Rows written once to the shared folder and registered as a table."""
     table: str
     rows: int
     metrics: dict
@@ -127,60 +62,30 @@ class Staged:
         spark.sql(f"DROP TABLE IF EXISTS {self.table}")   # managed: its files go too
 
 
-def stage(spark: SparkSession, df: DataFrame, near: str, bucket_by: Sequence[str] = (),
-          buckets: int = 0, metrics: Sequence = ()) -> Staged:
-    """Write ``df`` as a managed table of the scratch schema (in the shared
-    folder), for the merge into ``near``.  ``metrics`` are extra aggregates
-    observed on the same pass."""
+def stage(spark: SparkSession, df: DataFrame, near: str, metrics: Sequence = ()) -> Staged:
+    """Write ``df`` as a managed table of the scratch schema (in the shared folder).  ``metrics`` are
+    extra aggregates observed on the same pass."""
     obs = Observation()
-    if buckets:
-        df = df.repartition(buckets, *bucket_by)
     # observed in the final stage: counted once per partition even on retries
     observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics)
     tag = near.replace(".", "_")[-40:]
     name = f"{scratch_schema(spark)}.lf_stage_{tag}_{uuid.uuid4().hex[:12]}"
-    w = observed.write.format("parquet").mode("errorifexists")
-    if buckets:
-        w = w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    w.saveAsTable(name)
+    observed.write.format("parquet").mode("errorifexists").saveAsTable(name)
     m = dict(obs.get)
     return Staged(name, int(m.pop("_rows")), m)
 
 
-def _create_and_fill(spark: SparkSession, df: DataFrame, table: str, root: str,
-                     schema: T.StructType | None, keys, buckets: int,
-                     partition_by: Sequence[str]) -> WriteResult:
-    schema = schema or df.schema
-    bucket_by = keys if (buckets and keys) else ()
-    if bucket_by:
-        # bucket keys are merge keys: declare them NOT NULL
-        schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable and f.name not in keys,
-                                             f.metadata) for f in schema.fields])
-    tb.create_table(spark, table, schema, root, partition_by=partition_by,
-                    bucket_by=bucket_by, buckets=buckets if bucket_by else 0)
-    out = tb.enforce_not_null(tb.aligned(df, spark.table(table).schema),
-                              tb.not_null_columns(spark, table), table)
-    obs = Observation()
-    loc = tb.write_snapshot(spark, table, out, observation=obs,
-                            metrics=[F.count(F.lit(1)).alias("n")])
-    tb.switch_snapshot(spark, table, loc)
-    n = int(obs.get["n"])
-    return WriteResult(n, n, 0, strategy="create")
-
-
 def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
             merge_keys: str | Sequence[str] | None = None, *,
             root: str | None = None, schema: T.StructType | None = None,
-            strategy: str = "auto", check_unique: bool = True,
-            staged: Staged | None = None, buckets: int = 0,
-            partition_by: Sequence[str] = ()) -> WriteResult:
+            staged: Staged | None = None, narrow: bool = False, buckets: int = 0,
+            partition_by: Sequence[str] = (), provider: str = "parquet") -> WriteResult:
     """Write ``df`` into ``table``.
 
-    APPEND adds the rows (inserted = read).  MERGE upserts on ``merge_keys``.
-    A missing table is created from ``schema`` (else the DataFrame's) below
-    ``root`` - bucketed into ``buckets`` on the merge keys when given - and
-    filled (inserted = read).  ``staged``: ``df`` was already staged by
-    :func:`stage` (its count is reused)."""
+    APPEND adds the rows (inserted = read).  MERGE upserts on ``merge_keys``.  A missing table is created
+    from ``schema`` (else the DataFrame's) below ``root``, bucketed into ``buckets`` on the merge keys
+    when given, and filled (inserted = read).  ``staged``: ``df`` was already staged by :func:`stage`.
+    ``narrow``: ``df`` is cheap to evaluate again and is not staged."""
     kind = (load_type or "").upper()
     if kind not in (APPEND, MERGE):
         raise ValueError(f"Unknown load_type {load_type!r} for {table}")
@@ -189,159 +94,78 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
     if not spark.catalog.tableExists(table):
         if root is None:
             raise ValueError(f"{table} does not exist and no root folder was given")
-        return _create_and_fill(spark, df, table, root, schema, keys, buckets, partition_by)
-
+        schema = schema or df.schema
+        bucket_by = keys if (buckets and keys) else ()
+        if bucket_by:  # bucket keys are merge keys: declare them NOT NULL
+            schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable and f.name not in keys,
+                                                 f.metadata) for f in schema.fields])
+        tb.create_table(spark, table, schema, root, partition_by=partition_by, bucket_by=bucket_by,
+                        buckets=buckets if bucket_by else 0, provider=provider)
+        n = tb.append_rows(spark, table, df)
+        return WriteResult(n, n, 0, strategy="create")
     if kind == APPEND:
-        target_schema = spark.table(table).schema
-        out = tb.enforce_not_null(tb.aligned(df, target_schema),
-                                  tb.not_null_columns(spark, table), table)
-        parts = tb.partition_columns(spark, table)
-        if parts:   # few files per partition; the observation stays in the final stage
-            out = out.hint("rebalance", *parts)
-        obs = Observation()
-        out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").insertInto(table)
-        spark.catalog.refreshTable(table)
-        n = int(obs.get["n"])
+        n = tb.append_rows(spark, table, df)
         return WriteResult(n, n, 0, strategy="append")
-
-    return merge_into(spark, df, table, keys, strategy=strategy, check_unique=check_unique,
-                      staged=staged)
-
-
-def _write_merged(spark: SparkSession, table: str, tagged: DataFrame, obs: Observation,
-                  aligned: bool, extra: Sequence[Column] = ()) -> str:
-    """Observe the tagged rows, drop replaced ones and the tags, write."""
-    if not aligned:
-        tagged = tb.clustered_for_write(spark, table, tagged)
-    rows = up.merged_rows(tagged.observe(obs, *up.merge_metrics_columns(), *extra))
-    return tb.write_snapshot(spark, table, rows, aligned=True)
+    return merge_into(spark, df, table, keys, staged=staged, narrow=narrow)
 
 
-def co_located(spark: SparkSession, table: str, keys: Sequence[str]) -> tuple[list[str], int]:
-    """The target's bucket spec when it is bucketed on exactly the merge keys."""
-    bcols, n = tb.bucket_spec(spark, table)
-    return (bcols, n) if n and sorted(bcols) == sorted(keys) else ([], 0)
-
-
-PARTS = "_parts"
-
-
-@dataclass
-class Scope:
-    """The partitions a merge rewrites."""
-    parts: list[str]
-    values: list
-    may_empty: bool      # a row can move out of its partition
-
-    @property
-    def predicate(self) -> Column:
-        return tb.partition_predicate(self.parts, self.values)
-
-
-def partition_scope(spark: SparkSession, table: str, keys: Sequence[str], src: DataFrame,
-                    broadcast_keys: bool = False) -> Scope | None:
-    """The target partitions a merge of ``src`` can change, or None when it
-    must rewrite the whole table (not partitioned, bucketed, too many
-    partitions or a NULL partition value).
-
-    With partition columns among the keys a key lives in one partition, so
-    the source's partitions are all.  Otherwise a row can move: the
-    partitions of the target rows whose keys are in the source count too,
-    found by a semi join that reads only key and partition columns (the
-    source keys broadcast when their measured size allows)."""
-    parts = tb.partition_columns(spark, table)
-    if not parts or tb.bucket_spec(spark, table)[1]:
-        return None
-    if set(parts) <= set(keys):
-        values = tb.touched_partitions(src, parts)
-        return None if values is None else Scope(parts, values, False)
-    target = spark.table(table)
-    if not tb.nameable_partitions(target.schema, parts):
-        return None
-    skeys = src.select(*keys)
-    if broadcast_keys:
-        skeys = F.broadcast(skeys)
-    hit = target.select(*keys, *parts).join(skeys, list(keys), "left_semi")
-    values = tb.touched_partitions(hit.select(*parts).unionByName(src.select(*parts)), parts)
-    return None if values is None else Scope(parts, values, True)
+def touched_partitions(target: DataFrame, src: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """The partitions a merge can change: the source's, and, unless the partition columns are keys,
+    those of the target rows with a key of the source."""
+    own = src.select(*parts)
+    if not set(parts) <= set(keys):
+        hit = target.select(*dict.fromkeys([*keys, *parts])).join(src.select(*keys), list(keys), "left_semi")
+        own = own.unionByName(hit.select(*parts))
+    return tb.touched_table(own, parts)
 
 
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,
-               strategy: str = "auto", check_unique: bool = True,
-               staged: Staged | None = None) -> WriteResult:
+               staged: Staged | None = None, narrow: bool = False) -> WriteResult:
     """Upsert ``df`` into the existing ``table`` (see module doc)."""
-    if strategy not in ("auto", "broadcast", "shuffle"):
-        raise ValueError(f"unknown merge strategy {strategy!r}")
-    keys = list(keys)
-    target = spark.table(table)
-    bcols, nb = co_located(spark, table, keys)
-    budget = broadcast_budget(spark)
-    own_stage = None
-
-    if staged is None and (strategy == "auto" or (nb and strategy == "shuffle")):
-        own_stage = staged = stage(spark, up.align_to(df, target.schema), table, bcols, nb,
-                                   metrics=[key_bytes_metric(target.schema, keys)])
-    kbytes = None       # measured broadcast size of the source keys
-    dup = None          # a repeated source key, when already known
-    if staged is not None:
-        src = up.align_to(staged.frame(spark), target.schema)
-        aligned = bool(nb) and sorted(tb.bucket_spec(spark, staged.table)[0]) == sorted(keys)
-        if strategy != "shuffle":
-            kbytes = staged.metrics.get(KEY_BYTES)
-            if kbytes is None:
-                kbytes, dup = measured_keys(spark, src, keys)
-    else:
-        src = up.align_to(df, target.schema)
-        aligned = False
-        if strategy == "broadcast":
-            kbytes, dup = measured_keys(spark, src, keys)
-    fits = kbytes is not None and 0 < budget and kbytes <= budget
-    scope = partition_scope(spark, table, keys, src, broadcast_keys=fits)
-    extra = []
-    if scope is not None:
-        target = target.filter(scope.predicate)
-        if scope.may_empty:    # the partitions that keep rows, to find emptied ones
-            extra = [F.collect_set(F.when(F.col(up.OP) != "D", F.struct(*scope.parts)))
-                     .alias(PARTS)]
-
-    chosen = "shuffle"
-    if strategy in ("auto", "broadcast") and fits:
-        chosen = "broadcast"
+    keys, target = list(keys), spark.table(table)
+    parts = tb.partition_columns(spark, table)
+    src = up.align_to(staged.frame(spark) if staged is not None else df, target.schema)
+    src = tb.enforce_not_null(tb.stored_partitions(src, parts), tb.not_null_columns(spark, table), table)
+    own = []
+    if staged is None and not narrow:
+        own.append(stage(spark, src, table))
+        src = own[0].frame(spark)
     try:
-        if chosen == "broadcast":
-            if check_unique and dup is None:
-                dup = up.duplicate_keys(src, keys).limit(1).count() > 0
-            if check_unique and dup:
-                raise MergeCardinalityError(f"duplicate source keys {keys} for {table}")
-            tagged = up.upsert_broadcast(target, src, keys)
-        else:
-            tagged = up.upsert_shuffle(target, src, keys, check_unique=check_unique)
-
-        # the tags are counted on the written rows, so replaced target rows
-        # ('D') are filtered after the observation inside the final stage
-        obs = Observation()
-        rows = tb.enforce_not_null(tagged, tb.not_null_columns(spark, table), table)
-        # broadcast on a bucketed target: the target's bucket files stay
-        # per task, the few source rows add small files (no shuffle)
-        loc = _write_merged(spark, table, rows, obs,
-                            aligned or (nb > 0 and chosen == "broadcast"), extra)
+        read, repeated = up.source_profile(src, keys)
+        if repeated and up.ambiguous_keys(target, src, keys).limit(1).count():
+            raise MergeCardinalityError(f"more than one source row for a target row with keys {keys} in {table}")
+        if tb.provider_of(spark, table) not in FILE_PROVIDERS:
+            return _merge_by_format(target, src, table, keys, read)
+        obs, metrics = Observation(), up.merge_metrics_columns()
+        if not parts:
+            tb.replace_rows(spark, table, up.merged(target, src, keys), obs, metrics, [up.OP])
+            m = obs.get
+            return WriteResult(read, int(m["inserted"]), int(m["updated"]), strategy="rewrite")
+        own.append(touched := stage(spark, touched_partitions(target, src, keys, parts), table))
+        scope = tb.in_partitions(target, touched.frame(spark), parts)
+        # rows per touched partition reach the driver as one set of partition values, to find emptied ones
+        metrics.append(F.collect_set(F.struct(*parts)).alias("_parts"))
+        tb.replace_rows(spark, table, up.merged(scope, src, keys), obs, metrics, [up.OP])
         m = obs.get
-        if int(m["dup_rows"]) > 0:
-            # the new snapshot is never switched in
-            raise MergeCardinalityError(
-                f"{m['dup_rows']} source rows share a key {keys} in merge into {table}")
-        if scope is not None:
-            tb.switch_partitions(spark, table, loc, tb.written_fragments(spark, table, loc))
-            if scope.may_empty:
-                kept = {tuple(r) for r in m[PARTS]}
-                tb.drop_partitions(spark, table, scope.parts,
-                                   [v for v in scope.values if tuple(v) not in kept])
-        else:
-            tb.switch_snapshot(spark, table, loc)
+        if not set(parts) <= set(keys):
+            drop_emptied(spark, table, touched.frame(spark), parts, m["_parts"])
+        return WriteResult(read, int(m["inserted"]), int(m["updated"]), strategy="partitions")
     finally:
-        if own_stage is not None:
-            own_stage.drop(spark)
-    c = up.counts_from_metrics(m)
-    return WriteResult(c["records_read"], c["records_inserted"], c["records_updated"],
-                       strategy=chosen + ("-colocated" if aligned and chosen == "shuffle" else "")
-                       + ("-partitions" if scope is not None else ""))
+        for st in own:
+            st.drop(spark)
+
+
+def drop_emptied(spark: SparkSession, table: str, touched: DataFrame, parts: Sequence[str], written) -> None:
+    """Drop the touched partitions that got no row."""
+    kept = {tuple(r) for r in written}
+    tb.drop_partitions(spark, table, parts, [v for v in touched.select(*parts).collect() if tuple(v) not in kept])
+
+
+def _merge_by_format(target: DataFrame, src: DataFrame, table: str, keys: Sequence[str], read: int) -> WriteResult:
+    """MERGE by the table format itself.  The counts are joins over key columns, taken before."""
+    t, s = target.select(*keys).alias("t"), src.select(*keys).alias("s")
+    same = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    updated, inserted = t.join(s, same, "left_semi").count(), s.join(t, same, "left_anti").count()
+    on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"s.{k}") for k in keys])
+    src.alias("s").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    return WriteResult(read, inserted, updated, strategy="row-level")

@@ -1,23 +1,30 @@
-"""Catalog tables stored as immutable Parquet snapshots.
-
-Without a row-level table format Spark cannot overwrite a table it reads, so
-every rewrite (upsert, update, backfill) writes a new snapshot directory
-next to the current one and then switches the table with
-``ALTER TABLE ... SET LOCATION`` - one metastore call, so readers see the old
-or the new snapshot, never a mix.  A failed or killed job leaves only an
-unreferenced directory behind.  Appends go into the current snapshot through
-Spark's commit protocol.  One writer per table at a time is assumed; old
-snapshots are left for a retention job.
+"""Catalog tables on Parquet files.
+
+Without a row-level table format Spark cannot overwrite a plain table that it reads, so a rewrite
+(upsert, update, backfill) of an unpartitioned table writes a new snapshot directory next to the current
+one and then switches the table with ``ALTER TABLE ... SET LOCATION``: one metastore call, so readers
+see the old or the new snapshot.  A failed or killed job leaves only an unreferenced directory behind.
+
+A partitioned table is rewritten by Spark's own dynamic partition overwrite: only the partitions that
+the rewrite touches are read and replaced, at the job's commit, one after the other.  A reader during
+that commit may see some partitions replaced and others not yet; a driver lost during it can leave that
+state, which running the same rewrite again repairs.  A bucketed table is overwritten by Spark's own
+``INSERT OVERWRITE`` from the staged result, with the same caveat.
+
+Appends go through Spark's commit protocol.  One writer per table at a time is assumed; old snapshots
+are left for :func:`expire_snapshots`.  Spark stores an empty string in a string partition column as
+NULL; so do the functions here, before anything is compared.
 """
 
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,17 +76,16 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
                  comment: str | None = None, partition_by: Sequence[str] = (),
                  column_comments: dict[str, str] | None = None,
                  properties: dict[str, str] | None = None,
-                 bucket_by: Sequence[str] = (), buckets: int = 0) -> bool:
+                 bucket_by: Sequence[str] = (), buckets: int = 0, provider: str = "parquet") -> bool:
     """CREATE TABLE IF NOT EXISTS over a first, empty snapshot below ``root``.
     Returns True when the table was created.
 
     Parquet tables drop NOT NULL from the schema, so the declared NOT NULL
     columns are kept in a table property and enforced by every write.
 
-    ``bucket_by``/``buckets`` store the table hash-bucketed on its merge
-    keys, so keyed merges join bucket to bucket without shuffling the
-    table.  Bucket columns must be NOT NULL: NULL keys would all share one
-    bucket."""
+    ``bucket_by``/``buckets`` are Spark's own ``CLUSTERED BY``.  Bucket columns must be NOT NULL: NULL
+    keys would all share one bucket.  ``provider``: another table format of the session's catalog;
+    MERGE and UPDATE then go through the format itself."""
     check_name(name)
     if spark.catalog.tableExists(name):
         return False
@@ -91,12 +97,13 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
         if nullable:
             raise ValueError(f"bucket columns must be NOT NULL: {nullable}")
     loc = new_snapshot_location(root)
-    empty = spark.createDataFrame([], schema)
-    (empty.write.partitionBy(*partition_by) if partition_by else empty.write).parquet(loc)
+    if provider == "parquet":
+        empty = spark.createDataFrame([], schema)
+        (empty.write.partitionBy(*partition_by) if partition_by else empty.write).parquet(loc)
     properties = dict(properties or {})
     if required:
         properties[NOT_NULL_PROPERTY] = ",".join(required)
-    sql = f"CREATE TABLE {name} ({ddl_columns(schema, column_comments)}) USING parquet"
+    sql = f"CREATE TABLE {name} ({ddl_columns(schema, column_comments)}) USING {check_name(provider)}"
     if partition_by:
         sql += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     if bucket_by:
@@ -144,6 +151,10 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return out
 
 
+def provider_of(spark: SparkSession, name: str) -> str:
+    return table_info(spark, name).get("Provider", "parquet").lower()
+
+
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {check_name(name)}").collect()}
 
@@ -180,15 +191,14 @@ def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def append_rows(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """Append by column name into the current snapshot."""
-    target = spark.table(name)
-    out = enforce_not_null(aligned(df, target.schema), not_null_columns(spark, name), name)
-    parts = partition_columns(spark, name)
-    if parts:
-        out = out.hint("rebalance", *parts)
+def append_rows(spark: SparkSession, name: str, df: DataFrame) -> int:
+    """Append by column name into the current snapshot; returns the rows written."""
+    out = enforce_not_null(aligned(df, spark.table(name).schema), not_null_columns(spark, name), name)
+    obs = Observation()
+    out = clustered_for_write(spark, name, out).observe(obs, F.count(F.lit(1)).alias("n"))
     out.write.mode("append").insertInto(name)
     spark.catalog.refreshTable(name)
+    return int(obs.get["n"])
 
 
 def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int]:
@@ -201,217 +211,100 @@ def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int]:
     return [c for c in cols if c], n
 
 
-def write_bucketed(df: DataFrame, location: str, bucket_by: Sequence[str], buckets: int,
-                   partition_by: Sequence[str] = (), table: str | None = None) -> None:
-    """Write ``df`` as bucketed Parquet files at ``location``.
-
-    Bucketed writes need a catalog table; a throw-away external table is
-    registered over ``location`` and dropped again (its files stay)."""
-    spark = df.sparkSession
-    base = (table or "default.x").rsplit(".", 1)[0]
-    tmp = f"{base}.lf_snap_{uuid.uuid4().hex[:12]}"
-    w = (df.write.format("parquet").mode("errorifexists").option("path", location)
-         .bucketBy(buckets, *bucket_by).sortBy(*bucket_by))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(tmp)
-    spark.sql(f"DROP TABLE IF EXISTS {tmp}")
-
-
 def clustered_for_write(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Rows laid out for ``name``'s files: hash-partitioned into the bucket
-    count for a bucketed table (one file per bucket), ``REBALANCE`` by the
-    partition columns for a partitioned one (few files per partition, and
-    AQE splits a hot partition over several tasks), unchanged otherwise."""
-    bcols, n = bucket_spec(spark, name)
-    if n:
-        return df.repartition(n, *bcols)
-    parts = partition_columns(spark, name)
-    if parts:
-        return df.hint("rebalance", *parts)
-    return df
-
-
-def write_snapshot(spark: SparkSession, name: str, df: DataFrame, aligned: bool = False,
-                   observation=None, metrics: Sequence[Column] = (),
-                   drop_after: Sequence[str] = ()) -> str:
-    """Write ``df`` (already in the table's column order) as a new snapshot
-    directory with the table's partitioning and bucketing; the table is not
-    switched yet.
-
-    The rows are laid out by :func:`clustered_for_write` unless ``aligned``
-    says they already are (each task holds one bucket after a
-    bucket-to-bucket join, or the caller clustered them).  The
-    ``observation`` is attached after that exchange, i.e. in the final
-    stage, where Spark applies each partition's metrics exactly once;
-    ``drop_after`` columns are only there for it."""
-    loc = new_snapshot_location(table_location(spark, name).rsplit("/", 1)[0])
+    """``REBALANCE`` by the partition columns of a partitioned table: few files per partition, and
+    AQE splits a hot partition over several tasks.  Unchanged otherwise."""
     parts = partition_columns(spark, name)
-    bcols, n = bucket_spec(spark, name)
-    if not aligned:
-        df = clustered_for_write(spark, name, df)
+    return df.hint("rebalance", *parts) if parts else df
+
+
+def observed(df: DataFrame, observation, metrics: Sequence[Column], drop_after: Sequence[str]) -> DataFrame:
+    """``metrics`` on the rows as they are written: in the final stage, where Spark applies each
+    partition's metrics exactly once.  ``drop_after`` columns are only there for it."""
     if observation is not None:
         df = df.observe(observation, *metrics)
-    if drop_after:
-        df = df.drop(*drop_after)
-    if n:
-        write_bucketed(df, loc, bcols, n, parts, table=name)
-        return loc
-    w = df.write.mode("errorifexists").format("parquet")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.save(loc)
+    return df.drop(*drop_after) if drop_after else df
+
+
+def write_snapshot(spark: SparkSession, name: str, df: DataFrame, observation=None,
+                   metrics: Sequence[Column] = (), drop_after: Sequence[str] = ()) -> str:
+    """Write ``df`` (already in the table's column order) as a new snapshot directory of an
+    unpartitioned table; the table is not switched yet."""
+    loc = new_snapshot_location(table_location(spark, name).rsplit("/", 1)[0])
+    observed(df, observation, metrics, drop_after).write.mode("errorifexists").parquet(loc)
     return loc
 
 
 def switch_snapshot(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"ALTER TABLE {check_name(name)} SET LOCATION {sql_string(location)}")
     spark.catalog.refreshTable(name)
-    if partition_columns(spark, name):
-        try:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        except Exception:  # catalogs that do not track partitions discover them on read
-            return
-        frags = partition_fragments(spark, name)
-        # Spark's in-memory catalog moves the partitions with the table; a
-        # Hive metastore keeps their old locations.  One lookup tells which.
-        if frags and not _points_into(partition_location(spark, name, frags[0]), location):
-            repoint_partitions(spark, name, location)
-
-
-def partition_location(spark: SparkSession, name: str, fragment: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(name)} "
-                     f"PARTITION ({fragment_spec(fragment)})").collect()
-    return next(r.data_type for r in rows if r.col_name == "Location")
-
-
-def _points_into(path: str, snapshot: str) -> bool:
-    return f"/{snapshot.rstrip('/').rsplit('/', 1)[-1]}/" in path
-
-
-def repoint_partitions(spark: SparkSession, name: str, location: str) -> None:
-    """Every catalog partition of ``name`` read from the snapshot at
-    ``location``: re-pointed when the snapshot has its directory, dropped
-    (metadata only) when it has not."""
-    written = set(written_fragments(spark, name, location))
-    for f in partition_fragments(spark, name):
-        if _points_into(partition_location(spark, name, f), location):
-            continue
-        if f in written:
-            spark.sql(f"ALTER TABLE {name} PARTITION ({fragment_spec(f)}) "
-                      f"SET LOCATION {sql_string(location.rstrip('/') + '/' + f)}")
-        else:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({fragment_spec(f)})")
-    spark.catalog.refreshTable(name)
 
 
-def partition_fragments(spark: SparkSession, name: str) -> list[str]:
-    """Partitions as ``SHOW PARTITIONS`` prints them: the escaped directory
-    path below the table (``a=1/b=x%2Fy``)."""
-    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {check_name(name)}").collect()]
+_MODE, _MODE_LOCK = "spark.sql.sources.partitionOverwriteMode", threading.RLock()
 
 
-def fragment_spec(fragment: str) -> str:
-    """``a=1/b=x%2Fy`` -> ``PARTITION`` spec text ``a = '1', b = 'x/y'``."""
-    out = []
-    for piece in fragment.split("/"):
-        k, v = piece.split("=", 1)
-        out.append(f"`{unquote(k)}` = {sql_string(unquote(v))}")
-    return ", ".join(out)
-
-
-def written_fragments(spark: SparkSession, name: str, location: str) -> list[str]:
-    """Partition directories Spark wrote below ``location`` for table
-    ``name``'s layout, found by the catalog itself: a throw-away external
-    table over the folder and ``RECOVER PARTITIONS`` (directory listing
-    only, no data is read)."""
-    base = name.rsplit(".", 1)[0] if "." in name else "default"
-    tmp = f"{base}.lf_parts_{uuid.uuid4().hex[:12]}"
-    parts = partition_columns(spark, name)
-    spark.sql(f"CREATE TABLE {tmp} ({ddl_columns(spark.table(name).schema)}) USING parquet "
-              f"PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)}) "
-              f"LOCATION {sql_string(location)}")
-    try:
-        spark.sql(f"ALTER TABLE {tmp} RECOVER PARTITIONS")
-        return partition_fragments(spark, tmp)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {tmp}")     # external: the files stay
-
-
-def switch_partitions(spark: SparkSession, name: str, location: str,
-                      fragments: Sequence[str]) -> None:
-    """Point each given partition of ``name`` at its directory below
-    ``location`` (a new snapshot of just those partitions); other partitions
-    are untouched.  Each switch is one metastore call, atomic per partition."""
-    existing = set(partition_fragments(spark, name))
-    for f in fragments:
-        path = sql_string(f"{location.rstrip('/')}/{f}")
-        if f in existing:
-            spark.sql(f"ALTER TABLE {check_name(name)} PARTITION ({fragment_spec(f)}) "
-                      f"SET LOCATION {path}")
-        else:
-            spark.sql(f"ALTER TABLE {check_name(name)} ADD PARTITION ({fragment_spec(f)}) "
-                      f"LOCATION {path}")
+def overwrite_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
+    """Replace the partitions that ``df``, in the table's column order, has rows for: Spark's dynamic
+    partition overwrite, which may read the table it writes.  The session's mode is put back
+    afterwards; writers of one session take turns."""
+    with _MODE_LOCK:
+        old = spark.conf.get(_MODE, None)
+        spark.conf.set(_MODE, "dynamic")
+        try:
+            df.write.mode("overwrite").insertInto(name)
+        finally:
+            if old is None:
+                spark.conf.unset(_MODE)
+            else:
+                spark.conf.set(_MODE, old)
     spark.catalog.refreshTable(name)
 
 
-# Most partitions one rewrite switches one by one; above it the whole table
-# is rewritten as one snapshot (one metastore call instead of thousands).
-MAX_SCOPED_PARTITIONS = 5000
-
+def stored_partitions(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Partition values as Spark stores them: an empty string is NULL."""
+    text = [c for c in parts if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text}) if text else df
 
-def touched_partitions(df: DataFrame, parts: Sequence[str]) -> list | None:
-    """Distinct partition values of ``df``'s rows, or None when there are
-    more than :data:`MAX_SCOPED_PARTITIONS` or a NULL among them.  Only
-    these values (catalog-sized) reach the driver."""
-    values = df.select(*parts).distinct().limit(MAX_SCOPED_PARTITIONS + 1).collect()
-    if len(values) > MAX_SCOPED_PARTITIONS or any(v is None for r in values for v in r):
-        return None
-    return values
 
+_HIT = "_lf_touched"
 
-def partition_predicate(parts: Sequence[str], values: list) -> Column:
-    """Rows in the given partitions; a partition filter for the scan."""
-    if not values:
-        return F.lit(False)
-    if len(parts) == 1:
-        return F.col(parts[0]).isin([r[0] for r in values])
-    ors = None
-    for r in values:
-        ands = None
-        for c in parts:
-            e = F.col(c) == F.lit(r[c])
-            ands = e if ands is None else ands & e
-        ors = ands if ors is None else ors | ands
-    return ors
 
+def touched_table(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Distinct partition values of ``df``, marked for :func:`in_partitions`."""
+    return df.select(*parts).distinct().withColumn(_HIT, F.lit(1))
 
-# Partition column types whose values can be named in a PARTITION spec.
-_SPEC_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType)
 
-
-def nameable_partitions(schema: T.StructType, parts: Sequence[str]) -> bool:
-    return all(isinstance(schema[c].dataType, _SPEC_TYPES) for c in parts)
+def in_partitions(df: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of the table ``df`` in the touched partitions, found by joins: on the values where none is
+    NULL (dynamic partition pruning then skips the other partitions' files), and null-safe in the
+    partitions with a NULL, which a static filter selects."""
+    some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in parts])
+    # the comparison is always true; it tells Spark that pruning by this side is worthwhile
+    t = touched.where(F.col(_HIT) >= 1).select(*[F.col(c).alias(f"_t_{c}") for c in parts])
+    t_null = reduce(lambda a, b: a | b, [F.col(f"_t_{c}").isNull() for c in parts])
+    plain = df.where(~some_null).join(t.where(~t_null), [F.col(c) == F.col(f"_t_{c}") for c in parts], "left_semi")
+    nulls = df.where(some_null).join(
+        t.where(t_null), [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in parts], "left_semi")
+    return plain.unionByName(nulls)
 
 
 def drop_partitions(spark: SparkSession, name: str, parts: Sequence[str], values) -> None:
-    """Catalog entries of partitions a rewrite emptied (their files stay in
-    the old snapshot until it expires)."""
+    """Drop partitions that a rewrite left without rows, with their files: a later append into such
+    a partition must not find them again.  A metastore error is raised."""
+    jvm = spark.sparkContext._jvm
     for v in values:
-        spec = ", ".join(f"`{c}` = {sql_string(str(v[c]))}" for c in parts)
-        spark.sql(f"ALTER TABLE {check_name(name)} DROP IF EXISTS PARTITION ({spec})")
-    spark.catalog.refreshTable(name)
+        spec = ", ".join(f"`{c}` = " + ("NULL" if v[c] is None else sql_string(str(v[c]))) for c in parts)
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(name)} PARTITION ({spec})").collect()
+        path = jvm.org.apache.hadoop.fs.Path(next(r.data_type for r in rows if r.col_name == "Location"))
+        spark.sql(f"ALTER TABLE {name} DROP PARTITION ({spec})")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if values:
+        spark.catalog.refreshTable(name)
 
 
-def replace_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """Write ``df`` (rows of some partitions, in table order) as a new
-    snapshot of just those partitions and switch them."""
-    loc = write_snapshot(spark, name, df)
-    switch_partitions(spark, name, loc, written_fragments(spark, name, loc))
-
-
-def _snapshot_names(paths) -> set[str]:
-    return {part for p in paths for part in str(p).split("/") if part.startswith("snap-")}
+def partition_fragments(spark: SparkSession, name: str) -> list[str]:
+    """Partitions as ``SHOW PARTITIONS`` prints them (``a=1/b=x%2Fy``)."""
+    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {check_name(name)}").collect()]
 
 
 def _old_folders(spark: SparkSession, root: str, older_than_seconds: float, keep=lambda n: False):
@@ -435,17 +328,15 @@ def clean_scratch(spark: SparkSession, older_than_seconds: float = 86400) -> lis
     """Remove staging tables a crashed run left behind: every folder of the
     scratch schema older than the grace period goes, with its catalog entry
     when one is still registered.  Returns the removed folders."""
-    from layerflow.session import SCRATCH_SCHEMA, shared_root
+    from layerflow.session import scratch_schema, scratch_schema_location
 
-    root = f"{shared_root(spark)}/layerflow/scratch_db"
-    registered = set()
-    if spark.catalog.databaseExists(SCRATCH_SCHEMA):
-        registered = {t.name for t in spark.catalog.listTables(SCRATCH_SCHEMA)}
+    schema, root = scratch_schema(spark), scratch_schema_location(spark)
+    registered = {t.name for t in spark.catalog.listTables(schema)}
     fs, old = _old_folders(spark, root, older_than_seconds)
     removed = []
     for p, n in old:
         if n in registered:
-            spark.sql(f"DROP TABLE IF EXISTS {SCRATCH_SCHEMA}.{check_name(n)}")
+            spark.sql(f"DROP TABLE IF EXISTS {schema}.{check_name(n)}")
         if fs.exists(p):
             fs.delete(p, True)
         removed.append(p.toString())
@@ -453,28 +344,39 @@ def clean_scratch(spark: SparkSession, older_than_seconds: float = 86400) -> lis
 
 
 def expire_snapshots(spark: SparkSession, name: str, older_than_seconds: float = 3600) -> list[str]:
-    """Delete the snapshot folders of ``name`` that neither the table nor any
-    of its partitions reads any more and that are older than the grace
-    period (queries still reading an old snapshot keep working).  Returns
-    the deleted folders.  Metadata work on the driver: a file listing of the
-    current snapshot and one recursive delete per expired folder."""
-    loc = table_location(spark, name)
-    root = loc.rstrip("/").rsplit("/", 1)[0]
-    live = _snapshot_names([loc] + list(spark.table(name).inputFiles()))
+    """Delete the snapshot folders of ``name`` other than its current location that are older than
+    the grace period (queries still reading an old snapshot keep working).  Returns the deleted
+    folders.  One directory listing and one recursive delete per expired folder; no file is listed."""
+    loc = table_location(spark, name).rstrip("/")
+    root, current = loc.rsplit("/", 1)
     fs, old = _old_folders(spark, root, older_than_seconds,
-                           keep=lambda n: not n.startswith("snap-") or n in live)
+                           keep=lambda n: not n.startswith("snap-") or n == current)
     for p, _ in old:
         fs.delete(p, True)
     return [p.toString() for p, _ in old]
 
 
-def replace_rows(spark: SparkSession, name: str, df: DataFrame) -> str:
-    """Write and switch in one call."""
-    schema = spark.table(name).schema
-    out = enforce_not_null(aligned(df, schema), not_null_columns(spark, name), name)
-    loc = write_snapshot(spark, name, out)
-    switch_snapshot(spark, name, loc)
-    return loc
+def replace_rows(spark: SparkSession, name: str, df: DataFrame, observation=None,
+                 metrics: Sequence[Column] = (), drop_after: Sequence[str] = ()) -> None:
+    """Make ``df`` (which may read the table) the rows of ``name``; columns by name.  For a
+    partitioned table: of the partitions that ``df`` has rows for."""
+    from layerflow.operators.publish import stage  # staging is built on this module
+
+    schema, parts = spark.table(name).schema, partition_columns(spark, name)
+    extra = [F.col(c) for c in drop_after]
+    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
+    out = enforce_not_null(out, not_null_columns(spark, name), name)
+    if parts:
+        overwrite_partitions(spark, name, observed(clustered_for_write(spark, name, out), observation, metrics, drop_after))
+    elif bucket_spec(spark, name)[1]:
+        st = stage(spark, observed(out, observation, metrics, drop_after), name)
+        try:
+            st.frame(spark).write.mode("overwrite").insertInto(name)
+        finally:
+            st.drop(spark)
+        spark.catalog.refreshTable(name)
+    else:
+        switch_snapshot(spark, name, write_snapshot(spark, name, out, observation, metrics, drop_after))
 
 
 def add_column(spark: SparkSession, name: str, column: str, data_type: str,

@@ -1,5 +1,5 @@
-"""UPDATE ... SET ... [WHERE ...] and additive schema evolution on snapshot
-tables: one pass that rewrites the table with conditional projections."""
+"""UPDATE ... SET ... [WHERE ...] and additive schema evolution: one pass that rewrites the touched
+part of a table with conditional projections."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.operators import tables as tb
+from layerflow.operators.publish import FILE_PROVIDERS, drop_emptied, stage
 
 _HIT = "_lf_hit"
 
@@ -18,49 +19,60 @@ def update_rows(df: DataFrame, assignments: dict[str, Column],
     return df.withColumns(tb.conditional(assignments, where))
 
 
-def update_table(spark: SparkSession, table: str, assignments: dict[str, Column],
-                 where: Column | None = None) -> int:
-    """Rewrite ``table`` with the update applied; returns the rows matched.
+def update_table(spark: SparkSession, table: str, assignments: dict[str, Column | str],
+                 where: Column | str | None = None) -> int:
+    """Apply the update to ``table``; returns the rows matched.  Nothing is written when no row matches.
 
-    On a partitioned table a first pass (predicate and partition columns
-    only, filters pushed into the scan) finds the partitions holding matching
-    rows - and, when partition columns are assigned, the partitions the rows
-    move to; only those are rewritten and switched, partitions left empty
-    are dropped, and nothing is written when no row matches."""
-    df = spark.table(table)
+    On a partitioned table only the partitions with matching rows, and those that rows move to, are
+    rewritten; partitions left empty are dropped.  On a table format with row-level operations the
+    format's own UPDATE runs, which needs assignments and predicate as SQL text."""
+    df, parts = spark.table(table), tb.partition_columns(spark, table)
+    if tb.provider_of(spark, table) not in FILE_PROVIDERS:
+        return _update_by_format(spark, df, table, assignments, where)
+    assignments = {c: F.expr(v) if isinstance(v, str) else v for c, v in assignments.items()}
+    where = F.expr(where) if isinstance(where, str) else where
     hit = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    parts = tb.partition_columns(spark, table)
-    values, moves = None, bool(set(parts) & set(assignments))
-    if where is not None and parts and not tb.bucket_spec(spark, table)[1] \
-            and (not moves or tb.nameable_partitions(df.schema, parts)):
-        matched = df.filter(hit)
-        cand = matched.select(*parts)
+    matched = df.filter(hit)
+    if not parts:
+        if where is not None and not matched.limit(1).count():
+            return 0
+        return _rewrite(spark, table, df, hit, assignments, where, parts)[0]
+    moves = bool(set(parts) & set(assignments))
+    own = matched.select(*parts)
+    if moves:
+        new = matched.select(*[assignments.get(c, F.col(c)).cast(df.schema[c].dataType).alias(c) for c in parts])
+        own = own.unionByName(tb.stored_partitions(new, parts))
+    touched = stage(spark, tb.touched_table(own, parts), table)
+    try:
+        if not touched.rows:
+            return 0
+        scope = tb.in_partitions(df, touched.frame(spark), parts)
+        n, written = _rewrite(spark, table, scope, hit, assignments, where, parts)
         if moves:
-            cand = cand.unionByName(matched.select(*[
-                assignments.get(c, F.col(c)).cast(df.schema[c].dataType).alias(c) for c in parts]))
-        values = tb.touched_partitions(cand, parts)
-    if values is not None and not values:
-        return 0
-    if values is not None:
-        df = df.filter(tb.partition_predicate(parts, values))
+            drop_emptied(spark, table, touched.frame(spark), parts, written)
+        return n
+    finally:
+        touched.drop(spark)
+
+
+def _rewrite(spark, table, df, hit, assignments, where, parts) -> tuple[int, list]:
     # the match flag rides along to the final stage, where it is counted
-    out = update_rows(df.withColumn(_HIT, hit), assignments, where)
-    out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields], _HIT)
-    out = tb.enforce_not_null(out, tb.not_null_columns(spark, table), table)
+    out = tb.stored_partitions(update_rows(df.withColumn(_HIT, hit), assignments, where), parts)
     metrics = [F.count_if(F.col(_HIT)).alias("n")]
-    if values is not None and moves:     # partitions that keep rows
+    if parts:     # the partitions that keep rows
         metrics.append(F.collect_set(F.struct(*parts)).alias("_parts"))
     obs = Observation()
-    loc = tb.write_snapshot(spark, table, out, observation=obs, metrics=metrics, drop_after=[_HIT])
-    m = obs.get
-    if values is None:
-        tb.switch_snapshot(spark, table, loc)
-    else:
-        tb.switch_partitions(spark, table, loc, tb.written_fragments(spark, table, loc))
-        if moves:
-            kept = {tuple(r) for r in m["_parts"]}
-            tb.drop_partitions(spark, table, parts, [v for v in values if tuple(v) not in kept])
-    return int(m["n"])
+    tb.replace_rows(spark, table, out, obs, metrics, [_HIT])
+    return int(obs.get["n"]), obs.get.get("_parts", [])
+
+
+def _update_by_format(spark, df, table, assignments, where) -> int:
+    if not all(isinstance(x, str) for x in [*assignments.values(), where or ""]):
+        raise TypeError(f"{table}: UPDATE by the table format takes SQL text")
+    n = (df.filter(where) if where else df).count()
+    sets = ", ".join(f"`{c}` = {v}" for c, v in assignments.items())
+    spark.sql(f"UPDATE {tb.check_name(table)} SET {sets}" + (f" WHERE {where}" if where else ""))
+    return n
 
 
 def add_column_with_backfill(spark: SparkSession, table: str, column: str, data_type: str,

@@ -1,25 +1,14 @@
-"""Keyed upsert (MERGE: matched -> update all, not matched -> insert all,
-unmatched target rows stay) as DataFrame joins.
+"""Keyed upsert (MERGE: matched -> update all, not matched -> insert all, unmatched target rows stay) as
+two plain joins.
 
-Each output row carries an operation tag in ``_op``:
+- target LEFT JOIN source: a target row whose key is in the source becomes the source row (``U``), any
+  other stays (``K``).  Repeated target keys are all updated.
+- source LEFT ANTI JOIN target: the source rows of keys that the target lacks (``I``), repeats included.
 
-- ``I`` source row whose key is not in the target (insert),
-- ``U`` source row replacing a target row (update),
-- ``K`` target row without a source row (kept),
-- ``D`` (broadcast form only) target row replaced by a source row; it is
-  counted, then filtered out before the write,
-- ``S`` (broadcast form only) source row; I or U follows from the counts.
-
-Rows with a NULL in any key never match (SQL ``=``) and are split off before
-the join: they pass straight through, and cannot pile up in one join task.
-
-Two physical forms, chosen by the caller from a checked source size:
-
-- ``shuffle``: full outer sort-merge join on the keys.  A window count over
-  the source keys flags duplicate source keys (``_dup``); it needs the same
-  hash partitioning as the join, so it adds no exchange of its own.
-- ``broadcast``: target LEFT JOIN broadcast(source keys); no shuffle of the
-  target at all.  Only for a source whose key count was checked.
+No hints: Spark and AQE choose broadcast or sort-merge from the sizes they see, with the same rows
+either way, and split skewed partitions of the target and of the inserts.  A NULL in any key never
+matches (SQL ``=``).  Two source rows for one *target* row are an error, found beforehand by a count
+that aggregates before its shuffle.
 """
 
 from __future__ import annotations
@@ -27,12 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OP = "_op"
-DUP = "_dup"
 
 
 def parse_keys(merge_keys: str | Sequence[str] | None) -> list[str]:
@@ -60,47 +48,24 @@ def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def upsert_shuffle(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                   check_unique: bool = True) -> DataFrame:
-    keys = list(keys)
-    cols = target.columns
-    src = align_to(source, target.schema)
-    null_s, null_t = any_null(keys), any_null(keys)
-
-    s = src.filter(~null_s)
-    if check_unique:
-        s = s.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    else:
-        s = s.withColumn("_n", F.lit(1))
-    s = s.select(*keys, F.struct(*cols).alias("_s"), "_n").alias("s")
-    t = target.filter(~null_t).select(*keys, F.struct(*cols).alias("_t")).alias("t")
-    cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    j = t.join(s, cond, "full_outer")
-    has_s, has_t = F.col("s._s").isNotNull(), F.col("t._t").isNotNull()
-    merged = j.select(
-        F.when(has_s, F.col("s._s")).otherwise(F.col("t._t")).alias("_r"),
-        F.when(has_s & has_t, F.lit("U")).when(has_s, F.lit("I")).otherwise(F.lit("K")).alias(OP),
-        F.coalesce(F.col("s._n") > 1, F.lit(False)).alias(DUP),
-    ).select(*[F.col(f"_r.{c}").alias(c) for c in cols], OP, DUP)
-
-    passthrough = (src.filter(null_s).withColumns({OP: F.lit("I"), DUP: F.lit(False)})
-                   .unionByName(target.filter(null_t).withColumns({OP: F.lit("K"), DUP: F.lit(False)})))
-    return merged.unionByName(passthrough)
-
-
-def upsert_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source keys are broadcast; the caller has bounded their count and
-    checked their uniqueness."""
-    keys = list(keys)
-    cols = target.columns
-    src = align_to(source, target.schema)
-    skeys = src.filter(~any_null(keys)).select(*keys).withColumn("_m", F.lit(True))
-    t = target.alias("t").join(F.broadcast(skeys.alias("k")),
-                               [F.col(f"t.{k}") == F.col(f"k.{k}") for k in keys], "left")
-    t = t.select(*[F.col(f"t.{c}").alias(c) for c in cols],
-                 F.when(F.col("k._m"), F.lit("D")).otherwise(F.lit("K")).alias(OP),
-                 F.lit(False).alias(DUP))
-    return t.unionByName(src.withColumns({OP: F.lit("S"), DUP: F.lit(False)}))
+def _renamed(df: DataFrame, cols: Sequence[str], prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(prefix + c) for c in cols])
+
+
+def _same_key(keys: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(k) == F.col(prefix + k) for k in keys]
+
+
+def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows after the MERGE, tagged in ``_op`` (U, K, I).  ``source`` has the target's columns."""
+    keys, cols = list(keys), target.columns
+    s = _renamed(source, cols, "_s_").withColumn("_m", F.lit(True))
+    hit = F.col("_m").isNotNull()
+    kept = target.join(s, _same_key(keys, "_s_"), "left").select(
+        *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in cols],
+        F.when(hit, F.lit("U")).otherwise(F.lit("K")).alias(OP))
+    new = source.join(_renamed(target, keys, "_t_"), _same_key(keys, "_t_"), "left_anti")
+    return kept.unionByName(new.withColumn(OP, F.lit("I")))
 
 
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -112,27 +77,19 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1))
 
 
+def source_profile(source: DataFrame, keys: Sequence[str]) -> tuple[int, bool]:
+    """(rows, whether a non-NULL key repeats): one job over the key columns."""
+    g = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    r = g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+              F.count_if((F.col("n") > 1) & ~any_null(keys)).alias("repeated")).first()
+    return int(r["rows"]), int(r["repeated"]) > 0
+
+
+def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur in the target and more than once in the source."""
+    return duplicate_keys(source, keys).join(_renamed(target, list(keys), "_t_"), _same_key(keys, "_t_"), "left_semi")
+
+
 def merge_metrics_columns() -> list[Column]:
     """Aggregates for an ``Observation`` over an upsert output."""
-    op = F.col(OP)
-    return [
-        F.count_if(op.isin("I", "U", "S")).alias("records_read"),
-        F.count_if(op == "I").alias("tag_i"),
-        F.count_if(op == "U").alias("tag_u"),
-        F.count_if(op == "D").alias("tag_d"),
-        F.count_if(op == "S").alias("tag_s"),
-        F.count_if(F.col(DUP)).alias("dup_rows"),
-    ]
-
-
-def counts_from_metrics(m: dict) -> dict[str, int]:
-    """records_read / inserted / updated for either physical form."""
-    updated = int(m["tag_u"]) + int(m["tag_d"])
-    inserted = int(m["tag_i"]) + int(m["tag_s"]) - int(m["tag_d"])
-    return {"records_read": int(m["records_read"]), "records_inserted": inserted,
-            "records_updated": updated}
-
-
-def merged_rows(tagged: DataFrame) -> DataFrame:
-    """Rows to store: drop replaced target rows and the tag columns."""
-    return tagged.filter(F.col(OP) != "D").drop(OP, DUP)
+    return [F.count_if(F.col(OP) == "I").alias("inserted"), F.count_if(F.col(OP) == "U").alias("updated")]

@@ -106,25 +106,9 @@ def latest_state(events: DataFrame) -> DataFrame:
             .drop("_final"))
 
 
-def compact(spark: SparkSession, table: str, files: int | None = None) -> str:
-    """Rewrite the many one-row files of an audit log into few files: a
-    ``REBALANCE`` lets AQE size them to its advisory partition size (the
-    optimize-write of the reference's audit table), or exactly ``files``.
-    Holds the append lock so no event lands in the replaced snapshot."""
-    df = spark.table(table)
-    df = df.repartition(files) if files else df.hint("rebalance")
+def compact(spark: SparkSession, table: str) -> None:
+    """Rewrite the many one-row files of an audit log into few files: a ``REBALANCE`` lets AQE size
+    them to its advisory partition size.  Maintenance, not part of a run: no driver may append to the
+    log meanwhile, because its events would stay in the replaced snapshot."""
     with _APPEND_LOCK:
-        return tb.replace_rows(spark, table, df)
-
-
-# Files an audit log may gather before a run compacts it.
-AUDIT_MAX_FILES = 256
-
-
-def maybe_compact(spark: SparkSession, table: str, max_files: int = AUDIT_MAX_FILES) -> bool:
-    """Compact when the current snapshot holds more than ``max_files`` files
-    (a file listing, no data read)."""
-    if len(spark.table(table).inputFiles()) <= max_files:
-        return False
-    compact(spark, table)
-    return True
+        tb.replace_rows(spark, table, spark.table(table).hint("rebalance"))

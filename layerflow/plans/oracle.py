@@ -8,6 +8,7 @@ from layerflow.plans import dims
 from layerflow.plans import sources_sql as S
 
 T1, T2 = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-02 00:00:00'"
+RUN1_TEXT, RUN2_TEXT = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 _INT = {"int": "INTEGER", "bigint": "BIGINT"}
 
 
@@ -48,6 +49,10 @@ def _landed(exprs, source, ts) -> str:
     return f"SELECT *, {ts} AS ingestion_timestamp FROM ({S.select_sql(exprs, source)})"
 
 
+def _landed_text(exprs) -> str:
+    return f"SELECT *, '{RUN2_TEXT}' AS ingestion_timestamp FROM ({S.select_sql(exprs, 'part')})"
+
+
 def product_raw_sql() -> str:
     return " UNION ALL ".join([_landed(S.product_exprs("old"), "part", T1),
                                _landed(S.product_exprs("new"), "part", T2),
@@ -86,16 +91,19 @@ def _ts_text(cols, ts_cols=("dwh_update_date",)) -> str:
 
 def curated_sql(d: dims.Dimension, raw_sql: str) -> str:
     cols = [r.target for r in d.rules] + ["job_run_id"]
-    return f"WITH {curated_cte(d.rules, d.key, raw_sql)} SELECT {_ts_text(cols)} FROM cur"
+    return (f"WITH {curated_cte(d.rules, d.key, raw_sql)} "
+            f"SELECT {_ts_text(cols)}, '{RUN2_TEXT}' AS curated_load_timestamp FROM cur")
 
 
 def gold_sql(d: dims.Dimension, raw_sql: str, run_id_sql: str | None = None) -> str:
+    loaded = f"CASE WHEN job_run_id = 'run-2' THEN '{RUN2_TEXT}' ELSE '{RUN1_TEXT}' END"
     derived = {r.target: typed_sql(r) for r in d.gold_rules}
     cols = [c for c in d.gold_order if c != "gold_load_timestamp"]
     sel = ", ".join(f"{derived[c]} AS {c}" if c in derived else
                     (f"CAST({c} AS VARCHAR) AS {c}" if c == "dwh_update_date" else c)
                     for c in cols)
-    return f"WITH {curated_cte(d.rules, d.key, raw_sql, run_id_sql=run_id_sql)} SELECT {sel} FROM cur"
+    return (f"WITH {curated_cte(d.rules, d.key, raw_sql, run_id_sql=run_id_sql)} "
+            f"SELECT {sel}, {loaded} AS gold_load_timestamp FROM cur")
 
 
 # The incremental flow's second landing holds the customers
@@ -137,7 +145,7 @@ _LI_LATEST = ("(SELECT * EXCLUDE (_rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTIT
               "l_suppkey ASC NULLS FIRST, l_quantity ASC NULLS FIRST, l_extendedprice ASC NULLS FIRST, "
               "l_discount ASC NULLS FIRST, l_tax ASC NULLS FIRST, l_returnflag ASC NULLS FIRST, "
               "l_linestatus ASC NULLS FIRST) AS _rn FROM lineitem) WHERE _rn = 1)")
-_LI_T = f"(SELECT * FROM {_LI_LATEST} WHERE l_returnflag <> 'N')"
+_LI_T = f"(SELECT * FROM {_LI_LATEST} WHERE l_returnflag <> 'N' OR l_linestatus = 'F')"
 _LI_S = (f"(SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM {_LI_LATEST} "
          f"WHERE l_linestatus = 'O')")
 
@@ -163,16 +171,54 @@ _RULES_RULES = [ColumnRule("product_id", "PRODUCT_ID"), ColumnRule("description"
                 ColumnRule("qty", "CYLINDER_QTY", "cast", "int")]
 
 
+# `orders` statuses with NULL and empty ones, as a partitioned table stores them.
+_BLANK = ("CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN NULL ELSE nullif(o_orderstatus, '') END")
+_PER_ORDER = ("per_order AS (SELECT l_orderkey, max(l_linenumber) AS l_linenumber, max(l_partkey) AS l_partkey, "
+              "max(l_suppkey) AS l_suppkey, max(l_quantity) AS l_quantity, max(l_extendedprice) AS l_extendedprice, "
+              "max(l_discount) AS l_discount, max(l_tax) AS l_tax, max(l_returnflag) AS l_returnflag, "
+              "max(l_linestatus) AS l_linestatus, max(l_shipdate) AS l_shipdate FROM lineitem GROUP BY l_orderkey), "
+              "big AS (SELECT * FROM per_order WHERE l_quantity >= 40), "
+              "small AS (SELECT * FROM per_order WHERE l_quantity < 10)")
+
+
+def _rejects_table_sql() -> str:
+    """Raw text of the landed product rows whose PACK or CYLINDER_QTY does not convert."""
+    rows = (f"SELECT * FROM ({S.select_sql(S.product_exprs('new'), 'part')}) UNION "
+            f"SELECT * FROM ({S.select_sql(S.product_exprs('new_twin'), 'part')})")
+    return (f"SELECT *, '{RUN2_TEXT}' AS rejected_load_timestamp, 'run-2' AS job_run_id FROM (SELECT *, concat_ws(',', "
+            f"CASE WHEN trim(PACK) = 'n/a' THEN 'pack' END, CASE WHEN trim(CYLINDER_QTY) IN ('x', '1.5') "
+            f"THEN 'cylinder_qty' END) AS rejected_columns FROM ({rows})) WHERE rejected_columns <> ''")
+
+
+def _gold_by_metadata_sql() -> str:
+    cols = [r.target for r in _RULES_RULES] + ["job_run_id"]
+    return (f"WITH {curated_cte(_RULES_RULES, 'product_id', product_raw_sql())} SELECT {', '.join(cols)}, "
+            f"concat_ws(' > ', brand, description) AS label, '{RUN2_TEXT}' AS gold_load_timestamp FROM cur")
+
+
+def _run_active_failure_sql() -> str:
+    rows = []
+    for tid, src, n0 in (("DIM_PRODUCT", "part", "2 * count(*)"), ("DIM_ENTITIES", "supplier", "count(*)")):
+        rows += [f"SELECT '{tid}' AS table_name, '0' AS layer, 'SUCCESS' AS status, {n0} AS records_read, "
+                 f"NULL::VARCHAR AS error_message FROM {src}"]
+        rows += [f"SELECT '{tid}', '{k}', 'SUCCESS', count(*), NULL FROM {src}" for k in (1, 2)]
+    error = "'no transform registered as ' || chr(39) || 'missing.l1' || chr(39)"
+    rows += ["SELECT 'DIM_CUSTOMER', '0', 'SUCCESS', count(*), NULL FROM customer",
+             f"SELECT 'DIM_CUSTOMER', '1', 'REJECTED', 0, {error}"]
+    return f"SELECT *, 'DIM_CUSTOMER' AS failed FROM ({' UNION ALL '.join(rows)})"
+
+
 def _rules_sql(rules) -> str:
     cols = [r.target for r in rules] + ["job_run_id"]
     return (f"WITH {curated_cte(rules, 'product_id', product_raw_sql())} "
-            f"SELECT {', '.join(cols)} FROM cur")
+            f"SELECT {', '.join(cols)}, '{RUN2_TEXT}' AS curated_load_timestamp FROM cur")
 
 
 def _product_gold_counts() -> str:
     """Audit rows expected from one product pipeline run (``runs`` = times)."""
     n = "(SELECT count(*) FROM part)"
-    rej = "(SELECT count(*) FROM part WHERE p_size IN (1, 3, 7))"
+    # the two landed versions of a row differ as text, so both are rejected
+    rej = "(SELECT 2 * count(*) FROM part WHERE p_size IN (1, 3, 7))"
     return n, rej
 
 
@@ -180,20 +226,19 @@ def oracle_sql() -> dict[str, str]:
     P, C, E = dims.PRODUCT, dims.CUSTOMER, dims.ENTITIES
     n, rej = _product_gold_counts()
     out = {
-        "land_csv": S.select_sql(S.product_exprs("new"), "part")
-                    + "",
+        "land_csv": _landed_text(S.product_exprs("new")),
+        "land_csv_reordered": (_landed_text(S.product_exprs("new")) + " UNION ALL "
+                               + _landed_text(S.product_exprs("new_twin"))),
         "land_lineage": ("SELECT CAST(o_orderkey AS VARCHAR) AS O_ORDERKEY, "
                          "NULLIF(o_orderstatus, '') AS O_ORDERSTATUS, true AS from_csv_file, "
                          "'2024-01-02 00:00:00' AS ingestion_timestamp, 'run-2' AS job_run_id "
                          "FROM orders"),
         "table_scan": "SELECT * FROM part",
-        "stream_land": S.select_sql(S.product_exprs("new"), "part"),
+        "stream_land": _landed_text(S.product_exprs("new")),
         "curate_product": curated_sql(P, product_raw_sql()),
         "curate_customer": curated_sql(C, customer_raw_sql()),
         "curate_entities": curated_sql(E, entities_raw_sql()),
-        "quarantine_rejects": (f"WITH {curated_cte(P.rules, P.key, product_raw_sql())} "
-                               "SELECT product_id, _rejects AS rejected_columns FROM cur "
-                               "WHERE _rejects <> ''"),
+        "quarantine_rejects": _rejects_table_sql(),
         "dedup_latest": ("SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props "
                          "FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC "
                          "NULLS LAST, event_id DESC NULLS LAST, event_type ASC NULLS FIRST, "
@@ -222,12 +267,50 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM {_null_keyed(_CUST_S, 'BUILDING')} UNION ALL "
             f"SELECT * FROM {_null_keyed(_CUST_T, 'AUTOMOBILE')} t WHERE t.c_custkey IS NULL OR NOT EXISTS "
             f"(SELECT 1 FROM {_null_keyed(_CUST_S, 'BUILDING')} s WHERE s.c_custkey = t.c_custkey)"),
-        "merge_cardinality": ("SELECT o_custkey, count(*) AS n_rows FROM orders "
-                              "WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1"),
+        "merge_cardinality": (
+            "SELECT c_custkey, c_name, true AS error_raised, (SELECT count(*) FROM (SELECT o_custkey FROM orders "
+            "WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY o_custkey HAVING count(*) > 1)) "
+            "AS ambiguous_keys FROM customer"),
+        "merge_unmatched_repeats": (
+            "SELECT c_custkey, c_name || '*' AS c_name FROM customer UNION ALL "
+            "SELECT -o_custkey - 1, o_orderpriority FROM orders"),
+        "merge_repeated_target": (
+            f"SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM (WITH {_PER_ORDER} "
+            f"SELECT b.* FROM lineitem l JOIN big b USING (l_orderkey) UNION ALL BY NAME "
+            f"SELECT l.* FROM lineitem l WHERE l_orderkey NOT IN (SELECT l_orderkey FROM big) UNION ALL BY NAME "
+            f"SELECT * REPLACE (-l_orderkey AS l_orderkey) FROM small)"),
+        "merge_repeated_target_metrics": (
+            f"WITH {_PER_ORDER} SELECT (SELECT count(*) FROM big) + (SELECT count(*) FROM small) AS records_read, "
+            f"(SELECT count(*) FROM small) AS records_inserted, "
+            f"(SELECT count(*) FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM big)) AS records_updated"),
+        "merge_partition_null": (
+            f"SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority <> '3-MEDIUM' THEN {_BLANK} END "
+            f"AS o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders "
+            f"UNION ALL SELECT -o_orderkey - 1, o_custkey, NULL, o_totalprice, CAST(o_orderdate AS VARCHAR), "
+            f"o_orderpriority FROM orders WHERE o_orderpriority = '5-LOW'"),
+        "update_partition_blank": (
+            f"SELECT * REPLACE (CASE WHEN o_orderstatus IS NULL THEN 'none' ELSE o_orderpriority END AS o_orderpriority) "
+            f"FROM (" + _ORDERS.format(status=f"nullif({_BLANK}, 'P')", prio="o_orderpriority") + ")"),
+        "drop_recreate": "SELECT * REPLACE (lower(c_name) AS c_name), true AS was_gone FROM customer",
+        "gold_by_metadata": _gold_by_metadata_sql(),
+        "audit_fields": (
+            "SELECT 'run-2' AS job_run_id, 'PRODUCT' AS table_name, layer, 'RU-7' AS reporting_unit_id, "
+            "'SUCCESS' AS status, n AS records_read, n AS records_inserted, 0::BIGINT AS records_updated, "
+            "CASE WHEN layer = '1' THEN r ELSE 0 END AS records_rejected, true AS by_session_user, "
+            "true AS ends_after_start, NULL::VARCHAR AS error_message FROM (VALUES ('1'), ('2')) v(layer), "
+            "(SELECT count(*) AS n, 2 * count(*) FILTER (p_size IN (1, 3, 7)) AS r FROM part)"),
+        "audit_compact": ("SELECT 'DIM_ENTITIES' AS table_name, layer, 'SUCCESS' AS status, count(*) AS records_read, "
+                          "true AS fewer_files FROM supplier, (VALUES ('0'), ('1'), ('2')) v(layer) GROUP BY layer"),
+        "incremental_null_watermark": (
+            "SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props FROM (SELECT *, ROW_NUMBER() "
+            "OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS _rn FROM (SELECT * REPLACE "
+            "(CASE WHEN event_type <> 'purchase' THEN ts END AS ts) FROM events)) WHERE _rn = 1"),
+        "incremental_ties": _ORDERS.format(status="o_orderstatus", prio="o_orderpriority"),
+        "incremental_numeric_text": ("SELECT *, CAST(o_orderkey AS VARCHAR) AS seq FROM ("
+                                     + _ORDERS.format(status="o_orderstatus", prio="o_orderpriority") + ")"),
+        "run_active_failure": _run_active_failure_sql(),
         "merge_schema_fit": _MERGED,
-        "not_null_check": ("SELECT count(*) AS rows_total, count(*) FILTER "
-                           "(WHERE c_mktsegment = 'AUTOMOBILE' OR c_custkey IS NULL) AS null_keys "
-                           "FROM customer"),
+        "not_null_check": "SELECT *, 'MERGE,APPEND' AS raised FROM customer WHERE c_custkey IS NOT NULL",
         "insert_values": f"SELECT * FROM {_META}",
         "metadata_lookup": (f"SELECT table_id, source_table, table_group, table_is_active "
                             f"FROM {_META} WHERE table_id = 'DIM_PART_7'"),
@@ -301,7 +384,7 @@ def _run_active_sql() -> str:
     rows = []
     for tid, src, n0, rej in (
             ("DIM_PRODUCT", "part", "2 * (SELECT count(*) FROM part)",
-             "(SELECT count(*) FROM part WHERE p_size IN (1, 3, 7))"),
+             "(SELECT 2 * count(*) FROM part WHERE p_size IN (1, 3, 7))"),
             ("DIM_CUSTOMER", "customer", "(SELECT count(*) FROM customer)",
              "(SELECT count(*) FROM customer WHERE c_acctbal < 100)"),
             ("DIM_ENTITIES", "supplier", "(SELECT count(*) FROM supplier)",

@@ -15,23 +15,23 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerflow.functions.rules import REJECT_COLUMN, has_rejects, rules_from_metadata
+from layerflow.functions.rules import ColumnRule, rules_from_metadata
 from layerflow.operators import tables as tb
-from layerflow.operators.publish import WriteResult, co_located, key_bytes_metric, publish, stage
+from layerflow.operators.publish import WriteResult, publish
 from layerflow.operators.upsert import parse_keys
 from layerflow.plans import audit as au
 from layerflow.plans import dims, specs
-from layerflow.plans.transforms import curate, enrich, land
+from layerflow.plans.transforms import curate, enrich, land, rejected
 from layerflow.session import RunContext
 from layerflow.sources.jdbc import read_jdbc
 from layerflow.sources.files import LINEAGE_COLUMNS, with_lineage
 from layerflow.streaming.landing import land_available
-from layerflow.sources.tables import (WATERMARK_PROPERTY, encode_watermark, next_batch,
-                                      stored_watermark)
+from layerflow.sources.tables import (WATERMARK_PROPERTY, encode_watermark, history_of, next_batch,
+                                      source_batch, stored_watermark)
 
 # The load-time column each layer writes.
 LOAD_TS = {0: "ingestion_timestamp", 1: "curated_load_timestamp", 2: "gold_load_timestamp"}
@@ -42,9 +42,8 @@ class PipelineConfig:
     metadata_table: str
     audit_table: str
     root: str                      # folder below which new tables get their snapshots
-    strategy: str = "auto"         # merge strategy, see operators.publish
-    buckets: int = 0               # >0: MERGE targets bucketed on their keys
-    audit_max_files: int = au.AUDIT_MAX_FILES
+    buckets: int = 0               # >0: MERGE targets bucketed on their keys (Spark's CLUSTERED BY)
+    provider: str = "parquet"      # table format of new tables; see operators.publish for others
     stream_landing: bool = False   # layer 0 lands only files not landed before
     # set: after each write, delete the target's unread snapshots older than this
     expire_snapshots_after: float | None = None
@@ -59,48 +58,74 @@ class LayerContext:
     layer: int
     run: RunContext
     config: PipelineConfig
-    # set by upstream() in incremental mode: (source table, column, new token)
+    # set in incremental mode: (source table, column, new token)
     watermark: tuple[str, str, str] | None = None
     nothing_new: bool = False
+    # set by reject(): rows with values that did not convert, written after the publish
+    rejects: DataFrame | None = None
 
     @property
     def target(self) -> specs.LayerSpec:
         return self.spec.layer(self.layer)
 
-    def watermark_column(self, columns) -> str | None:
-        """Incremental mode is on when the metadata names a watermark column.
-        Layer 1 reads the raw table by that column; later layers read the
-        previous layer by its load time, which changes exactly on the rows
-        the previous run inserted or updated."""
+    @property
+    def business_watermark(self) -> str | None:
+        """The watermark column when it is the source's own, not the library's load time: layer 0 reads
+        the source by it, typed.  Later layers always read by load time."""
         wm = self.spec.watermark_column
-        if not wm:
+        return wm if wm and wm not in LOAD_TS.values() else None
+
+    def _stored(self, src: str, col: str) -> str | None:
+        tgt = self.target.table_name
+        if not self.spark.catalog.tableExists(tgt):
             return None
-        if self.layer > 1 and LOAD_TS[self.layer - 1] in columns:
-            return LOAD_TS[self.layer - 1]
-        if wm not in columns:
-            raise ValueError(f"{self.spec.table_id}: watermark column {wm!r} is not in "
-                             f"layer {self.layer - 1}")
-        return wm
-
-    def upstream(self) -> DataFrame:
-        """The previous layer's table; in incremental mode only the rows
-        after the watermark stored on the target by the last successful run,
-        up to the current maximum (recorded here, stored after the write)."""
-        src = self.spec.layer(self.layer - 1).table_name
-        df = self.spark.table(src)
-        col = self.watermark_column(df.columns)
+        return stored_watermark(tb.table_properties(self.spark, tgt), src, col)
+
+    def source_rows(self, df: DataFrame, src: str) -> DataFrame:
+        """Layer 0: the rows of a typed source from the stored business watermark on."""
+        col = self.business_watermark
         if col is None:
             return df
-        tgt = self.target.table_name
-        last = None
-        if self.spark.catalog.tableExists(tgt):
-            last = stored_watermark(tb.table_properties(self.spark, tgt), src, col)
-        batch, token = next_batch(df, col, last)
+        batch, token = source_batch(df, col, self._stored(src, col))
+        if token is not None:
+            self.watermark = (src, col, token)
+        return batch
+
+    def _batch(self) -> tuple[DataFrame, DataFrame]:
+        """(rows not read before, all rows so far) of the previous layer's table.  Without a watermark
+        column in the metadata both are the whole table; with one, the rows whose load time is after
+        the one stored on the target by the last successful run, up to the current maximum (recorded
+        here, stored after the write)."""
+        src = self.spec.layer(self.layer - 1).table_name
+        df = self.spark.table(src)
+        if not self.spec.watermark_column:
+            return df, df
+        col = LOAD_TS[self.layer - 1]
+        if col not in df.columns:
+            raise ValueError(f"{self.spec.table_id}: {src} has no load time {col!r}")
+        batch, token = next_batch(df, col, self._stored(src, col))
         if token is None:
             self.nothing_new = True
         else:
             self.watermark = (src, col, token)
-        return batch
+        return batch, df
+
+    def upstream(self, keys: dict[str, Column] | None = None) -> DataFrame:
+        """The previous layer's rows to transform.  ``keys`` (name -> expression over that layer):
+        in incremental mode, all rows so far of the keys that have new ones, for transforms that pick
+        one row per key."""
+        batch, every = self._batch()
+        return history_of(batch, every, keys) if keys and batch is not every else batch
+
+    def upstream_by_rules(self, rules: list[ColumnRule], keys: list[str]) -> DataFrame:
+        """:meth:`upstream` for a curation by ``rules`` with one row per ``keys``; the new rows whose
+        values do not convert are kept for the reject table."""
+        batch, every = self._batch()
+        self.rejects = rejected(batch, rules, self.run)
+        if batch is every:
+            return every
+        own = {r.target: r.expression() for r in rules if r.target in keys}
+        return history_of(batch, every, own)
 
 
 @dataclass(frozen=True)
@@ -127,11 +152,15 @@ def register(name: str, schema: Callable[[LayerContext], T.StructType | None] |
 def _land_source(ctx: LayerContext, columns=None) -> DataFrame:
     spec = ctx.spec
     if (spec.source_system or "FILE").upper() == "FILE":
+        if ctx.business_watermark:
+            raise ValueError(f"{spec.table_id}: watermark {spec.watermark_column!r} is text in a file source; "
+                             f"use {LOAD_TS[0]}")
         return land(ctx.spark, spec.source_table, ctx.run, columns)
     if not ctx.config.jdbc_url:
         raise ValueError(f"{spec.table_id}: source {spec.source_system} needs a jdbc_url")
     table = ".".join(p for p in (spec.source_schema, spec.source_table) if p)
     df = read_jdbc(ctx.spark, ctx.config.jdbc_url, table, **ctx.config.jdbc_options)
+    df = ctx.source_rows(df, table)
     df = df.select(*[F.col(c).cast("string").alias(c) for c in (columns or df.columns)])
     return with_lineage(df, ctx.run, source_name=f"{spec.source_system}:{table}")
 
@@ -139,7 +168,7 @@ def _land_source(ctx: LayerContext, columns=None) -> DataFrame:
 def _register_dimension(d: dims.Dimension) -> None:
     register(f"{d.name}.l0", lambda ctx: d.raw_schema)(lambda ctx: _land_source(ctx, d.raw))
     register(f"{d.name}.l1", lambda ctx: d.curated_schema)(
-        lambda ctx: curate(ctx.upstream(), d.rules, [d.key], ctx.run))
+        lambda ctx: curate(ctx.upstream_by_rules(d.rules, [d.key]), d.rules, [d.key], ctx.run, track_rejects=False))
     register(f"{d.name}.l2", lambda ctx: d.gold_schema, narrow=True)(
         lambda ctx: enrich(ctx.upstream(), d.gold_rules, d.gold_order, ctx.run))
 
@@ -157,8 +186,8 @@ def _land_generic(ctx: LayerContext) -> DataFrame:
 def _curate_generic(ctx: LayerContext) -> DataFrame:
     """Layer 1 from metadata: column mapping + transformation rules."""
     t = ctx.target
-    rules = rules_from_metadata(t.column_mapping, t.transformation_rules)
-    return curate(ctx.upstream(), rules, parse_keys(t.merge_keys), ctx.run)
+    rules, keys = rules_from_metadata(t.column_mapping, t.transformation_rules), parse_keys(t.merge_keys)
+    return curate(ctx.upstream_by_rules(rules, keys), rules, keys, ctx.run, track_rejects=False)
 
 
 @register("gold_rules", narrow=True)
@@ -171,6 +200,14 @@ def _gold_generic(ctx: LayerContext) -> DataFrame:
     return enrich(src, rules, order + ["gold_load_timestamp", "job_run_id"], ctx.run)
 
 
+class RunFailed(RuntimeError):
+    """Some tables of a run failed; ``errors`` and ``status`` are by table id."""
+
+    def __init__(self, errors: dict[str, Exception], status: dict[str, str]):
+        super().__init__("failed: " + "; ".join(f"{t}: {e}" for t, e in sorted(errors.items())))
+        self.errors, self.status = errors, status
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, config: PipelineConfig, run: RunContext):
         if run.executed_by is None:
@@ -190,48 +227,31 @@ class Pipeline:
         name = t.table_name
         load_type = t.load_type or ("APPEND" if ctx.layer == 0 else "MERGE")
         keys = parse_keys(t.merge_keys) if ctx.layer != 0 and load_type.upper() == "MERGE" else None
-        strategy = cfg.strategy
-        if (narrow and strategy == "auto" and keys and REJECT_COLUMN not in df.columns
-                and not (spark.catalog.tableExists(name) and co_located(spark, name, keys)[1])):
-            # a narrow source is merged straight from its plan: a bounded job
-            # measures its keys for the broadcast choice, nothing is staged
-            strategy = "broadcast"
         if "." in name:
             tb.create_schema(spark, name.rsplit(".", 1)[0])
         # the metadata's partition column applies to the layers that have it
         pc = ctx.spec.partition_column
         parts = [pc] if pc and pc in df.columns else []
-        opts = dict(root=self._table_root(name), schema=schema, strategy=strategy,
-                    buckets=cfg.buckets if keys else 0, partition_by=parts)
-        if REJECT_COLUMN not in df.columns:
-            return publish(spark, df, name, load_type, keys, **opts)
-        # one staged pass gives the source rows, the reject count and the reject rows;
-        # it is bucketed like the target so the merge needs no shuffle
-        bcols, nb = [], 0
-        if keys and spark.catalog.tableExists(name):
-            bcols, nb = co_located(spark, name, keys)
-        elif keys and cfg.buckets:
-            bcols, nb = keys, cfg.buckets
-        metrics = [F.count_if(has_rejects()).alias("rejected")]
-        if keys:
-            metrics.append(key_bytes_metric(df.schema, keys))
-        st = stage(spark, df, name, bcols, nb, metrics=metrics)
-        try:
-            staged = st.frame(spark)
-            rejected = int(st.metrics["rejected"])
-            if rejected:
-                rname = name + "_rejects"
-                rejects = staged.filter(has_rejects())
-                if not spark.catalog.tableExists(rname):
-                    tb.create_table(spark, rname, rejects.schema, self._table_root(rname))
-                tb.append_rows(spark, rname, rejects)
-            res = publish(spark, staged.drop(REJECT_COLUMN), name, load_type, keys,
-                          staged=st, **opts)
-        finally:
-            st.drop(spark)
-        res.records_rejected = rejected
+        res = publish(spark, df, name, load_type, keys, root=self._table_root(name), schema=schema,
+                      narrow=narrow, buckets=cfg.buckets if keys else 0, partition_by=parts, provider=cfg.provider)
+        if ctx.rejects is not None:
+            res.records_rejected = self._write_rejects(ctx.rejects, name + "_rejects")
         return res
 
+    def _write_rejects(self, rows: DataFrame, name: str) -> int:
+        """Replace this run's rows of the reject table (partitioned by run), after the publish: a
+        failed run leaves none, a repeated one leaves one set."""
+        spark, run_id = self.spark, self.run.job_run_id
+        tb.create_table(spark, name, rows.schema, self._table_root(name), partition_by=["job_run_id"])
+        obs = Observation()
+        tb.replace_rows(spark, name, rows, obs, [F.count(F.lit(1)).alias("n")])
+        n = int(obs.get["n"])
+        if not n:
+            old = spark.sql(f"SHOW PARTITIONS {tb.check_name(name)} PARTITION (job_run_id = {tb.sql_string(run_id)})")
+            if old.count():
+                tb.drop_partitions(spark, name, ["job_run_id"], [{"job_run_id": run_id}])
+        return n
+
     def run_layer(self, table_id: str, layer: int, spec: specs.TableSpec | None = None) -> str:
         """One (table, layer); ``spec``: the table's metadata when the caller
         already looked it up."""
@@ -308,8 +328,6 @@ class Pipeline:
         if not ctx.spec.watermark_column or nxt not in ctx.spec.layers:
             return
         col = LOAD_TS[ctx.layer]
-        if ctx.layer == 0 and ctx.spec.watermark_column != col:
-            return      # a business column of the source, not our load time
         down = ctx.spec.layer(nxt).table_name
         if not self.spark.catalog.tableExists(down):
             return
@@ -322,35 +340,39 @@ class Pipeline:
                              f"of {down}; its rows would never be read downstream")
 
     def run_table(self, table_id: str, layers=specs.LAYERS) -> str:
-        """Layers in order; stop at the first SKIPPED; errors propagate.
-        Afterwards the audit log is compacted once it holds too many files."""
+        """Layers in order; stop at the first SKIPPED; errors propagate, and each is in the audit log,
+        a failed metadata lookup too (under the first layer)."""
         status = au.SUCCESS
-        spec = specs.lookup(self.metadata(), table_id)     # one lookup for all layers
+        try:
+            spec = specs.lookup(self.metadata(), table_id)     # one lookup for all layers
+        except Exception as e:
+            h = au.start_run(self.spark, self.config.audit_table, self.run, table_id, layers[0])
+            au.end_run(self.spark, self.config.audit_table, h, au.REJECTED, error_message=str(e))
+            raise
         for layer in layers:
             status = self.run_layer(table_id, layer, spec)
             if status == au.SKIPPED:
                 break
             if status != au.SUCCESS:
                 raise RuntimeError(f"unexpected status {status} for {table_id} layer {layer}")
-        if au.maybe_compact(self.spark, self.config.audit_table, self.config.audit_max_files) \
-                and self.config.expire_snapshots_after is not None:
-            tb.expire_snapshots(self.spark, self.config.audit_table,
-                                self.config.expire_snapshots_after)
         return status
 
     def run_active(self, table_group: str | None = None, max_parallel: int = 1) -> dict[str, str]:
-        """Every active table; up to ``max_parallel`` tables run at once as
-        concurrent Spark jobs from driver threads.  A failing table is
-        recorded as REJECTED and does not stop the others."""
-        ids = specs.active_ids(self.metadata(), table_group)
+        """Every active table; up to ``max_parallel`` tables run at once as concurrent Spark jobs from
+        driver threads.  A failing table does not stop the others; when all are done, one
+        :class:`RunFailed` names those that failed."""
+        ids = list(dict.fromkeys(specs.active_ids(self.metadata(), table_group)))
+        failed: dict[str, Exception] = {}
 
         def one(tid):
             try:
                 return tid, self.run_table(tid)
-            except Exception:
+            except Exception as e:
+                failed[tid] = e
                 return tid, au.REJECTED
 
-        if max_parallel <= 1:
-            return dict(one(t) for t in ids)
-        with ThreadPoolExecutor(max_workers=max_parallel) as ex:
-            return dict(ex.map(one, ids))
+        with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as ex:
+            status = dict(ex.map(one, ids))
+        if failed:
+            raise RunFailed(failed, status)
+        return status

@@ -14,28 +14,28 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from layerflow.functions.rules import REJECT_COLUMN, has_rejects, rules_from_metadata
+from layerflow.functions.rules import REJECT_COLUMN
 from layerflow.operators import tables as tb
 from layerflow.operators.dedup import dedup_latest
-from layerflow.operators.publish import publish
+from layerflow.operators.publish import MergeCardinalityError, publish
 from layerflow.operators.update import add_column_with_backfill, update_table
-from layerflow.operators.upsert import duplicate_keys
+from layerflow.operators.upsert import ambiguous_keys
 from layerflow.plans import audit as au
 from layerflow.plans import dims, specs
 from layerflow.plans import sources_sql as S
-from layerflow.plans.pipeline import LayerContext, Pipeline, PipelineConfig, register, TRANSFORMS
+from layerflow.plans.pipeline import LayerContext, Pipeline, PipelineConfig, RunFailed, register
 from layerflow.plans.transforms import curate, enrich, land
 from layerflow.session import RunContext, scratch_dir
 from layerflow.sources.files import stage_csv
-from layerflow.sources.tables import high_watermark, incremental_read
+from layerflow.sources.tables import high_watermark, history_of, incremental_read, source_batch
 from layerflow.streaming.landing import land_available
 
 UTC = dt.timezone.utc
 # The two landing runs every query uses.
 RUN1 = RunContext("run-1", dt.datetime(2024, 1, 1, tzinfo=UTC))
 RUN2 = RunContext("run-2", dt.datetime(2024, 1, 2, tzinfo=UTC))
-LOAD_TS = ("ingestion_timestamp", "curated_load_timestamp", "gold_load_timestamp")
 
 
 class Workspace:
@@ -100,9 +100,8 @@ def _curated(ws: Workspace, d: dims.Dimension, raw: DataFrame) -> DataFrame:
 
 
 def _out(df: DataFrame) -> DataFrame:
-    """Compared columns: load timestamps and the reject list left out,
-    timestamps rendered as text."""
-    df = df.drop(*LOAD_TS, REJECT_COLUMN)
+    """Compared columns: the reject list left out, timestamps rendered as text."""
+    df = df.drop(REJECT_COLUMN)
     return df.withColumns({f.name: F.col(f.name).cast("string") for f in df.schema.fields
                            if f.dataType.typeName() in ("timestamp", "timestamp_ntz")})
 
@@ -133,6 +132,16 @@ def q_table_scan(spark, sf):
     return spark.table(name)
 
 
+def q_land_csv_reordered(spark, sf):
+    """Two drops of `part` in one folder, the second with its columns in reverse order and one more."""
+    ws = Workspace(spark, sf)
+    p, cols = ws.t("part"), list(dims.PRODUCT_RAW)
+    path = ws.stage(_sel(p, S.product_exprs("new")), "reordered")
+    twin = _sel(p, S.product_exprs("new_twin")).withColumn("EXTRA", F.lit("x"))
+    stage_csv(twin.select("EXTRA", *reversed(cols)), path, mode="append")
+    return _out(land(spark, path, RUN2, cols).drop("source_file_name", "job_run_id"))
+
+
 def q_stream_land(spark, sf):
     ws = Workspace(spark, sf)
     drop = ws.stage(_sel(ws.t("part"), S.product_exprs("new")), "stream")
@@ -157,10 +166,11 @@ def q_curate_entities(spark, sf):
 
 
 def q_quarantine_rejects(spark, sf):
-    ws = Workspace(spark, sf)
-    cur = _curated(ws, dims.PRODUCT, product_raw(ws))
-    return cur.filter(has_rejects()).select("product_id",
-                                            F.col(REJECT_COLUMN).alias("rejected_columns"))
+    """Two identical runs: the reject table holds the run's raw text once."""
+    ws, p, _ = _pipeline(spark, sf, table_ids=("DIM_PRODUCT",))
+    p.run_table("DIM_PRODUCT")
+    p.run_table("DIM_PRODUCT")
+    return _out(spark.table(ws.name("dim_product_curated_rejects")))
 
 
 def q_dedup_latest(spark, sf):
@@ -220,52 +230,75 @@ def _customer_target_source(ws: Workspace):
     return target, source
 
 
-def _merged_customers(spark, sf, strategy):
+def _merged_customers(spark, sf, **opts):
     ws = Workspace(spark, sf)
     target, source = _customer_target_source(ws)
     name = ws.name("customer_t")
     publish(spark, target, name, "MERGE", "c_custkey", root=ws.table_root("customer_t"))
-    res = publish(spark, source, name, "MERGE", "c_custkey", strategy=strategy)
+    res = publish(spark, source, name, "MERGE", "c_custkey", **opts)
     return spark.table(name), res
 
 
+def _counts(spark, res) -> DataFrame:
+    c = res.counts()
+    return spark.createDataFrame(
+        [(c["records_read"], c["records_inserted"], c["records_updated"])],
+        "records_read bigint, records_inserted bigint, records_updated bigint")
+
+
 def q_merge_upsert(spark, sf):
-    return _merged_customers(spark, sf, "shuffle")[0]
+    return _merged_customers(spark, sf)[0]
 
 
 def q_merge_upsert_broadcast(spark, sf):
-    return _merged_customers(spark, sf, "broadcast")[0]
+    """A narrow source, merged straight from its plan: Spark broadcasts it by its own estimate."""
+    return _merged_customers(spark, sf, narrow=True)[0]
 
 
 def q_merge_metrics(spark, sf):
-    df, res = _merged_customers(spark, sf, "auto")
-    c = res.counts()
-    return df.sparkSession.createDataFrame(
-        [(c["records_read"], c["records_inserted"], c["records_updated"])],
-        "records_read bigint, records_inserted bigint, records_updated bigint")
+    return _counts(spark, _merged_customers(spark, sf)[1])
 
 
 def q_merge_bucketed(spark, sf):
-    """Target bucketed on the key: the merge joins bucket to bucket (no
-    exchange of the target) and writes one file per bucket."""
+    """Target bucketed on the key by Spark's own CLUSTERED BY."""
     ws = Workspace(spark, sf)
     target, source = _customer_target_source(ws)
     name = ws.name("customer_b")
     publish(spark, target, name, "MERGE", "c_custkey", root=ws.table_root("customer_b"), buckets=8)
-    publish(spark, source, name, "MERGE", "c_custkey", strategy="shuffle")
+    publish(spark, source, name, "MERGE", "c_custkey")
     return spark.table(name)
 
 
+def _repeated_target(spark, sf):
+    """`lineitem` keyed by order alone (keys repeat), merged with one row per order: big orders are
+    updated in every row, small ones come again under a new key."""
+    ws = Workspace(spark, sf)
+    li, name = ws.t("lineitem"), ws.name("lineitem_r")
+    publish(spark, li, name, "MERGE", "l_orderkey", root=ws.table_root("lineitem_r"))
+    per_order = li.groupBy("l_orderkey").agg(*[F.max(c).alias(c) for c in li.columns if c != "l_orderkey"])
+    source = per_order.where("l_quantity >= 40").unionByName(
+        per_order.where("l_quantity < 10").withColumn("l_orderkey", -F.col("l_orderkey")))
+    return name, publish(spark, source, name, "MERGE", "l_orderkey")
+
+
+def q_merge_repeated_target(spark, sf):
+    return _out(spark.table(_repeated_target(spark, sf)[0]))
+
+
+def q_merge_repeated_target_metrics(spark, sf):
+    return _counts(spark, _repeated_target(spark, sf)[1])
+
+
 def q_merge_composite_key(spark, sf):
     ws = Workspace(spark, sf)
     latest = dedup_latest(ws.t("lineitem"), ["l_orderkey", "l_linenumber"], [("l_shipdate", "desc")])
-    target = latest.filter(F.col("l_returnflag") != "N")
+    target = latest.filter((F.col("l_returnflag") != "N") | (F.col("l_linestatus") == "F"))
     source = latest.filter(F.col("l_linestatus") == "O").withColumn(
         "l_quantity", F.col("l_quantity") + 1)
     name = ws.name("lineitem_t")
     keys = "l_orderkey, l_linenumber"
     publish(spark, target, name, "MERGE", keys, root=ws.table_root("lineitem_t"))
-    publish(spark, source, name, "MERGE", keys, strategy="shuffle")
+    publish(spark, source, name, "MERGE", keys)
     return _out(spark.table(name))
 
 
@@ -280,12 +313,34 @@ def q_merge_null_key(spark, sf):
     name = ws.name("customer_n")
     publish(spark, _null_keyed(target, "AUTOMOBILE"), name, "MERGE", "c_custkey",
             root=ws.table_root("customer_n"))
-    publish(spark, _null_keyed(source, "BUILDING"), name, "MERGE", "c_custkey", strategy="shuffle")
+    publish(spark, _null_keyed(source, "BUILDING"), name, "MERGE", "c_custkey")
     return spark.table(name)
 
 
 def q_merge_cardinality(spark, sf):
-    return duplicate_keys(Workspace(spark, sf).t("orders"), ["o_custkey"])
+    """Orders merged as customers: most customers match several source rows.  The merge fails and the
+    table stays as it was."""
+    ws = Workspace(spark, sf)
+    c, name = ws.t("customer").select("c_custkey", "c_name"), ws.name("customer_c")
+    source = ws.t("orders").select(F.col("o_custkey").alias("c_custkey"), F.lit("changed").alias("c_name"))
+    publish(spark, c, name, "MERGE", "c_custkey", root=ws.table_root("customer_c"))
+    n = ambiguous_keys(spark.table(name), source, ["c_custkey"]).count()
+    try:
+        publish(spark, source, name, "MERGE", "c_custkey")
+        raised = False
+    except MergeCardinalityError:
+        raised = True
+    return spark.table(name).withColumns({"error_raised": F.lit(raised), "ambiguous_keys": F.lit(n).cast("long")})
+
+
+def q_merge_unmatched_repeats(spark, sf):
+    """Source keys that repeat but match no target row are all inserted."""
+    ws = Workspace(spark, sf)
+    c, name = ws.t("customer").select("c_custkey", "c_name"), ws.name("customer_x")
+    publish(spark, c, name, "MERGE", "c_custkey", root=ws.table_root("customer_x"))
+    new = ws.t("orders").select((-F.col("o_custkey") - 1).alias("c_custkey"), F.col("o_orderpriority").alias("c_name"))
+    publish(spark, new.unionByName(c.withColumn("c_name", F.concat("c_name", F.lit("*")))), name, "MERGE", "c_custkey")
+    return spark.table(name)
 
 
 def q_merge_schema_fit(spark, sf):
@@ -298,9 +353,30 @@ def q_merge_schema_fit(spark, sf):
 
 
 def q_not_null_check(spark, sf):
-    c = _null_keyed(Workspace(spark, sf).t("customer"), "AUTOMOBILE")
-    return c.agg(F.count(F.lit(1)).alias("rows_total"),
-                 F.count_if(F.col("c_custkey").isNull()).alias("null_keys"))
+    """A merge or append with NULL keys into a table whose key is NOT NULL fails; the table stays as it was."""
+    ws = Workspace(spark, sf)
+    c, name = ws.t("customer"), ws.name("customer_nn")
+    required = T.StructType([T.StructField(f.name, f.dataType, f.name != "c_custkey") for f in c.schema.fields])
+    publish(spark, c.where("c_custkey IS NOT NULL"), name, "MERGE", "c_custkey", schema=required,
+            root=ws.table_root("customer_nn"))
+    raised = []
+    for load_type in ("MERGE", "APPEND"):
+        try:
+            publish(spark, _null_keyed(c, "AUTOMOBILE").withColumn("c_name", F.lit("changed")), name, load_type, "c_custkey")
+        except Exception as e:
+            raised += [load_type] if "NOT NULL" in str(e) else []
+    return spark.table(name).withColumn("raised", F.lit(",".join(raised)))
+
+
+def q_drop_recreate(spark, sf):
+    """A dropped table is gone; the same name can be created again over another folder."""
+    ws = Workspace(spark, sf)
+    c, name = ws.t("customer"), ws.name("customer_d")
+    publish(spark, c, name, "APPEND", root=ws.table_root("first"))
+    tb.drop_table(spark, name)
+    gone = not spark.catalog.tableExists(name)
+    publish(spark, c.withColumn("c_name", F.lower("c_name")), name, "APPEND", root=ws.table_root("second"))
+    return spark.table(name).withColumn("was_gone", F.lit(gone))
 
 
 # ---------------------------------------------------------------- metadata
@@ -414,16 +490,51 @@ PRODUCT_RULES_JSON = ('[{"target": "pack", "source": "PACK", "rule": "cast", "ty
                       ' {"target": "qty", "source": "CYLINDER_QTY", "rule": "cast", "type": "int"}]')
 
 
-def q_column_mapping(spark, sf):
+# A metadata rule of the gold layer.
+PRODUCT_GOLD_JSON = '[{"target": "label", "rule": "path", "columns": ["brand", "description"]}]'
+
+
+def _by_metadata(spark, sf, rules: str | None, layers=(1,), gold: str | None = None) -> tuple[Workspace, str]:
+    """The product raw table run through the rule transforms that its metadata row names."""
     ws = Workspace(spark, sf)
-    rules = rules_from_metadata(PRODUCT_MAPPING, None)
-    return _out(curate(product_raw(ws), rules, ["product_id"], RUN2))
+    publish(spark, product_raw(ws), ws.name("product_raw"), "APPEND", root=ws.table_root("product_raw"))
+    meta = ws.name("ingestion_metadata")
+    tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
+    row = {"table_id": "PRODUCT", "source_system": "FILE", "reporting_unit_id": "RU-7",
+           "layer1_script_path": "curate_rules", "layer2_script_path": "gold_rules",
+           "layer1_column_mapping": PRODUCT_MAPPING, "layer1_transformation_rules": rules,
+           "layer2_transformation_rules": gold}
+    for n, name in enumerate(("product_raw", "product_curated", "product_gold")):
+        row.update({f"layer{n}_target_schema": ws.schema, f"layer{n}_target_table": name, f"layer{n}_is_active": True,
+                    f"layer{n}_load_type": "MERGE" if n else "APPEND"})
+        if n:
+            row[f"layer{n}_merge_keys"] = "product_id"
+    publish(spark, specs.metadata_frame(spark, [row]), meta, "APPEND")
+    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables")
+    Pipeline(spark, cfg, RUN2).run_table("PRODUCT", layers)
+    return ws, cfg.audit_table
+
+
+def q_column_mapping(spark, sf):
+    return _out(spark.table(_by_metadata(spark, sf, None)[0].name("product_curated")))
 
 
 def q_transformation_rules(spark, sf):
-    ws = Workspace(spark, sf)
-    rules = rules_from_metadata(PRODUCT_MAPPING, PRODUCT_RULES_JSON)
-    return _out(curate(product_raw(ws), rules, ["product_id"], RUN2))
+    return _out(spark.table(_by_metadata(spark, sf, PRODUCT_RULES_JSON)[0].name("product_curated")))
+
+
+def q_gold_by_metadata(spark, sf):
+    ws, _ = _by_metadata(spark, sf, PRODUCT_RULES_JSON, (1, 2), PRODUCT_GOLD_JSON)
+    return _out(spark.table(ws.name("product_gold")))
+
+
+def q_audit_fields(spark, sf):
+    """The audit columns a run fills: user, reporting unit, states and counts."""
+    _, audit = _by_metadata(spark, sf, PRODUCT_RULES_JSON, (1, 2), PRODUCT_GOLD_JSON)
+    return au.latest_state(spark.table(audit)).select(
+        "job_run_id", "table_name", "layer", "reporting_unit_id", "status", "records_read", "records_inserted",
+        "records_updated", "records_rejected", (F.col("executed_by") == F.current_user()).alias("by_session_user"),
+        (F.col("end_time") >= F.col("start_time")).alias("ends_after_start"), "error_message")
 
 
 @register("orders_open_value")
@@ -436,12 +547,58 @@ def _orders_open_value(ctx: LayerContext) -> DataFrame:
 
 
 def q_custom_transform(spark, sf):
-    _, name = _orders_table(spark, sf)
-    spec = specs.TableSpec("ORDERS", layers={
-        0: specs.LayerSpec(0, None, name.split(".")[0], name.split(".")[1], None, "APPEND", True),
-        1: specs.LayerSpec(1, None, "x", "y", "orders_open_value", "MERGE", True, "o_orderkey")})
-    ctx = LayerContext(spark, spec, 1, RUN2, None)
-    return TRANSFORMS["orders_open_value"].fn(ctx)
+    ws, name = _orders_table(spark, sf)
+    meta = ws.name("ingestion_metadata")
+    tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
+    publish(spark, specs.metadata_frame(spark, [{
+        "table_id": "ORDERS", "layer0_target_schema": ws.schema, "layer0_target_table": name.split(".")[1],
+        "layer1_target_schema": ws.schema, "layer1_target_table": "orders_open", "layer1_is_active": True,
+        "layer1_script_path": "orders_open_value", "layer1_load_type": "MERGE", "layer1_merge_keys": "o_orderkey"}]),
+        meta, "APPEND")
+    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables")
+    Pipeline(spark, cfg, RUN2).run_layer("ORDERS", 1)
+    return spark.table(ws.name("orders_open"))
+
+
+def _two_arrivals(ws: Workspace, first: DataFrame, every: DataFrame, column: str, keys, order,
+                  data_type: str | None = None) -> DataFrame:
+    """A source read twice by its business watermark into a raw history, then curated: the latest row
+    per key, among all rows so far of the keys in the second batch."""
+    spark, raw, cur = ws.spark, ws.name("raw"), ws.name("cur")
+    token = None
+    for n, source in enumerate((first, every)):
+        batch, token = source_batch(source, column, token, data_type)
+        batch = batch.withColumn("load_no", F.lit(n))
+        publish(spark, batch, raw, "APPEND", root=ws.table_root("raw"))
+        new = spark.table(raw).where(F.col("load_no") == n)
+        latest = dedup_latest(history_of(new, spark.table(raw), {k: F.col(k) for k in keys}).drop("load_no"), keys, order)
+        publish(spark, latest, cur, "MERGE", keys, root=ws.table_root("cur"))
+    return _out(spark.table(cur))
+
+
+def q_incremental_null_watermark(spark, sf):
+    """Latest event per user by time; some events have no time and must neither be lost nor win."""
+    ws = Workspace(spark, sf)
+    ev = ws.t("events").withColumn("ts", F.when(F.col("event_type") != "purchase", F.col("ts")))
+    first = ev.where(F.col("ts").isNull() | (F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
+    return _two_arrivals(ws, first, ev, "ts", ["user_id"], [("ts", "desc"), ("event_id", "desc")])
+
+
+def q_incremental_ties(spark, sf):
+    """Orders by date: the second arrival has rows of the first one's last day."""
+    ws = Workspace(spark, sf)
+    o = ws.t("orders")
+    last = F.lit("1997-06-30").cast(o.schema["o_orderdate"].dataType)
+    first = o.where((F.col("o_orderdate") < last) | ((F.col("o_orderdate") == last) & (F.col("o_orderstatus") == "F")))
+    return _two_arrivals(ws, first, o, "o_orderdate", ["o_orderkey"], [("o_orderdate", "desc")])
+
+
+def q_incremental_numeric_text(spark, sf):
+    """Orders with their key as text: as a number 9 comes before 11."""
+    ws = Workspace(spark, sf)
+    o = ws.t("orders").withColumn("seq", F.col("o_orderkey").cast("string"))
+    first = o.where(F.col("o_orderkey") < 900)
+    return _two_arrivals(ws, first, o, "seq", ["o_orderkey"], [("o_orderdate", "desc")], "bigint")
 
 
 def q_incremental_read(spark, sf):
@@ -500,6 +657,36 @@ def q_update_partitioned(spark, sf):
     return _out(spark.table(name))
 
 
+def _blank_statuses(ws: Workspace) -> DataFrame:
+    """Orders of which some have no status and some an empty one."""
+    return ws.t("orders").withColumn(
+        "o_orderstatus", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(None))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.lit("")).otherwise(F.col("o_orderstatus")))
+
+
+def q_merge_partition_null(spark, sf):
+    """A merge that moves rows into the partition of NULL and empty values: its other rows stay."""
+    ws = Workspace(spark, sf)
+    o, name = _blank_statuses(ws), ws.name("orders_pn")
+    tb.create_table(spark, name, o.schema, ws.table_root("orders_pn"), partition_by=["o_orderstatus"])
+    publish(spark, o, name, "APPEND")
+    moved = o.where("o_orderpriority = '3-MEDIUM'").withColumn("o_orderstatus", F.lit(""))
+    new = o.where("o_orderpriority = '5-LOW'").withColumns(
+        {"o_orderkey": -F.col("o_orderkey") - 1, "o_orderstatus": F.lit(None).cast("string")})
+    publish(spark, moved.unionByName(new), name, "MERGE", "o_orderkey")
+    return _out(spark.table(name))
+
+
+def q_update_partition_blank(spark, sf):
+    ws = Workspace(spark, sf)
+    o, name = _blank_statuses(ws), ws.name("orders_ub")
+    tb.create_table(spark, name, o.schema, ws.table_root("orders_ub"), partition_by=["o_orderstatus"])
+    publish(spark, o, name, "APPEND")
+    update_table(spark, name, {"o_orderstatus": F.lit("")}, F.col("o_orderstatus") == "P")
+    update_table(spark, name, {"o_orderpriority": F.lit("none")}, F.col("o_orderstatus").isNull())
+    return _out(spark.table(name))
+
+
 # ---------------------------------------------------------------- runs
 
 # Metadata rows for the three dimensions.
@@ -636,6 +823,31 @@ def q_run_active(spark, sf):
         "records_updated", "records_rejected")
 
 
+def q_run_active_failure(spark, sf):
+    """Three active tables, one of which names a missing transform: the others run, the failure is
+    audited, then raised."""
+    ws, p, cfg = _pipeline(spark, sf)
+    update_table(spark, cfg.metadata_table, {"layer1_script_path": F.lit("missing.l1")},
+                 F.col("table_id") == "DIM_CUSTOMER")
+    try:
+        p.run_active(max_parallel=3)
+        failed = ""
+    except RunFailed as e:
+        failed = ",".join(sorted(e.errors))
+    return au.latest_state(spark.table(cfg.audit_table)).select(
+        "table_name", "layer", "status", "records_read", "error_message", F.lit(failed).alias("failed"))
+
+
+def q_audit_compact(spark, sf):
+    ws, p, cfg = _pipeline(spark, sf, table_ids=("DIM_ENTITIES",))
+    p.run_table("DIM_ENTITIES")
+    before = len(spark.table(cfg.audit_table).inputFiles())
+    au.compact(spark, cfg.audit_table)
+    ev = spark.table(cfg.audit_table)
+    fewer = len(ev.inputFiles()) < before
+    return au.latest_state(ev).select("table_name", "layer", "status", "records_read", F.lit(fewer).alias("fewer_files"))
+
+
 def q_audit_lifecycle(spark, sf):
     """Two runs of the product pipeline: the second one's gold and curated
     merges are all updates."""
@@ -651,6 +863,7 @@ def q_audit_lifecycle(spark, sf):
 QUERIES = {
     "land_csv": q_land_csv,
     "land_lineage": q_land_lineage,
+    "land_csv_reordered": q_land_csv_reordered,
     "table_scan": q_table_scan,
     "stream_land": q_stream_land,
     "curate_product": q_curate_product,
@@ -668,6 +881,19 @@ QUERIES = {
     "merge_upsert_broadcast": q_merge_upsert_broadcast,
     "merge_metrics": q_merge_metrics,
     "merge_bucketed": q_merge_bucketed,
+    "merge_repeated_target": q_merge_repeated_target,
+    "merge_repeated_target_metrics": q_merge_repeated_target_metrics,
+    "merge_unmatched_repeats": q_merge_unmatched_repeats,
+    "merge_partition_null": q_merge_partition_null,
+    "update_partition_blank": q_update_partition_blank,
+    "drop_recreate": q_drop_recreate,
+    "gold_by_metadata": q_gold_by_metadata,
+    "audit_fields": q_audit_fields,
+    "audit_compact": q_audit_compact,
+    "incremental_null_watermark": q_incremental_null_watermark,
+    "incremental_ties": q_incremental_ties,
+    "incremental_numeric_text": q_incremental_numeric_text,
+    "run_active_failure": q_run_active_failure,
     "merge_composite_key": q_merge_composite_key,
     "merge_null_key": q_merge_null_key,
     "merge_cardinality": q_merge_cardinality,

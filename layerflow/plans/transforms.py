@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.functions.rules import REJECT_COLUMN, ColumnRule, apply_rules
+from layerflow.functions.rules import REJECT_COLUMN, ColumnRule, apply_rules, failed_targets
 from layerflow.operators.dedup import dedup_latest
 from layerflow.session import RunContext
 from layerflow.sources.files import read_csv_strings, with_lineage
@@ -28,7 +28,8 @@ def land(spark: SparkSession, path: str | list[str], run: RunContext,
 def curate(raw: DataFrame, rules: list[ColumnRule], keys: Sequence[str], run: RunContext,
            track_rejects: bool = True, order: Sequence = ((INGESTED, "desc"),)) -> DataFrame:
     """Typed, one row per key: the most recently ingested row wins, ties
-    broken by the row's remaining columns."""
+    broken by the row's remaining columns.  A value that does not convert is NULL in the published row;
+    :func:`rejected` keeps its text."""
     typed = apply_rules(raw, rules, keep=[INGESTED], track_rejects=track_rejects)
     latest = dedup_latest(typed, keys, list(order)).drop(INGESTED)
     out = latest.withColumns({
@@ -41,6 +42,16 @@ def curate(raw: DataFrame, rules: list[ColumnRule], keys: Sequence[str], run: Ru
     return out.select(*cols)
 
 
+def rejected(raw: DataFrame, rules: list[ColumnRule], run: RunContext) -> DataFrame:
+    """The rows, before dedup, with a value that did not convert: the raw text of every source column,
+    the failed targets and the run.  Rows that landed twice with the same text are one."""
+    sources = list(dict.fromkeys(r.source for r in rules if r.source))
+    kept = apply_rules(raw, [ColumnRule(c, c, "copy") for c in sources], track_rejects=False, keep=[])
+    checked = kept.withColumn("rejected_columns", failed_targets(rules))
+    return checked.where(F.col("rejected_columns") != "").distinct().withColumns({
+        "rejected_load_timestamp": F.lit(run.run_ts).cast("timestamp"), "job_run_id": F.lit(run.job_run_id)})
+
+
 def enrich(curated: DataFrame, rules: list[ColumnRule], order: Sequence[str],
            run: RunContext) -> DataFrame:
     out = curated.withColumns({r.target: r.expression() for r in rules})

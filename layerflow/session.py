@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import hashlib
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -66,15 +66,18 @@ def scratch_dir(spark: SparkSession, tag: str = "run") -> str:
     return f"{base}/layerflow/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-SCRATCH_SCHEMA = "lf_scratch"
+def scratch_schema_location(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/layerflow/scratch_db"
 
 
 def scratch_schema(spark: SparkSession) -> str:
-    """Schema for short-lived staging tables, located in the shared folder.
-    Its tables are managed, so dropping one also removes its files."""
-    loc = f"{shared_root(spark)}/layerflow/scratch_db"
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {SCRATCH_SCHEMA} LOCATION '{loc}'")
-    return SCRATCH_SCHEMA
+    """Schema for short-lived staging tables, located in the shared folder and named after it: in a
+    lasting metastore another folder has another schema.  Its tables are managed, so dropping one also
+    removes its files."""
+    loc = scratch_schema_location(spark)
+    name = "lf_scratch_" + hashlib.sha1(loc.encode()).hexdigest()[:10]
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{loc}'")
+    return name
 
 
 def _utc_now() -> _dt.datetime:
@@ -99,7 +102,3 @@ class RunContext:
         if ts.tzinfo is not None:
             ts = ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
         return ts
-
-
-def user_name() -> str:
-    return os.environ.get("USER") or os.environ.get("LOGNAME") or "unknown"

@@ -1,8 +1,11 @@
-"""CSV landing: header files read as all-STRING columns plus lineage."""
+"""CSV landing: header files read by column name as all-STRING columns plus lineage."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,26 +13,62 @@ from pyspark.sql import types as T
 
 from layerflow.session import RunContext
 
+# The lineage columns every raw table carries.
 LINEAGE_COLUMNS = ("source_file_name", "ingestion_timestamp", "job_run_id")
+HEADER_READERS = 16
 
 
 def all_string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def header_of(spark: SparkSession, file: str, sep: str = ",") -> tuple[str, ...]:
+    """Column names in a file's first line (one line is read, through Spark's file systems)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").lstrip("﻿")], delimiter=sep), ()))
+
+
+def header_layouts(spark: SparkSession, path: str | list[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """Files by their header; empty files have none and are left out."""
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        heads = list(pool.map(lambda f: header_of(spark, f, sep), files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for f, h in zip(files, heads):
+        if h:
+            out.setdefault(h, []).append(f)
+    return out
+
+
 def read_csv_strings(spark: SparkSession, path: str | list[str],
                      columns: Sequence[str] | None = None, **options) -> DataFrame:
     """Header CSV, every column STRING, no inference pass.
 
-    With ``columns`` the schema is fixed up front and every file's header is
-    checked against it (``enforceSchema=false``), so a reordered or renamed
-    file fails instead of landing under the wrong names."""
-    r = spark.read.option("header", "true").option("inferSchema", "false")
-    for k, v in options.items():
-        r = r.option(k, v)
-    if columns is not None:
-        r = r.schema(all_string_schema(columns)).option("enforceSchema", "false")
-    return r.csv(path)
+    With ``columns`` each file is read by the names in its own header, whatever their order; extra
+    columns are left out, and a file that lacks one fails here, by name.  Files with the same header
+    are one read."""
+    r = spark.read.option("header", "true").option("inferSchema", "false").options(**options)
+    if columns is None:
+        return r.csv(path)
+    layouts = header_layouts(spark, path, options.get("sep", ","))
+    for head, files in layouts.items():
+        if missing := [c for c in columns if c not in head]:
+            raise ValueError(f"{files[0]} (and {len(files) - 1} more) lacks columns {missing}")
+    parts = []
+    for head, files in layouts.items() or [(tuple(columns), [])]:
+        # Spark still checks each file's header against the names it was grouped by
+        df = r.schema(all_string_schema(head)).option("enforceSchema", "false").csv(
+            path if len(layouts) <= 1 else files)
+        parts.append(df.select(*[F.col(f"`{c}`") for c in columns], "_metadata"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def with_lineage(df: DataFrame, run: RunContext, source_name: str | None = None,
@@ -42,7 +81,7 @@ def with_lineage(df: DataFrame, run: RunContext, source_name: str | None = None,
         "source_file_name": src.cast("string"),
         "ingestion_timestamp": F.lit(run.run_ts).cast("timestamp"),
         "job_run_id": F.lit(job_run_id or run.job_run_id).cast("string"),
-    })
+    }).drop("_metadata")
 
 
 def stage_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:

@@ -1,4 +1,10 @@
-"""Catalog table scans and the watermark-based incremental read."""
+"""Catalog table scans and the watermark-based incremental reads.
+
+Between layers the watermark is the library's own load time: never NULL, one value per run, rising.
+:func:`next_batch` reads the rows after the stored one.  A business column of a *source* may be NULL,
+tie, or be stored as text; :func:`source_batch` reads it typed, from the stored value on (ties again) and
+with the NULL rows, and the caller keeps the latest row per key.
+"""
 
 from __future__ import annotations
 
@@ -36,11 +42,10 @@ def incremental_read(source: DataFrame, column: str, last_value=None) -> DataFra
 # microseconds since the epoch (independent of any time zone), everything
 # else as its string cast.  No Python datetime conversion is involved.
 
-def _token_of_max(df: DataFrame, column: str) -> Column:
-    m = F.max(column)
-    if isinstance(df.schema[column].dataType, T.TimestampType):
-        return F.unix_micros(m).cast("string")
-    return m.cast("string")
+def _token(value: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    return value.cast("string")
 
 
 def watermark_value(token: str, data_type: T.DataType) -> Column:
@@ -51,27 +56,54 @@ def watermark_value(token: str, data_type: T.DataType) -> Column:
 
 def next_batch(source: DataFrame, column: str, last_token: str | None = None
                ) -> tuple[DataFrame, str | None]:
-    """The rows after ``last_token`` up to the current maximum, plus rows
-    whose ``column`` is NULL, and the token of that maximum (None: nothing
-    new).
+    """The rows after ``last_token`` up to the current maximum of the load time ``column``, and the token
+    of that maximum (None: nothing new).
 
     One small job reads only ``column`` of the newer rows (the lower bound is
     pushed into the scan) to fix the upper bound; rows that arrive while the
     batch runs are above it and wait for the next batch."""
     dt = source.schema[column].dataType
+    if not isinstance(dt, (T.TimestampType, T.NumericType)):
+        raise ValueError(f"{column} is {dt.simpleString()}, not a load time")
     c = F.col(column)
     newer = source
     if last_token is not None:
         newer = source.filter(c > watermark_value(last_token, dt))
-    token = newer.agg(_token_of_max(newer, column).alias("wm")).first()["wm"]
-    if token is None:
+    r = newer.agg(_token(F.max(column), dt).alias("wm"), F.count_if(c.isNull()).alias("nulls")).first()
+    if last_token is None and r["nulls"]:
+        raise ValueError(f"{r['nulls']} rows have no {column}; a load time is never NULL")
+    if r["wm"] is None:
         return newer, None
-    upper = c <= watermark_value(token, dt)
+    return newer.filter(c <= watermark_value(r["wm"], dt)), r["wm"]
+
+
+def source_batch(source: DataFrame, column: str, last_token: str | None = None,
+                 data_type: str | None = None) -> tuple[DataFrame, str | None]:
+    """Rows of a source from the business watermark ``last_token`` on, and the new watermark.
+
+    ``data_type`` reads a text column as that type; text without one is refused, because it would
+    compare as text ('9' after '11').  Rows at the stored maximum are read again (a later row may
+    tie with it), and so are rows without a value (or without one of that type); nothing newer
+    keeps the old watermark.  Merging the latest row per key makes the repeats harmless."""
+    dt = source.schema[column].dataType
+    if data_type is None and isinstance(dt, T.StringType):
+        raise ValueError(f"watermark column {column!r} is text; give its type")
+    value = F.col(column).try_cast(data_type) if data_type else F.col(column)
+    dt = source.select(value.alias("v")).schema["v"].dataType
+    batch = source
     if last_token is not None:
-        upper = (c > watermark_value(last_token, dt)) & upper
-    # rows without a watermark cannot be placed in any range: they are in
-    # every batch (a merge applies them again, with the same result)
-    return source.filter(upper | c.isNull()), token
+        batch = source.filter((value >= watermark_value(last_token, dt)) | value.isNull())
+    return batch, batch.agg(_token(F.max(value), dt).alias("wm")).first()["wm"] or last_token
+
+
+def history_of(batch: DataFrame, history: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """All rows of ``history`` with a key of ``batch`` (``keys``: the key expressions by name), so
+    that the latest row per key is chosen among all that arrived, not among the new ones."""
+    names = [f"_k_{k}" for k in keys]
+    new = batch.select(*[v.alias(n) for n, v in zip(names, keys.values())]).distinct()
+    old = history.withColumns({f"_h_{k}": v for k, v in keys.items()})
+    same = [F.col(f"_h_{k}").eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return old.join(new, same, "left_semi").drop(*[f"_h_{k}" for k in keys])
 
 
 def encode_watermark(source: str, column: str, token: str) -> str:

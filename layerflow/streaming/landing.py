@@ -24,7 +24,14 @@ def _epoch_key(checkpoint: str) -> str:
     return "layerflow.landed_epoch." + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
 
-def batch_appender(table: str, checkpoint: str):
+class Landed:
+    """Rows that the appends of one run wrote; replayed batches that were skipped add nothing."""
+
+    def __init__(self) -> None:
+        self.rows = 0
+
+
+def batch_appender(table: str, checkpoint: str, landed: Landed | None = None):
     """``foreachBatch`` function appending each micro-batch once: a batch
     replayed after a failure is skipped when the table already records its
     epoch for this checkpoint (only a failure between the append and the
@@ -36,7 +43,9 @@ def batch_appender(table: str, checkpoint: str):
         done = tb.table_properties(s, table).get(key)
         if done is not None and int(done) >= epoch_id:
             return
-        tb.append_rows(s, table, batch)
+        n = tb.append_rows(s, table, batch)
+        if landed is not None:
+            landed.rows += n
         tb.set_properties(s, table, {key: str(epoch_id)})
 
     return append_batch
@@ -44,7 +53,8 @@ def batch_appender(table: str, checkpoint: str):
 
 def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], table: str,
                 run: RunContext, checkpoint: str | None = None,
-                max_files_per_trigger: int | None = None) -> StreamingQuery:
+                max_files_per_trigger: int | None = None,
+                landed: Landed | None = None) -> StreamingQuery:
     reader = (spark.readStream.schema(all_string_schema(columns))
               .option("header", "true").option("enforceSchema", "false"))
     if max_files_per_trigger:
@@ -52,16 +62,18 @@ def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], t
     df = with_lineage(reader.csv(drop_folder), run)
     ckpt = checkpoint or f"{shared_root(spark)}/layerflow/streams/{table.replace('.', '_')}"
 
-    append_batch = batch_appender(table, ckpt)
+    append_batch = batch_appender(table, ckpt, landed)
     return (df.writeStream.trigger(availableNow=True)
             .option("checkpointLocation", ckpt)
             .foreachBatch(append_batch).start())
 
 
 def land_available(spark: SparkSession, drop_folder: str, columns: Sequence[str], table: str,
-                   run: RunContext, checkpoint: str | None = None) -> int:
-    """Land the files not landed before, wait, and return the rows landed."""
-    q = land_stream(spark, drop_folder, columns, table, run, checkpoint)
+                   run: RunContext, checkpoint: str | None = None,
+                   max_files_per_trigger: int | None = None) -> int:
+    """Land the files not landed before, wait, and return the rows appended."""
+    landed = Landed()
+    q = land_stream(spark, drop_folder, columns, table, run, checkpoint, max_files_per_trigger, landed)
     q.awaitTermination()
     spark.catalog.refreshTable(table)
-    return sum(p["numInputRows"] for p in q.recentProgress)
+    return landed.rows

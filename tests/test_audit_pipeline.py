@@ -5,7 +5,7 @@ from layerflow.operators import tables as tb
 from layerflow.operators.publish import publish
 from layerflow.plans import audit as au
 from layerflow.plans import specs
-from layerflow.plans.pipeline import Pipeline, PipelineConfig, register
+from layerflow.plans.pipeline import Pipeline, PipelineConfig, RunFailed, register
 from layerflow.plans.suite import RUN2, _dimension_metadata, _drops
 
 
@@ -78,7 +78,35 @@ def test_failure_is_audited_and_raised(spark, ws):
     st = {r.layer: r for r in au.latest_state(spark.table(cfg.audit_table)).collect()}
     assert st["1"].status == au.REJECTED and st["1"].error_message == "can't load: bad 'input'"
     assert "2" not in st
-    assert p.run_active() == {"DIM_ENTITIES": au.REJECTED}
+    with pytest.raises(RunFailed, match="DIM_ENTITIES: can't load") as e:
+        p.run_active()
+    assert e.value.status == {"DIM_ENTITIES": au.REJECTED}
+
+
+def test_failed_lookup_is_audited_and_raised(spark, ws):
+    """A duplicate metadata id runs no layer, but leaves an audit row, and the others run."""
+    p, cfg = _pipeline(spark, ws, ids=("DIM_ENTITIES",), extra=[{"table_id": "TWICE"}, {"table_id": "TWICE"}])
+    with pytest.raises(RunFailed, match="more than one row for TWICE") as e:
+        p.run_active(max_parallel=2)
+    assert e.value.status == {"DIM_ENTITIES": au.SUCCESS, "TWICE": au.REJECTED}
+    st = {(r.table_name, r.layer): r for r in au.latest_state(spark.table(cfg.audit_table)).collect()}
+    assert st["TWICE", "0"].status == au.REJECTED and "more than one" in st["TWICE", "0"].error_message
+    assert st["DIM_ENTITIES", "2"].status == au.SUCCESS
+
+
+def test_rejects_are_kept_once_and_as_raw_text(spark, ws):
+    p, cfg = _pipeline(spark, ws)
+    for _ in range(2):
+        assert p.run_table("DIM_PRODUCT") == au.SUCCESS
+    rej = spark.table(ws.name("dim_product_curated_rejects"))
+    bad = spark.read.parquet("/root/testdata/sf0.001/part.parquet").where("p_size IN (1, 3, 7)").count()
+    assert rej.count() == 2 * bad > 0          # both landed versions, once each
+    assert {r.PACK.strip() for r in rej.where("rejected_columns = 'pack'").collect()} == {"n/a"}
+    assert {r.CYLINDER_QTY.strip() for r in rej.where("rejected_columns = 'cylinder_qty'").collect()} <= {"x", "1.5"}
+    from layerflow.session import RunContext
+    p2 = Pipeline(spark, cfg, RunContext("another", RUN2.run_ts))
+    p2.run_layer("DIM_PRODUCT", 1)
+    assert {r.job_run_id for r in rej.sparkSession.table(ws.name("dim_product_curated_rejects")).collect()} == {"run-2", "another"}
 
 
 def test_lookup_errors_and_active_list(spark):
@@ -95,18 +123,17 @@ def test_lookup_errors_and_active_list(spark):
     assert specs.lookup(meta, "B").table_group == "FACT"
 
 
-def test_audit_log_compacts_itself(spark, ws):
-    from layerflow.plans.pipeline import Pipeline, PipelineConfig
+def test_audit_log_compaction_is_maintenance(spark, ws):
     p, cfg = _pipeline(spark, ws, ids=("DIM_ENTITIES",))
-    p2 = Pipeline(spark, PipelineConfig(cfg.metadata_table, cfg.audit_table, cfg.root,
-                                        audit_max_files=4), RUN2)
-    assert p2.run_table("DIM_ENTITIES") == au.SUCCESS
+    assert p.run_table("DIM_ENTITIES") == au.SUCCESS
     ev = spark.table(cfg.audit_table)
-    assert len(ev.inputFiles()) <= 4 and ev.count() == 6
+    assert len(ev.inputFiles()) >= 6 and ev.count() == 6
     assert {r.executed_by for r in ev.collect()} == {spark.sql("SELECT current_user()").first()[0]}
-    st = au.latest_state(ev).collect()
-    assert sorted((r.layer, r.status) for r in st) == [("0", "SUCCESS"), ("1", "SUCCESS"),
-                                                       ("2", "SUCCESS")]
+    au.compact(spark, cfg.audit_table)
+    ev = spark.table(cfg.audit_table)
+    assert len(ev.inputFiles()) < 6 and ev.count() == 6
+    assert sorted((r.layer, r.status) for r in au.latest_state(ev).collect()) == [
+        ("0", "SUCCESS"), ("1", "SUCCESS"), ("2", "SUCCESS")]
 
 
 def test_partition_column_applies_where_present(spark, ws):

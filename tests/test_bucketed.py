@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerflow.operators import tables as tb
-from layerflow.operators.publish import publish, stage
-from layerflow.operators.upsert import merge_metrics_columns, merged_rows, upsert_shuffle
+from layerflow.operators.publish import publish
+from layerflow.operators.update import update_table
 
 CUST = "/root/testdata/sf0.001/customer.parquet"
 
@@ -27,29 +27,22 @@ def test_bucketed_merge_matches_plain_merge(spark, ws):
     bucketed, _ = _tables(spark, ws, 4)
     assert tb.bucket_spec(spark, bucketed) == (["c_custkey"], 4)
     assert tb.not_null_columns(spark, bucketed) == ["c_custkey"]
-    r1 = publish(spark, source, plain, "MERGE", "c_custkey", strategy="shuffle")
-    r2 = publish(spark, source, bucketed, "MERGE", "c_custkey", strategy="shuffle")
-    assert r2.strategy == "shuffle-colocated"
+    r1 = publish(spark, source, plain, "MERGE", "c_custkey")
+    r2 = publish(spark, source, bucketed, "MERGE", "c_custkey")
     assert r1.counts() == r2.counts()
     assert _rows(spark.table(plain)) == _rows(spark.table(bucketed))
-    # the new snapshot is still bucketed: one file per bucket
-    files = [f for f in spark.table(bucketed).inputFiles()]
-    assert len(files) <= 4 and tb.bucket_spec(spark, bucketed) == (["c_custkey"], 4)
-    r3 = publish(spark, source, bucketed, "MERGE", "c_custkey", strategy="auto")
-    assert r3.records_updated == r3.records_read
-
-
-def test_colocated_merge_has_no_exchange(spark, ws):
-    name, source = _tables(spark, ws, 4)
-    st = stage(spark, source, name, ["c_custkey"], 4)
+    # still bucketed: a join of two such tables needs no exchange
+    assert tb.bucket_spec(spark, bucketed) == (["c_custkey"], 4)
+    assert update_table(spark, bucketed, {"c_name": F.lit("u")}, F.col("c_acctbal") > 9000) > 0
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        tagged = upsert_shuffle(spark.table(name), st.frame(spark), ["c_custkey"])
-        plan = merged_rows(tagged.observe("m", *merge_metrics_columns())) \
-            ._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
-        assert "Window" in plan
+        t = spark.table(bucketed)
+        plan = t.join(t.selectExpr("c_custkey AS k"), F.col("c_custkey") == F.col("k"))
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+        assert plan.count() == t.count() == spark.table(plain).count()
     finally:
-        st.drop(spark)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_bucket_key_must_be_not_null(spark, ws):

@@ -2,6 +2,8 @@ import datetime as dt
 import decimal
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from layerflow.functions import cleaning as C
@@ -22,13 +24,14 @@ def test_csv_empty_and_quoted_empty_are_null(spark, folder):
     assert rows[1].A == "x\ty"
 
 
-def test_csv_header_is_checked(spark, folder):
+def test_csv_columns_come_by_header_name(spark, folder):
     os.makedirs(folder)
     with open(f"{folder}/a.csv", "w") as fh:
         fh.write("B,A\n1,2\n")
-    import pytest
-    with pytest.raises(Exception):
-        read_csv_strings(spark, folder, ["A", "B"]).collect()
+    got = read_csv_strings(spark, folder, ["A", "B"]).collect()
+    assert [(r.A, r.B) for r in got] == [("2", "1")]
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_csv_strings(spark, folder, ["A", "C"])
 
 
 def test_typed_int_rules(spark):

@@ -8,7 +8,7 @@ from layerflow.plans import audit as au
 from layerflow.plans.pipeline import Pipeline
 from layerflow.plans.suite import RUN1, incremental_runs
 from layerflow.session import RunContext
-from layerflow.sources.tables import WATERMARK_PROPERTY, next_batch
+from layerflow.sources.tables import WATERMARK_PROPERTY, next_batch, source_batch
 
 RUN3 = RunContext("run-3", dt.datetime(2024, 1, 3, tzinfo=dt.timezone.utc))
 SF = "/root/testdata/sf0.001"
@@ -55,7 +55,7 @@ def test_nothing_new_keeps_snapshot_and_late_run_is_refused(spark):
 
 
 def test_next_batch_bounds(spark):
-    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     first, tok = next_batch(ev, "ts")
     assert first.count() == ev.count() and tok is not None
     rest, tok2 = next_batch(ev, "ts", tok)
@@ -63,12 +63,48 @@ def test_next_batch_bounds(spark):
     ids = spark.range(10).withColumnRenamed("id", "k")
     b, t = next_batch(ids, "k", "6")
     assert sorted(r.k for r in b.collect()) == [7, 8, 9] and t == "9"
-    # a NULL watermark is in every batch, never lost
-    nulls = spark.createDataFrame([(1, None), (2, 5), (3, 8)], "id int, k int")
-    b, t = next_batch(nulls, "k")
-    assert sorted(r.id for r in b.collect()) == [1, 2, 3] and t == "8"
-    b, t = next_batch(nulls, "k", "5")
-    assert sorted(r.id for r in b.collect()) == [1, 3] and t == "8"
+    # a load time is never NULL and never text
+    nulls = spark.createDataFrame([(1, None, "a"), (2, 5, "b")], "id int, k int, s string")
+    with pytest.raises(ValueError, match="never NULL"):
+        next_batch(nulls, "k")
+    with pytest.raises(ValueError, match="not a load time"):
+        next_batch(nulls, "s")
+
+
+def test_source_batch_loses_nothing(spark):
+    rows = [(1, None, "x"), (2, 5, "9"), (3, 8, "11"), (4, 8, None)]
+    df = spark.createDataFrame(rows, "id int, k int, s string")
+
+    def ids(b):
+        return sorted(r.id for r in b.collect())
+    b, t = source_batch(df.where("id < 4"), "k")
+    assert ids(b) == [1, 2, 3] and t == "8"
+    b, t = source_batch(df, "k", t)              # the tie that came later, and the NULL
+    assert ids(b) == [1, 3, 4] and t == "8"
+    b, t = source_batch(df.where("k IS NULL"), "k")   # nothing but NULLs is read all the same
+    assert ids(b) == [1] and t is None
+    with pytest.raises(ValueError, match="text"):
+        source_batch(df, "s")
+    b, t = source_batch(df, "s", "9", "int")
+    assert ids(b) == [1, 2, 3, 4] and t == "11"
+
+
+def test_an_older_row_cannot_win(spark):
+    """Key A has a dated row; a later batch brings an undated one: the history decides."""
+    from layerflow.operators.dedup import dedup_latest
+    from layerflow.sources.tables import history_of
+    every = spark.createDataFrame([("A", "old", None, 1), ("A", "new", 5, 2), ("B", "b", 1, 3), ("A", "old", None, 3)],
+                                  "k string, v string, ts int, load int")
+    got = dedup_latest(history_of(every.where("load = 3"), every, {"k": F.col("k")}), ["k"], [("ts", "desc")])
+    assert sorted((r.k, r.v) for r in got.collect()) == [("A", "new"), ("B", "b")]
+
+
+def test_business_watermark_of_a_file_source_is_refused(spark):
+    from layerflow.operators.update import update_table
+    ws, cfg = _two_runs(spark, True)
+    update_table(spark, cfg.metadata_table, {"watermark_column": F.lit("DEPTH")}, F.col("table_id") == "DIM_CUSTOMER")
+    with pytest.raises(ValueError, match="text in a file source"):
+        Pipeline(spark, cfg, RUN3).run_layer("DIM_CUSTOMER", 0)
 
 
 def test_stream_landing_lands_only_new_files(spark):
@@ -82,14 +118,41 @@ def test_stream_landing_lands_only_new_files(spark):
     assert tb.table_location(spark, gold) == loc
 
 
+def test_landed_rows_are_counted_by_the_append(spark, ws):
+    """Many micro-batches: the count does not come from the last progress records."""
+    from layerflow.streaming.landing import land_available
+    c = spark.read.parquet(f"{SF}/region.parquet").selectExpr("CAST(r_regionkey AS STRING) AS a")
+    drop = ws.stage(c, "many")
+    for _ in range(4):
+        from layerflow.sources.files import stage_csv
+        stage_csv(c, drop, mode="append")
+    name, schema = ws.name("many"), "a string, source_file_name string, ingestion_timestamp timestamp, job_run_id string"
+    tb.create_table(spark, name, spark.createDataFrame([], schema).schema, ws.table_root("many"))
+    ckpt = f"{ws.root}/ckpt-many"
+    assert land_available(spark, drop, ["a"], name, RUN1, ckpt, max_files_per_trigger=1) == 5 * c.count()
+    assert land_available(spark, drop, ["a"], name, RUN1, ckpt) == 0 and spark.table(name).count() == 5 * c.count()
+
+
+def test_landing_by_header_name(spark, ws):
+    from layerflow.sources.files import read_csv_strings, stage_csv
+    df = spark.createDataFrame([("1", "x", "é,é"), ("2", None, "q")], "a string, b string, c string")
+    path = ws.stage(df, "hdr")
+    stage_csv(df.select("c", "b", "a"), path, mode="append")
+    got = sorted(tuple(r)[:3] for r in read_csv_strings(spark, path, ["a", "b", "c"]).collect())
+    assert got == sorted([("1", "x", "é,é"), ("2", None, "q")] * 2, key=repr)
+    stage_csv(df.select("c", "a"), path, mode="append")
+    with pytest.raises(ValueError, match=r"lacks columns \['b'\]"):
+        read_csv_strings(spark, path, ["a", "b", "c"])
+
+
 def test_watermark_bounds_reach_the_scan(spark, ws):
     """Both bounds of a batch are pushed into the Parquet scan of the
     upstream table (row groups outside the batch are skipped)."""
     from layerflow.operators.publish import publish as pub
     ev = spark.read.parquet(f"{SF}/events.parquet")
     name = ws.name("ev_hist")
-    pub(spark, ev, name, "APPEND", root=ws.table_root("ev_hist"))
-    _, tok = next_batch(spark.table(name).filter("ts < '2024-01-15'"), "ts")
+    pub(spark, ev.withColumn("ts", F.col("ts").cast("timestamp")), name, "APPEND", root=ws.table_root("ev_hist"))
+    tok = "1705276800000000"        # 2024-01-15 in microseconds
     batch, _ = next_batch(spark.table(name), "ts", tok)
     plan = batch._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters"):].split("]", 1)[0]
