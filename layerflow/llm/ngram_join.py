@@ -47,35 +47,27 @@ BLOCK = 512
 GROUP_TOKENS = 3_000_000
 BLOCK_TOKENS = 2_000_000
 WANTED_BITS = 1 << 23  # fixed size of the filter that picks the sets to verify
-CACHE_WORDS = 300_000
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * M2
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: str | None, cache: WordHashes, size: int = WORDS) -> np.ndarray:
+def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     """Sorted distinct tokens; fewer words than ``size`` are one token.  Bytes split at exactly the six
     ASCII blanks and are lower-cased in A-Z only."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     size = min(size, len(h))
     out = np.full(len(h) - size + 1, np.uint64(size * int(M2) % 2**64))
     for k in range(size):
         out = mixed((out ^ h[k:len(h) - size + 1 + k]) * M1)
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def entity_of(tokens: np.ndarray) -> int:
@@ -93,9 +85,8 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def memberships(rows: DataFrame, folder: str, size: int) -> DataFrame:
     """(doc_id, n, entity) of every row, kept as a table; entity is null for the empty set."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordHashes()
         for p in parts:
-            sets = [shingle_set(t, cache, size) for t in p["text"]]
+            sets = [shingle_set(t, size) for t in p["text"]]
             yield pd.DataFrame({"doc_id": p["doc_id"], "n": [len(s) for s in sets],
                                 "entity": pd.array([entity_of(s) if len(s) else None for s in sets], "Int64")})
 
@@ -145,11 +136,11 @@ def shared_tokens(rows: DataFrame, size: int, groups: int) -> DataFrame:
     """(target, source, blob): the tokens that more than one entity holds, with their counts, by
     entity group (target) and token group (source)."""
     def spread(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen = WordHashes(), set()
+        seen: set[int] = set()
         for p in parts:
             sets, entity = [], []
             for t in p["text"]:
-                s = shingle_set(t, cache, size)
+                s = shingle_set(t, size)
                 if len(s) and (e := entity_of(s)) not in seen:  # a copy in the same task adds nothing
                     seen.add(e)
                     sets.append(s)
@@ -308,11 +299,11 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
     bits = spark.sparkContext.broadcast(wanted_filter(placed.select("entity", "doc_id")))
 
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, wanted = WordHashes(), bits.value
+        wanted = bits.value
         for p in parts:
             out = []
             for d, t in zip(p["doc_id"], p["text"]):
-                s = shingle_set(t, cache, size)
+                s = shingle_set(t, size)
                 if len(s):
                     e = entity_of(s)
                     if all(wanted[b >> 3] >> (7 - (b & 7)) & 1 for b in _places(e, d)):
