@@ -44,8 +44,9 @@ K = 2
 RARE = 64
 COMBINED = 200
 BLOCK = 512
-GROUP_TOKENS = 3_000_000
+GROUP_TOKENS = 1_500_000
 BLOCK_TOKENS = 2_000_000
+BIN_TOKENS = 200_000
 WANTED_BITS = 1 << 23  # fixed size of the filter that picks the sets to verify
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -295,7 +296,7 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
     total = placed.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("t")).select(
         "cluster", F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("t") / BLOCK_TOKENS)).cast("long").alias("blocks"), "t")
     tokens = total.agg(F.sum("t")).first()[0] or 0
-    bins = max(1, -(-tokens // BLOCK_TOKENS))
+    bins = max(1, -(-tokens // BIN_TOKENS))
     bits = spark.sparkContext.broadcast(wanted_filter(placed.select("entity", "doc_id")))
 
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
