@@ -21,12 +21,13 @@ an empty table on either side gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
-import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ RADIUS = 20
 BLOCK_WORDS = 1_000_000
 #: windows that are fingerprinted at once
 STEP = 4_096
-WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+WORD = re.compile(r"[^\W_]+")
 BITS = np.arange(64, dtype=np.uint64)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -132,16 +133,22 @@ class Benchmark:
     def matches(self, text: str | None) -> Iterator[tuple[str, int, int, float]]:
         """(item, first word, words, similarity): the best window of each item that the text holds."""
         words = WORD.findall((text or "").lower())
-        get = self.vocab.get
-        ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
+        ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.uint64, len(words))
+        strange = np.concatenate([[0], np.cumsum(ids == 0)])  # words that no item has
         for size, known in self.hashes.items():
             if len(ids) < size:
                 continue
-            h = shingles(ids, size)
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hits = np.concatenate([[0], np.cumsum(known[at] == h)])
-            if not hits[-1]:
+            # only shingles without a strange word can be an item's
+            maybe = np.flatnonzero(strange[size:] == strange[:-size])
+            if not len(maybe):
                 continue
+            some = shingles(ids[maybe[:, None] + np.arange(size)].ravel(), size)[::size]
+            at = np.minimum(np.searchsorted(known, some), len(known) - 1)
+            hit = np.zeros(len(ids) - size + 1, bool)
+            hit[maybe[known[at] == some]] = True
+            if not hit.any():
+                continue
+            h, hits = shingles(ids, size), np.concatenate([[0], np.cumsum(hit)])
             for n, own in self.by_words.items():
                 if min(SHINGLE, n) == size and len(words) >= n:
                     yield from self._of_width(n, own, h, hits)
@@ -149,6 +156,8 @@ class Benchmark:
     def _of_width(self, n, own, h, hits):
         width = len(own[0][1])
         need = 2 * self.similar / (1 + self.similar) * width
+        if hits[-1] < need - 1e-9:
+            return
         starts = np.flatnonzero(hits[width:] - hits[:-width] >= need - 1e-9)
         if not len(starts):
             return
