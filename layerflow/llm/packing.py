@@ -72,7 +72,8 @@ def tokenized(docs: DataFrame, folder: str, id_col: str, text_col: str, vocab: s
         for p in parts:
             for doc_id, text in zip(p["doc_id"], p["text"]):
                 ids = encode(enc, text)
-                df[np.unique(ids)] += 1
+                once = np.sort(ids)
+                df[once[np.concatenate([[True], once[1:] != once[:-1]])]] += 1
                 n_docs, n_tokens = n_docs + 1, n_tokens + len(ids)
                 for at in range(0, len(ids), window):
                     cut = ids[at:at + window]
@@ -120,11 +121,13 @@ class Index:
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float):
         self.n = len(tails)
-        sets = [np.unique(t, return_counts=True) for t in tails]
-        size = np.array([len(s[0]) for s in sets])
-        term, tf = np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets]).astype(np.float32)
-        doc = np.repeat(np.arange(self.n, dtype=np.int32), size)
-        norm = K1 * (1 - B + B * np.array([len(t) for t in tails], np.float32) / max(mean, 1.0))
+        lengths = [len(t) for t in tails]
+        pair = np.sort((np.repeat(np.arange(self.n, dtype=np.int64), lengths) << 16) | np.concatenate(tails))
+        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        tf = np.diff(np.append(first, len(pair))).astype(np.float32)
+        doc, term = (pair[first] >> 16).astype(np.int32), (pair[first] & 0xFFFF).astype(np.int64)
+        size = np.bincount(doc, minlength=self.n)
+        norm = K1 * (1 - B + B * np.array(lengths, np.float32) / max(mean, 1.0))
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
         # the terms to query by: each tail's heaviest
         self.query = []
