@@ -72,12 +72,15 @@ def test_query_matches_brute_force(spark):
         assert set(filter(None, said.split(","))) <= set(r["spans"].split(","))
 
 
-def test_redact_and_empty(spark):
-    df = spark.createDataFrame([(1, "a u@h.io b 1.1.1.1 c"), (2, None)], "doc_id long, text string")
+def test_wide_spans_redact_and_empty(spark):
+    texts = {1: "a u@h.io b 1.1.1.1 c", 2: None, 3: "please call (313) 555-0101 today", 4: "write to bo [at] mail [dot] org ok",
+             5: "order 313 555 0101 is here, version 313.555.0101", 6: "999.1.1.1 4111111111111112 +12"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     model = pii.fit(df)
-    assert model.thresholds == {}
     spans = pii.detect(df, model)
     out = df.join(spans, "doc_id").select("doc_id", pii.redact(F.col("text"), F.col("spans")).alias("t")).collect()
-    assert {r["doc_id"]: r["t"] for r in out}[1] == "a [PII] b [PII] c"
+    got = {r["doc_id"]: r["t"] for r in out}
+    assert got[1] == "a [PII] b [PII] c" and got[3] == "please call [PII] today" and got[4] == "write to [PII] ok"
+    assert got[2] is None and got[5] == texts[5] and got[6] == texts[6]
     empty = df.limit(0)
     assert pii.detect(empty, pii.fit(empty)).count() == 0
