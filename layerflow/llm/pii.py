@@ -39,7 +39,7 @@ BASE = {
 #: Wider generators: spelled-out addresses, phones without a plus.
 WIDE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]++)++",
-    "phone": r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])(?<!\+[0-9]{1,3}[ .-]{1,2})\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
 
 
