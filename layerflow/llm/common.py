@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import inspect
 from collections.abc import Callable
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +37,26 @@ def sample_of(df: DataFrame, key: Column, max_rows: int, rows: int | None = None
     if n <= max_rows:
         return df
     return df.where(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1_000_003)) < int(1_000_003 * max_rows / n))
+
+
+def _release() -> None:
+    pyarrow.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(fn):
+    """For functions of ``mapInPandas`` and ``applyInPandas``: when one is done, its freed memory goes back to
+    the system.  Spark keeps Python workers for later tasks, and an executor's limit counts them all."""
+    if inspect.isgeneratorfunction(fn):
+        @functools.wraps(fn)
+        def run(parts):
+            yield from fn(parts)
+            _release()
+    else:
+        @functools.wraps(fn)
+        def run(group):
+            out = fn(group)
+            _release()
+            return out
+    return run

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import table
+from layerflow.llm.common import lean, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -206,6 +206,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     def scan(block: list[tuple[str, str]]) -> DataFrame:
         shared = spark.sparkContext.broadcast(block)
 
+        @lean
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             bench = Benchmark(shared.value, similar, radius)
             for p in parts:

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerflow.llm.common import lean
 from layerflow.session import scratch_dir
 
 MAX_ROUNDS = 60
@@ -37,6 +38,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
+@lean
 def _local(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in parts:
         a, b = forest(p["a"].to_numpy(), p["b"].to_numpy())

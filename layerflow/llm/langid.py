@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import sample_of, table
+from layerflow.llm.common import lean, sample_of, table
 
 MAX_TRAIN = 4_000
 LANDMARKS = 160
@@ -101,6 +101,7 @@ def fit(labelled: DataFrame) -> Model:
     h = F.xxhash64("key", F.lit(5))
     picked = rows.groupBy("lang", F.pmod(h, F.lit(per)).alias("b")).agg(F.min_by("text", F.struct(h, "text")).alias("text"))
 
+    @lean
     def to_grams(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             yield pd.DataFrame({"lang": p["lang"], "b": p["b"], "g": [grams(t).tobytes() for t in p["text"]]})
@@ -121,6 +122,7 @@ def fit(labelled: DataFrame) -> Model:
 
     shared = labelled.sparkSession.sparkContext.broadcast((vocab, project))  # bounded by the landmarks' n-grams
 
+    @lean
     def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, w = shared.value
         gram, target, n = np.zeros((m + 1, m + 1)), np.zeros((m + 1, len(langs))), 0
@@ -151,6 +153,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     shared = spark.sparkContext.broadcast((model.langs, model.vocab, model.weights, model.bias))
 
+    @lean
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Model(*shared.value)
         for p in parts:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import sample_of, table
+from layerflow.llm.common import lean, sample_of, table
 
 MAX_TRAIN_DOCS = 300
 MAX_TRAIN_PARAGRAPHS = 1_200
@@ -206,6 +206,7 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """One row per licence paragraph."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is that of the notices
 
+    @lean
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for p in parts:

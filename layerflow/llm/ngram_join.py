@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import table
+from layerflow.llm.common import lean, table
 from layerflow.llm.graph import components
 from layerflow.session import scratch_dir
 
@@ -47,6 +47,7 @@ BLOCK = 512
 GROUP_TOKENS = 1_500_000
 BLOCK_TOKENS = 2_000_000
 BIN_TOKENS = 200_000
+BATCH_TOKENS = 1_000_000
 WANTED_BITS = 1 << 23  # fixed size of the filter that picks the sets to verify
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -85,6 +86,7 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def memberships(rows: DataFrame, folder: str, size: int) -> DataFrame:
     """(doc_id, n, entity) of every row, kept as a table; entity is null for the empty set."""
+    @lean
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             sets = [shingle_set(t, size) for t in p["text"]]
@@ -128,7 +130,7 @@ def _read_group(p: pd.DataFrame, *kinds) -> tuple[np.ndarray, ...]:
     for source, blob in zip(p["source"], p["blob"]):
         entity, n, place, *columns = _unblob(blob, np.int64, np.uint32, np.uint8, *kinds)
         place = place.view(np.uint16 if len(entity) < 65_536 else np.uint32)
-        for k, c in enumerate((entity[place], n[place], np.full(len(place), source, np.int64), *columns)):
+        for k, c in enumerate((entity[place], n[place], np.full(len(place), source, np.int32), *columns)):
             out[k].append(c)
     return tuple(np.concatenate(x) for x in out)
 
@@ -136,18 +138,26 @@ def _read_group(p: pd.DataFrame, *kinds) -> tuple[np.ndarray, ...]:
 def shared_tokens(rows: DataFrame, size: int, groups: int) -> DataFrame:
     """(target, source, blob): the tokens that more than one entity holds, with their counts, by
     entity group (target) and token group (source)."""
+    def some_sets(texts, seen):
+        """Sets and entities, about ``BATCH_TOKENS`` tokens at a time."""
+        sets, entity, held = [], [], 0
+        for t in texts:
+            s = shingle_set(t, size)
+            if len(s) and (e := entity_of(s)) not in seen:  # a copy in the same task adds nothing
+                seen.add(e)
+                sets.append(s)
+                entity.append(e)
+                held += len(s)
+                if held >= BATCH_TOKENS:
+                    yield sets, entity
+                    sets, entity, held = [], [], 0
+        if sets:
+            yield sets, entity
+
+    @lean
     def spread(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
-        for p in parts:
-            sets, entity = [], []
-            for t in p["text"]:
-                s = shingle_set(t, size)
-                if len(s) and (e := entity_of(s)) not in seen:  # a copy in the same task adds nothing
-                    seen.add(e)
-                    sets.append(s)
-                    entity.append(e)
-            if not sets:
-                continue
+        for sets, entity in some_sets((t for p in parts for t in p["text"]), seen):
             n = np.array([len(s) for s in sets])
             every, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
             # two tokens of a set that are alike in what travels count as one there; a size less by two
@@ -158,6 +168,7 @@ def shared_tokens(rows: DataFrame, size: int, groups: int) -> DataFrame:
                             (every >> np.uint64(32)).astype(np.uint32))
             yield pd.DataFrame([(g, 0, b) for g, b in out], columns=["target", "source", "blob"])
 
+    @lean
     def count(p: pd.DataFrame) -> pd.DataFrame:
         group = int(p["target"].iloc[0])
         entity, n, _, token = _read_group(p, np.uint32)
@@ -209,9 +220,10 @@ def prefix_keys(entity, n, key, df, percent: int) -> tuple[np.ndarray, np.ndarra
 
 def candidate_ties(shared: DataFrame, percent: int, folder: str) -> DataFrame:
     """Edges (a, b) that tie all entities with a common index entry."""
+    @lean
     def index(p: pd.DataFrame) -> pd.DataFrame:
         entity, n, source, token, df = _read_group(p, np.uint32, np.uint32)
-        key, owner = prefix_keys(entity, n, (source << 32) | token.astype(np.int64), df, percent)
+        key, owner = prefix_keys(entity, n, (source.astype(np.int64) << 32) | token.astype(np.int64), df, percent)
         order = np.lexsort((owner, key))
         key, owner = key[order], owner[order]
         first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
@@ -237,6 +249,7 @@ def _places(entity: int, doc_id: str | None) -> tuple[int, int]:
 
 def wanted_filter(wanted: DataFrame) -> np.ndarray:
     """Bits of (entity, doc_id) rows; ``WANTED_BITS`` of them whatever the number of rows."""
+    @lean
     def mark(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.zeros(WANTED_BITS, bool)
         for p in parts:
@@ -299,6 +312,7 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
     bins = max(1, -(-tokens // BIN_TOKENS))
     bits = spark.sparkContext.broadcast(wanted_filter(placed.select("entity", "doc_id")))
 
+    @lean
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = bits.value
         for p in parts:
@@ -321,6 +335,7 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
         F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).cast("long").alias("i"),
         F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("own", "other")).cast("long").alias("j"))
 
+    @lean
     def verify(p: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         for _, c in p.drop_duplicates("entity").groupby("cluster", sort=False):

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import table
+from layerflow.llm.common import lean, table
 from layerflow.session import scratch_dir
 
 WINDOW = 2048
@@ -64,6 +64,7 @@ def tokenized(docs: DataFrame, folder: str, id_col: str, text_col: str, vocab: s
     if window < 2:
         raise ValueError("a window has at least two tokens")
 
+    @lean
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, first = tokenizer(vocab), TaskContext.get().partitionId() << 33
         df, n_docs, n_tokens, row, seq = np.zeros(1 << 16, np.int64), 0, 0, first, first
@@ -101,6 +102,7 @@ def term_weights(tokens: DataFrame) -> tuple[np.ndarray, float]:
     """Inverse document frequency by id (at most 65,536), and the mean length, over all documents."""
     stats = tokens.where(F.col("kind") == STATS)
 
+    @lean
     def spread(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             for b in p["ids"]:
@@ -192,6 +194,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     shards = max(1, -(-total // (2 * shard_tokens)))
     weights = spark.sparkContext.broadcast(idf)  # 65,536 numbers
 
+    @lean
     def one_shard(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("row", kind="stable", ignore_index=True)
         ids = [np.frombuffer(b, np.uint16) for b in p["ids"]]
@@ -208,6 +211,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
         return pd.DataFrame({"doc_id": of["doc_id"], "doc_tokens": of["doc_tokens"], "start": of["start"] + o["cut"],
                              "sequence_id": o["sequence_id"], "offset": o["offset"], "ids": o["ids"]})
 
+    @lean
     def widen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             p["ids"] = [np.frombuffer(b, np.uint16).astype("<u4").tobytes() for b in p["ids"]]

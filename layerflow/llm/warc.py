@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import sample_of, table
+from layerflow.llm.common import lean, sample_of, table
 from layerflow.session import scratch_dir
 
 MAGIC = 0x184D2A5D
@@ -182,6 +182,7 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
 def write_archives(marked: DataFrame, folder: str, dictionary: bytes, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes the archives below ``folder`` and returns their list (path, records, bytes), itself kept
     as a table there."""
+    @lean
     def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = _open_fs(folder)
         part, out, listed = TaskContext.get().partitionId(), None, []
@@ -225,6 +226,7 @@ def write_archives(marked: DataFrame, folder: str, dictionary: bytes, archive_by
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     """One row per record of the listed archives, from the archives alone; each archive must hold as
     many records as the list says."""
+    @lean
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, _ = _open_fs(folder)
         number = lambda uri: int(uri[10:-1]) if uri[10:-1] else None  # noqa: E731  <urn:page:N>
