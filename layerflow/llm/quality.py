@@ -11,6 +11,9 @@ Windows are compared by a 64-bit hash of their three words.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,36 +43,35 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return F.when(n < window + 1, F.lit(0)).otherwise(F.size(covered))
 
 
-def measurements(text: Column) -> dict[str, Column]:
+def measurements(text: Column) -> Column:
+    """struct of all measurements; the words and the lines are each split once."""
     t = F.coalesce(text, F.lit(""))
     n = F.length(t)
-    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD))
 
     def of_words(w: Column) -> Column:
-        return F.struct(F.size(w).cast("long").alias("n_words"),
-                        repeated_words(w).cast("long").alias("n_repeat_words"))
+        return F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).cast("long").alias("again"))
 
     def of_lines(x: Column) -> Column:
-        return F.struct(F.size(x).cast("long").alias("n_lines"),
-                        (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
-
-    return {
-        "w": let(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), of_words),
-        "l": let(lines, of_lines),
-        "word_chars": F.length(without(t, BLANKS)).cast("long"),
-        "n_symbols": (n - F.length(without(t, SYMBOLS))).cast("long"),
-        "n_bangs": (n - F.length(without(t, "!"))).cast("long"),
-    }
-
-
-#: Rules by bit, in this order for good: new ones are appended.  SQL over the measurements.
-RULES: tuple[tuple[str, str], ...] = (
-    ("few_words", "n_words < 50"),
-    ("repeated_words", "100 * n_repeat_words > 50 * n_words"),
-    ("long_words", "word_chars > 30 * n_words"),
-    ("symbols", "n_symbols > n_words"),
-    ("dup_lines", "2 * n_dup_lines > n_lines"),
-    ("shouting", "n_bangs > n_words"),
+        return F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("own"))
+
+    words = let(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), of_words)
+    lines = let(F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD)), of_lines)
+    return let(F.struct(words.alias("w"), lines.alias("l")), lambda x: F.struct(
+        x["w"]["n"].alias("n_words"), F.length(without(t, BLANKS)).cast("long").alias("word_chars"),
+        (n - F.length(without(t, SYMBOLS))).cast("long").alias("n_symbols"),
+        (x["l"]["n"] - x["l"]["own"]).alias("n_dup_lines"), x["w"]["again"].alias("n_repeat_words"),
+        x["l"]["n"].alias("n_lines"), (n - F.length(without(t, "!"))).cast("long").alias("n_bangs")))
+
+
+#: Rules by bit, in this order for good: new ones are appended.  Each is true, over the measurements,
+#: for a document that fails it.
+RULES: tuple[tuple[str, Callable[[Column], Column]], ...] = (
+    ("few_words", lambda m: m["n_words"] < 50),
+    ("repeated_words", lambda m: 100 * m["n_repeat_words"] > 50 * m["n_words"]),
+    ("long_words", lambda m: m["word_chars"] > 30 * m["n_words"]),
+    ("symbols", lambda m: m["n_symbols"] > m["n_words"]),
+    ("dup_lines", lambda m: 2 * m["n_dup_lines"] > m["n_lines"]),
+    ("shouting", lambda m: m["n_bangs"] > m["n_words"]),
 )
 BIT = {name: k for k, (name, _) in enumerate(RULES)}
 
@@ -84,18 +86,16 @@ def mask(policy: str) -> int:
     return sum(1 << BIT[r] for r in POLICIES[policy])
 
 
+def failures(m: Column) -> Column:
+    """Bit k is set if rule k fails."""
+    bits = [F.when(rule(m), F.lit(1 << k)).otherwise(F.lit(0)) for k, (_, rule) in enumerate(RULES)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long")
+
+
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, measurements and failed (bit k set: rule k fails)."""
-    m = measurements(F.col("text"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).select(
-        "doc_id", *[c.alias(k) for k, c in m.items()])
-    rows = rows.select("doc_id", "w.n_words", "word_chars", "n_symbols", "l.n_dup_lines",
-                       "w.n_repeat_words", "l.n_lines", "n_bangs")
-    bits = [F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)) for k, (_, rule) in enumerate(RULES)]
-    failed = bits[0]
-    for b in bits[1:]:
-        failed = failed.bitwiseOR(b)
-    return rows.withColumn("failed", failed.cast("long"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), measurements(F.col(text_col)).alias("m"))
+    return rows.select("doc_id", "m.*", failures(F.col("m")).alias("failed"))
 
 
 def apply_policy(rows: DataFrame, policy: str = "v1") -> DataFrame:
@@ -128,17 +128,9 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that policy v1 rejects.  Row by row: the ledger's columns are computed
-    next to the document, so nothing is joined or moved."""
-    m = measurements(F.col("text"))
-    cols = docs.columns
-    rows = docs.select(F.struct(*cols).alias("doc"), *[c.alias(k) for k, c in m.items()])
-    rows = rows.select("doc", "w.n_words", "w.n_repeat_words", "l.n_lines", "l.n_dup_lines",
-                       "word_chars", "n_symbols", "n_bangs")
-    fails = F.lit(False)
-    for name in POLICIES["v1"]:
-        fails = fails | F.expr(RULES[BIT[name]][1])
-    return rows.where(~fails).select("doc.*")
+    """Drops the documents that policy v1 rejects, row by row: nothing is joined or moved.  The bits are
+    one expression over one evaluation of the measurements."""
+    return docs.where(let(measurements(F.col("text")), failures).bitwiseAND(F.lit(mask("v1"))) == 0)
 
 
 #: SQL of the ledger over a table of documents (doc_id, text).
