@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.llm.common import lean, table
+from layerflow.session import scratch_dir
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -229,6 +230,9 @@ def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontam_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark passage."""
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id")).distinct()
+    """Drops the documents that hold a benchmark passage; rows with equal (or null) ids share a decision.
+    The ids to drop are written first: Spark then sees their size before it plans the join."""
+    path = f"{scratch_dir(spark, 'decontam')}/leaks"
+    find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id")).distinct().write.parquet(path)
+    leaks = spark.read.parquet(path)
     return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left_anti")

@@ -378,9 +378,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group, the one with the least id; documents without words stay."""
-    groups = near_components(docs)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    """Keeps one document of each group, the one with the least id; documents without words stay.  The ids
+    to drop are written first: Spark then sees their size before it plans the join."""
+    path = f"{scratch_dir(spark, 'ngramjoin')}/gone"
+    near_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct().write.parquet(path)
+    gone = spark.read.parquet(path)
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
