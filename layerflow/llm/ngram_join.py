@@ -361,7 +361,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = components(ties)
     clusters = found.select(F.col("node").alias("entity"), F.col("root").alias("cluster")).unionByName(
         found.select(F.col("root").alias("entity"), F.col("root").alias("cluster")).distinct())
-    roots = components(verified_links(rows, clusters, members, size, percent))
+    # a table of its own: verified once, whatever the rounds after it read again or lose
+    verified_links(rows, clusters, members, size, percent).write.parquet(f"{folder}/links")
+    roots = components(spark.read.schema("a long, b long").parquet(f"{folder}/links"))
     least = members.where("entity IS NOT NULL").groupBy("entity").agg(F.min(F.col("doc_id").cast(kind)).alias("least"))
     least = least.join(roots, F.col("entity") == F.col("node"), "left").select(
         "entity", "least", F.coalesce("root", "entity").alias("root"))
