@@ -80,11 +80,15 @@ class Features:
     """n-grams (1..3) of known words as feature numbers.  A key is built from word numbers, so it is
     exact: base ``len(words) + 1``, three digits."""
 
-    def __init__(self, notices: list[str]):
+    def __init__(self, words: dict[str, int], keys: np.ndarray):
+        self.words, self.keys, self.base = words, keys, len(words) + 1
+
+    @classmethod
+    def of(cls, notices: list[str]) -> "Features":
         lists = [tokens(t) for t in notices]
-        self.words = {w: k + 1 for k, w in enumerate(sorted({w for x in lists for w in x}))}
-        self.base = len(self.words) + 1
-        self.keys = np.unique(np.concatenate([self._keys(self._ids(x))[0] for x in lists]))
+        own = cls({w: k + 1 for k, w in enumerate(sorted({w for x in lists for w in x}))}, np.zeros(0, np.int64))
+        own.keys = np.unique(np.concatenate([own._keys(own._ids(x))[0] for x in lists]))
+        return own
 
     def _ids(self, words: list[str]) -> np.ndarray:
         get = self.words.get
@@ -124,8 +128,10 @@ def pairs(text: str) -> set[tuple[str, str]]:
 
 
 class Model:
-    def __init__(self, features: Features, classes: list[str], weights: np.ndarray, bias: np.ndarray, heat: float = 1.0):
-        self.features, self.classes, self.weights, self.bias, self.heat = features, classes, weights, bias, heat
+    def __init__(self, words: dict[str, int], keys: np.ndarray, classes: list[str], weights: np.ndarray,
+                 bias: np.ndarray, heat: float = 1.0):
+        self.parts = words, keys, classes, weights, bias, heat
+        self.features, self.classes, self.weights, self.bias, self.heat = Features(words, keys), classes, weights, bias, heat
         self.templates = {f: [pairs(t) for t in ts] for f, ts in NOTICES.items()}
 
     def logits(self, paragraphs: list[str]) -> np.ndarray:
@@ -167,7 +173,7 @@ def train(prose: list[str], seed: int = 11, copies: int = 14, steps: int = 250)
     rows += [(UNKNOWN, t if k == 0 else _varied(rng, t, filler)) for t in OTHERS for k in range(copies)]
     rows += [(NONE, t if k == 0 else _varied(rng, t, filler)) for t in PROSE for k in range(copies // 2)]
     rows += [(NONE, p) for p in prose]
-    features = Features([t for ts in NOTICES.values() for t in ts] + list(OTHERS) + list(PROSE))
+    features = Features.of([t for ts in NOTICES.values() for t in ts] + list(OTHERS) + list(PROSE))
     order = rng.permutation(len(rows))
     y = np.array([classes.index(rows[k][0]) for k in order])
     row, f = features.present([rows[k][1] for k in order])
@@ -191,7 +197,7 @@ def train(prose: list[str], seed: int = 11, copies: int = 14, steps: int = 250)
         return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(s)), y[held]]).mean())
 
     heat = min(np.geomspace(0.3, 3.0, 25), key=loss)
-    return Model(features, classes, w.astype(np.float64), c.astype(np.float64), float(heat))
+    return Model(features.words, features.keys, classes, w.astype(np.float64), c.astype(np.float64), float(heat))
 
 
 def training_prose(docs: DataFrame, text_col: str = "text") -> list[str]:
@@ -204,11 +210,11 @@ def training_prose(docs: DataFrame, text_col: str = "text") -> list[str]:
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per licence paragraph."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is that of the notices
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts)  # their size is that of the notices
 
     @lean
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        own = Model(*shared.value)
         for p in parts:
             yield pd.DataFrame([(d, *m) for d, t in zip(p["doc_id"], p["text"]) for m in own.scan(t)],
                                columns=["doc_id", "paragraph", "start", "family", "probability", "similarity", "confirmed"])

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -45,7 +44,6 @@ FULL, TAIL, STATS = 0, 1, 2
 SCHEMA = "kind int, row long, doc_id string, doc_tokens long, start long, sequence_id long, ids binary"
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> tiktoken.Encoding:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
