@@ -127,8 +127,11 @@ def fit(docs: DataFrame, findings: DataFrame | None = None, path_col: str | None
     if weak is not None:
         rows = rows.unionByName(weak.select(*rows.columns))
     train = VectorAssembler(inputCols=NAMES, outputCol="features").transform(
-        rows.withColumn("label", F.col("label").cast("double"))).select("features", "label").coalesce(2)
-    forest = RandomForestClassifier(numTrees=15, maxDepth=6, maxBins=32, seed=seed).fit(train)
+        rows.withColumn("label", F.col("label").cast("double"))).select("features", "label").coalesce(2).cache()
+    try:  # the fit reads its bounded rows several times; the texts are read for the first of them
+        forest = RandomForestClassifier(numTrees=15, maxDepth=6, maxBins=32, seed=seed).fit(train)
+    finally:
+        train.unpersist()
     return Model(forest_sql(forest, [f"c.f.{n}" for n in NAMES]), grams)
 
 
