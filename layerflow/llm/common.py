@@ -30,13 +30,18 @@ def without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def sample_of(df: DataFrame, key: Column, max_rows: int, rows: int | None = None) -> DataFrame:
+def row_key(df: DataFrame, text_col: str = "text") -> Column:
+    """A hash to sample rows by: of the id where there is one, so that copies of a text are apart."""
+    return F.xxhash64(*[c for c in ("doc_id", "page_id", text_col) if c in df.columns])
+
+
+def sample_of(df: DataFrame, key: Column, max_rows: int) -> DataFrame:
     """A training sample of about ``max_rows`` rows, picked by a hash of ``key``: the same rows
     whatever the partitioning.  All rows when there are fewer.  Only models are fitted on it."""
-    n = df.count() if rows is None else rows
+    n = df.count()
     if n <= max_rows:
         return df
-    return df.where(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1_000_003)) < int(1_000_003 * max_rows / n))
+    return df.where(F.xxhash64(key, F.lit(17)).bitwiseAND(F.lit(2**62 - 1)) < F.lit(int(2**62 * max_rows / n)))
 
 
 def _release() -> None:

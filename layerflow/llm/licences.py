@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import lean, sample_of, table
+from layerflow.llm.common import lean, row_key, sample_of, table
 
 MAX_TRAIN_DOCS = 300
 MAX_TRAIN_PARAGRAPHS = 1_200
@@ -201,7 +201,7 @@ def train(prose: list[str], seed: int = 11, copies: int = 14, steps: int = 250)
 
 
 def training_prose(docs: DataFrame, text_col: str = "text") -> list[str]:
-    rows = sample_of(docs.select(F.col(text_col).alias("text")), F.col("text"), MAX_TRAIN_DOCS)
+    rows = sample_of(docs, row_key(docs, text_col), MAX_TRAIN_DOCS).select(F.col(text_col).alias("text"))
     p = rows.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("p")).where(
         r"p <> '' AND NOT p RLIKE '(?i)licen[cs]e|copyright|spdx|rights|released|creative|public'")
     p = p.select(F.substring("p", 1, PARAGRAPH_CHARS).alias("p"))

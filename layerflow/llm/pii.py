@@ -19,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import let, sample_of, table, without
+from layerflow.llm.common import let, row_key, sample_of, table, without
 from layerflow.llm.spans import matches
 from layerflow.llm.trees import boosted_sql
 
@@ -142,7 +142,7 @@ def seed_findings(n: int = 80) -> list[tuple[str, int]]:
 def fit(docs: DataFrame, text_col: str = "text", seed: int = 7) -> Model:
     """Boosted trees on half of the findings; the thresholds on the other half's wide spans: per kind
     the lowest score from which they are right at least ``PRECISION`` of the time."""
-    sampled = sample_of(docs.select(F.col(text_col).alias("text")), F.col("text"), MAX_TRAIN_DOCS)
+    sampled = sample_of(docs, row_key(docs, text_col), MAX_TRAIN_DOCS).select(F.col(text_col).alias("text"))
     found = sampled.select(F.explode(_with_features(candidates(F.col("text")))).alias("c")).where("c.base")
     h = F.xxhash64("c.s", "c.e", *[f"c.f.{n}" for n in NAMES])
     cols = ["c.k", "c.base", "c.f.*", h.alias("h")]

@@ -21,7 +21,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import let, sample_of, table
+from layerflow.llm.common import let, row_key, sample_of, table
 from layerflow.llm.spans import pieces
 from layerflow.llm.trees import forest_sql
 
@@ -77,7 +77,7 @@ def with_features(docs: DataFrame, trigrams: list[str], path_col: str | None) ->
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
     """The ``DICT_SIZE`` most frequent letter trigrams of words."""
-    sampled = sample_of(docs.select(F.col(text_col).alias("text")), F.col("text"), MAX_DICT_DOCS)
+    sampled = sample_of(docs, row_key(docs, text_col), MAX_DICT_DOCS).select(F.col(text_col).alias("text"))
     words = sampled.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")).alias("w"))
     grams = words.where(F.length("w") >= 3).groupBy("w").count().select("count", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("w") - 2), lambda i: F.substring("w", i, F.lit(3)))).alias("g"))
@@ -111,11 +111,12 @@ class Model:
 def fit(docs: DataFrame, findings: DataFrame | None = None, path_col: str | None = None, seed: int = 7) -> Model:
     """``findings`` has text (the finding with its context), path and label; default: see above."""
     spark = docs.sparkSession
-    text = docs.select("text", (F.col(path_col).cast("string") if path_col else F.lit("")).alias("path"))
-    grams = dictionary(text)
+    grams = dictionary(docs)
     if findings is None:
         findings = spark.createDataFrame(seed_findings(), "text string, path string, label int")
-        weak = with_features(sample_of(text, F.col("text"), MAX_TRAIN_DOCS), grams, "path").select(
+        text = sample_of(docs, row_key(docs), MAX_TRAIN_DOCS).select(
+            "text", (F.col(path_col).cast("string") if path_col else F.lit("")).alias("path"))
+        weak = with_features(text, grams, "path").select(
             F.explode("pieces").alias("c")).where("c.m IS NOT NULL").select(
             "c.f.*", F.when((F.col("c.f.credential") > 0) & (F.col("c.f.covered") < 0.5) & (F.col("c.f.to_digit") > 0.1), 1)
             .when((F.col("c.f.credential") == 0) & (F.col("c.f.digit_share") == 0), 0).alias("label"))

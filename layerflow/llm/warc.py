@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import lean, sample_of, table
+from layerflow.llm.common import lean, row_key, sample_of, table
 from layerflow.session import scratch_dir
 
 MAGIC = 0x184D2A5D
@@ -144,8 +144,8 @@ def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
     """From the starts of at most ``DICT_PAGES`` pages; empty if there is too little to learn from."""
-    rows = sample_of(pages.select(F.substring(F.coalesce(html_col, F.lit("")), 1, DICT_PAGE_BYTES).alias("h")),
-                     F.col("h"), DICT_PAGES).where("h <> ''").limit(2 * DICT_PAGES).collect()
+    rows = sample_of(pages, row_key(pages, html_col), DICT_PAGES).select(
+        F.substring(F.coalesce(html_col, F.lit("")), 1, DICT_PAGE_BYTES).alias("h")).where("h <> ''").limit(2 * DICT_PAGES).collect()
     heads = [r["h"].encode("utf-8", "surrogatepass") for r in rows]
     if len(heads) < 8 or sum(map(len, heads)) < 16 * 1024:
         return b""
