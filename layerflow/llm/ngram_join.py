@@ -110,18 +110,17 @@ def _unblob(blob: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def _by_group(group: np.ndarray, groups: int, entity: np.ndarray, n: np.ndarray, own: np.ndarray,
+def _by_group(group: np.ndarray, entity: np.ndarray, n: np.ndarray, own: np.ndarray,
               *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """A blob per group: its entities with their sizes, and per record the entity's place and columns.
-    own: per record the place in entity."""
+    """A blob per group that has records: its entities with their sizes, and per record the entity's
+    place and columns.  own: per record the place in entity."""
     order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(groups + 1))
-    for g in range(groups):
-        at = order[edges[g]:edges[g + 1]]
-        if len(at):
-            used, place = np.unique(own[at], return_inverse=True)
-            yield g, _blob(entity[used], n[used].astype(np.uint32), place.astype(np.uint16 if len(used) < 65_536 else np.uint32).view(np.uint8),
-                           *[c[at] for c in columns])
+    first = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) != 0])) if len(group) else np.zeros(0, np.int64)
+    for at in np.split(order, first[1:]) if len(first) else ():
+        used, place = np.unique(own[at], return_inverse=True)
+        kind = np.uint16 if len(used) < 65_536 else np.uint32
+        yield int(group[at[0]]), _blob(entity[used], n[used].astype(np.uint32), place.astype(kind).view(np.uint8),
+                                       *[c[at] for c in columns])
 
 
 def _read_group(p: pd.DataFrame, *kinds) -> tuple[np.ndarray, ...]:
@@ -164,7 +163,7 @@ def shared_tokens(rows: DataFrame, size: int, groups: int) -> DataFrame:
             # for each makes the prefix long enough all the same
             alike = (every[1:] >> np.uint64(32) == every[:-1] >> np.uint64(32)) & (own[1:] == own[:-1])
             n = np.maximum(n - 2 * np.bincount(own[1:][alike], minlength=len(n)), 1)
-            out = _by_group((every % np.uint64(groups)).astype(np.int64), groups, np.array(entity), n, own,
+            out = _by_group((every % np.uint64(groups)).astype(np.int64), np.array(entity), n, own,
                             (every >> np.uint64(32)).astype(np.uint32))
             yield pd.DataFrame([(g, 0, b) for g, b in out], columns=["target", "source", "blob"])
 
@@ -185,7 +184,7 @@ def shared_tokens(rows: DataFrame, size: int, groups: int) -> DataFrame:
             return pd.DataFrame({"target": pd.Series([], dtype="int64"), "source": pd.Series([], dtype="int64"), "blob": []})
         entity, n, token, df = entity[many], n[many], token[many], df[many]
         names, at, own = np.unique(entity, return_index=True, return_inverse=True)
-        out = _by_group(names.view(np.uint64)[own] % np.uint64(groups), groups, names, n[at], own,
+        out = _by_group((names.view(np.uint64)[own] % np.uint64(groups)).astype(np.int64), names, n[at], own,
                         token, np.minimum(df, 2**31 - 1).astype(np.uint32))
         return pd.DataFrame([(int(g), group, b) for g, b in out], columns=["target", "source", "blob"])
 
