@@ -136,6 +136,20 @@ def test_plans(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_a_staged_source_is_evaluated_once(spark, ws):
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(v):
+        seen.add(1)
+        return v
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    name = ws.name("once")
+    publish(spark, c, name, "MERGE", "c_custkey", root=ws.table_root("once"))
+    source = c.withColumn("c_name", F.udf(mark, "string")("c_name"))
+    publish(spark, source, name, "MERGE", "c_custkey")
+    assert seen.value == c.count()
+
+
 def test_staged_source_is_removed(spark, ws):
     import os
     from layerflow.session import scratch_schema, scratch_schema_location
