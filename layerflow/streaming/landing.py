@@ -1,52 +1,49 @@
 """Land every new CSV file of a drop folder into a raw table, incrementally.
 
-``readStream`` keeps the list of files already landed in the checkpoint, so
-each run (``availableNow``: process what is there, then stop) lands only new
-files - the streaming form of the append-only raw layer.  Each micro-batch
-is appended through the table's commit protocol and its epoch recorded on
-the table, so a replayed batch is not appended again.
+``readStream`` keeps the list of files already landed in the checkpoint, so each run (``availableNow``:
+process what is there, then stop) lands only new files - the streaming form of the append-only raw
+layer.  Each micro-batch is one append through the table's commit protocol.  After a failure between an
+append and the checkpoint's commit, the next run gets that batch again as its first one; its files are
+in the table already, by name, and are left out.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from layerflow.operators import tables as tb
 from layerflow.session import RunContext, shared_root
-from layerflow.sources.files import all_string_schema, with_lineage
+from layerflow.sources.files import LINEAGE_COLUMNS, all_string_schema, with_lineage
 
-
-def _epoch_key(checkpoint: str) -> str:
-    return "layerflow.landed_epoch." + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+FILE = LINEAGE_COLUMNS[0]
 
 
 class Landed:
-    """Rows that the appends of one run wrote; replayed batches that were skipped add nothing."""
+    """Rows that the appends of one run wrote; files of a repeated batch add nothing."""
 
     def __init__(self) -> None:
         self.rows = 0
 
 
-def batch_appender(table: str, checkpoint: str, landed: Landed | None = None):
-    """``foreachBatch`` function appending each micro-batch once: a batch
-    replayed after a failure is skipped when the table already records its
-    epoch for this checkpoint (only a failure between the append and the
-    record can replay a batch; curation's dedup absorbs that)."""
-    key = _epoch_key(checkpoint)
+def batch_appender(table: str, landed: Landed | None = None):
+    """``foreachBatch`` function of one run.  Only a run's first batch can be a repeated one, so only
+    that is compared with the file names in the table (one column is read)."""
+    first = True
 
     def append_batch(batch: DataFrame, epoch_id: int) -> None:
+        nonlocal first
         s = batch.sparkSession
-        done = tb.table_properties(s, table).get(key)
-        if done is not None and int(done) >= epoch_id:
-            return
+        if first:
+            done = s.table(table).select(F.col(FILE).alias("_landed")).distinct()
+            batch = batch.join(done, batch[FILE] == F.col("_landed"), "left_anti")
         n = tb.append_rows(s, table, batch)
+        first = False
         if landed is not None:
             landed.rows += n
-        tb.set_properties(s, table, {key: str(epoch_id)})
 
     return append_batch
 
@@ -62,7 +59,7 @@ def land_stream(spark: SparkSession, drop_folder: str, columns: Sequence[str], t
     df = with_lineage(reader.csv(drop_folder), run)
     ckpt = checkpoint or f"{shared_root(spark)}/layerflow/streams/{table.replace('.', '_')}"
 
-    append_batch = batch_appender(table, ckpt, landed)
+    append_batch = batch_appender(table, landed)
     return (df.writeStream.trigger(availableNow=True)
             .option("checkpointLocation", ckpt)
             .foreachBatch(append_batch).start())

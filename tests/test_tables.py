@@ -188,19 +188,18 @@ def test_expire_snapshots_keeps_what_is_read(spark, ws):
 
 
 def test_replayed_stream_batch_is_not_appended_twice(spark, ws):
-    from layerflow.streaming.landing import batch_appender
+    from layerflow.streaming.landing import Landed, batch_appender
     o = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
-    name = ws.name("landed")
-    tb.create_table(spark, name, o.schema, ws.table_root("landed"))
-    append = batch_appender(name, f"{ws.root}/ckpt")
-    append(o, 0)
-    append(o, 0)          # replay of epoch 0
-    assert spark.table(name).count() == o.count()
-    append(o, 1)
-    assert spark.table(name).count() == 2 * o.count()
-    # another checkpoint (another stream) keeps its own epochs
-    batch_appender(name, f"{ws.root}/other")(o, 0)
-    assert spark.table(name).count() == 3 * o.count()
+    a, b = (o.withColumn("source_file_name", F.lit(f"/drop/{x}.csv")) for x in "ab")
+    name, n = ws.name("landed"), o.count()
+    tb.create_table(spark, name, a.schema, ws.table_root("landed"))
+    batch_appender(name)(a, 0)                # appended, then the driver dies before the checkpoint's commit
+    landed = Landed()
+    append = batch_appender(name, landed)     # the next run gets the same batch first
+    append(a.unionByName(b), 0)
+    assert spark.table(name).count() == 2 * n and landed.rows == n
+    append(a.withColumn("source_file_name", F.lit("/drop/c.csv")), 1)
+    assert spark.table(name).count() == 3 * n and landed.rows == 2 * n
 
 
 @pytest.mark.parametrize("narrow", [True, False])
