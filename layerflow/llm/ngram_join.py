@@ -16,8 +16,10 @@ ties are clusters, and similar entities are always in one cluster.  A cluster is
 whole sets: in blocks of ``BLOCK`` entities, each pair of blocks in one task, by an inverted index, and
 only links that join what was not joined yet are kept.  The components of these links are the result.
 
-What moves is packed: tokens travel as arrays of 32 bits by token group, where they are counted, and
-back by entity group.  Group counts follow the number of tokens, so a group's size does not.
+Most entities are similar to no other.  They are found first, by counting a quarter of all tokens
+(:func:`likely_entities`); the rest is done for the others alone.  What moves is packed: tokens travel as
+arrays of 32 bits by token group, where they are counted, and back by entity group.  Group counts follow
+the number of tokens, so a group's size does not.
 
 Defined results: null, empty and blank texts have no tokens and are linked with nothing; rows with equal
 ids are separate documents; a null id takes part in links, its component is the least id that is not
@@ -48,7 +50,7 @@ GROUP_TOKENS = 1_500_000
 BLOCK_TOKENS = 2_000_000
 BIN_TOKENS = 200_000
 BATCH_TOKENS = 1_000_000
-WANTED_BITS = 1 << 23  # fixed size of the filter that picks the sets to verify
+MAX_BITS = 1 << 28  # 32 MB
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -134,62 +136,95 @@ def _read_group(p: pd.DataFrame, *kinds) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in out)
 
 
-def shared_tokens(rows: DataFrame, size: int, groups: int) -> DataFrame:
-    """(target, source, blob): the tokens that more than one entity holds, with their counts, by
-    entity group (target) and token group (source)."""
-    def some_sets(texts, seen):
-        """Sets and entities, about ``BATCH_TOKENS`` tokens at a time."""
-        sets, entity, held = [], [], 0
+SPREAD = "target long, source long, blob binary"
+
+
+def spread_tokens(rows: DataFrame, size: int, groups: int, pick, bits: "Bits | None" = None) -> DataFrame:
+    """(target, 0, blob): by token group, the tokens that ``pick`` takes of each entity's sorted set;
+    only of entities in ``bits`` where that is given."""
+    def some_sets(texts, seen, own):
+        """Sets, picked tokens and entities, about ``BATCH_TOKENS`` tokens at a time."""
+        out, held = [], 0
         for t in texts:
             s = shingle_set(t, size)
-            if len(s) and (e := entity_of(s)) not in seen:  # a copy in the same task adds nothing
+            # a copy in the same task adds nothing
+            if len(s) and (e := entity_of(s)) not in seen and (own is None or own.has(e)):
                 seen.add(e)
-                sets.append(s)
-                entity.append(e)
-                held += len(s)
+                out.append((len(s), pick(s), e))
+                held += len(out[-1][1])
                 if held >= BATCH_TOKENS:
-                    yield sets, entity
-                    sets, entity, held = [], [], 0
-        if sets:
-            yield sets, entity
+                    yield out
+                    out, held = [], 0
+        if out:
+            yield out
+
+    shared = rows.sparkSession.sparkContext.broadcast(bits.packed) if bits is not None else None
 
     @lean
     def spread(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for sets, entity in some_sets((t for p in parts for t in p["text"]), seen):
-            n = np.array([len(s) for s in sets])
-            every, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
-            # two tokens of a set that are alike in what travels count as one there; a size less by two
-            # for each makes the prefix long enough all the same
+        filter_ = Bits(shared.value) if shared is not None else None
+        for batch in some_sets((t for p in parts for t in p["text"]), set(), filter_):
+            n, sets, entity = zip(*batch)
+            every, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            # two tokens of a set that are alike in what travels count as one there; a size less by 20
+            # for each keeps every bound on counts and prefixes on the safe side
             alike = (every[1:] >> np.uint64(32) == every[:-1] >> np.uint64(32)) & (own[1:] == own[:-1])
-            n = np.maximum(n - 2 * np.bincount(own[1:][alike], minlength=len(n)), 1)
+            n = np.maximum(np.array(n) - 20 * np.bincount(own[1:][alike], minlength=len(n)), 1)
             out = _by_group((every % np.uint64(groups)).astype(np.int64), np.array(entity), n, own,
                             (every >> np.uint64(32)).astype(np.uint32))
             yield pd.DataFrame([(g, 0, b) for g, b in out], columns=["target", "source", "blob"])
 
+    return rows.mapInPandas(spread, SPREAD)
+
+
+def _of_many(p: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """entity, size, token and count of the tokens of a group that more than one entity holds."""
+    entity, n, _, token = _read_group(p, np.uint32)
+    order = np.lexsort((entity, token))
+    entity, n, token = entity[order], n[order], token[order]
+    new_token = np.concatenate([[True], token[1:] != token[:-1]])
+    new_pair = new_token | np.concatenate([[True], entity[1:] != entity[:-1]])
+    entity, n, token, new_token = entity[new_pair], n[new_pair], token[new_pair], new_token[new_pair]
+    first = np.flatnonzero(new_token)
+    df = np.diff(np.append(first, len(token)))
+    df = np.repeat(df, df)
+    return entity[df > 1], n[df > 1], token[df > 1], df[df > 1]
+
+
+def likely_entities(rows: DataFrame, size: int, percent: int, groups: int, folder: str) -> DataFrame:
+    """(entity, n) of the entities that may be similar to another one, kept as a table.
+
+    In hash order, two similar sets share at least min(k, k') tokens among the first n - ceil(t n) + k of
+    each, k = ceil(n / 10).  So only that quarter of the tokens is counted, and an entity that shares
+    fewer than ceil(t n) / 10 of them with any others is similar to none."""
+    def quarter(s: np.ndarray) -> np.ndarray:
+        return s[:len(s) - least_overlap(len(s), percent) + (len(s) + 9) // 10]
+
+    @lean
+    def count(p: pd.DataFrame) -> pd.DataFrame:
+        entity, n, _, _ = _of_many(p)
+        names, at, c = np.unique(entity, return_index=True, return_counts=True)
+        return pd.DataFrame({"entity": names, "n": n[at].astype(np.int64), "c": c})
+
+    found = spread_tokens(rows, size, groups, quarter).groupBy("target").applyInPandas(count, "entity long, n long, c long")
+    found = found.groupBy("entity").agg(F.min("n").alias("n"), F.sum("c").alias("c"))
+    found.where(10 * F.col("c") >= F.floor((percent * F.col("n") + 99) / 100)).select("entity", "n").write.parquet(f"{folder}/likely")
+    return rows.sparkSession.read.schema("entity long, n long").parquet(f"{folder}/likely")
+
+
+def shared_tokens(rows: DataFrame, size: int, groups: int, bits: "Bits") -> DataFrame:
+    """(target, source, blob): the tokens that more than one of the entities in ``bits`` holds, with
+    their counts, by entity group (target) and token group (source)."""
     @lean
     def count(p: pd.DataFrame) -> pd.DataFrame:
         group = int(p["target"].iloc[0])
-        entity, n, _, token = _read_group(p, np.uint32)
-        order = np.lexsort((entity, token))
-        entity, n, token = entity[order], n[order], token[order]
-        new_token = np.concatenate([[True], token[1:] != token[:-1]])
-        new_pair = new_token | np.concatenate([[True], entity[1:] != entity[:-1]])
-        entity, n, token, new_token = entity[new_pair], n[new_pair], token[new_pair], new_token[new_pair]
-        first = np.flatnonzero(new_token)
-        df = np.diff(np.append(first, len(token)))
-        df = np.repeat(df, df)
-        many = df > 1
-        if not many.any():
-            return pd.DataFrame({"target": pd.Series([], dtype="int64"), "source": pd.Series([], dtype="int64"), "blob": []})
-        entity, n, token, df = entity[many], n[many], token[many], df[many]
+        entity, n, token, df = _of_many(p)
         names, at, own = np.unique(entity, return_index=True, return_inverse=True)
         out = _by_group((names.view(np.uint64)[own] % np.uint64(groups)).astype(np.int64), names, n[at], own,
                         token, np.minimum(df, 2**31 - 1).astype(np.uint32))
-        return pd.DataFrame([(int(g), group, b) for g, b in out], columns=["target", "source", "blob"])
+        return pd.DataFrame([(g, group, b) for g, b in out], columns=["target", "source", "blob"])
 
-    schema = "target long, source long, blob binary"
-    return rows.mapInPandas(spread, schema).groupBy("target").applyInPandas(count, schema)
+    return spread_tokens(rows, size, groups, lambda s: s, bits).groupBy("target").applyInPandas(count, SPREAD)
 
 
 def prefix_keys(entity, n, key, df, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,25 +276,39 @@ def candidate_ties(shared: DataFrame, percent: int, folder: str) -> DataFrame:
     return entries.where("tie").select("a", "b").unionByName(met.distinct())
 
 
-def _places(entity: int, doc_id: str | None) -> tuple[int, int]:
-    h = xxhash.xxh64_intdigest(f"{entity}:{doc_id}".encode("utf-8", "surrogatepass"))
-    return h % WANTED_BITS, (h >> 32) % WANTED_BITS
+class Bits:
+    """A filter of (entity, doc_id) or of entities alone: no false negatives."""
+
+    def __init__(self, packed: np.ndarray):
+        self.packed, self.size = packed, 8 * len(packed)
 
+    def places(self, entity: int, doc_id: str | None = None) -> tuple[int, int]:
+        h = xxhash.xxh64_intdigest(f"{entity}:{doc_id}".encode("utf-8", "surrogatepass"))
+        return h % self.size, (h >> 32) % self.size
+
+    def has(self, entity: int, doc_id: str | None = None) -> bool:
+        return all(self.packed[b >> 3] >> (b & 7) & 1 for b in self.places(entity, doc_id))
+
+
+def filter_of(wanted: DataFrame) -> Bits:
+    """Filter of the rows of ``wanted`` (entity and, if there is one, doc_id): 16 bits a row, but at most
+    ``MAX_BITS``; beyond, it lets more through, which is dropped later."""
+    size = min(MAX_BITS, max(1 << 16, 1 << (16 * wanted.count()).bit_length()))
+    named = "doc_id" in wanted.columns
 
-def wanted_filter(wanted: DataFrame) -> np.ndarray:
-    """Bits of (entity, doc_id) rows; ``WANTED_BITS`` of them whatever the number of rows."""
     @lean
     def mark(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(WANTED_BITS, bool)
+        bits = Bits(np.zeros(size // 8, np.uint8))
         for p in parts:
-            for e, d in zip(p["entity"], p["doc_id"]):
-                bits[list(_places(e, d))] = True
-        yield pd.DataFrame({"bits": [np.packbits(bits).tobytes()]})
+            at = np.array([bits.places(e, d) for e, d in zip(p["entity"], p["doc_id"] if named else [None] * len(p))],
+                          np.int64).ravel()
+            np.bitwise_or.at(bits.packed, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        yield pd.DataFrame({"bits": [bits.packed.tobytes()]})
 
-    out = np.zeros(WANTED_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in wanted.coalesce(8).mapInPandas(mark, "bits binary").toLocalIterator():
         out |= np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
+    return Bits(out)
 
 
 def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -309,18 +358,18 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
         "cluster", F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("t") / BLOCK_TOKENS)).cast("long").alias("blocks"), "t")
     tokens = total.agg(F.sum("t")).first()[0] or 0
     bins = max(1, -(-tokens // BIN_TOKENS))
-    bits = spark.sparkContext.broadcast(wanted_filter(placed.select("entity", "doc_id")))
+    bits = spark.sparkContext.broadcast(filter_of(placed.select("entity", "doc_id")).packed)
 
     @lean
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = bits.value
+        wanted = Bits(bits.value)
         for p in parts:
             out = []
             for d, t in zip(p["doc_id"], p["text"]):
                 s = shingle_set(t, size)
                 if len(s):
                     e = entity_of(s)
-                    if all(wanted[b >> 3] >> (7 - (b & 7)) & 1 for b in _places(e, d)):
+                    if wanted.has(e, d):
                         out.append((e, s.tobytes()))
             yield pd.DataFrame(out, columns=["entity", "tokens"])
 
@@ -355,8 +404,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder, rows = scratch_dir(spark, "ngramjoin"), _docs(docs, id_col, text_col)
     members = memberships(rows, folder, size)
     tokens = members.agg(F.sum("n")).first()[0] or 0
-    groups = max(16, -(-tokens // GROUP_TOKENS))
-    ties = candidate_ties(shared_tokens(rows, size, groups), percent, folder)
+    likely = likely_entities(rows, size, percent, max(16, -(-tokens // (4 * GROUP_TOKENS))), folder)
+    few = likely.agg(F.sum("n")).first()[0] or 0
+    shared = shared_tokens(rows, size, max(16, -(-few // GROUP_TOKENS)), filter_of(likely.select("entity")))
+    ties = candidate_ties(shared, percent, folder)
     found = components(ties)
     clusters = found.select(F.col("node").alias("entity"), F.col("root").alias("cluster")).unionByName(
         found.select(F.col("root").alias("entity"), F.col("root").alias("cluster")).distinct())
