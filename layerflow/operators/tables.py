@@ -302,11 +302,6 @@ def drop_partitions(spark: SparkSession, name: str, parts: Sequence[str], values
         spark.catalog.refreshTable(name)
 
 
-def partition_fragments(spark: SparkSession, name: str) -> list[str]:
-    """Partitions as ``SHOW PARTITIONS`` prints them (``a=1/b=x%2Fy``)."""
-    return [r[0] for r in spark.sql(f"SHOW PARTITIONS {check_name(name)}").collect()]
-
-
 def _old_folders(spark: SparkSession, root: str, older_than_seconds: float, keep=lambda n: False):
     """(path, name) of folders directly below ``root`` older than the grace
     period and not kept; deleted by the caller's loop."""
