@@ -98,6 +98,33 @@ def test_prefixes_meet_for_every_similar_pair():
                     assert held[i] & held[j], (scale, len(sets[i]), len(sets[j]))
 
 
+def test_similar_sets_share_enough_of_their_first_tokens():
+    """What the first count relies on, for pairs right at the threshold too."""
+    rng = np.random.default_rng(9)
+    close = 0
+    for _ in range(4000):
+        n = int(rng.integers(2, 300))
+        x = np.unique(rng.integers(0, 2**62, n))
+        lost = int(rng.integers(0, max(2, n // 8)))
+        y = np.unique(np.concatenate([rng.permutation(x)[lost:], rng.integers(0, 2**62, rng.integers(0, max(2, n // 8)))]))
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 85 * (len(x) + len(y) - both):
+            continue
+        close += 100 * both < 88 * (len(x) + len(y) - both)
+        first = [s[:len(s) - nj.least_overlap(len(s), 85) + (len(s) + 9) // 10] for s in (x, y)]
+        shared = len(np.intersect1d(*first))
+        assert all(10 * shared >= nj.least_overlap(len(s), 85) for s in (x, y))
+    assert close > 50
+
+
+def test_filter_has_no_false_negatives(spark):
+    rows = [(k * 7919 - 50, None if k % 9 == 0 else f"d{k}") for k in range(500)]
+    df = spark.createDataFrame(rows, "entity long, doc_id string").repartition(5)
+    both, alone = nj.filter_of(df), nj.filter_of(df.select("entity"))
+    assert all(both.has(e, d) and alone.has(e) for e, d in rows)
+    assert sum(alone.has(10**12 + k) for k in range(1000)) < 50
+
+
 def test_odd_rows(spark):
     docs = [(5, None), (6, ""), (7, " \t\n"), (8, "One two"), (9, "one TWO"), (10, "one two x"), (2**60, "É a b c d"),
             (3, "é a b c d"), (4, "a\x85b c d e"), (None, "one two"), (1, "long " * 30000 + "end"), (2, "long " * 30000 + "end"),
