@@ -1,8 +1,9 @@
 """Connected components of an edge table, without collecting it anywhere.
 
-Each task first reduces its own edges to a spanning forest; then rounds of large star and small star
-(each node's neighbours are tied to the least of them) until nothing changes.  Every round is a table
-below the shared folder, so its lineage is one read.
+Each task first reduces its own share of the edges, at most about ``SHARE`` of them, to a spanning forest.
+A graph that is one share is done then.  Otherwise rounds of large star and small star follow (each node's
+neighbours are tied to the least of them) until nothing changes.  Every round is a table below the shared
+folder, so its lineage is one read.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from layerflow.llm.common import lean
 from layerflow.session import scratch_dir
 
 MAX_ROUNDS = 60
+SHARE = 1_000_000
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,32 +41,41 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lean
-def _local(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for p in parts:
         a, b = forest(p["a"].to_numpy(), p["b"].to_numpy())
         yield pd.DataFrame({"a": a, "b": b})
 
 
-def components(edges: DataFrame) -> DataFrame:
+@lean
+def _share(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    a, b = forest(*(np.concatenate(x) for x in zip(*((p["a"].to_numpy(), p["b"].to_numpy()) for p in parts),
+                                                   (np.zeros(0, np.int64),) * 2)))
+    yield pd.DataFrame({"a": a, "b": b})
+
+
+def components(edges: DataFrame, share: int = SHARE) -> DataFrame:
     """(node, root) for every node with an edge but the roots themselves; root is the least node of
     the component.  ``edges`` has a and b (long, not null), in either order."""
     spark, folder = edges.sparkSession, scratch_dir(edges.sparkSession, "components")
 
-    def kept(df: DataFrame, k: int) -> tuple[DataFrame, tuple]:
+    def kept(df: DataFrame, k: object) -> tuple[DataFrame, tuple]:
         df.write.parquet(f"{folder}/{k}")
         out = spark.read.schema("a long, b long").parquet(f"{folder}/{k}")
         state = out.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         return out, tuple(state)
 
-    e, state = kept(edges.select("a", "b").where("a <> b").mapInPandas(_local, "a long, b long").distinct(), 0)
+    e, state = kept(edges.select("a", "b").where("a <> b").mapInPandas(_batches, "a long, b long"), "edges")
+    shares = -(-state[0] // share)
+    e, state = kept(e.coalesce(max(1, shares)).mapInPandas(_share, "a long, b long"), "shares")
+    if shares <= 1:
+        return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for k in range(1, MAX_ROUNDS):
-        if not state[0]:
-            break
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = large.mapInPandas(_local, "a long, b long").distinct()
+        large = large.distinct()
         below = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(below, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e, new = kept(small.unionByName(below.select("a", F.col("m").alias("b"))).distinct(), k)

@@ -136,10 +136,12 @@ def test_odd_rows(spark):
     assert nj.near_components(empty).count() == 0
 
 
-def test_components_of_a_long_path_and_a_star(spark):
+@pytest.mark.parametrize("share", [10, 100, 10**6])
+def test_components_of_a_long_path_and_a_star(spark, share):
     path = [(k, k + 1) for k in range(300)]
     star = [(1000, 1001 + k) for k in range(500)]
     df = spark.createDataFrame(path + star + [(5, 5)], "a long, b long").repartition(7)
-    roots = {r["node"]: r["root"] for r in graph.components(df).collect()}
+    assert graph.components(df.limit(0), share).count() == 0
+    roots = {r["node"]: r["root"] for r in graph.components(df, share).collect()}
     assert all(roots[k] == 0 for k in range(1, 301)) and all(roots[k] == 1000 for k in range(1001, 1501))
     assert len(roots) == 800
