@@ -87,15 +87,17 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def memberships(rows: DataFrame, folder: str, size: int) -> DataFrame:
-    """(doc_id, n, entity) of every row, kept as a table; entity is null for the empty set."""
+    """(doc_id, n, entity) of every row, and its text_key if it has one, kept as a table; entity is null
+    for the empty set."""
     @lean
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             sets = [shingle_set(t, size) for t in p["text"]]
-            yield pd.DataFrame({"doc_id": p["doc_id"], "n": [len(s) for s in sets],
+            out = pd.DataFrame({"doc_id": p["doc_id"], "n": [len(s) for s in sets],
                                 "entity": pd.array([entity_of(s) if len(s) else None for s in sets], "Int64")})
+            yield out.assign(text_key=p["text_key"]) if "text_key" in p else out
 
-    schema = "doc_id string, n long, entity long"
+    schema = "doc_id string, n long, entity long" + (", text_key long" if "text_key" in rows.columns else "")
     rows.mapInPandas(run, schema).write.parquet(f"{folder}/members")
     return rows.sparkSession.read.schema(schema).parquet(f"{folder}/members")
 
@@ -397,12 +399,9 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
     return tasks.join(sets, "entity").groupBy("k", "i", "j").applyInPandas(verify, "a long, b long")
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS,
-                    percent: int = PERCENT) -> DataFrame:
-    """Per row of docs: id, n_shingles, component_id (the least id that links reach)."""
-    spark, kind = docs.sparkSession, docs.schema[id_col].dataType
-    folder, rows = scratch_dir(spark, "ngramjoin"), _docs(docs, id_col, text_col)
-    members = memberships(rows, folder, size)
+def entity_roots(rows: DataFrame, members: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
+    """(node, root): the entities that links join to a lesser one."""
+    spark = rows.sparkSession
     tokens = members.agg(F.sum("n")).first()[0] or 0
     likely = likely_entities(rows, size, percent, max(16, -(-tokens // (4 * GROUP_TOKENS))), folder)
     few = likely.agg(F.sum("n")).first()[0] or 0
@@ -413,29 +412,67 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found.select(F.col("root").alias("entity"), F.col("root").alias("cluster")).distinct())
     # a table of its own: verified once, whatever the rounds after it read again or lose
     verified_links(rows, clusters, members, size, percent).write.parquet(f"{folder}/links")
-    roots = components(spark.read.schema("a long, b long").parquet(f"{folder}/links"))
-    least = members.where("entity IS NOT NULL").groupBy("entity").agg(F.min(F.col("doc_id").cast(kind)).alias("least"))
+    return components(spark.read.schema("a long, b long").parquet(f"{folder}/links"))
+
+
+def least_of_group(members: DataFrame, roots: DataFrame, value) -> DataFrame:
+    """(e, least) per entity: the least ``value`` of the rows that links reach."""
+    least = members.where("entity IS NOT NULL").groupBy("entity").agg(F.min(value).alias("least"))
     least = least.join(roots, F.col("entity") == F.col("node"), "left").select(
         "entity", "least", F.coalesce("root", "entity").alias("root"))
-    of_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = least.join(of_root, "root").select(F.col("entity").alias("e"), "component_id")
+    of_root = least.groupBy("root").agg(F.min("least").alias("of_root"))
+    return least.join(of_root, "root").select(F.col("entity").alias("e"), F.col("of_root").alias("least"))
+
+
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS,
+                    percent: int = PERCENT) -> DataFrame:
+    """Per row of docs: id, n_shingles, component_id (the least id that links reach)."""
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType
+    folder, rows = scratch_dir(spark, "ngramjoin"), _docs(docs, id_col, text_col)
+    members = memberships(rows, folder, size)
+    roots = entity_roots(rows, members, size, percent, folder)
     own = F.col("doc_id").cast(kind)
+    named = least_of_group(members, roots, own)
     return members.join(named, members["entity"] == named["e"], "left").select(
         own.alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("entity").isNull(), own).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("entity").isNull(), own).otherwise(F.col("least")).alias("component_id"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
-def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group, the one with the least id; documents without words stay.  The ids
-    to drop are written first: Spark then sees their size before it plans the join."""
-    path = f"{scratch_dir(spark, 'ngramjoin')}/gone"
-    near_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct().write.parquet(path)
-    gone = spark.read.parquet(path)
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, size: int = WORDS,
+                          percent: int = PERCENT) -> DataFrame:
+    """Keeps one row of each group of near copies; documents without words stay.
+
+    Rows are told apart by id and text, so an id does not take other texts with it.  The row with the least
+    id stays, one with an id before one without; of equal ids, the least hash of the text; of rows with
+    equal id and text, one.  What goes is written first: Spark then sees its size before it plans the join."""
+    folder, kind = scratch_dir(spark, "ngramjoin"), docs.schema["doc_id"].dataType
+    rows = _docs(docs, "doc_id", "text")
+    members = memberships(rows.withColumn("text_key", F.xxhash64("text")), folder, size)
+    roots = entity_roots(rows, members, size, percent, folder)
+    row = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast(kind), F.col("text_key"), F.col("doc_id"))
+    best = least_of_group(members, roots, row)
+    # copies of a row are one before the join
+    own = members.where("entity IS NOT NULL").groupBy("entity", "doc_id", "text_key").agg(F.count("*").alias("copies"))
+    own.join(best, own["entity"] == best["e"]).select(
+        F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"), (row == F.col("least")).alias("stays"),
+        "copies").where("NOT stays OR copies > 1").write.parquet(f"{folder}/decided")
+    decided = spark.read.parquet(f"{folder}/decided")
+
+    def of(which: DataFrame):
+        return (docs["doc_id"].cast("string").eqNullSafe(which["own_id"])) & (F.xxhash64(docs["text"]) == which["own_key"])
+
+    again = decided.where("stays")
+    if again.isEmpty():
+        return docs.join(decided, of(decided), "left_anti")
+    comparable = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    one = docs.join(again, of(again), "left_semi").select(F.struct(*docs.columns).alias("row")).groupBy(
+        F.col("row.doc_id").alias("i"), F.xxhash64("row.text").alias("k")).agg(
+        F.min_by("row", F.xxhash64(*[F.col("row")[c] for c in comparable])).alias("row"))
+    return docs.join(decided, of(decided), "left_anti").unionByName(one.select("row.*"))
 
 
 OP2_SQL = r"""

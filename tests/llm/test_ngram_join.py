@@ -145,3 +145,42 @@ def test_components_of_a_long_path_and_a_star(spark, share):
     roots = {r["node"]: r["root"] for r in graph.components(df, share).collect()}
     assert all(roots[k] == 0 for k in range(1, 301)) and all(roots[k] == 1000 for k in range(1001, 1501))
     assert len(roots) == 800
+
+
+def stage(spark, docs, **how):
+    df = spark.createDataFrame([(*d, k) for k, d in enumerate(docs)], "doc_id long, text string, own_key long").repartition(3)
+    return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in nj.near_duplicates_stage(spark, df, "", **how).collect())
+
+
+def test_stage_decides_by_row(spark):
+    """Equal rows, null ids, and other texts under an id that goes."""
+    a, b, other = "a b c d e f g h", "A b c d  e f g h", "q w e r t y u i"
+    null = (True, 0)
+    assert stage(spark, [(1, a), (1, a), (1, a)]) == [(False, 1, a)]
+    assert stage(spark, [(None, a), (None, a), (None, other)]) == [(*null, a), (*null, other)]
+    assert stage(spark, [(None, a), (7, a), (9, a)]) == [(False, 7, a)]
+    assert stage(spark, [(1, a), (2, a), (2, other)]) == [(False, 1, a), (False, 2, other)]
+    assert len(stage(spark, [(3, a), (3, b), (3, a)])) == 1
+    assert stage(spark, [(4, None), (4, None), (None, ""), (None, " ")]) == [(False, 4, "")] * 2 + [(*null, ""), (*null, " ")]
+
+
+def test_stage_takes_other_shingles_and_thresholds(spark):
+    """Pairs between 4-word 0.85 and 5-word 0.8 go only with the latter."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(300)]
+    docs = []
+    for k in range(40):
+        w = rng.sample(base, 60)
+        v = list(w)
+        for at in rng.sample(range(60), rng.randint(0, 2)):
+            v[at] = f"x{k}"
+        docs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+
+    def groups(size, percent):
+        sets = [{tuple(t.split()[i:i + size]) for i in range(61 - size)} for _, t in docs]
+        return {d for k, (d, _) in enumerate(docs) if not any(
+            100 * len(sets[k] & sets[j]) >= percent * len(sets[k] | sets[j]) for j in range(k))}
+
+    assert groups(5, 80) != groups(4, 85)
+    for how in ((5, 80), (4, 85)):
+        assert {d for _, d, _ in stage(spark, docs, size=how[0], percent=how[1])} == groups(*how)
