@@ -1,9 +1,12 @@
 """Lexical retrieval packing: documents are packed into windows next to lexically close ones.
 
 Each document becomes token ids plus an end id.  Its first full windows stand alone; its tail is
-packed.  Tails are dealt to shards of about ``SHARD_TOKENS`` tokens, whatever the corpus; each shard
-has a BM25 inverted index of its tails, with document frequencies and mean length over *all*
-documents.  The longest unused tail seeds a window; the index returns unused neighbours by score, and
+packed.  Tails are dealt by content to shards of about ``SHARD_TOKENS`` tokens: a tail's weighted terms are
+projected to ``DIMS`` numbers, its three nearest of at most ``CENTRES`` centres are its cell, and shards
+are ranges of the cells in order (similar centres are next to each other), so close tails are in one
+shard however many there are.  A cell larger than a shard is split by a hash.  Only the centres are
+fitted on a sample.  Each shard has a BM25 inverted index of its tails, with document frequencies and
+mean length over *all* documents, and is asked for all terms of a seed.  The longest unused tail seeds a window; the index returns unused neighbours by score, and
 they fill the window in that order.  The one that no longer fits is cut there, and its rest seeds the
 next window, so only the last window of a shard has padding.
 
@@ -30,13 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import lean, table
+from layerflow.llm.common import lean, sample_of, table
 from layerflow.session import scratch_dir
 
 WINDOW = 2048
 END = 1
 SHARD_TOKENS = 1 << 20
-QUERY_TERMS = 24
+DIMS, CENTRES, MAX_CENTRE_TAILS = 64, 256, 8_000
 K1, B = 1.2, 0.75
 SPECIAL = ("<|endoftext|>", 50256)  # fixed value of the vocabulary
 FLUSH_TOKENS = 4 << 20
@@ -96,8 +99,9 @@ def tokenized(docs: DataFrame, folder: str, id_col: str, text_col: str, vocab: s
 COLUMNS = ["kind", "row", "doc_id", "doc_tokens", "start", "sequence_id", "ids"]
 
 
-def term_weights(tokens: DataFrame) -> tuple[np.ndarray, float]:
-    """Inverse document frequency by id (at most 65,536), and the mean length, over all documents."""
+def term_weights(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """Inverse document frequency by id (at most 65,536), the same without the ids of a single document,
+    and the mean length, over all documents."""
     stats = tokens.where(F.col("kind") == STATS)
 
     @lean
@@ -113,7 +117,76 @@ def term_weights(tokens: DataFrame) -> tuple[np.ndarray, float]:
     for r in stats.select("ids").mapInPandas(spread, "term long, df long").groupBy("term").agg(
             F.sum("df").alias("df")).toLocalIterator():
         df[r["term"]] = r["df"]
-    return np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), length
+    idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+    return idf, np.where(df > 1, idf, np.float32(0)), length
+
+
+def projection() -> np.ndarray:
+    return np.random.default_rng(5).standard_normal((1 << 16, DIMS), np.float32)
+
+
+def sketch(ids: np.ndarray, shared_idf: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """A tail's weighted terms as ``DIMS`` numbers of length one: close tails have close ones."""
+    term, tf = np.unique(ids, return_counts=True)
+    v = (shared_idf[term] * (tf / (tf + K1)).astype(np.float32)) @ axes[term]
+    return v / max(float(np.sqrt(v @ v)), 1e-9)
+
+
+def centres_of(points: np.ndarray, most: int = CENTRES, rounds: int = 8) -> np.ndarray:
+    """Spherical k-means; each centre is followed by the nearest of those not listed yet."""
+    k = max(1, min(most, len(points) // 4))
+    c = points[np.random.default_rng(6).choice(len(points), k, replace=False)] if len(points) else np.zeros((1, DIMS), np.float32)
+    for _ in range(rounds if len(points) else 0):
+        own = (points @ c.T).argmax(axis=1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, own, points)
+        size = np.sqrt((sums ** 2).sum(axis=1, keepdims=True))
+        c = np.where(size > 0, sums / np.maximum(size, 1e-9), c)
+    like, order = c @ c.T, [0]
+    free = np.ones(len(c), bool)
+    free[0] = False
+    while free.any():
+        order.append(int(np.where(free, like[order[-1]], -np.inf).argmax()))
+        free[order[-1]] = False
+    return c[order].astype(np.float32)
+
+
+def cells(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The three nearest centres as one number."""
+    near = np.argsort(-(points @ centres.T), axis=1, kind="stable")[:, :3].astype(np.int64)
+    out = np.zeros(len(points), np.int64)
+    for k in range(3):
+        out = out << 8 | (near[:, k] if k < near.shape[1] else 0)
+    return out
+
+
+def by_content(tails: DataFrame, shared_idf: np.ndarray, folder: str) -> DataFrame:
+    """The tails with their cells, kept as a table."""
+    spark = tails.sparkSession
+    weights = spark.sparkContext.broadcast(shared_idf)
+
+    @lean
+    def sketches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        axes = projection()
+        for p in parts:
+            yield pd.DataFrame({"v": [sketch(np.frombuffer(b, np.uint16), weights.value, axes).tobytes() for b in p["ids"]]})
+
+    some = sample_of(tails.select("row", "ids"), F.col("row"), MAX_CENTRE_TAILS).select("ids").mapInPandas(sketches, "v binary")
+    points = [np.frombuffer(bytes(r["v"]), np.float32) for r in some.collect()]
+    points = sorted(points, key=lambda v: v.tobytes())
+    centres = spark.sparkContext.broadcast(centres_of(np.array(points, np.float32).reshape(-1, DIMS)))
+
+    @lean
+    def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        axes = projection()
+        for p in parts:
+            if len(p):
+                v = np.array([sketch(np.frombuffer(b, np.uint16), weights.value, axes) for b in p["ids"]], np.float32)
+                yield p.assign(cell=cells(v, centres.value))
+
+    schema = "row long, doc_id string, doc_tokens long, start long, ids binary, cell long"
+    tails.mapInPandas(place, schema).write.option("compression", "zstd").parquet(f"{folder}/dealt")
+    return spark.read.schema(schema).parquet(f"{folder}/dealt")
 
 
 class Index:
@@ -129,20 +202,26 @@ class Index:
         size = np.bincount(doc, minlength=self.n)
         norm = K1 * (1 - B + B * np.array(lengths, np.float32) / max(mean, 1.0))
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        # the terms to query by: each tail's heaviest
-        self.query = []
         at = np.concatenate([[0], np.cumsum(size)])
-        for k in range(self.n):
-            w, t = weight[at[k]:at[k + 1]], term[at[k]:at[k + 1]]
-            self.query.append(t[np.argpartition(-w, QUERY_TERMS)[:QUERY_TERMS]] if len(t) > QUERY_TERMS else t)
+        self.query = [term[at[k]:at[k + 1]] for k in range(self.n)]
+        # terms of at least a quarter of the tails are columns of a table, the others lists
+        often = np.bincount(term, minlength=1 << 16) * 4 >= self.n
+        self.column = np.where(often, np.cumsum(often) - 1, -1)
+        dense = often[term]
+        self.table = np.zeros((self.n, int(often.sum())), np.float32)
+        self.table[doc[dense], self.column[term[dense]]] = weight[dense]
+        doc, term, weight = doc[~dense], term[~dense], weight[~dense]
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         self.first = np.searchsorted(term[order], np.arange((1 << 16) + 1))
 
     def scores(self, k: int) -> np.ndarray:
-        spans = [(self.first[t], self.first[t + 1]) for t in self.query[k].astype(np.int64)]
-        return np.bincount(np.concatenate([self.doc[a:b] for a, b in spans]),
-                           weights=np.concatenate([self.weight[a:b] for a, b in spans]), minlength=self.n)
+        t = self.query[k]
+        asked = np.zeros(self.table.shape[1], np.float32)
+        asked[self.column[t][self.column[t] >= 0]] = 1
+        start, runs = self.first[t], self.first[t + 1] - self.first[t]
+        at = np.repeat(start - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
+        return self.table @ asked + np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
 
 
 def fill(lengths: np.ndarray, scores, window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -185,29 +264,42 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     """Per piece: id, doc_tokens, start, sequence_id, offset and ids (binary, little-endian 32 bits)."""
     spark = docs.sparkSession
     vocab = vocab or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = tokenized(docs, scratch_dir(spark, "packing"), id_col, text_col, vocab, window)
-    idf, mean = term_weights(tokens)
-    tails = tokens.where(F.col("kind") == TAIL)
+    folder = scratch_dir(spark, "packing")
+    tokens = tokenized(docs, folder, id_col, text_col, vocab, window)
+    idf, shared_idf, mean = term_weights(tokens)
+    tails = tokens.where(F.col("kind") == TAIL).select("row", "doc_id", "doc_tokens", "start", "ids")
     total = tails.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     shards = max(1, -(-total // (2 * shard_tokens)))
     weights = spark.sparkContext.broadcast(idf)  # 65,536 numbers
+    names = ["doc_id", "doc_tokens", "start", "sequence_id", "offset", "ids"]
 
-    @lean
-    def one_shard(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("row", kind="stable", ignore_index=True)
-        ids = [np.frombuffer(b, np.uint16) for b in p["ids"]]
+    def one_shard(rows: list[tuple], base: int) -> tuple[pd.DataFrame, int]:
+        ids = [np.frombuffer(r[-1], np.uint16) for r in rows]
         index = Index(ids, weights.value, mean)
-        base = (int(p["shard"].iloc[0]) << 33)
-        out = []
-        for k, w in enumerate(fill(np.array([len(t) for t in ids]), index.scores, window)):
+        out, k = [], 0
+        for k, w in enumerate(fill(np.array([len(t) for t in ids]), index.scores, window), 1):
             offset = 0
             for tail, start, n in w:
-                out.append((tail, start, 2 * (base + k) + 1, offset, ids[tail][start:start + n].astype("<u4").tobytes()))
+                doc_id, doc_tokens, first, _ = rows[tail]
+                out.append((doc_id, doc_tokens, first + start, 2 * (base + k) - 1, offset,
+                            ids[tail][start:start + n].astype("<u4").tobytes()))
                 offset += n
-        o = pd.DataFrame(out, columns=["tail", "cut", "sequence_id", "offset", "ids"])
-        of = p.iloc[o["tail"].to_numpy()].reset_index(drop=True)
-        return pd.DataFrame({"doc_id": of["doc_id"], "doc_tokens": of["doc_tokens"], "start": of["start"] + o["cut"],
-                             "sequence_id": o["sequence_id"], "offset": o["offset"], "ids": o["ids"]})
+        return pd.DataFrame(out, columns=names), base + k
+
+    @lean
+    def shards_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A range of about one shard in order; one of long tails is cut into more."""
+        base, held, size = TaskContext.get().partitionId() << 33, [], 0
+        for p in parts:
+            for r in p[["doc_id", "doc_tokens", "start", "ids"]].itertuples(index=False, name=None):
+                if held and 2 * (size + len(r[-1])) > 6 * shard_tokens:
+                    out, base = one_shard(held, base)
+                    yield out
+                    held, size = [], 0
+                held.append(r)
+                size += len(r[-1])
+        if held:
+            yield one_shard(held, base)[0]
 
     @lean
     def widen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,9 +310,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     schema = "doc_id string, doc_tokens long, start long, sequence_id long, offset long, ids binary"
     own = ["doc_id", "doc_tokens", "start", "sequence_id"]
     alone = tokens.where(F.col("kind") == FULL).select(*own, F.lit(0).cast("long").alias("offset"), "ids").mapInPandas(widen, schema)
-    dealt = tails.select("row", "doc_id", "doc_tokens", "start", "ids",
-                         F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"))
-    packed = dealt.groupBy("shard").applyInPandas(one_shard, schema)
+    dealt = by_content(tails, shared_idf, folder) if shards > 1 else tails.withColumn("cell", F.lit(0).cast("long"))
+    order = ["cell", F.xxhash64("row"), "row"]
+    packed = dealt.repartitionByRange(shards, *order).sortWithinPartitions(*order).mapInPandas(shards_of, schema)
     return alone.unionByName(packed).withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 

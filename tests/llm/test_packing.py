@@ -65,3 +65,37 @@ def test_neighbours_are_the_lexically_close_ones():
     assert np.allclose(index.scores(0), brute, rtol=1e-4)
     for w in list(packing.fill(np.full(20, 100), index.scores, 400))[:2]:
         assert len({k % 2 for k, _, _ in w}) == 1 and sum(n for _, _, n in w) == 400
+
+
+def test_planted_neighbours_share_windows_with_many_shards(spark):
+    """40 topics of 12 texts each, in about 40 shards: windows hold one topic, whatever the order of the rows."""
+    import random
+    rng = random.Random(4)
+    letters = "bcdfghklmnprstvz"
+    words = ["".join(rng.choice(letters) + rng.choice("aeiou") for _ in range(3)) for _ in range(2400)]
+    rows = []
+    for k in range(480):
+        own = words[60 * (k % 40):60 * (k % 40) + 60]
+        rows.append((k, " ".join(rng.choice(own if rng.random() < 0.7 else words[:200]) for _ in range(60))))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pieces = packing.pack(df, window=512, shard_tokens=1800).collect()
+    check(packing.digests(packing.pack(df, window=512, shard_tokens=1800)).collect(), dict(rows), 512)
+    total = sum(len(p["ids"]) // 4 for p in pieces)
+    assert total > 30 * 1800
+    windows = {}
+    for p in pieces:
+        windows.setdefault(p["sequence_id"], []).append(p["doc_id"] % 40)
+    same = sum(w.count(max(set(w), key=w.count)) for w in windows.values() if len(w) > 1)
+    of = sum(len(w) for w in windows.values() if len(w) > 1)
+    assert same > 0.6 * of, (same, of)
+
+
+def test_every_term_of_a_seed_is_asked():
+    """Neighbours that share light terms only, beyond any number of heavy ones."""
+    tails = [np.arange(k * 1000, k * 1000 + 200).astype(np.uint16) for k in range(12)]
+    tails[7] = np.concatenate([tails[7], np.arange(170, 200)]).astype(np.uint16)
+    idf = np.ones(1 << 16, np.float32)
+    idf[170:200] = 0.1
+    s = packing.Index(tails, idf, 200.0).scores(0)
+    assert s[7] > 0 and sorted(np.argsort(-s)[:2].tolist()) == [0, 7]
