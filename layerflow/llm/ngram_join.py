@@ -313,10 +313,10 @@ def filter_of(wanted: DataFrame) -> Bits:
     return Bits(out)
 
 
-def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between sets whose similarity reaches the threshold, as many as join all that such links
-    join.  An inverted index counts exact overlaps; a set that is joined already is not looked up as a
-    partner again."""
+def spanning_links(sets: list[np.ndarray], percent: int, every_link: bool = False) -> list[tuple[int, int]]:
+    """Links between sets whose similarity reaches the threshold: all, or as many as join all that such
+    links join.  An inverted index counts exact overlaps; where not all are asked for, a set that is joined
+    already is not looked up as a partner again."""
     n = np.array([len(s) for s in sets])
     every, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
     order = np.argsort(every, kind="stable")
@@ -334,7 +334,7 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
             continue
         waiting[seed] = False
         queue = [seed]
-        while queue and waiting.any():
+        while queue and (every_link or waiting.any()):
             i = queue.pop()
             t = of_doc[edges[i]:edges[i + 1]]
             t = t[length[t] > 1]
@@ -343,16 +343,19 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
             runs = length[t]
             at = np.repeat(start[t] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
             both = np.bincount(doc[at], minlength=len(sets))
-            near = np.flatnonzero(waiting & (100 * both >= percent * (n[i] + n - both)) & (both > 0))
-            waiting[near] = False
+            open_ = np.arange(len(sets)) > i if every_link else waiting
+            near = np.flatnonzero(open_ & (100 * both >= percent * (n[i] + n - both)) & (both > 0))
             for j in near.tolist():
                 out.append((i, j))
-            queue.extend(near.tolist())
+            if not every_link:
+                waiting[near] = False
+                queue.extend(near.tolist())
     return out
 
 
-def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between similar entities; clusters has (entity, cluster)."""
+def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, size: int, percent: int,
+                   every_link: bool = False) -> DataFrame:
+    """Links (a, b) between similar entities, each once if all are asked for; clusters has (entity, cluster)."""
     spark = rows.sparkSession
     lead = members.where("entity IS NOT NULL").groupBy("entity").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     placed = clusters.join(lead, "entity")
@@ -380,7 +383,7 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
     # a cluster of one block goes to a bin with others; one of more meets once for each pair of blocks
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     tasks = tasks.select("entity", "cluster", "own", "blocks", other.alias("other")).select(
-        "entity", "cluster",
+        "entity", "cluster", *(["own"] if every_link else []),
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster")).alias("k"),
         F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).cast("long").alias("i"),
         F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("own", "other")).cast("long").alias("j"))
@@ -391,7 +394,11 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
         for _, c in p.drop_duplicates("entity").groupby("cluster", sort=False):
             own = [np.frombuffer(x, np.uint64) for x in c["tokens"]]
             names = c["entity"].to_numpy()
-            for i, j in spanning_links(own, percent):
+            # links within a block are those of the task that has this block alone
+            block = c["own"].to_numpy() if every_link and (c["i"] != c["j"]).any() else None
+            for i, j in spanning_links(own, percent, every_link):
+                if block is not None and block[i] == block[j]:
+                    continue
                 a.append(names[i])
                 b.append(names[j])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
@@ -399,17 +406,33 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
     return tasks.join(sets, "entity").groupBy("k", "i", "j").applyInPandas(verify, "a long, b long")
 
 
-def entity_roots(rows: DataFrame, members: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
-    """(node, root): the entities that links join to a lesser one."""
-    spark = rows.sparkSession
+def clusters_of(rows: DataFrame, members: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
+    """(entity, cluster): similar entities are always in one cluster."""
     tokens = members.agg(F.sum("n")).first()[0] or 0
     likely = likely_entities(rows, size, percent, max(16, -(-tokens // (4 * GROUP_TOKENS))), folder)
     few = likely.agg(F.sum("n")).first()[0] or 0
     shared = shared_tokens(rows, size, max(16, -(-few // GROUP_TOKENS)), filter_of(likely.select("entity")))
     ties = candidate_ties(shared, percent, folder)
     found = components(ties)
-    clusters = found.select(F.col("node").alias("entity"), F.col("root").alias("cluster")).unionByName(
+    return found.select(F.col("node").alias("entity"), F.col("root").alias("cluster")).unionByName(
         found.select(F.col("root").alias("entity"), F.col("root").alias("cluster")).distinct())
+
+
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS,
+               percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Every link between different texts, and whose texts they are: pairs (a, b) of all similar entities,
+    each once with a < b, and (doc_id, n, entity) per row of docs.  Rows with one entity are copies."""
+    folder, rows = scratch_dir(docs.sparkSession, "ngramjoin"), _docs(docs, id_col, text_col)
+    members = memberships(rows, folder, size)
+    clusters = clusters_of(rows, members, size, percent, folder)
+    links = verified_links(rows, clusters, members, size, percent, every_link=True)
+    return (links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
+            members.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType)))
+
+
+def entity_roots(rows: DataFrame, members: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
+    """(node, root): the entities that links join to a lesser one."""
+    spark, clusters = rows.sparkSession, clusters_of(rows, members, size, percent, folder)
     # a table of its own: verified once, whatever the rounds after it read again or lose
     verified_links(rows, clusters, members, size, percent).write.parquet(f"{folder}/links")
     return components(spark.read.schema("a long, b long").parquet(f"{folder}/links"))

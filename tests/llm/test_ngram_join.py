@@ -184,3 +184,19 @@ def test_stage_takes_other_shingles_and_thresholds(spark):
     assert groups(5, 80) != groups(4, 85)
     for how in ((5, 80), (4, 85)):
         assert {d for _, d, _ in stage(spark, docs, size=how[0], percent=how[1])} == groups(*how)
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_pairs_are_all_links_between_different_texts(spark, monkeypatch, block):
+    """Each once, also over several blocks, and not only as many as join them."""
+    monkeypatch.setattr(nj, "BLOCK", block)
+    rng = random.Random(17)
+    vocab = [f"w{k}" for k in range(3000)]
+    docs = list(enumerate(copies(rng, vocab, 120, 40, 2) + copies(rng, vocab, 60, 10, 1)))
+    pairs, members = nj.near_pairs(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    entity = {r["doc_id"]: r["entity"] for r in members.collect()}
+    sets = {entity[d]: shingles(t) for d, t in docs}
+    names = sorted(sets)
+    want = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert sorted((r["a"], r["b"]) for r in pairs.collect()) == want and len(want) > len(names)
