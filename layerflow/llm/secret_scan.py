@@ -5,7 +5,7 @@ Labelled findings (text, path, label) train the forest.  By default they are ``s
 from a rule, and weakly labelled candidates of the documents themselves: a token that is assigned to a
 credential word is a positive finding, one in running prose a negative one.  The sample is bounded by
 ``MAX_TRAIN_DOCS`` documents and ``MAX_TRAIN_ROWS`` findings.  The dictionary (frequent letter
-trigrams of words) comes from at most ``MAX_DICT_DOCS`` documents.
+trigrams of words) is counted over all documents.
 
 Defined results: a null or empty text has no candidates; places are code points of the whole text; a
 null path has no path features; equal rows give equal results; other columns are ignored (the stage
@@ -27,7 +27,6 @@ from layerflow.llm.trees import forest_sql
 
 MAX_TRAIN_DOCS = 40_000
 MAX_TRAIN_ROWS = 20_000
-MAX_DICT_DOCS = 2_000
 DICT_SIZE = 1_500
 MARK = "[SECRET]"
 
@@ -76,9 +75,8 @@ def with_features(docs: DataFrame, trigrams: list[str], path_col: str | None) ->
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """The ``DICT_SIZE`` most frequent letter trigrams of words."""
-    sampled = sample_of(docs, row_key(docs, text_col), MAX_DICT_DOCS).select(F.col(text_col).alias("text"))
-    words = sampled.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")).alias("w"))
+    """The ``DICT_SIZE`` most frequent letter trigrams of the words of all documents."""
+    words = docs.select(F.col(text_col).alias("text")).select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")).alias("w"))
     grams = words.where(F.length("w") >= 3).groupBy("w").count().select("count", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("w") - 2), lambda i: F.substring("w", i, F.lit(3)))).alias("g"))
     top = grams.groupBy("g").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "g").limit(DICT_SIZE)

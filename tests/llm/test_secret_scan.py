@@ -48,3 +48,11 @@ def test_stage_redacts_and_keeps_odd_rows(spark):
     assert out[2]["text"] is None and out[3]["text"] == "" and out[1]["pieces"] == "p"
     assert out[4]["text"] == "wort " * 20000
     assert ss.secrets_stage(spark, df, "").count() == 5 and ss.secrets_stage(spark, df.limit(0), "").count() == 0
+
+
+def test_dictionary_counts_all_documents(spark):
+    """Each of a few documents among many brings its own word often enough to be listed."""
+    rare = ["qxw", "zkj", "vqh", "jxz", "wqk", "xhq", "kzv", "hjq", "qvz", "zxk"]
+    rows = [(k, "eine lange zeile") for k in range(8000)] + [(9000 + k, (w + " ") * 20) for k, w in enumerate(rare)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert set(rare) <= set(ss.dictionary(df))
