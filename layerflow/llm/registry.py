@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, decontam, langid, licences, ngram_join, packing, pii, quality, secret_scan, warc
+from layerflow.llm import chat, decontam, langid, licences, ngram_join, packing, pii, quality, secret_scan
+from layerflow.llm import token_counts, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_langid": langid.op9_langid,
     "op10_licences": licences.op10_licences,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
 
 
