@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from layerflow.llm import chat, decontam, langid, licences, ngram_join, packing, pii, quality, secret_scan
-from layerflow.llm import token_counts, warc
+from layerflow.llm import chat, decontam, langid, licences, ngram_join, packing, pii, quality, ranked_search
+from layerflow.llm import secret_scan, spelling, token_counts, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_langid": langid.op9_langid,
     "op10_licences": licences.op10_licences,
+    "op11_ranked_search": ranked_search.op11_ranked_search,
+    "op12_spelling": spelling.op12_spelling,
     "op13_token_counts": token_counts.op13_token_counts,
 }
 
@@ -26,4 +28,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc": warc.OP3_SQL,
         "op4_quality": quality.OP4_SQL,
         "op5_chat": chat.OP5_SQL,
+        "op11_ranked_search": ranked_search.OP11_SQL,
+        "op12_spelling": spelling.OP12_SQL,
     }
