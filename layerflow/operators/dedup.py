@@ -18,6 +18,10 @@ from pyspark.sql import types as T
 RN = "_rn"
 
 
+#: Order columns: a name (descending) or (name, "asc" | "desc").
+Order = Sequence[str | tuple[str, str]]
+
+
 def _order_col(spec: str | tuple[str, str]) -> tuple[str, Column]:
     name, direction = (spec, "desc") if isinstance(spec, str) else spec
     c = F.col(name)
@@ -35,23 +39,33 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
-def dedup_order(df: DataFrame, keys: Sequence[str],
-                order: Sequence[str | tuple[str, str]]) -> list[Column]:
-    """Given order columns, then every other orderable column ascending."""
-    used = set(keys)
-    cols = []
-    for spec in order:
-        name, c = _order_col(spec)
-        used.add(name)
-        cols.append(c)
-    for f in df.schema.fields:
-        if f.name not in used and _orderable(f.dataType):
-            cols.append(F.col(f.name).asc_nulls_first())
-    return cols
+def total_order(schema: T.StructType, keys: Sequence[str], order: Order) -> list[tuple[str, str]]:
+    """(column, direction): the given order, then every other orderable column ascending."""
+    given = [(o, "desc") if isinstance(o, str) else (o[0], o[1].lower()) for o in order]
+    used = {*keys, *(name for name, _ in given)}
+    return given + [(f.name, "asc") for f in schema.fields if f.name not in used and _orderable(f.dataType)]
+
+
+def dedup_order(df: DataFrame, keys: Sequence[str], order: Order) -> list[Column]:
+    return [_order_col(spec)[1] for spec in total_order(df.schema, keys, order)]
+
+
+def comes_before(schema: T.StructType, keys: Sequence[str], order: Order, prefix: str) -> Column:
+    """Whether the row in the columns with ``prefix`` comes before the one without it, in the order of
+    :func:`dedup_latest` (descending: NULLs last, ascending: NULLs first).  Rows equal in every column of
+    the order come before neither."""
+    before = F.lit(False)
+    for name, direction in reversed(total_order(schema, keys, order)):
+        new, old = F.col(prefix + name), F.col(name)
+        if direction == "desc":
+            first = new.isNotNull() & (old.isNull() | (new > old))
+        else:
+            first = old.isNotNull() & (new.isNull() | (new < old))
+        before = F.coalesce(first, F.lit(False)) | (new.eqNullSafe(old) & before)
+    return before
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str],
-                 order: Sequence[str | tuple[str, str]]) -> DataFrame:
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order`` (names default to
     descending, NULLs last), ties broken by the remaining columns."""
     w = Window.partitionBy(*keys).orderBy(*dedup_order(df, keys, order))

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from layerflow.operators import tables as tb
 from layerflow.operators import upsert as up
+from layerflow.operators.dedup import Order, comes_before
 from layerflow.session import scratch_schema
 
 APPEND, MERGE = "APPEND", "MERGE"
@@ -79,17 +80,21 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
             merge_keys: str | Sequence[str] | None = None, *,
             root: str | None = None, schema: T.StructType | None = None,
             staged: Staged | None = None, narrow: bool = False, buckets: int = 0,
-            partition_by: Sequence[str] = (), provider: str = "parquet") -> WriteResult:
+            partition_by: Sequence[str] = (), provider: str = "parquet",
+            newer_by: Order | None = None) -> WriteResult:
     """Write ``df`` into ``table``.
 
     APPEND adds the rows (inserted = read).  MERGE upserts on ``merge_keys``.  A missing table is created
     from ``schema`` (else the DataFrame's) below ``root``, bucketed into ``buckets`` on the merge keys
     when given, and filled (inserted = read).  ``staged``: ``df`` was already staged by :func:`stage`.
-    ``narrow``: ``df`` is cheap to evaluate again and is not staged."""
+    ``narrow``: ``df`` is cheap to evaluate again and is not staged.  ``newer_by``: a conditional MERGE:
+    the newest source row of a key under this order, and it replaces the target's only where it is newer."""
     kind = (load_type or "").upper()
     if kind not in (APPEND, MERGE):
         raise ValueError(f"Unknown load_type {load_type!r} for {table}")
     keys = up.parse_keys(merge_keys) if kind == MERGE else None
+    if newer_by and kind != MERGE:
+        raise ValueError(f"newer_by is for MERGE, not {kind}")
 
     if not spark.catalog.tableExists(table):
         if root is None:
@@ -101,12 +106,14 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
                                                  f.metadata) for f in schema.fields])
         tb.create_table(spark, table, schema, root, partition_by=partition_by, bucket_by=bucket_by,
                         buckets=buckets if bucket_by else 0, provider=provider)
+        if newer_by:
+            return merge_into(spark, df, table, keys, staged=staged, narrow=narrow, newer_by=newer_by)
         n = tb.append_rows(spark, table, df)
         return WriteResult(n, n, 0, strategy="create")
     if kind == APPEND:
         n = tb.append_rows(spark, table, df)
         return WriteResult(n, n, 0, strategy="append")
-    return merge_into(spark, df, table, keys, staged=staged, narrow=narrow)
+    return merge_into(spark, df, table, keys, staged=staged, narrow=narrow, newer_by=newer_by)
 
 
 def touched_partitions(target: DataFrame, src: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
@@ -120,7 +127,7 @@ def touched_partitions(target: DataFrame, src: DataFrame, keys: Sequence[str], p
 
 
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,
-               staged: Staged | None = None, narrow: bool = False) -> WriteResult:
+               staged: Staged | None = None, narrow: bool = False, newer_by: Order | None = None) -> WriteResult:
     """Upsert ``df`` into the existing ``table`` (see module doc)."""
     keys, target = list(keys), spark.table(table)
     parts = tb.partition_columns(spark, table)
@@ -132,20 +139,22 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
         src = own[0].frame(spark)
     try:
         read, repeated = up.source_profile(src, keys)
-        if repeated and up.ambiguous_keys(target, src, keys).limit(1).count():
+        if newer_by:
+            src = up.newest_per_key(src, keys, newer_by)
+        elif repeated and up.ambiguous_keys(target, src, keys).limit(1).count():
             raise MergeCardinalityError(f"more than one source row for a target row with keys {keys} in {table}")
         if tb.provider_of(spark, table) not in FILE_PROVIDERS:
-            return _merge_by_format(target, src, table, keys, read)
+            return _merge_by_format(target, src, table, keys, read, newer_by)
         obs, metrics = Observation(), up.merge_metrics_columns()
         if not parts:
-            tb.replace_rows(spark, table, up.merged(target, src, keys), obs, metrics, [up.OP])
+            tb.replace_rows(spark, table, up.merged(target, src, keys, newer_by), obs, metrics, [up.OP])
             m = obs.get
             return WriteResult(read, int(m["inserted"]), int(m["updated"]), strategy="rewrite")
         own.append(touched := stage(spark, touched_partitions(target, src, keys, parts), table))
         scope = tb.in_partitions(target, touched.frame(spark), parts)
         # rows per touched partition reach the driver as one set of partition values, to find emptied ones
         metrics.append(F.collect_set(F.struct(*parts)).alias("_parts"))
-        tb.replace_rows(spark, table, up.merged(scope, src, keys), obs, metrics, [up.OP])
+        tb.replace_rows(spark, table, up.merged(scope, src, keys, newer_by), obs, metrics, [up.OP])
         m = obs.get
         if not set(parts) <= set(keys):
             drop_emptied(spark, table, touched.frame(spark), parts, m["_parts"])
@@ -161,11 +170,16 @@ def drop_emptied(spark: SparkSession, table: str, touched: DataFrame, parts: Seq
     tb.drop_partitions(spark, table, parts, [v for v in touched.select(*parts).collect() if tuple(v) not in kept])
 
 
-def _merge_by_format(target: DataFrame, src: DataFrame, table: str, keys: Sequence[str], read: int) -> WriteResult:
-    """MERGE by the table format itself.  The counts are joins over key columns, taken before."""
-    t, s = target.select(*keys).alias("t"), src.select(*keys).alias("s")
-    same = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    updated, inserted = t.join(s, same, "left_semi").count(), s.join(t, same, "left_anti").count()
-    on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"s.{k}") for k in keys])
-    src.alias("s").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+def _merge_by_format(target: DataFrame, src: DataFrame, table: str, keys: Sequence[str], read: int,
+                     newer_by: Order | None = None) -> WriteResult:
+    """MERGE by the table format itself.  The counts are joins, taken before."""
+    cols = target.columns
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in cols])
+    same = [F.col(k) == F.col(f"_s_{k}") for k in keys]
+    newer = comes_before(target.schema, keys, newer_by, "_s_") if newer_by else F.lit(True)
+    updated = target.join(s, [*same, newer], "left_semi").count()
+    inserted = s.join(target.select(*keys), same, "left_anti").count()
+    merge = s.mergeInto(table, reduce(lambda a, b: a & b, same))
+    row = {c: F.col(f"_s_{c}") for c in cols}
+    (merge.whenMatched(newer) if newer_by else merge.whenMatched()).update(row).whenNotMatched().insert(row).merge()
     return WriteResult(read, inserted, updated, strategy="row-level")

@@ -24,6 +24,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -290,11 +291,17 @@ def in_partitions(df: DataFrame, touched: DataFrame, parts: Sequence[str]) -> Da
 
 def drop_partitions(spark: SparkSession, name: str, parts: Sequence[str], values) -> None:
     """Drop partitions that a rewrite left without rows, with their files: a later append into such
-    a partition must not find them again.  A metastore error is raised."""
+    a partition must not find them again.  One that the table does not have (a conditional merge kept the
+    target's row in another) is passed over; any other metastore error is raised."""
     jvm = spark.sparkContext._jvm
     for v in values:
         spec = ", ".join(f"`{c}` = " + ("NULL" if v[c] is None else sql_string(str(v[c]))) for c in parts)
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(name)} PARTITION ({spec})").collect()
+        try:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(name)} PARTITION ({spec})").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PARTITIONS_NOT_FOUND":
+                raise
+            continue
         path = jvm.org.apache.hadoop.fs.Path(next(r.data_type for r in rows if r.col_name == "Location"))
         spark.sql(f"ALTER TABLE {name} DROP PARTITION ({spec})")
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

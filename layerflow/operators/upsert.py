@@ -5,6 +5,11 @@ two plain joins.
   other stays (``K``).  Repeated target keys are all updated.
 - source LEFT ANTI JOIN target: the source rows of keys that the target lacks (``I``), repeats included.
 
+With an order (``newer_by``) the MERGE is conditional: a matched target row becomes the source row only where that
+is newer, else it stays (``K``).  One source row per key is compared, the newest; the order is the one of
+:func:`layerflow.operators.dedup.dedup_latest`, so the target ends with the row that a dedup of all rows that ever
+arrived would pick, without reading them again.
+
 No hints: Spark and AQE choose broadcast or sort-merge from the sizes they see, with the same rows
 either way, and split skewed partitions of the target and of the inserts.  A NULL in any key never
 matches (SQL ``=``).  Two source rows for one *target* row are an error, found beforehand by a count
@@ -20,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerflow.operators.dedup import Order, comes_before, dedup_latest
+
 OP = "_op"
 
 
@@ -56,11 +63,19 @@ def _same_key(keys: Sequence[str], prefix: str) -> list[Column]:
     return [F.col(k) == F.col(prefix + k) for k in keys]
 
 
-def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows after the MERGE, tagged in ``_op`` (U, K, I).  ``source`` has the target's columns."""
+def newest_per_key(source: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
+    """One row per key under ``order``; rows with a NULL in the key match nothing and all stay."""
+    return dedup_latest(source.where(~any_null(keys)), keys, order).unionByName(source.where(any_null(keys)))
+
+
+def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: Order | None = None) -> DataFrame:
+    """Rows after the MERGE, tagged in ``_op`` (U, K, I).  ``source`` has the target's columns; with
+    ``newer_by`` it has one row per key."""
     keys, cols = list(keys), target.columns
     s = _renamed(source, cols, "_s_").withColumn("_m", F.lit(True))
     hit = F.col("_m").isNotNull()
+    if newer_by:
+        hit = F.coalesce(hit & comes_before(target.schema, keys, newer_by, "_s_"), F.lit(False))
     kept = target.join(s, _same_key(keys, "_s_"), "left").select(
         *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in cols],
         F.when(hit, F.lit("U")).otherwise(F.lit("K")).alias(OP))

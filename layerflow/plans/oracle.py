@@ -53,6 +53,9 @@ def _landed_text(exprs) -> str:
     return f"SELECT *, '{RUN2_TEXT}' AS ingestion_timestamp FROM ({S.select_sql(exprs, 'part')})"
 
 
+_REORDERED = _landed_text(S.product_exprs("new")) + " UNION ALL " + _landed_text(S.product_exprs("new_twin"))
+
+
 def product_raw_sql() -> str:
     return " UNION ALL ".join([_landed(S.product_exprs("old"), "part", T1),
                                _landed(S.product_exprs("new"), "part", T2),
@@ -159,6 +162,20 @@ _META = ("(SELECT 'DIM_PART_' || CAST(p_partkey AS VARCHAR) AS table_id, 'FILE'
 _ORDERS = ("SELECT o_orderkey, o_custkey, {status} AS o_orderstatus, o_totalprice, "
            "CAST(o_orderdate AS VARCHAR) AS o_orderdate, {prio} AS o_orderpriority FROM orders")
 
+# Events by day, purchases without a time; the latest per user by time, then id.
+_EVENT_DAYS = ("(SELECT * REPLACE (CASE WHEN event_type <> 'purchase' THEN date_trunc('day', ts)::TIMESTAMP END AS ts) "
+               "FROM events)")
+_LATEST_EVENT = (f"(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, "
+                 f"event_id DESC NULLS LAST) AS _rn FROM {_EVENT_DAYS}) WHERE _rn = 1)")
+_LATEST_EVENT_ROWS = (f"SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props "
+                      f"FROM {_LATEST_EVENT}")
+_LATE = ("FROM orders, (SELECT max(o_orderdate) - INTERVAL 60 DAY AS bound FROM orders "
+         "WHERE o_orderpriority <> '1-URGENT' AND o_orderdate <= DATE '1997-06-30') WHERE o_orderpriority ")
+
+_MALFORMED = ("SELECT p_partkey || ',' || p_brand || CASE WHEN p_size > 45 THEN ',' || p_size || ',extra' ELSE '' END "
+              "AS raw_line, true AS from_csv_file, 'run-2' AS job_run_id, '2024-01-02 00:00:00' AS "
+              "rejected_load_timestamp FROM part WHERE p_size <= 5 OR p_size > 45")
+
 _P_RULES = dims.PRODUCT_RULES
 _MAP_RULES = [ColumnRule("product_id", "PRODUCT_ID"), ColumnRule("description", "DESCRIPTION"),
               ColumnRule("brand", "BRAND"), ColumnRule("pack", "PACK"),
@@ -227,8 +244,7 @@ def oracle_sql() -> dict[str, str]:
     n, rej = _product_gold_counts()
     out = {
         "land_csv": _landed_text(S.product_exprs("new")),
-        "land_csv_reordered": (_landed_text(S.product_exprs("new")) + " UNION ALL "
-                               + _landed_text(S.product_exprs("new_twin"))),
+        "land_csv_reordered": _REORDERED,
         "land_lineage": ("SELECT CAST(o_orderkey AS VARCHAR) AS O_ORDERKEY, "
                          "NULLIF(o_orderstatus, '') AS O_ORDERSTATUS, true AS from_csv_file, "
                          "'2024-01-02 00:00:00' AS ingestion_timestamp, 'run-2' AS job_run_id "
@@ -308,6 +324,28 @@ def oracle_sql() -> dict[str, str]:
         "incremental_ties": _ORDERS.format(status="o_orderstatus", prio="o_orderpriority"),
         "incremental_numeric_text": ("SELECT *, CAST(o_orderkey AS VARCHAR) AS seq FROM ("
                                      + _ORDERS.format(status="o_orderstatus", prio="o_orderpriority") + ")"),
+        "incremental_late": (
+            f"SELECT orders.* REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate), "
+            f"(SELECT count(*) {_LATE} = '1-URGENT' AND o_orderdate < bound) AS too_late "
+            f"{_LATE} <> '1-URGENT' OR o_orderdate >= bound"),
+        "stream_land_reordered": _REORDERED,
+        "land_rerun": _REORDERED + " UNION ALL " + _landed_text(S.product_exprs("old")),
+        "land_rerun_audit": (
+            "SELECT '0' AS layer, k * n AS records_read, k * n AS records_inserted, 0::BIGINT AS records_updated, "
+            "0::BIGINT AS records_rejected FROM (SELECT count(*) AS n FROM part), (VALUES (2), (0), (1)) AS v(k)"),
+        "quarantine_malformed": _MALFORMED,
+        "stream_quarantine_malformed": _MALFORMED,
+        "quarantine_malformed_audit": (
+            "SELECT n AS records_read, n - bad AS records_inserted, bad AS records_rejected, 2 * (n - bad) AS landed, "
+            "2 * (n - bad) AS with_size FROM (SELECT count(*) AS n, count(*) FILTER (WHERE p_size <= 5 OR p_size > 45) "
+            "AS bad FROM part), (VALUES (1), (2)) AS v(run)"),
+        "merge_if_newer": _LATEST_EVENT_ROWS,
+        "run_if_newer": _LATEST_EVENT_ROWS,
+        "merge_if_newer_metrics": (
+            f"SELECT (SELECT count(*) FROM events WHERE event_type = 'view') AS records_read, "
+            f"count(*) FILTER (WHERE event_type = 'view' AND NOT known) AS records_inserted, "
+            f"count(*) FILTER (WHERE event_type = 'view' AND known) AS records_updated FROM (SELECT *, user_id IN "
+            f"(SELECT user_id FROM events WHERE event_type <> 'view') AS known FROM {_LATEST_EVENT})"),
         "run_active_failure": _run_active_failure_sql(),
         "merge_schema_fit": _MERGED,
         "not_null_check": "SELECT *, 'MERGE,APPEND' AS raised FROM customer WHERE c_custkey IS NOT NULL",

@@ -13,6 +13,7 @@ import datetime as _dt
 import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,16 +22,19 @@ from pyspark.sql import types as T
 
 from layerflow.functions.rules import ColumnRule, rules_from_metadata
 from layerflow.operators import tables as tb
+from layerflow.operators.dedup import Order
 from layerflow.operators.publish import WriteResult, publish
 from layerflow.operators.upsert import parse_keys
 from layerflow.plans import audit as au
 from layerflow.plans import dims, specs
-from layerflow.plans.transforms import curate, enrich, land, rejected
+from layerflow.plans.isolation import TableJobs
+from layerflow.plans.transforms import MALFORMED_SCHEMA, curate, enrich, land_checked, rejected
 from layerflow.session import RunContext
 from layerflow.sources.jdbc import read_jdbc
 from layerflow.sources.files import LINEAGE_COLUMNS, with_lineage
-from layerflow.streaming.landing import land_available
-from layerflow.sources.tables import (WATERMARK_PROPERTY, encode_watermark, history_of, next_batch,
+from layerflow.sources.landed import Landing, begin_landing
+from layerflow.streaming.landing import Landed, land_available
+from layerflow.sources.tables import (WATERMARK_PROPERTY, encode_watermark, history_of, late_batch, next_batch,
                                       source_batch, stored_watermark)
 
 # The load-time column each layer writes.
@@ -45,8 +49,14 @@ class PipelineConfig:
     buckets: int = 0               # >0: MERGE targets bucketed on their keys (Spark's CLUSTERED BY)
     provider: str = "parquet"      # table format of new tables; see operators.publish for others
     stream_landing: bool = False   # layer 0 lands only files not landed before
+    # seconds that one table's run may take; then its jobs are cancelled and the others go on
+    table_timeout: float | None = None
+    # layer 0 as a batch appends only files not landed before (by path, size and time), also when it is run again
+    land_once: bool = False
     # set: after each write, delete the target's unread snapshots older than this
     expire_snapshots_after: float | None = None
+    # how far below the stored business watermark a source's late rows are looked for: a number, or "3 days"
+    lateness: str | int | float | None = None
     jdbc_url: str | None = None
     jdbc_options: dict = field(default_factory=dict)
 
@@ -61,8 +71,12 @@ class LayerContext:
     # set in incremental mode: (source table, column, new token)
     watermark: tuple[str, str, str] | None = None
     nothing_new: bool = False
-    # set by reject(): rows with values that did not convert, written after the publish
+    # rows with values that did not convert, or malformed lines, written after the publish
     rejects: DataFrame | None = None
+    # set by a file landing: counts the malformed lines on the publish's own pass
+    malformed: Observation | None = None
+    # set by a file landing with ``land_once``: its files, to be marked after the write
+    landing: Landing | None = None
 
     @property
     def target(self) -> specs.LayerSpec:
@@ -82,11 +96,17 @@ class LayerContext:
         return stored_watermark(tb.table_properties(self.spark, tgt), src, col)
 
     def source_rows(self, df: DataFrame, src: str) -> DataFrame:
-        """Layer 0: the rows of a typed source from the stored business watermark on."""
+        """Layer 0: the rows of a typed source from the stored business watermark on, and, with a lateness
+        window, those below it that have not been landed."""
         col = self.business_watermark
         if col is None:
             return df
-        batch, token = source_batch(df, col, self._stored(src, col))
+        last = self._stored(src, col)
+        if last is not None and self.config.lateness is not None:
+            landed = self.spark.table(self.target.table_name)
+            batch, token = late_batch(df, landed, col, last, self.config.lateness)
+        else:
+            batch, token = source_batch(df, col, last)
         if token is not None:
             self.watermark = (src, col, token)
         return batch
@@ -111,21 +131,24 @@ class LayerContext:
         return batch, df
 
     def upstream(self, keys: dict[str, Column] | None = None) -> DataFrame:
-        """The previous layer's rows to transform.  ``keys`` (name -> expression over that layer):
-        in incremental mode, all rows so far of the keys that have new ones, for transforms that pick
-        one row per key."""
+        """The previous layer's rows to transform.  A transform that picks one row per key by an order of
+        its own is registered with ``newer_by`` and needs no more than this: the MERGE compares with the
+        row in the target.  ``keys`` (name -> expression over that layer): in incremental mode, all rows so
+        far of the keys that have new ones, for transforms that need more of the history (a sum, the first
+        row); that scans the whole previous layer."""
         batch, every = self._batch()
         return history_of(batch, every, keys) if keys and batch is not every else batch
 
-    def upstream_by_rules(self, rules: list[ColumnRule], keys: list[str]) -> DataFrame:
-        """:meth:`upstream` for a curation by ``rules`` with one row per ``keys``; the new rows whose
-        values do not convert are kept for the reject table."""
-        batch, every = self._batch()
+    def upstream_by_rules(self, rules: list[ColumnRule]) -> DataFrame:
+        """The rows for a curation by ``rules`` with the latest landed row per key; the new rows whose
+        values do not convert are kept for the reject table.
+
+        In incremental mode these are the batch alone: every row of it was landed after every row of the
+        batches before (its lower bound is the highest load time read so far), so its latest row of a
+        key is the latest of all, and the MERGE puts it in place of the curated one.  No history is read."""
+        batch, _ = self._batch()
         self.rejects = rejected(batch, rules, self.run)
-        if batch is every:
-            return every
-        own = {r.target: r.expression() for r in rules if r.target in keys}
-        return history_of(batch, every, own)
+        return batch
 
 
 @dataclass(frozen=True)
@@ -135,27 +158,43 @@ class Transform:
     # narrow: scans and projections only; cheap to recompute, so a merge
     # need not stage it first
     narrow: bool = False
+    # order columns of the target: its MERGE is conditional, a row is only replaced by a newer one
+    newer_by: Order | None = None
 
 
 TRANSFORMS: dict[str, Transform] = {}
 
 
 def register(name: str, schema: Callable[[LayerContext], T.StructType | None] | None = None,
-             narrow: bool = False):
+             narrow: bool = False, newer_by: Order | None = None):
     """Decorator: make ``fn(ctx) -> DataFrame`` runnable under ``name``."""
     def deco(fn):
-        TRANSFORMS[name] = Transform(fn, schema or (lambda ctx: None), narrow)
+        TRANSFORMS[name] = Transform(fn, schema or (lambda ctx: None), narrow, newer_by)
         return fn
     return deco
 
 
-def _land_source(ctx: LayerContext, columns=None) -> DataFrame:
+def land_source(ctx: LayerContext, columns=None) -> DataFrame:
+    """Layer 0: the rows of the table's source, all columns as text, with lineage; of files, without the
+    malformed lines, which become the run's rejects."""
     spec = ctx.spec
     if (spec.source_system or "FILE").upper() == "FILE":
         if ctx.business_watermark:
             raise ValueError(f"{spec.table_id}: watermark {spec.watermark_column!r} is text in a file source; "
                              f"use {LOAD_TS[0]}")
-        return land(ctx.spark, spec.source_table, ctx.run, columns)
+        path = spec.source_table
+        if ctx.config.land_once:
+            if "." in ctx.target.table_name:
+                tb.create_schema(ctx.spark, ctx.target.table_name.rsplit(".", 1)[0])
+            ctx.landing = begin_landing(ctx.spark, path, ctx.target.table_name, ctx.target.table_name + "_landed",
+                                        f"{ctx.config.root}/_landed/{ctx.target.table_name.replace('.', '/')}", ctx.run,
+                                        lambda files: _rows_by_file(ctx, files, columns))
+            path = ctx.landing.files
+            if not path:
+                ctx.nothing_new = True
+                return ctx.spark.createDataFrame([], "none string")
+        rows, ctx.rejects, ctx.malformed = land_checked(ctx.spark, path, ctx.run, columns)
+        return rows
     if not ctx.config.jdbc_url:
         raise ValueError(f"{spec.table_id}: source {spec.source_system} needs a jdbc_url")
     table = ".".join(p for p in (spec.source_schema, spec.source_table) if p)
@@ -165,10 +204,15 @@ def _land_source(ctx: LayerContext, columns=None) -> DataFrame:
     return with_lineage(df, ctx.run, source_name=f"{spec.source_system}:{table}")
 
 
+def _rows_by_file(ctx: LayerContext, files: list[str], columns) -> DataFrame:
+    rows, _, _ = land_checked(ctx.spark, files, ctx.run, columns)
+    return rows.groupBy(F.col(LINEAGE_COLUMNS[0]).alias("file")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _register_dimension(d: dims.Dimension) -> None:
-    register(f"{d.name}.l0", lambda ctx: d.raw_schema)(lambda ctx: _land_source(ctx, d.raw))
+    register(f"{d.name}.l0", lambda ctx: d.raw_schema)(lambda ctx: land_source(ctx, d.raw))
     register(f"{d.name}.l1", lambda ctx: d.curated_schema)(
-        lambda ctx: curate(ctx.upstream_by_rules(d.rules, [d.key]), d.rules, [d.key], ctx.run, track_rejects=False))
+        lambda ctx: curate(ctx.upstream_by_rules(d.rules), d.rules, [d.key], ctx.run, track_rejects=False))
     register(f"{d.name}.l2", lambda ctx: d.gold_schema, narrow=True)(
         lambda ctx: enrich(ctx.upstream(), d.gold_rules, d.gold_order, ctx.run))
 
@@ -179,7 +223,7 @@ for _d in dims.DIMENSIONS.values():
 
 @register("land_csv")
 def _land_generic(ctx: LayerContext) -> DataFrame:
-    return _land_source(ctx)
+    return land_source(ctx)
 
 
 @register("curate_rules")
@@ -187,7 +231,7 @@ def _curate_generic(ctx: LayerContext) -> DataFrame:
     """Layer 1 from metadata: column mapping + transformation rules."""
     t = ctx.target
     rules, keys = rules_from_metadata(t.column_mapping, t.transformation_rules), parse_keys(t.merge_keys)
-    return curate(ctx.upstream_by_rules(rules, keys), rules, keys, ctx.run, track_rejects=False)
+    return curate(ctx.upstream_by_rules(rules), rules, keys, ctx.run, track_rejects=False)
 
 
 @register("gold_rules", narrow=True)
@@ -222,7 +266,8 @@ class Pipeline:
     def _table_root(self, name: str) -> str:
         return f"{self.config.root}/{name.replace('.', '/')}"
 
-    def _write(self, ctx: LayerContext, df: DataFrame, schema, narrow: bool = False) -> WriteResult:
+    def _write(self, ctx: LayerContext, df: DataFrame, schema, narrow: bool = False,
+               newer_by: Order | None = None) -> WriteResult:
         spark, cfg, t = self.spark, self.config, ctx.target
         name = t.table_name
         load_type = t.load_type or ("APPEND" if ctx.layer == 0 else "MERGE")
@@ -233,9 +278,17 @@ class Pipeline:
         pc = ctx.spec.partition_column
         parts = [pc] if pc and pc in df.columns else []
         res = publish(spark, df, name, load_type, keys, root=self._table_root(name), schema=schema,
-                      narrow=narrow, buckets=cfg.buckets if keys else 0, partition_by=parts, provider=cfg.provider)
+                      narrow=narrow, buckets=cfg.buckets if keys else 0, partition_by=parts, provider=cfg.provider,
+                      newer_by=newer_by)
         if ctx.rejects is not None:
-            res.records_rejected = self._write_rejects(ctx.rejects, name + "_rejects")
+            rows, rejects = ctx.rejects, name + "_rejects"
+            if ctx.malformed is not None and not ctx.malformed.get["malformed"]:
+                if not spark.catalog.tableExists(rejects):
+                    return res
+                rows = spark.createDataFrame([], rows.schema)   # the drop is not read again
+            res.records_rejected = self._write_rejects(rows, rejects)
+            if ctx.malformed is not None:
+                res.records_read += res.records_rejected
         return res
 
     def _write_rejects(self, rows: DataFrame, name: str) -> int:
@@ -252,9 +305,10 @@ class Pipeline:
                 tb.drop_partitions(spark, name, ["job_run_id"], [{"job_run_id": run_id}])
         return n
 
-    def run_layer(self, table_id: str, layer: int, spec: specs.TableSpec | None = None) -> str:
+    def run_layer(self, table_id: str, layer: int, spec: specs.TableSpec | None = None,
+                  jobs: TableJobs | None = None) -> str:
         """One (table, layer); ``spec``: the table's metadata when the caller
-        already looked it up."""
+        already looked it up; ``jobs``: the isolation of the table's run."""
         spark, cfg = self.spark, self.config
         spec = spec or specs.lookup(self.metadata(), table_id)
         ls = spec.layer(layer)
@@ -266,26 +320,32 @@ class Pipeline:
         h = au.start_run(spark, cfg.audit_table, self.run, table_id, layer,
                          spec.source_system, spec.reporting_unit_id)
         try:
-            tr = TRANSFORMS.get(ls.script_path or "")
-            if tr is None:
-                raise LookupError(f"no transform registered as {ls.script_path!r}")
-            ctx = LayerContext(spark, spec, int(layer), self.run, cfg)
-            self._check_run_after_downstream(ctx)
-            if self._streams(ctx):
-                res = self._land_new_files(ctx, tr.schema(ctx))
-            else:
-                res = self._transform_and_write(ctx, tr)
+            with jobs.limited() if jobs is not None else nullcontext():
+                res = self._transform_or_land(spec, layer)
         except Exception as e:
             au.end_run(spark, cfg.audit_table, h, au.REJECTED, error_message=str(e))
             raise
         au.end_run(spark, cfg.audit_table, h, au.SUCCESS, **res.counts())
         return au.SUCCESS
 
+    def _transform_or_land(self, spec: specs.TableSpec, layer: int) -> WriteResult:
+        ls = spec.layer(layer)
+        tr = TRANSFORMS.get(ls.script_path or "")
+        if tr is None:
+            raise LookupError(f"no transform registered as {ls.script_path!r}")
+        ctx = LayerContext(self.spark, spec, int(layer), self.run, self.config)
+        self._check_run_after_downstream(ctx)
+        if self._streams(ctx):
+            return self._land_new_files(ctx, tr.schema(ctx))
+        return self._transform_and_write(ctx, tr)
+
     def _transform_and_write(self, ctx: LayerContext, tr: Transform) -> WriteResult:
         df = tr.fn(ctx)
         if ctx.nothing_new:
             return WriteResult(strategy="no-new-rows")   # the target is not rewritten
-        res = self._write(ctx, df, tr.schema(ctx), tr.narrow)
+        res = self._write(ctx, df, tr.schema(ctx), tr.narrow, tr.newer_by)
+        if ctx.landing is not None:
+            ctx.landing.commit()
         if ctx.watermark:
             # after the snapshot switch: a failed run leaves the old
             # watermark, and the rerun reads the same rows again
@@ -316,8 +376,10 @@ class Pipeline:
         ckpt = (f"{self.config.root}/_landing/{name.replace('.', '/')}/"
                 f"{hashlib.sha1(folder.encode()).hexdigest()[:12]}")
         cols = [f.name for f in schema.fields if f.name not in LINEAGE_COLUMNS]
-        n = land_available(spark, folder, cols, name, ctx.run, checkpoint=ckpt)
-        return WriteResult(n, n, 0, strategy="new-files")
+        rejects, rejected = name + "_rejects", Landed()
+        tb.create_table(spark, rejects, MALFORMED_SCHEMA, self._table_root(rejects), partition_by=["job_run_id"])
+        n = land_available(spark, folder, cols, name, ctx.run, checkpoint=ckpt, rejects=rejects, rejected=rejected)
+        return WriteResult(n + rejected.rows, n, 0, rejected.rows, strategy="new-files")
 
     def _check_run_after_downstream(self, ctx: LayerContext) -> None:
         """In incremental mode the next layer skips rows at or below its
@@ -329,7 +391,7 @@ class Pipeline:
             return
         col = LOAD_TS[ctx.layer]
         down = ctx.spec.layer(nxt).table_name
-        if not self.spark.catalog.tableExists(down):
+        if not down or not self.spark.catalog.tableExists(down):
             return
         token = stored_watermark(tb.table_properties(self.spark, down),
                                  ctx.target.table_name, col)
@@ -341,7 +403,12 @@ class Pipeline:
 
     def run_table(self, table_id: str, layers=specs.LAYERS) -> str:
         """Layers in order; stop at the first SKIPPED; errors propagate, and each is in the audit log,
-        a failed metadata lookup too (under the first layer)."""
+        a failed metadata lookup too (under the first layer).  The table's jobs are in a pool and under a
+        tag of their own; past ``table_timeout`` they are cancelled and the layer is audited REJECTED."""
+        with TableJobs(self.spark, table_id, self.config.table_timeout) as jobs:
+            return self._run_table(table_id, layers, jobs)
+
+    def _run_table(self, table_id: str, layers, jobs: TableJobs) -> str:
         status = au.SUCCESS
         try:
             spec = specs.lookup(self.metadata(), table_id)     # one lookup for all layers
@@ -350,7 +417,7 @@ class Pipeline:
             au.end_run(self.spark, self.config.audit_table, h, au.REJECTED, error_message=str(e))
             raise
         for layer in layers:
-            status = self.run_layer(table_id, layer, spec)
+            status = self.run_layer(table_id, layer, spec, jobs)
             if status == au.SKIPPED:
                 break
             if status != au.SUCCESS:

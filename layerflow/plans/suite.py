@@ -25,11 +25,12 @@ from layerflow.operators.upsert import ambiguous_keys
 from layerflow.plans import audit as au
 from layerflow.plans import dims, specs
 from layerflow.plans import sources_sql as S
-from layerflow.plans.pipeline import LayerContext, Pipeline, PipelineConfig, RunFailed, register
+from layerflow.plans.pipeline import LayerContext, Pipeline, PipelineConfig, RunFailed, land_source, register
 from layerflow.plans.transforms import curate, enrich, land
 from layerflow.session import RunContext, scratch_dir
-from layerflow.sources.files import stage_csv
-from layerflow.sources.tables import high_watermark, history_of, incremental_read, source_batch
+from layerflow.sources.files import LINEAGE_COLUMNS, stage_csv, with_lineage
+from layerflow.sources.tables import (high_watermark, history_of, incremental_read, late_batch, source_batch,
+                                      too_late)
 from layerflow.streaming.landing import land_available
 
 UTC = dt.timezone.utc
@@ -133,13 +134,8 @@ def q_table_scan(spark, sf):
 
 
 def q_land_csv_reordered(spark, sf):
-    """Two drops of `part` in one folder, the second with its columns in reverse order and one more."""
     ws = Workspace(spark, sf)
-    p, cols = ws.t("part"), list(dims.PRODUCT_RAW)
-    path = ws.stage(_sel(p, S.product_exprs("new")), "reordered")
-    twin = _sel(p, S.product_exprs("new_twin")).withColumn("EXTRA", F.lit("x"))
-    stage_csv(twin.select("EXTRA", *reversed(cols)), path, mode="append")
-    return _out(land(spark, path, RUN2, cols).drop("source_file_name", "job_run_id"))
+    return _out(land(spark, _reordered_drop(ws, "reordered"), RUN2, dims.PRODUCT_RAW).drop("source_file_name", "job_run_id"))
 
 
 def q_stream_land(spark, sf):
@@ -151,6 +147,110 @@ def q_stream_land(spark, sf):
     return _out(spark.table(name).drop("source_file_name", "job_run_id"))
 
 
+def _reordered_drop(ws: Workspace, tag: str) -> str:
+    """Two sets of files of `part`, the second with its columns in reverse order and one more."""
+    p, cols = ws.t("part"), list(dims.PRODUCT_RAW)
+    path = ws.stage(_sel(p, S.product_exprs("new")), tag)
+    twin = _sel(p, S.product_exprs("new_twin")).withColumn("EXTRA", F.lit("x"))
+    return stage_csv(twin.select("EXTRA", *reversed(cols)), path, mode="append")
+
+
+def q_stream_land_reordered(spark, sf):
+    """The files of one micro-batch have their columns in different orders."""
+    ws = Workspace(spark, sf)
+    name = ws.name("product_raw")
+    tb.create_table(spark, name, dims.PRODUCT.raw_schema, ws.table_root("product_raw"))
+    land_available(spark, _reordered_drop(ws, "stream2"), dims.PRODUCT_RAW, name, RUN2, checkpoint=f"{ws.root}/_ckpt")
+    return _out(spark.table(name).drop("source_file_name", "job_run_id"))
+
+
+def _landed_once(spark, sf) -> tuple[Workspace, PipelineConfig]:
+    """Layer 0 of the product dimension, three runs: a drop, the same drop again, the drop with new files."""
+    ws, p, cfg = _pipeline(spark, sf, table_ids=("DIM_PRODUCT",), land_once=True)
+    p.run_layer("DIM_PRODUCT", 0)
+    p.run_layer("DIM_PRODUCT", 0)
+    drop = specs.lookup(spark.table(cfg.metadata_table), "DIM_PRODUCT").source_table
+    stage_csv(_sel(ws.t("part"), S.product_exprs("old")), drop, mode="append")
+    p.run_layer("DIM_PRODUCT", 0)
+    return ws, cfg
+
+
+def q_land_rerun(spark, sf):
+    """A repeated landing appends nothing; new files of the drop are landed once."""
+    ws, _ = _landed_once(spark, sf)
+    return _out(spark.table(ws.name("dim_product_raw")).drop("source_file_name", "job_run_id"))
+
+
+def q_land_rerun_audit(spark, sf):
+    _, cfg = _landed_once(spark, sf)
+    return spark.table(cfg.audit_table).where("status = 'SUCCESS'").select(
+        "layer", "records_read", "records_inserted", "records_updated", "records_rejected")
+
+
+def _malformed_drop(ws: Workspace) -> str:
+    """`part` as text lines: small parts lack the last field, large ones have one more."""
+    cells = ["p_partkey", "p_brand", "p_size"]
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in cells])
+    short = F.concat_ws(",", *[F.col(c).cast("string") for c in cells[:2]])
+    text = F.when(F.col("p_size") <= 5, short).when(F.col("p_size") > 45, F.concat(line, F.lit(",extra"))).otherwise(line)
+    path = f"{ws.root}/drop/malformed"
+    # one column whose name is the header line; no separator or quote of its own
+    ws.t("part").select(text.alias("P_ID,P_BRAND,P_SIZE")).write.option("header", "true").option("sep", "\x01").option(
+        "quote", "").csv(path)
+    return path
+
+
+def _malformed_runs(spark, sf, stream: bool) -> tuple[Workspace, PipelineConfig]:
+    """The same run of layer 0 twice over a drop with malformed lines."""
+    ws = Workspace(spark, sf)
+    meta = ws.name("ingestion_metadata")
+    tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
+    publish(spark, specs.metadata_frame(spark, [{
+        "table_id": "PARTS", "source_system": "FILE", "source_table": _malformed_drop(ws),
+        "layer0_target_schema": ws.schema, "layer0_target_table": "parts_raw", "layer0_is_active": True,
+        "layer0_script_path": "land_parts", "layer0_load_type": "APPEND"}]), meta, "APPEND")
+    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables", stream_landing=stream)
+    for _ in range(2):
+        Pipeline(spark, cfg, RUN2).run_layer("PARTS", 0)
+    return ws, cfg
+
+
+_PARTS_RAW = T.StructType([T.StructField(c, T.StringType()) for c in ("P_ID", "P_BRAND", "P_SIZE")]
+                          + [T.StructField("source_file_name", T.StringType()),
+                             T.StructField("ingestion_timestamp", T.TimestampType()),
+                             T.StructField("job_run_id", T.StringType())])
+
+
+@register("land_parts", schema=lambda ctx: _PARTS_RAW)
+def _land_parts(ctx: LayerContext) -> DataFrame:
+    return land_source(ctx, ["P_ID", "P_BRAND", "P_SIZE"])
+
+
+def _rejected_lines(ws: Workspace) -> DataFrame:
+    return ws.spark.table(ws.name("parts_raw_rejects")).select(
+        "raw_line", F.col("source_file_name").endswith(".csv").alias("from_csv_file"), "job_run_id",
+        F.col("rejected_load_timestamp").cast("string").alias("rejected_load_timestamp"))
+
+
+def q_quarantine_malformed(spark, sf):
+    """Lines with too few or too many fields, with their file, once after two identical runs."""
+    return _rejected_lines(_malformed_runs(spark, sf, stream=False)[0])
+
+
+def q_quarantine_malformed_audit(spark, sf):
+    """The rows that landed, per run's audit counts."""
+    ws, cfg = _malformed_runs(spark, sf, stream=False)
+    counts = spark.table(cfg.audit_table).where("status = 'SUCCESS'").select(
+        "records_read", "records_inserted", "records_rejected")
+    landed = spark.table(ws.name("parts_raw")).agg(F.count("*").alias("landed"), F.count("P_SIZE").alias("with_size")).first()
+    return counts.withColumns({k: F.lit(v) for k, v in landed.asDict().items()})
+
+
+def q_stream_quarantine_malformed(spark, sf):
+    """As a stream: the second run sees no new file and rejects nothing more."""
+    return _rejected_lines(_malformed_runs(spark, sf, stream=True)[0])
+
+
 # ---------------------------------------------------------------- curation
 
 def q_curate_product(spark, sf):
@@ -601,6 +701,71 @@ def q_incremental_numeric_text(spark, sf):
     return _two_arrivals(ws, first, o, "seq", ["o_orderkey"], [("o_orderdate", "desc")], "bigint")
 
 
+def q_incremental_late(spark, sf):
+    """Orders by date in two arrivals.  Urgent orders are late: the second run reads those of the last 60
+    days before its watermark, and counts the older ones, which it leaves."""
+    ws = Workspace(spark, sf)
+    o, name = ws.t("orders"), ws.name("orders_raw")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    first = o.where(~urgent & (F.col("o_orderdate") <= F.lit("1997-06-30").cast(o.schema["o_orderdate"].dataType)))
+    batch, token = source_batch(first, "o_orderdate")
+    publish(spark, batch, name, "APPEND", root=ws.table_root("orders_raw"))
+    missed = too_late(o, spark.table(name), "o_orderdate", token, "60 days").count()
+    batch, _ = late_batch(o, spark.table(name), "o_orderdate", token, "60 days")
+    publish(spark, batch, name, "APPEND")
+    return _out(spark.table(name).withColumn("too_late", F.lit(missed)))
+
+
+def _event_arrivals(ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Events by day, in two arrivals: views come last, whatever their time; purchases have no time."""
+    ev = ws.t("events").withColumn("ts", F.when(F.col("event_type") != "purchase", F.date_trunc("day", "ts")))
+    late = F.col("event_type") == "view"
+    return ev.where(~late), ev.where(late)
+
+
+def _merged_if_newer(spark, sf):
+    ws = Workspace(spark, sf)
+    name = ws.name("latest_event")
+    for rows in _event_arrivals(ws):
+        res = publish(spark, rows, name, "MERGE", ["user_id"], root=ws.table_root("latest_event"),
+                      newer_by=["ts", "event_id"])
+    return spark.table(name), res
+
+
+def q_merge_if_newer(spark, sf):
+    """The latest event per user, kept by a conditional MERGE: ties on the day, NULL times, and older events
+    that arrive after newer ones."""
+    return _out(_merged_if_newer(spark, sf)[0])
+
+
+def q_merge_if_newer_metrics(spark, sf):
+    return _counts(spark, _merged_if_newer(spark, sf)[1])
+
+
+@register("latest_event", newer_by=["ts", "event_id"])
+def _latest_event(ctx: LayerContext) -> DataFrame:
+    """The newly landed events; the MERGE keeps the latest per user."""
+    return ctx.upstream().drop(*LINEAGE_COLUMNS)
+
+
+def q_run_if_newer(spark, sf):
+    """Two incremental runs of a layer whose order is the event's own time, not the load time."""
+    ws = Workspace(spark, sf)
+    meta, raw = ws.name("ingestion_metadata"), ws.name("events_raw")
+    tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
+    publish(spark, specs.metadata_frame(spark, [{
+        "table_id": "EVENTS", "source_system": "FILE", "source_table": "-", "watermark_column": LINEAGE_COLUMNS[1],
+        "layer0_target_schema": ws.schema, "layer0_target_table": "events_raw",
+        "layer1_target_schema": ws.schema, "layer1_target_table": "latest_event", "layer1_is_active": True,
+        "layer1_script_path": "latest_event", "layer1_load_type": "MERGE", "layer1_merge_keys": "user_id"}]),
+        meta, "APPEND")
+    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables")
+    for run, rows in zip((RUN1, RUN2), _event_arrivals(ws)):
+        publish(spark, with_lineage(rows, run, source_name="events"), raw, "APPEND", root=ws.table_root("events_raw"))
+        Pipeline(spark, cfg, run).run_layer("EVENTS", 1)
+    return _out(spark.table(ws.name("latest_event")))
+
+
 def q_incremental_read(spark, sf):
     ws = Workspace(spark, sf)
     ev, name = ws.t("events"), ws.name("events_t")
@@ -720,7 +885,7 @@ def _drops(ws: Workspace, ids=("DIM_PRODUCT", "DIM_CUSTOMER", "DIM_ENTITIES")) -
     return {i: make[i]() for i in ids}
 
 
-def _pipeline(spark, sf, active=(True, True, True), table_ids=None, buckets=0):
+def _pipeline(spark, sf, active=(True, True, True), table_ids=None, **options):
     ws = Workspace(spark, sf)
     ids = table_ids or ("DIM_PRODUCT", "DIM_CUSTOMER", "DIM_ENTITIES")
     drops = _drops(ws, ids)
@@ -728,8 +893,7 @@ def _pipeline(spark, sf, active=(True, True, True), table_ids=None, buckets=0):
     tb.create_table(spark, meta, specs.METADATA_SCHEMA, ws.table_root("meta"))
     publish(spark, specs.metadata_frame(spark, _dimension_metadata(ws, drops, active, ids)),
             meta, "APPEND")
-    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables",
-                         buckets=buckets)
+    cfg = PipelineConfig(meta, ws.name("ingestion_audit_log"), f"{ws.root}/tables", **options)
     return ws, Pipeline(spark, cfg, RUN2), cfg
 
 
@@ -869,6 +1033,12 @@ QUERIES = {
     "curate_product": q_curate_product,
     "curate_customer": q_curate_customer,
     "curate_entities": q_curate_entities,
+    "land_rerun": q_land_rerun,
+    "land_rerun_audit": q_land_rerun_audit,
+    "stream_land_reordered": q_stream_land_reordered,
+    "quarantine_malformed": q_quarantine_malformed,
+    "quarantine_malformed_audit": q_quarantine_malformed_audit,
+    "stream_quarantine_malformed": q_stream_quarantine_malformed,
     "quarantine_rejects": q_quarantine_rejects,
     "dedup_latest": q_dedup_latest,
     "dedup_composite": q_dedup_composite,
@@ -918,6 +1088,10 @@ QUERIES = {
     "merge_partition_moves": q_merge_partition_moves,
     "run_table": q_run_table,
     "run_table_bucketed": q_run_table_bucketed,
+    "incremental_late": q_incremental_late,
+    "merge_if_newer": q_merge_if_newer,
+    "merge_if_newer_metrics": q_merge_if_newer_metrics,
+    "run_if_newer": q_run_if_newer,
     "run_incremental": q_run_incremental,
     "run_incremental_audit": q_run_incremental_audit,
     "run_stream_landing": q_run_stream_landing,

@@ -9,15 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerflow.functions.rules import REJECT_COLUMN, ColumnRule, apply_rules, failed_targets
 from layerflow.operators.dedup import dedup_latest
 from layerflow.session import RunContext
-from layerflow.sources.files import read_csv_strings, with_lineage
+from layerflow.sources.files import RAW_LINE, read_csv_strings, with_lineage
 
 INGESTED = "ingestion_timestamp"
+MALFORMED_SCHEMA = T.StructType([
+    T.StructField("source_file_name", T.StringType()), T.StructField("raw_line", T.StringType()),
+    T.StructField("rejected_load_timestamp", T.TimestampType()), T.StructField("job_run_id", T.StringType())])
 
 
 def land(spark: SparkSession, path: str | list[str], run: RunContext,
@@ -25,6 +29,23 @@ def land(spark: SparkSession, path: str | list[str], run: RunContext,
     return with_lineage(read_csv_strings(spark, path, columns), run, job_run_id=job_run_id)
 
 
+def land_checked(spark: SparkSession, path: str | list[str], run: RunContext,
+                 columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, Observation]:
+    """(rows, malformed lines, observation of the first): :func:`land` without the records that have too
+    few or too many fields, and those records as file, line and run.  The observation's ``malformed`` is
+    filled when the rows are written; only if it is not zero need the lines be read."""
+    seen, every = Observation(), read_csv_strings(spark, path, columns, malformed=True)
+    good = every.observe(seen, F.count_if(F.col(RAW_LINE).isNotNull()).alias("malformed"))
+    rows = with_lineage(good.where(F.col(RAW_LINE).isNull()).drop(RAW_LINE), run)
+    return rows, malformed_lines(every, run), seen
+
+
+def malformed_lines(every: DataFrame, run: RunContext) -> DataFrame:
+    return every.where(F.col(RAW_LINE).isNotNull()).select(
+        F.col("_metadata.file_path").alias("source_file_name"), F.col(RAW_LINE).alias("raw_line"),
+        F.lit(run.run_ts).cast("timestamp").alias("rejected_load_timestamp"), F.lit(run.job_run_id).alias("job_run_id"))
+
+
 def curate(raw: DataFrame, rules: list[ColumnRule], keys: Sequence[str], run: RunContext,
            track_rejects: bool = True, order: Sequence = ((INGESTED, "desc"),)) -> DataFrame:
     """Typed, one row per key: the most recently ingested row wins, ties

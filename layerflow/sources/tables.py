@@ -3,18 +3,21 @@
 Between layers the watermark is the library's own load time: never NULL, one value per run, rising.
 :func:`next_batch` reads the rows after the stored one.  A business column of a *source* may be NULL,
 tie, or be stored as text; :func:`source_batch` reads it typed, from the stored value on (ties again) and
-with the NULL rows, and the caller keeps the latest row per key.
+with the NULL rows, and the caller keeps the latest row per key.  :func:`late_batch` also reads what arrived
+late, within a window below the stored value.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WATERMARK_PROPERTY = "layerflow.watermark"
+_SPAN = re.compile(r"^\d+ (second|minute|hour|day|week|month)s?$", re.IGNORECASE)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -96,6 +99,72 @@ def source_batch(source: DataFrame, column: str, last_token: str | None = None,
     return batch, batch.agg(_token(F.max(value), dt).alias("wm")).first()["wm"] or last_token
 
 
+def _window(column: str, last_token: str, lateness: str | int | float, data_type: str | None, schema: T.StructType
+            ) -> tuple[Column, Column]:
+    """(value, lower bound) of a lateness window: a number for a numeric watermark, else text such as
+    ``"3 days"``."""
+    value = F.col(column).try_cast(data_type) if data_type else F.col(column)
+    dt = T.DataType.fromDDL(data_type) if data_type else schema[column].dataType
+    if isinstance(dt, T.StringType):
+        raise ValueError(f"watermark column {column!r} is text; give its type")
+    last = watermark_value(last_token, dt)
+    if isinstance(dt, T.NumericType):
+        return value, last - F.lit(lateness)
+    if not isinstance(lateness, str) or not _SPAN.match(lateness):
+        raise ValueError(f"lateness {lateness!r} of a {dt.simpleString()} is not a span such as '3 days'")
+    return value, last - F.expr(f"INTERVAL {lateness}")
+
+
+def row_digest(columns: list[str]) -> Column:
+    """Digest of a row's values as text, NULL and '' apart: the same for a typed row and its landed text."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])), 256)
+
+
+def _not_landed(source: DataFrame, landed: DataFrame, inside) -> DataFrame:
+    """Rows of ``source`` in a window that ``landed`` has not in the same window; only digests of the
+    landed rows are moved."""
+    old = landed.where(inside(landed.schema)).select(row_digest(source.columns).alias("_digest")).distinct()
+    new = source.where(inside(source.schema)).withColumn("_digest", row_digest(source.columns))
+    return new.join(old, "_digest", "left_anti").drop("_digest")
+
+
+def late_batch(source: DataFrame, landed: DataFrame, column: str, last_token: str | None,
+               lateness: str | int | float, data_type: str | None = None) -> tuple[DataFrame, str | None]:
+    """:func:`source_batch` with a lateness window: rows whose business watermark is at most ``lateness``
+    below the stored one are read again and, with those without a value, compared with the ``landed``
+    rows by digest; the ones not landed yet are the batch.  ``landed`` has the source's columns, typed or
+    as text.  Rows equal in every column are one to it."""
+    kind = data_type or source.schema[column].dataType.simpleString()
+    if last_token is None:
+        return source_batch(source, column, None, data_type)
+
+    def inside(schema: T.StructType) -> Column:
+        value, bound = _window(column, last_token, lateness, _type_in(schema, column, kind), schema)
+        return (value >= bound) | value.isNull()
+
+    batch = _not_landed(source, landed, inside)
+    _, token = source_batch(source, column, last_token, data_type)
+    return batch, token
+
+
+def too_late(source: DataFrame, landed: DataFrame, column: str, last_token: str, lateness: str | int | float,
+             data_type: str | None = None) -> DataFrame:
+    """The rows of ``source`` below the lateness window that were never landed: what :func:`late_batch`
+    leaves out.  Reads the old part of both sides."""
+    kind = data_type or source.schema[column].dataType.simpleString()
+
+    def below(schema: T.StructType) -> Column:
+        value, bound = _window(column, last_token, lateness, _type_in(schema, column, kind), schema)
+        return value < bound
+
+    return _not_landed(source, landed, below)
+
+
+def _type_in(schema: T.StructType, column: str, kind: str) -> str | None:
+    """The cast that ``column`` needs to be compared as ``kind``."""
+    return kind if schema[column].dataType.simpleString() != kind else None
+
+
 def history_of(batch: DataFrame, history: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """All rows of ``history`` with a key of ``batch`` (``keys``: the key expressions by name), so
     that the latest row per key is chosen among all that arrived, not among the new ones."""
