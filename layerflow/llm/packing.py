@@ -43,6 +43,7 @@ DIMS, CENTRES, MAX_CENTRE_TAILS = 64, 256, 8_000
 K1, B = 1.2, 0.75
 SPECIAL = ("<|endoftext|>", 50256)  # fixed value of the vocabulary
 FLUSH_TOKENS = 4 << 20
+SKETCH_TAILS = 256
 FULL, TAIL, STATS = 0, 1, 2
 SCHEMA = "kind int, row long, doc_id string, doc_tokens long, start long, sequence_id long, ids binary"
 
@@ -56,8 +57,11 @@ def tokenizer(path: str) -> tiktoken.Encoding:
 
 def encode(enc: tiktoken.Encoding, text: str | None) -> np.ndarray:
     text = text or ""
-    ids = enc.encode(text, allowed_special="all") if SPECIAL[0] in text else enc.encode_ordinary(text)
-    return np.array([*ids, END], np.uint16)  # the vocabulary has fewer than 65,536 ids
+    special = "all" if SPECIAL[0] in text else set()
+    ids = enc.encode_to_numpy(text, allowed_special=special, disallowed_special=())   # no list of Python numbers
+    out = np.empty(len(ids) + 1, np.uint16)  # the vocabulary has fewer than 65,536 ids
+    out[:-1], out[-1] = ids, END
+    return out
 
 
 def tokenized(docs: DataFrame, folder: str, id_col: str, text_col: str, vocab: str, window: int) -> DataFrame:
@@ -125,11 +129,23 @@ def projection() -> np.ndarray:
     return np.random.default_rng(5).standard_normal((1 << 16, DIMS), np.float32)
 
 
-def sketch(ids: np.ndarray, shared_idf: np.ndarray, axes: np.ndarray) -> np.ndarray:
-    """A tail's weighted terms as ``DIMS`` numbers of length one: close tails have close ones."""
-    term, tf = np.unique(ids, return_counts=True)
-    v = (shared_idf[term] * (tf / (tf + K1)).astype(np.float32)) @ axes[term]
-    return v / max(float(np.sqrt(v @ v)), 1e-9)
+def sketches_of(tails: list[np.ndarray], shared_idf: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Each tail's weighted terms as ``DIMS`` numbers of length one: close tails have close ones.  Terms are
+    counted for ``SKETCH_TAILS`` tails at once."""
+    out = np.zeros((len(tails), DIMS), np.float32)
+    for at in range(0, len(tails), SKETCH_TAILS):
+        part = tails[at:at + SKETCH_TAILS]
+        own = np.repeat(np.arange(len(part), dtype=np.uint32), [len(t) for t in part])
+        pair = np.sort(own << 16 | np.concatenate(part))
+        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        tf = np.diff(np.append(first, len(pair))).astype(np.float32)
+        term, tail = pair[first] & 0xFFFF, pair[first] >> 16
+        weight = shared_idf[term] * (tf / (tf + K1))
+        start = np.searchsorted(tail, np.arange(len(part) + 1))
+        for k in range(len(part)):
+            some = slice(start[k], start[k + 1])
+            out[at + k] = weight[some] @ axes[term[some]]
+    return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
 
 
 def centres_of(points: np.ndarray, most: int = CENTRES, rounds: int = 8) -> np.ndarray:
@@ -169,7 +185,8 @@ def by_content(tails: DataFrame, shared_idf: np.ndarray, folder: str) -> DataFra
     def sketches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         axes = projection()
         for p in parts:
-            yield pd.DataFrame({"v": [sketch(np.frombuffer(b, np.uint16), weights.value, axes).tobytes() for b in p["ids"]]})
+            v = sketches_of([np.frombuffer(b, np.uint16) for b in p["ids"]], weights.value, axes)
+            yield pd.DataFrame({"v": [x.tobytes() for x in v]})
 
     some = sample_of(tails.select("row", "ids"), F.col("row"), MAX_CENTRE_TAILS).select("ids").mapInPandas(sketches, "v binary")
     points = [np.frombuffer(bytes(r["v"]), np.float32) for r in some.collect()]
@@ -181,7 +198,7 @@ def by_content(tails: DataFrame, shared_idf: np.ndarray, folder: str) -> DataFra
         axes = projection()
         for p in parts:
             if len(p):
-                v = np.array([sketch(np.frombuffer(b, np.uint16), weights.value, axes) for b in p["ids"]], np.float32)
+                v = sketches_of([np.frombuffer(b, np.uint16) for b in p["ids"]], weights.value, axes)
                 yield p.assign(cell=cells(v, centres.value))
 
     schema = "row long, doc_id string, doc_tokens long, start long, ids binary, cell long"
