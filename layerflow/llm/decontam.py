@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.llm.common import lean, table
+from layerflow.llm.rowfilter import split
 from layerflow.session import scratch_dir
 
 SHINGLE = 5
@@ -230,9 +231,15 @@ def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontam_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark passage; rows with equal (or null) ids share a decision.
-    The ids to drop are written first: Spark then sees their size before it plans the join."""
+    """Drops the documents that hold a benchmark passage.  Rows are told apart by id and text: a leaking row takes
+    no other text with it, whatever ids are null or repeated; rows with equal id and text share the decision.  What
+    goes is written first; texts that stay are not moved (see :mod:`.rowfilter`)."""
     path = f"{scratch_dir(spark, 'decontam')}/leaks"
-    find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id")).distinct().write.parquet(path)
-    leaks = spark.read.parquet(path)
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leak_id"]), "left_anti")
+    # a null id leaves the hash of the text alone, an id follows it
+    own = F.concat_ws(":", F.xxhash64(docs["text"]).cast("string"), docs["doc_id"].cast("string"))
+    rows = docs.select(own.alias("doc_id"), "text")
+    find_leaks(rows, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak")).distinct().write.parquet(path)
+    leaks = spark.read.schema("leak string").parquet(path)
+    hit, untouched = split(docs, leaks, F.xxhash64("leak"), F.xxhash64(own))
+    own_hit = F.concat_ws(":", F.xxhash64(hit["text"]).cast("string"), hit["doc_id"].cast("string"))
+    return untouched.unionByName(hit.join(leaks, own_hit == leaks["leak"], "left_anti"))

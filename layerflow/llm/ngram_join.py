@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from layerflow.llm.common import lean, table
 from layerflow.llm.graph import components
+from layerflow.llm.rowfilter import split
 from layerflow.session import scratch_dir
 
 WORDS = 4
@@ -471,7 +472,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, siz
 
     Rows are told apart by id and text, so an id does not take other texts with it.  The row with the least
     id stays, one with an id before one without; of equal ids, the least hash of the text; of rows with
-    equal id and text, one.  What goes is written first: Spark then sees its size before it plans the join."""
+    equal id and text, one.  What goes is written first; texts that stay are not moved (see :mod:`.rowfilter`)."""
     folder, kind = scratch_dir(spark, "ngramjoin"), docs.schema["doc_id"].dataType
     rows = _docs(docs, "doc_id", "text")
     members = memberships(rows.withColumn("text_key", F.xxhash64("text")), folder, size)
@@ -485,17 +486,21 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, siz
         "copies").where("NOT stays OR copies > 1").write.parquet(f"{folder}/decided")
     decided = spark.read.parquet(f"{folder}/decided")
 
+    own_key = F.xxhash64(F.xxhash64(docs["text"]), docs["doc_id"].cast("string"))
+    hit, untouched = split(docs, decided, F.xxhash64("own_key", "own_id"), own_key)
+
     def of(which: DataFrame):
-        return (docs["doc_id"].cast("string").eqNullSafe(which["own_id"])) & (F.xxhash64(docs["text"]) == which["own_key"])
+        return (hit["doc_id"].cast("string").eqNullSafe(which["own_id"])) & (F.xxhash64(hit["text"]) == which["own_key"])
 
+    kept = untouched.unionByName(hit.join(decided, of(decided), "left_anti"))
     again = decided.where("stays")
     if again.isEmpty():
-        return docs.join(decided, of(decided), "left_anti")
+        return kept
     comparable = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
-    one = docs.join(again, of(again), "left_semi").select(F.struct(*docs.columns).alias("row")).groupBy(
+    one = hit.join(again, of(again), "left_semi").select(F.struct(*docs.columns).alias("row")).groupBy(
         F.col("row.doc_id").alias("i"), F.xxhash64("row.text").alias("k")).agg(
         F.min_by("row", F.xxhash64(*[F.col("row")[c] for c in comparable])).alias("row"))
-    return docs.join(decided, of(decided), "left_anti").unionByName(one.select("row.*"))
+    return kept.unionByName(one.select("row.*"))
 
 
 OP2_SQL = r"""
