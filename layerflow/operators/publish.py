@@ -81,14 +81,16 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
             root: str | None = None, schema: T.StructType | None = None,
             staged: Staged | None = None, narrow: bool = False, buckets: int = 0,
             partition_by: Sequence[str] = (), provider: str = "parquet",
-            newer_by: Order | None = None) -> WriteResult:
+            newer_by: Order | None = None, range_rows: int = 0) -> WriteResult:
     """Write ``df`` into ``table``.
 
     APPEND adds the rows (inserted = read).  MERGE upserts on ``merge_keys``.  A missing table is created
     from ``schema`` (else the DataFrame's) below ``root``, bucketed into ``buckets`` on the merge keys
     when given, and filled (inserted = read).  ``staged``: ``df`` was already staged by :func:`stage`.
     ``narrow``: ``df`` is cheap to evaluate again and is not staged.  ``newer_by``: a conditional MERGE:
-    the newest source row of a key under this order, and it replaces the target's only where it is newer."""
+    the newest source row of a key under this order, and it replaces the target's only where it is newer.  ``range_rows``: a new MERGE target is clustered by ranges of
+    about that many rows of its first key (:mod:`layerflow.operators.ranged`); merges into it rewrite
+    only the ranges they touch."""
     kind = (load_type or "").upper()
     if kind not in (APPEND, MERGE):
         raise ValueError(f"Unknown load_type {load_type!r} for {table}")
@@ -96,6 +98,16 @@ def publish(spark: SparkSession, df: DataFrame, table: str, load_type: str,
     if newer_by and kind != MERGE:
         raise ValueError(f"newer_by is for MERGE, not {kind}")
 
+    from layerflow.operators import ranged   # built on this module
+
+    if kind == MERGE and range_rows and not spark.catalog.tableExists(table):
+        if root is None or partition_by or buckets:
+            raise ValueError(f"{table}: ranges need a root folder and neither partitions nor buckets")
+        ranged.create_ranged(spark, table, schema or df.schema, keys[0], root, range_rows)
+    if ranged.is_ranged(spark, table):
+        if kind == APPEND:
+            raise ValueError(f"{table} is clustered by ranges of a merge key: MERGE into it")
+        return ranged.merge_ranged(spark, df, table, keys, newer_by)
     if not spark.catalog.tableExists(table):
         if root is None:
             raise ValueError(f"{table} does not exist and no root folder was given")

@@ -162,7 +162,12 @@ def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
 
 def set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
     props = ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in properties.items())
-    spark.sql(f"ALTER TABLE {check_name(name)} SET TBLPROPERTIES ({props})")
+    try:
+        spark.sql(f"ALTER TABLE {check_name(name)} SET TBLPROPERTIES ({props})")
+    except AnalysisException as e:
+        if not (e.getCondition() or "").startswith("EXPECT_TABLE_NOT_VIEW"):
+            raise
+        spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ({props})")
 
 
 def not_null_columns(spark: SparkSession, name: str) -> list[str]:

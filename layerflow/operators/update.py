@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from layerflow.operators import tables as tb
 from layerflow.operators.publish import FILE_PROVIDERS, drop_emptied, stage
+from layerflow.operators.ranged import is_ranged, update_ranged
 
 _HIT = "_lf_hit"
 
@@ -24,8 +25,12 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column
     """Apply the update to ``table``; returns the rows matched.  Nothing is written when no row matches.
 
     On a partitioned table only the partitions with matching rows, and those that rows move to, are
-    rewritten; partitions left empty are dropped.  On a table format with row-level operations the
+    rewritten; partitions left empty are dropped.  On a ranged table only the ranges with matching rows are.
+    On a table format with row-level operations the
     format's own UPDATE runs, which needs assignments and predicate as SQL text."""
+    if is_ranged(spark, table):
+        return update_ranged(spark, table, {c: F.expr(v) if isinstance(v, str) else v for c, v in assignments.items()},
+                             F.expr(where) if isinstance(where, str) else where)
     df, parts = spark.table(table), tb.partition_columns(spark, table)
     if tb.provider_of(spark, table) not in FILE_PROVIDERS:
         return _update_by_format(spark, df, table, assignments, where)

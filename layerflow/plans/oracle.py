@@ -176,6 +176,10 @@ _MALFORMED = ("SELECT p_partkey || ',' || p_brand || CASE WHEN p_size > 45 THEN
               "AS raw_line, true AS from_csv_file, 'run-2' AS job_run_id, '2024-01-02 00:00:00' AS "
               "rejected_load_timestamp FROM part WHERE p_size <= 5 OR p_size > 45")
 
+_RANGE_FROM = "FROM orders, (SELECT max(o_orderkey) AS top FROM orders)"
+_RANGE_MERGED = ("SELECT o_orderkey, o_custkey, {status} AS o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS "
+                 "o_orderdate, CASE WHEN o_orderkey > 0.8 * top THEN '0-NOW' ELSE o_orderpriority END AS o_orderpriority")
+
 _P_RULES = dims.PRODUCT_RULES
 _MAP_RULES = [ColumnRule("product_id", "PRODUCT_ID"), ColumnRule("description", "DESCRIPTION"),
               ColumnRule("brand", "BRAND"), ColumnRule("pack", "PACK"),
@@ -339,6 +343,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT n AS records_read, n - bad AS records_inserted, bad AS records_rejected, 2 * (n - bad) AS landed, "
             "2 * (n - bad) AS with_size FROM (SELECT count(*) AS n, count(*) FILTER (WHERE p_size <= 5 OR p_size > 45) "
             "AS bad FROM part), (VALUES (1), (2)) AS v(run)"),
+        "merge_range_pruned": (_RANGE_MERGED.format(status="o_orderstatus") + ", true AS most_ranges_kept " + _RANGE_FROM),
+        "update_range_pruned": (_RANGE_MERGED.format(
+            status="CASE WHEN o_orderkey < (SELECT min(o_orderkey) + 100 FROM orders) THEN 'X' ELSE o_orderstatus END")
+            + ", 1::BIGINT AS ranges_rewritten " + _RANGE_FROM),
+        "merge_range_metrics": (
+            "SELECT count(*) FILTER (WHERE o_orderkey > 0.8 * top) AS records_read, count(*) FILTER (WHERE o_orderkey > "
+            "0.9 * top) AS records_inserted, count(*) FILTER (WHERE o_orderkey > 0.8 * top AND o_orderkey <= 0.9 * top) "
+            "AS records_updated " + _RANGE_FROM),
         "merge_if_newer": _LATEST_EVENT_ROWS,
         "run_if_newer": _LATEST_EVENT_ROWS,
         "merge_if_newer_metrics": (

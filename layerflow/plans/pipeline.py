@@ -24,6 +24,7 @@ from layerflow.functions.rules import ColumnRule, rules_from_metadata
 from layerflow.operators import tables as tb
 from layerflow.operators.dedup import Order
 from layerflow.operators.publish import WriteResult, publish
+from layerflow.operators.ranged import expire_ranges, is_ranged
 from layerflow.operators.upsert import parse_keys
 from layerflow.plans import audit as au
 from layerflow.plans import dims, specs
@@ -47,6 +48,7 @@ class PipelineConfig:
     audit_table: str
     root: str                      # folder below which new tables get their snapshots
     buckets: int = 0               # >0: MERGE targets bucketed on their keys (Spark's CLUSTERED BY)
+    range_rows: int = 0            # >0: unpartitioned MERGE targets clustered by key ranges of so many rows
     provider: str = "parquet"      # table format of new tables; see operators.publish for others
     stream_landing: bool = False   # layer 0 lands only files not landed before
     # seconds that one table's run may take; then its jobs are cancelled and the others go on
@@ -279,7 +281,7 @@ class Pipeline:
         parts = [pc] if pc and pc in df.columns else []
         res = publish(spark, df, name, load_type, keys, root=self._table_root(name), schema=schema,
                       narrow=narrow, buckets=cfg.buckets if keys else 0, partition_by=parts, provider=cfg.provider,
-                      newer_by=newer_by)
+                      newer_by=newer_by, range_rows=0 if parts or not keys else cfg.range_rows)
         if ctx.rejects is not None:
             rows, rejects = ctx.rejects, name + "_rejects"
             if ctx.malformed is not None and not ctx.malformed.get["malformed"]:
@@ -352,8 +354,8 @@ class Pipeline:
             tb.set_properties(self.spark, ctx.target.table_name,
                               {WATERMARK_PROPERTY: encode_watermark(*ctx.watermark)})
         if self.config.expire_snapshots_after is not None:
-            tb.expire_snapshots(self.spark, ctx.target.table_name,
-                                self.config.expire_snapshots_after)
+            expire = expire_ranges if is_ranged(self.spark, ctx.target.table_name) else tb.expire_snapshots
+            expire(self.spark, ctx.target.table_name, self.config.expire_snapshots_after)
         return res
 
     def _streams(self, ctx: LayerContext) -> bool:

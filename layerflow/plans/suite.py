@@ -20,6 +20,7 @@ from layerflow.functions.rules import REJECT_COLUMN
 from layerflow.operators import tables as tb
 from layerflow.operators.dedup import dedup_latest
 from layerflow.operators.publish import MergeCardinalityError, publish
+from layerflow.operators.ranged import expire_ranges, live_ranges
 from layerflow.operators.update import add_column_with_backfill, update_table
 from layerflow.operators.upsert import ambiguous_keys
 from layerflow.plans import audit as au
@@ -732,6 +733,42 @@ def _merged_if_newer(spark, sf):
     return spark.table(name), res
 
 
+def _range_merged(spark, sf):
+    """Orders in ranges of a tenth of the table: a first load of the lower nine tenths of the keys, then a batch of
+    changed and new orders in the upper fifth."""
+    ws = Workspace(spark, sf)
+    o, name = ws.t("orders"), ws.name("orders_by_range")
+    top, n = o.agg(F.max("o_orderkey"), F.count("*")).first()
+    publish(spark, o.where(F.col("o_orderkey") <= 0.9 * top), name, "MERGE", "o_orderkey",
+            root=ws.table_root("orders_by_range"), range_rows=max(1, n // 10))
+    before = {r[0] for r in live_ranges(spark, name)}
+    batch = o.where(F.col("o_orderkey") > 0.8 * top).withColumn("o_orderpriority", F.lit("0-NOW"))
+    res = publish(spark, batch, name, "MERGE", "o_orderkey")
+    kept = before & {r[0] for r in live_ranges(spark, name)}
+    return ws, name, res, len(kept) * 2 > len(before)
+
+
+def q_merge_range_pruned(spark, sf):
+    """The rows after the batch; most ranges are the ones written by the first load."""
+    _, name, _, kept = _range_merged(spark, sf)
+    return _out(spark.table(name).withColumn("most_ranges_kept", F.lit(kept)))
+
+
+def q_merge_range_metrics(spark, sf):
+    return _counts(spark, _range_merged(spark, sf)[2])
+
+
+def q_update_range_pruned(spark, sf):
+    """An UPDATE of the orders of the lowest keys, then the expiry of what it replaced."""
+    ws, name, _, _ = _range_merged(spark, sf)
+    low = ws.t("orders").agg(F.min("o_orderkey")).first()[0] + 100
+    before = {r[0] for r in live_ranges(spark, name)}
+    update_table(spark, name, {"o_orderstatus": F.lit("X")}, F.col("o_orderkey") < low)
+    gone = before - {r[0] for r in live_ranges(spark, name)}
+    expire_ranges(spark, name, 0)
+    return _out(spark.table(name).withColumn("ranges_rewritten", F.lit(len(gone)).cast("long")))
+
+
 def q_merge_if_newer(spark, sf):
     """The latest event per user, kept by a conditional MERGE: ties on the day, NULL times, and older events
     that arrive after newer ones."""
@@ -1089,6 +1126,9 @@ QUERIES = {
     "run_table": q_run_table,
     "run_table_bucketed": q_run_table_bucketed,
     "incremental_late": q_incremental_late,
+    "merge_range_pruned": q_merge_range_pruned,
+    "merge_range_metrics": q_merge_range_metrics,
+    "update_range_pruned": q_update_range_pruned,
     "merge_if_newer": q_merge_if_newer,
     "merge_if_newer_metrics": q_merge_if_newer_metrics,
     "run_if_newer": q_run_if_newer,
