@@ -212,7 +212,8 @@ class Index:
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float):
         self.n = len(tails)
         lengths = [len(t) for t in tails]
-        pair = np.sort((np.repeat(np.arange(self.n, dtype=np.int64), lengths) << 16) | np.concatenate(tails))
+        kind = np.uint32 if self.n <= 1 << 16 else np.int64     # half the bytes to sort, for any usual shard
+        pair = np.sort((np.repeat(np.arange(self.n, dtype=kind), lengths) << 16) | np.concatenate(tails))
         first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
         tf = np.diff(np.append(first, len(pair))).astype(np.float32)
         doc, term = (pair[first] >> 16).astype(np.int32), (pair[first] & 0xFFFF).astype(np.int64)
