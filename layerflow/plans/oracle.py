@@ -417,6 +417,7 @@ def oracle_sql() -> dict[str, str]:
                            "0::BIGINT AS records_updated, 0::BIGINT AS records_rejected FROM supplier "
                            "UNION ALL SELECT 'DIM_ENTITIES', '1', 'SKIPPED', 0, 0, 0, 0"),
         "run_active": _run_active_sql(),
+        "audit_buffered": f"SELECT *, true AS few_files FROM ({_run_active_sql()})",
         "audit_lifecycle": (
             f"SELECT * FROM (VALUES "
             f"('DIM_PRODUCT', '0', 'SUCCESS', 2 * {n}, 2 * {n}, 0, {0}, 2), "

@@ -51,6 +51,8 @@ class PipelineConfig:
     range_rows: int = 0            # >0: unpartitioned MERGE targets clustered by key ranges of so many rows
     provider: str = "parquet"      # table format of new tables; see operators.publish for others
     stream_landing: bool = False   # layer 0 lands only files not landed before
+    # audit events of a run are written together, into a log partitioned by day
+    buffered_audit: bool = False
     # seconds that one table's run may take; then its jobs are cancelled and the others go on
     table_timeout: float | None = None
     # layer 0 as a batch appends only files not landed before (by path, size and time), also when it is run again
@@ -260,7 +262,8 @@ class Pipeline:
             # the session's user, as Spark SQL's current_user() reports it
             run = dataclasses.replace(run, executed_by=spark.sql("SELECT current_user()").first()[0])
         self.spark, self.config, self.run = spark, config, run
-        au.ensure_audit_table(spark, config.audit_table, f"{config.root}/_audit")
+        au.ensure_audit_table(spark, config.audit_table, f"{config.root}/_audit", by_day=config.buffered_audit)
+        self.audit = au.AuditLog(spark, config.audit_table, run, config.buffered_audit)
 
     def metadata(self) -> DataFrame:
         return self.spark.table(self.config.metadata_table)
@@ -311,23 +314,20 @@ class Pipeline:
                   jobs: TableJobs | None = None) -> str:
         """One (table, layer); ``spec``: the table's metadata when the caller
         already looked it up; ``jobs``: the isolation of the table's run."""
-        spark, cfg = self.spark, self.config
         spec = spec or specs.lookup(self.metadata(), table_id)
         ls = spec.layer(layer)
         if not ls.is_active:
-            h = au.start_run(spark, cfg.audit_table, self.run, table_id, layer,
-                             spec.source_system, spec.reporting_unit_id)
-            au.end_run(spark, cfg.audit_table, h, au.SKIPPED)
+            h = self.audit.start(table_id, layer, spec.source_system, spec.reporting_unit_id)
+            self.audit.end(h, au.SKIPPED)
             return au.SKIPPED
-        h = au.start_run(spark, cfg.audit_table, self.run, table_id, layer,
-                         spec.source_system, spec.reporting_unit_id)
+        h = self.audit.start(table_id, layer, spec.source_system, spec.reporting_unit_id)
         try:
             with jobs.limited() if jobs is not None else nullcontext():
                 res = self._transform_or_land(spec, layer)
         except Exception as e:
-            au.end_run(spark, cfg.audit_table, h, au.REJECTED, error_message=str(e))
+            self.audit.end(h, au.REJECTED, error_message=str(e))
             raise
-        au.end_run(spark, cfg.audit_table, h, au.SUCCESS, **res.counts())
+        self.audit.end(h, au.SUCCESS, **res.counts())
         return au.SUCCESS
 
     def _transform_or_land(self, spec: specs.TableSpec, layer: int) -> WriteResult:
@@ -407,7 +407,7 @@ class Pipeline:
         """Layers in order; stop at the first SKIPPED; errors propagate, and each is in the audit log,
         a failed metadata lookup too (under the first layer).  The table's jobs are in a pool and under a
         tag of their own; past ``table_timeout`` they are cancelled and the layer is audited REJECTED."""
-        with TableJobs(self.spark, table_id, self.config.table_timeout) as jobs:
+        with self.audit.run_of(), TableJobs(self.spark, table_id, self.config.table_timeout) as jobs:
             return self._run_table(table_id, layers, jobs)
 
     def _run_table(self, table_id: str, layers, jobs: TableJobs) -> str:
@@ -415,8 +415,8 @@ class Pipeline:
         try:
             spec = specs.lookup(self.metadata(), table_id)     # one lookup for all layers
         except Exception as e:
-            h = au.start_run(self.spark, self.config.audit_table, self.run, table_id, layers[0])
-            au.end_run(self.spark, self.config.audit_table, h, au.REJECTED, error_message=str(e))
+            h = self.audit.start(table_id, layers[0])
+            self.audit.end(h, au.REJECTED, error_message=str(e))
             raise
         for layer in layers:
             status = self.run_layer(table_id, layer, spec, jobs)
@@ -440,7 +440,7 @@ class Pipeline:
                 failed[tid] = e
                 return tid, au.REJECTED
 
-        with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as ex:
+        with self.audit.run_of(), ThreadPoolExecutor(max_workers=max(1, max_parallel)) as ex:
             status = dict(ex.map(one, ids))
         if failed:
             raise RunFailed(failed, status)

@@ -1024,6 +1024,18 @@ def q_run_active(spark, sf):
         "records_updated", "records_rejected")
 
 
+def q_audit_buffered(spark, sf):
+    """As ``run_active``, with the events of the run in one file of a log by day, read by day."""
+    ws, p, cfg = _pipeline(spark, sf, buffered_audit=True)
+    today = dt.datetime.now(UTC).date()
+    p.run_active(max_parallel=3)
+    log = spark.table(cfg.audit_table)
+    files = len(log.inputFiles())
+    state = au.latest_state(log, today - dt.timedelta(days=1), today + dt.timedelta(days=1))
+    return state.select("table_name", "layer", "status", "records_read", "records_inserted", "records_updated",
+                        "records_rejected", F.lit(files <= 2).alias("few_files"))
+
+
 def q_run_active_failure(spark, sf):
     """Three active tables, one of which names a missing transform: the others run, the failure is
     audited, then raised."""
@@ -1140,4 +1152,5 @@ QUERIES = {
     "run_layer_skip": q_run_layer_skip,
     "run_active": q_run_active,
     "audit_lifecycle": q_audit_lifecycle,
+    "audit_buffered": q_audit_buffered,
 }

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +174,40 @@ def test_pipeline_expires_old_snapshots(spark, ws):
         [tb.table_location(spark, gold).rsplit("/", 1)[1]]
     assert spark.table(gold).count() == spark.read.parquet(
         "/root/testdata/sf0.001/supplier.parquet").count()
+
+
+def test_buffered_events_are_few_files_and_survive_failures(spark):
+    """Three tables, one failing: one file for the run; a log by day is read in the days asked for."""
+    from layerflow.operators.update import update_table
+    from layerflow.plans.suite import _pipeline as pipeline
+    ws, p, cfg = pipeline(spark, "/root/testdata/sf0.001", buffered_audit=True)
+    update_table(spark, cfg.metadata_table, {"layer1_script_path": F.lit("missing.l1")}, F.col("table_id") == "DIM_CUSTOMER")
+    with pytest.raises(RunFailed):
+        p.run_active(max_parallel=3)
+    log = spark.table(cfg.audit_table)
+    assert len(log.inputFiles()) <= 2 and log.count() == 2 * 8      # two days if it is midnight
+    days = {r[au.DAY] for r in log.select(au.DAY).distinct().collect()}
+    st = au.latest_state(log, min(days), max(days))
+    assert st.count() == 8 and st.where("status = 'REJECTED'").count() == 1
+    assert "PartitionFilters: [isnotnull(audit_date" in st._jdf.queryExecution().executedPlan().toString()
+    assert au.latest_state(log, last_day=min(days) - dt.timedelta(days=1)).count() == 0
+
+
+def test_buffer_is_flushed_when_its_oldest_event_waits(spark, ws):
+    t = ws.name("audit_log")
+    au.ensure_audit_table(spark, t, ws.table_root("audit"), by_day=True)
+    now = [dt.datetime(2024, 1, 1, 23, 59, tzinfo=dt.timezone.utc)]
+    log = au.AuditLog(spark, t, RUN2, buffered=True, flush_seconds=60, clock=lambda: now[0])
+    with pytest.raises(RuntimeError, match="driver"):
+        with log.run_of():
+            h = log.start("T", 0)
+            assert spark.table(t).count() == 0
+            now[0] += dt.timedelta(seconds=61)
+            with log.run_of():
+                log.start("T", 1)
+            assert spark.table(t).count() == 2      # a long run shows as RUNNING
+            log.end(h, au.SUCCESS, records_read=3)
+            raise RuntimeError("driver")
+    st = {r.layer: (r.status, str(r[au.DAY])) for r in au.latest_state(spark.table(t)).collect()}
+    # both events of a layer are in the partition of its start
+    assert st == {"0": (au.SUCCESS, "2024-01-01"), "1": (au.RUNNING, "2024-01-02")}
