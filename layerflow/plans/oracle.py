@@ -384,6 +384,8 @@ def oracle_sql() -> dict[str, str]:
                              "WHERE o_orderstatus = 'O'"),
         "incremental_read": ("SELECT * REPLACE (CAST(ts AS VARCHAR) AS ts) FROM events WHERE ts > "
                              "(SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15')"),
+        "append_compacts": ("SELECT *, 2 AS packed, true AS fewer, true AS others_kept FROM ("
+                            + _ORDERS.format(status="o_orderstatus", prio="o_orderpriority") + ")"),
         "partitioned_write": _ORDERS.format(status="o_orderstatus", prio="o_orderpriority")
                              + " WHERE o_orderstatus = 'O'",
         "merge_partitioned": _ORDERS.format(

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from layerflow.functions.rules import ColumnRule, rules_from_metadata
 from layerflow.operators import tables as tb
+from layerflow.operators.compaction import AutoCompact, compact_appends
 from layerflow.operators.dedup import Order
 from layerflow.operators.publish import WriteResult, publish
 from layerflow.operators.ranged import expire_ranges, is_ranged
@@ -51,6 +52,8 @@ class PipelineConfig:
     range_rows: int = 0            # >0: unpartitioned MERGE targets clustered by key ranges of so many rows
     provider: str = "parquet"      # table format of new tables; see operators.publish for others
     stream_landing: bool = False   # layer 0 lands only files not landed before
+    # after an append, partitions with too many small files are packed
+    auto_compact: AutoCompact | None = None
     # audit events of a run are written together, into a log partitioned by day
     buffered_audit: bool = False
     # seconds that one table's run may take; then its jobs are cancelled and the others go on
@@ -296,6 +299,10 @@ class Pipeline:
                 res.records_read += res.records_rejected
         return res
 
+    def _compact(self, name: str) -> None:
+        if self.config.auto_compact is not None:
+            compact_appends(self.spark, name, self.config.auto_compact)
+
     def _write_rejects(self, rows: DataFrame, name: str) -> int:
         """Replace this run's rows of the reject table (partitioned by run), after the publish: a
         failed run leaves none, a repeated one leaves one set."""
@@ -348,6 +355,8 @@ class Pipeline:
         res = self._write(ctx, df, tr.schema(ctx), tr.narrow, tr.newer_by)
         if ctx.landing is not None:
             ctx.landing.commit()
+        if res.strategy == "append":
+            self._compact(ctx.target.table_name)
         if ctx.watermark:
             # after the snapshot switch: a failed run leaves the old
             # watermark, and the rerun reads the same rows again
@@ -381,6 +390,8 @@ class Pipeline:
         rejects, rejected = name + "_rejects", Landed()
         tb.create_table(spark, rejects, MALFORMED_SCHEMA, self._table_root(rejects), partition_by=["job_run_id"])
         n = land_available(spark, folder, cols, name, ctx.run, checkpoint=ckpt, rejects=rejects, rejected=rejected)
+        if n:
+            self._compact(name)
         return WriteResult(n + rejected.rows, n, 0, rejected.rows, strategy="new-files")
 
     def _check_run_after_downstream(self, ctx: LayerContext) -> None:

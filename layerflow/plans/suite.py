@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from layerflow.functions.rules import REJECT_COLUMN
 from layerflow.operators import tables as tb
+from layerflow.operators.compaction import AutoCompact, compact_appends
 from layerflow.operators.dedup import dedup_latest
 from layerflow.operators.publish import MergeCardinalityError, publish
 from layerflow.operators.ranged import expire_ranges, live_ranges
@@ -811,6 +812,24 @@ def q_incremental_read(spark, sf):
     return _out(incremental_read(ev, "ts", high_watermark(spark.table(name), "ts")))
 
 
+def q_append_compacts(spark, sf):
+    """Orders by status, appended in one go for the pending ones and priority by priority for the others: the
+    partitions with several small files are packed, the pending one's file stays."""
+    ws = Workspace(spark, sf)
+    o, name = ws.t("orders"), ws.name("orders_small")
+    publish(spark, o.where("o_orderstatus = 'P'"), name, "APPEND", root=ws.table_root("orders_small"),
+            partition_by=["o_orderstatus"])
+    rest = o.where("o_orderstatus <> 'P'")
+    for (priority,) in rest.select("o_orderpriority").distinct().orderBy("o_orderpriority").collect():
+        publish(spark, rest.where(F.col("o_orderpriority") == priority), name, "APPEND")
+    before = spark.table(name).inputFiles()
+    packed = compact_appends(spark, name, AutoCompact(min_files=4))
+    after = spark.table(name).inputFiles()
+    kept = {f for f in before if "o_orderstatus=P" in f} == set(before) & set(after)
+    return _out(spark.table(name).withColumns({
+        "packed": F.lit(packed), "fewer": F.lit(len(after) < len(before)), "others_kept": F.lit(kept)}))
+
+
 def q_partitioned_write(spark, sf):
     ws = Workspace(spark, sf)
     o, name = ws.t("orders"), ws.name("orders_p")
@@ -1131,6 +1150,7 @@ QUERIES = {
     "transformation_rules": q_transformation_rules,
     "custom_transform": q_custom_transform,
     "incremental_read": q_incremental_read,
+    "append_compacts": q_append_compacts,
     "partitioned_write": q_partitioned_write,
     "merge_partitioned": q_merge_partitioned,
     "update_partitioned": q_update_partitioned,

@@ -1,6 +1,9 @@
 import re
 import subprocess
 import sys
+from pathlib import Path
+
+import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
@@ -23,3 +26,12 @@ def test_oracle_matches_on_small_data():
                          capture_output=True, text=True, timeout=900)
     lines = [ln for ln in out.stdout.splitlines() if ln.startswith(("OK", "FAIL"))]
     assert len(lines) == len(names) and all(ln.startswith("OK") for ln in lines), out.stdout
+
+
+@pytest.mark.parametrize("missing", ["zstandard", "layerflow.llm", "corpus_pipeline"])
+def test_table_queries_need_none_of_the_training_data_part(missing):
+    """Without a package that only the training-data part needs, or without that part, the rest is there."""
+    code = (f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; "
+            "from layerflow.plans.suite import QUERIES; assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql()); "
+            "assert isinstance(e.LLM_MISSING, ImportError)")
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], check=True, timeout=120)
