@@ -13,8 +13,10 @@ only push the prefix on.  Nothing is capped or sampled.
 
 Entities that meet are tied to the least of them (no pairs within a group); the components of these
 ties are clusters, and similar entities are always in one cluster.  A cluster is verified exactly on its
-whole sets: in blocks of ``BLOCK`` entities, each pair of blocks in one task, by an inverted index, and
-only links that join what was not joined yet are kept.  The components of these links are the result.
+whole sets: in blocks of ``BLOCK`` entities, each pair of blocks in one task, by an inverted index.  Links are
+counted per entity, weighted with the copies, not emitted; what a task keeps besides is one edge per entity that joins
+what its links join.  The components of these edges are the result.  Sets so small that one shared token can make
+them similar index all their tokens alone.
 
 Most entities are similar to no other.  They are found first, by counting a quarter of all tokens
 (:func:`likely_entities`); the rest is done for the others alone.  What moves is packed: tokens travel as
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.llm.common import lean, table
-from layerflow.llm.graph import components
+from layerflow.llm.graph import components, forest
 from layerflow.llm.rowfilter import split
 from layerflow.session import scratch_dir
 
@@ -241,7 +243,8 @@ def prefix_keys(entity, n, key, df, percent: int) -> tuple[np.ndarray, np.ndarra
     room = size - least_overlap(size, percent) + K - (size - counts)  # the tokens of one entity come first
     taken = rank < np.repeat(room, counts)
     entity, n, key, df = entity[taken], n[taken], key[taken], df[taken]
-    alone = (df <= RARE) | (100 * n >= percent * (COMBINED - 10))
+    # a set that can be similar to another by a single shared token has no combination to meet at
+    alone = (df <= RARE) | (100 * n >= percent * (COMBINED - 10)) | (least_overlap(n, percent) < K)
     keys, owners = [key[alone]], [entity[alone]]
     frequent = (df > RARE) & (n <= COMBINED)
     e, k = entity[frequent], key[frequent].view(np.uint64)
@@ -314,10 +317,9 @@ def filter_of(wanted: DataFrame) -> Bits:
     return Bits(out)
 
 
-def spanning_links(sets: list[np.ndarray], percent: int, every_link: bool = False) -> list[tuple[int, int]]:
-    """Links between sets whose similarity reaches the threshold: all, or as many as join all that such
-    links join.  An inverted index counts exact overlaps; where not all are asked for, a set that is joined
-    already is not looked up as a partner again."""
+def near_of(sets: list[np.ndarray], percent: int):
+    """Function i -> the places of the sets whose similarity to set i reaches the threshold (i itself too, if
+    it shares a token).  An inverted index counts exact overlaps."""
     n = np.array([len(s) for s in sets])
     every, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
     order = np.argsort(every, kind="stable")
@@ -329,7 +331,24 @@ def spanning_links(sets: list[np.ndarray], percent: int, every_link: bool = Fals
     of_doc = np.empty(len(token), np.int64)
     of_doc[order] = number
     edges = np.concatenate([[0], np.cumsum(n)])
-    waiting, out = np.ones(len(sets), bool), []
+
+    def near(i: int) -> np.ndarray:
+        t = of_doc[edges[i]:edges[i + 1]]
+        t = t[length[t] > 1]
+        if not len(t):
+            return t
+        runs = length[t]
+        at = np.repeat(start[t] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
+        both = np.bincount(doc[at], minlength=len(sets))
+        return np.flatnonzero((100 * both >= percent * (n[i] + n - both)) & (both > 0))
+
+    return near
+
+
+def spanning_links(sets: list[np.ndarray], percent: int, every_link: bool = False) -> list[tuple[int, int]]:
+    """Links between sets whose similarity reaches the threshold: all, or as many as join all that such
+    links join.  Where not all are asked for, a set that is joined already is not looked up as a partner again."""
+    near, waiting, out = near_of(sets, percent), np.ones(len(sets), bool), []
     for seed in range(len(sets)):
         if not waiting[seed]:
             continue
@@ -337,28 +356,46 @@ def spanning_links(sets: list[np.ndarray], percent: int, every_link: bool = Fals
         queue = [seed]
         while queue and (every_link or waiting.any()):
             i = queue.pop()
-            t = of_doc[edges[i]:edges[i + 1]]
-            t = t[length[t] > 1]
-            if not len(t):
-                continue
-            runs = length[t]
-            at = np.repeat(start[t] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
-            both = np.bincount(doc[at], minlength=len(sets))
-            open_ = np.arange(len(sets)) > i if every_link else waiting
-            near = np.flatnonzero(open_ & (100 * both >= percent * (n[i] + n - both)) & (both > 0))
-            for j in near.tolist():
-                out.append((i, j))
+            found = near(i)
+            found = found[found > i] if every_link else found[waiting[found]]
+            out += [(i, j) for j in found.tolist()]
             if not every_link:
-                waiting[near] = False
-                queue.extend(near.tolist())
+                waiting[found] = False
+                queue.extend(found.tolist())
     return out
 
 
+def counted_links(sets: list[np.ndarray], percent: int, copies: np.ndarray, block: np.ndarray | None
+                  ) -> tuple[np.ndarray, np.ndarray]:
+    """(rows linked to each set, least place it is joined to by links).  ``copies``: the rows of each set;
+    links within one ``block`` are left out."""
+    near, count, a, b = near_of(sets, percent), np.zeros(len(sets), np.int64), [], []
+    for i in range(len(sets)):
+        found = near(i)
+        found = found[found > i]
+        if block is not None:
+            found = found[block[found] != block[i]]
+        if len(found):
+            count[i] += copies[found].sum()
+            count[found] += copies[i]
+            a.append(np.full(len(found), i))
+            b.append(found)
+    root = np.arange(len(sets))
+    if a:
+        node, least = forest(np.concatenate(a), np.concatenate(b))
+        root[node] = least
+    return count, root
+
+
 def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, size: int, percent: int,
-                   every_link: bool = False) -> DataFrame:
-    """Links (a, b) between similar entities, each once if all are asked for; clusters has (entity, cluster)."""
+                   every_link: bool = False, counts: bool = False) -> DataFrame:
+    """Links (a, b) between similar entities, each once if all are asked for; clusters has (entity, cluster).
+    With ``counts`` (a, b, n) instead: each entity with a link, the rows that the links of a task add to it, and an
+    entity it is joined to by them (or itself)."""
     spark = rows.sparkSession
-    lead = members.where("entity IS NOT NULL").groupBy("entity").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    every_link = every_link or counts
+    lead = members.where("entity IS NOT NULL").groupBy("entity").agg(
+        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count("*").alias("copies"))
     placed = clusters.join(lead, "entity")
     total = placed.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("t")).select(
         "cluster", F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("t") / BLOCK_TOKENS)).cast("long").alias("blocks"), "t")
@@ -383,8 +420,8 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
     tasks = placed.join(total, "cluster").withColumn("own", F.pmod(F.xxhash64("entity"), F.col("blocks")))
     # a cluster of one block goes to a bin with others; one of more meets once for each pair of blocks
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    tasks = tasks.select("entity", "cluster", "own", "blocks", other.alias("other")).select(
-        "entity", "cluster", *(["own"] if every_link else []),
+    tasks = tasks.select("entity", "cluster", "copies", "own", "blocks", other.alias("other")).select(
+        "entity", "cluster", *(["own"] if every_link else []), *(["copies"] if counts else []),
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster")).alias("k"),
         F.when(F.col("blocks") == 1, -1).otherwise(F.least("own", "other")).cast("long").alias("i"),
         F.when(F.col("blocks") == 1, -1).otherwise(F.greatest("own", "other")).cast("long").alias("j"))
@@ -404,7 +441,18 @@ def verified_links(rows: DataFrame, clusters: DataFrame, members: DataFrame, siz
                 b.append(names[j])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    return tasks.join(sets, "entity").groupBy("k", "i", "j").applyInPandas(verify, "a long, b long")
+    @lean
+    def count(p: pd.DataFrame) -> pd.DataFrame:
+        out = [np.zeros((3, 0), np.int64)]
+        for _, c in p.drop_duplicates("entity").groupby("cluster", sort=False):
+            names = c["entity"].to_numpy()
+            block = c["own"].to_numpy() if (c["i"] != c["j"]).any() else None
+            n, root = counted_links([np.frombuffer(x, np.uint64) for x in c["tokens"]], percent, c["copies"].to_numpy(), block)
+            out.append(np.stack([names, names[root], n])[:, n > 0])
+        return pd.DataFrame(np.concatenate(out, axis=1).T, columns=["a", "b", "n"])
+
+    met = tasks.join(sets, "entity").groupBy("k", "i", "j")
+    return met.applyInPandas(count, "a long, b long, n long") if counts else met.applyInPandas(verify, "a long, b long")
 
 
 def clusters_of(rows: DataFrame, members: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
@@ -450,16 +498,24 @@ def least_of_group(members: DataFrame, roots: DataFrame, value) -> DataFrame:
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS,
                     percent: int = PERCENT) -> DataFrame:
-    """Per row of docs: id, n_shingles, component_id (the least id that links reach)."""
+    """Per row of docs: id, n_shingles, component_id (the least id that links reach), n_links (the other rows
+    it is linked with: every pair counts, none is emitted)."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     folder, rows = scratch_dir(spark, "ngramjoin"), _docs(docs, id_col, text_col)
     members = memberships(rows, folder, size)
-    roots = entity_roots(rows, members, size, percent, folder)
-    own = F.col("doc_id").cast(kind)
-    named = least_of_group(members, roots, own)
+    clusters = clusters_of(rows, members, size, percent, folder)
+    # a table of its own: verified once, whatever the rounds after it read again or lose
+    verified_links(rows, clusters, members, size, percent, counts=True).write.parquet(f"{folder}/links")
+    links = spark.read.schema("a long, b long, n long").parquet(f"{folder}/links")
+    roots, own = components(links.select("a", "b")), F.col("doc_id").cast(kind)
+    copies = members.where("entity IS NOT NULL").groupBy("entity").agg((F.count("*") - 1).alias("n"))
+    linked = links.select(F.col("a").alias("entity"), "n").unionByName(copies).groupBy("entity").agg(
+        F.sum("n").alias("n_links"))
+    named = least_of_group(members, roots, own).join(linked, F.col("e") == linked["entity"]).drop("entity")
     return members.join(named, members["entity"] == named["e"], "left").select(
         own.alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("entity").isNull(), own).otherwise(F.col("least")).alias("component_id"))
+        F.when(F.col("entity").isNull(), own).otherwise(F.col("least")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,6 +570,7 @@ o AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS n, count(*) AS i
   FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
 e AS (SELECT a, b FROM o WHERE 100 * i >= 85 * (n - i)),
 r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.c)
-SELECT s.doc_id, len(g)::BIGINT AS n_shingles, m.c AS component_id
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, m.c AS component_id, coalesce(l.n, 0)::BIGINT AS n_links
 FROM s JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM e GROUP BY a) l USING (doc_id)
 """

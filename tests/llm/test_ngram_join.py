@@ -200,3 +200,31 @@ def test_pairs_are_all_links_between_different_texts(spark, monkeypatch, block):
     want = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]
             if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
     assert sorted((r["a"], r["b"]) for r in pairs.collect()) == want and len(want) > len(names)
+
+
+@pytest.mark.parametrize("percent", [85, 80, 50, 34])
+def test_no_link_of_small_and_of_less_similar_sets_is_lost(spark, percent, monkeypatch):
+    """Sets of one to a few tokens, hubs that a hundred others share one token with, copies, more sets than a block."""
+    monkeypatch.setattr(nj, "BLOCK", 16)
+    monkeypatch.setattr(nj, "RARE", 8)
+    rng = random.Random(percent)
+    texts = ["a b c d"] + [f"a b c d e{k}" for k in range(60)] + [f"a b c d e{k} f{k % 3}" for k in range(30)]
+    texts += copies(rng, [f"w{k}" for k in range(50)], 9, 40, 3) + copies(rng, ["x", "y"], 6, 30, 3)
+    texts += ["a b c d"] * 3 + [None, "", "  ", "z"]
+    docs = list(enumerate(texts))
+    rng.shuffle(docs)
+    sets = {d: set(nj.shingle_set(t).tolist()) for d, t in docs}
+    want = {d: sum(e != d and bool(s & o) and 100 * len(s & o) >= percent * len(s | o) for e, o in sets.items())
+            for d, s in sets.items()}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = nj.near_components(df, percent=percent).collect()
+    assert {r["doc_id"]: r["n_links"] for r in rows} == want
+    group = {d: d for d, _ in docs}
+    for _ in docs:
+        for d, s in sets.items():
+            for e, o in sets.items():
+                if s & o and 100 * len(s & o) >= percent * len(s | o):
+                    group[d] = min(group[d], group[e])
+        if all(group[d] == group[group[d]] for d in group):
+            break
+    assert {r["doc_id"]: r["component_id"] for r in rows} == group
