@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.llm.common import lean, sample_of, table
+from layerflow.session import scratch_dir
 
 MAX_TRAIN = 4_000
 LANDMARKS = 160
@@ -91,8 +92,11 @@ NOTHING = Model([], np.zeros(1, np.uint64), np.zeros((1, 0)), np.zeros(0))
 
 def fit(labelled: DataFrame) -> Model:
     """``labelled`` has key, text and lang; rows with a null text or language are left out."""
-    rows = sample_of(labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("key", "text", "lang"),
+    spark, folder = labelled.sparkSession, scratch_dir(labelled.sparkSession, "langid")
+    some = sample_of(labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("key", "text", "lang"),
                      F.col("key"), MAX_TRAIN)
+    some.write.parquet(f"{folder}/sample")      # the corpus is not scanned again for each step of the fit
+    rows = spark.read.schema(some.schema).parquet(f"{folder}/sample")
     langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not langs:
         return NOTHING
