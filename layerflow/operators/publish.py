@@ -141,10 +141,10 @@ def touched_partitions(target: DataFrame, src: DataFrame, keys: Sequence[str], p
 def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], *,
                staged: Staged | None = None, narrow: bool = False, newer_by: Order | None = None) -> WriteResult:
     """Upsert ``df`` into the existing ``table`` (see module doc)."""
-    keys, target = list(keys), spark.table(table)
-    parts = tb.partition_columns(spark, table)
+    keys, target, info = list(keys), spark.table(table), tb.describe(spark, table)
+    parts = list(info.partitions)
     src = up.align_to(staged.frame(spark) if staged is not None else df, target.schema)
-    src = tb.enforce_not_null(tb.stored_partitions(src, parts), tb.not_null_columns(spark, table), table)
+    src = tb.enforce_not_null(tb.stored_partitions(src, parts), info.not_null, table)
     own = []
     if staged is None and not narrow:
         own.append(stage(spark, src, table))
@@ -155,18 +155,18 @@ def merge_into(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[st
             src = up.newest_per_key(src, keys, newer_by)
         elif repeated and up.ambiguous_keys(target, src, keys).limit(1).count():
             raise MergeCardinalityError(f"more than one source row for a target row with keys {keys} in {table}")
-        if tb.provider_of(spark, table) not in FILE_PROVIDERS:
+        if info.provider not in FILE_PROVIDERS:
             return _merge_by_format(target, src, table, keys, read, newer_by)
         obs, metrics = Observation(), up.merge_metrics_columns()
         if not parts:
-            tb.replace_rows(spark, table, up.merged(target, src, keys, newer_by), obs, metrics, [up.OP])
+            tb.replace_rows(spark, table, up.merged(target, src, keys, newer_by), obs, metrics, [up.OP], info)
             m = obs.get
             return WriteResult(read, int(m["inserted"]), int(m["updated"]), strategy="rewrite")
         own.append(touched := stage(spark, touched_partitions(target, src, keys, parts), table))
         scope = tb.in_partitions(target, touched.frame(spark), parts)
         # rows per touched partition reach the driver as one set of partition values, to find emptied ones
         metrics.append(F.collect_set(F.struct(*parts)).alias("_parts"))
-        tb.replace_rows(spark, table, up.merged(scope, src, keys, newer_by), obs, metrics, [up.OP])
+        tb.replace_rows(spark, table, up.merged(scope, src, keys, newer_by), obs, metrics, [up.OP], info)
         m = obs.get
         if not set(parts) <= set(keys):
             drop_emptied(spark, table, touched.frame(spark), parts, m["_parts"])

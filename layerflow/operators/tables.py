@@ -18,10 +18,12 @@ NULL; so do the functions here, before anything is compared.
 
 from __future__ import annotations
 
+import json
 import re
 import threading
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -137,6 +139,26 @@ def table_info(spark: SparkSession, name: str) -> dict[str, str]:
     return out
 
 
+@dataclass(frozen=True)
+class TableInfo:
+    """What a write needs to know of a table, from one catalog lookup."""
+    provider: str
+    location: str
+    partitions: tuple[str, ...]
+    buckets: int
+    properties: dict[str, str]
+
+    @property
+    def not_null(self) -> list[str]:
+        return [c for c in self.properties.get(NOT_NULL_PROPERTY, "").split(",") if c]
+
+
+def describe(spark: SparkSession, name: str) -> TableInfo:
+    d = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {check_name(name)} AS JSON").first()[0])
+    return TableInfo(d.get("provider", "parquet").lower(), d.get("location", ""), tuple(d.get("partition_columns", ())),
+                     int(d.get("num_buckets") or 0), dict(d.get("table_properties", {})))
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     return table_info(spark, name)["Location"]
 
@@ -199,9 +221,9 @@ def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def append_rows(spark: SparkSession, name: str, df: DataFrame) -> int:
     """Append by column name into the current snapshot; returns the rows written."""
-    out = enforce_not_null(aligned(df, spark.table(name).schema), not_null_columns(spark, name), name)
-    obs = Observation()
-    out = clustered_for_write(spark, name, out).observe(obs, F.count(F.lit(1)).alias("n"))
+    info, obs = describe(spark, name), Observation()
+    out = enforce_not_null(aligned(df, spark.table(name).schema), info.not_null, name)
+    out = clustered_for_write(out, info.partitions).observe(obs, F.count(F.lit(1)).alias("n"))
     out.write.mode("append").insertInto(name)
     spark.catalog.refreshTable(name)
     return int(obs.get["n"])
@@ -217,10 +239,9 @@ def bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int]:
     return [c for c in cols if c], n
 
 
-def clustered_for_write(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+def clustered_for_write(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     """``REBALANCE`` by the partition columns of a partitioned table: few files per partition, and
     AQE splits a hot partition over several tasks.  Unchanged otherwise."""
-    parts = partition_columns(spark, name)
     return df.hint("rebalance", *parts) if parts else df
 
 
@@ -233,10 +254,10 @@ def observed(df: DataFrame, observation, metrics: Sequence[Column], drop_after:
 
 
 def write_snapshot(spark: SparkSession, name: str, df: DataFrame, observation=None,
-                   metrics: Sequence[Column] = (), drop_after: Sequence[str] = ()) -> str:
+                   metrics: Sequence[Column] = (), drop_after: Sequence[str] = (), info: TableInfo | None = None) -> str:
     """Write ``df`` (already in the table's column order) as a new snapshot directory of an
     unpartitioned table; the table is not switched yet."""
-    loc = new_snapshot_location(table_location(spark, name).rsplit("/", 1)[0])
+    loc = new_snapshot_location((info.location if info else table_location(spark, name)).rsplit("/", 1)[0])
     observed(df, observation, metrics, drop_after).write.mode("errorifexists").parquet(loc)
     return loc
 
@@ -364,18 +385,18 @@ def expire_snapshots(spark: SparkSession, name: str, older_than_seconds: float =
 
 
 def replace_rows(spark: SparkSession, name: str, df: DataFrame, observation=None,
-                 metrics: Sequence[Column] = (), drop_after: Sequence[str] = ()) -> None:
+                 metrics: Sequence[Column] = (), drop_after: Sequence[str] = (), info: TableInfo | None = None) -> None:
     """Make ``df`` (which may read the table) the rows of ``name``; columns by name.  For a
-    partitioned table: of the partitions that ``df`` has rows for."""
+    partitioned table: of the partitions that ``df`` has rows for.  ``info``: when already looked up."""
     from layerflow.operators.publish import stage  # staging is built on this module
 
-    schema, parts = spark.table(name).schema, partition_columns(spark, name)
+    info, schema = info or describe(spark, name), spark.table(name).schema
     extra = [F.col(c) for c in drop_after]
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)
-    out = enforce_not_null(out, not_null_columns(spark, name), name)
-    if parts:
-        overwrite_partitions(spark, name, observed(clustered_for_write(spark, name, out), observation, metrics, drop_after))
-    elif bucket_spec(spark, name)[1]:
+    out = enforce_not_null(out, info.not_null, name)
+    if info.partitions:
+        overwrite_partitions(spark, name, observed(clustered_for_write(out, info.partitions), observation, metrics, drop_after))
+    elif info.buckets:
         st = stage(spark, observed(out, observation, metrics, drop_after), name)
         try:
             st.frame(spark).write.mode("overwrite").insertInto(name)
@@ -383,7 +404,7 @@ def replace_rows(spark: SparkSession, name: str, df: DataFrame, observation=None
             st.drop(spark)
         spark.catalog.refreshTable(name)
     else:
-        switch_snapshot(spark, name, write_snapshot(spark, name, out, observation, metrics, drop_after))
+        switch_snapshot(spark, name, write_snapshot(spark, name, out, observation, metrics, drop_after, info))
 
 
 def add_column(spark: SparkSession, name: str, column: str, data_type: str,

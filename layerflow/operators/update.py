@@ -31,8 +31,9 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column
     if is_ranged(spark, table):
         return update_ranged(spark, table, {c: F.expr(v) if isinstance(v, str) else v for c, v in assignments.items()},
                              F.expr(where) if isinstance(where, str) else where)
-    df, parts = spark.table(table), tb.partition_columns(spark, table)
-    if tb.provider_of(spark, table) not in FILE_PROVIDERS:
+    df, info = spark.table(table), tb.describe(spark, table)
+    parts = list(info.partitions)
+    if info.provider not in FILE_PROVIDERS:
         return _update_by_format(spark, df, table, assignments, where)
     assignments = {c: F.expr(v) if isinstance(v, str) else v for c, v in assignments.items()}
     where = F.expr(where) if isinstance(where, str) else where
@@ -41,7 +42,7 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column
     if not parts:
         if where is not None and not matched.limit(1).count():
             return 0
-        return _rewrite(spark, table, df, hit, assignments, where, parts)[0]
+        return _rewrite(spark, table, df, hit, assignments, where, info)[0]
     moves = bool(set(parts) & set(assignments))
     own = matched.select(*parts)
     if moves:
@@ -52,7 +53,7 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column
         if not touched.rows:
             return 0
         scope = tb.in_partitions(df, touched.frame(spark), parts)
-        n, written = _rewrite(spark, table, scope, hit, assignments, where, parts)
+        n, written = _rewrite(spark, table, scope, hit, assignments, where, info)
         if moves:
             drop_emptied(spark, table, touched.frame(spark), parts, written)
         return n
@@ -60,14 +61,15 @@ def update_table(spark: SparkSession, table: str, assignments: dict[str, Column
         touched.drop(spark)
 
 
-def _rewrite(spark, table, df, hit, assignments, where, parts) -> tuple[int, list]:
+def _rewrite(spark, table, df, hit, assignments, where, info) -> tuple[int, list]:
     # the match flag rides along to the final stage, where it is counted
+    parts = list(info.partitions)
     out = tb.stored_partitions(update_rows(df.withColumn(_HIT, hit), assignments, where), parts)
     metrics = [F.count_if(F.col(_HIT)).alias("n")]
     if parts:     # the partitions that keep rows
         metrics.append(F.collect_set(F.struct(*parts)).alias("_parts"))
     obs = Observation()
-    tb.replace_rows(spark, table, out, obs, metrics, [_HIT])
+    tb.replace_rows(spark, table, out, obs, metrics, [_HIT], info)
     return int(obs.get["n"]), obs.get.get("_parts", [])
 
 
