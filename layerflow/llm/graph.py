@@ -59,15 +59,14 @@ def components(edges: DataFrame, share: int = SHARE) -> DataFrame:
     the component.  ``edges`` has a and b (long, not null), in either order."""
     spark, folder = edges.sparkSession, scratch_dir(edges.sparkSession, "components")
 
-    def kept(df: DataFrame, k: object) -> tuple[DataFrame, tuple]:
+    def kept(df: DataFrame, k: object) -> tuple[DataFrame, int]:
         df.write.parquet(f"{folder}/{k}")
         out = spark.read.schema("a long, b long").parquet(f"{folder}/{k}")
-        state = out.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
-        return out, tuple(state)
+        return out, out.count()
 
-    e, state = kept(edges.select("a", "b").where("a <> b").mapInPandas(_batches, "a long, b long"), "edges")
-    shares = -(-state[0] // share)
-    e, state = kept(e.coalesce(max(1, shares)).mapInPandas(_share, "a long, b long"), "shares")
+    e, n = kept(edges.select("a", "b").where("a <> b").mapInPandas(_batches, "a long, b long"), "edges")
+    shares = -(-n // share)
+    e, n = kept(e.coalesce(max(1, shares)).mapInPandas(_share, "a long, b long"), "shares")
     if shares <= 1:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for k in range(1, MAX_ROUNDS):
@@ -78,10 +77,10 @@ def components(edges: DataFrame, share: int = SHARE) -> DataFrame:
         large = large.distinct()
         below = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(below, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e, new = kept(small.unionByName(below.select("a", F.col("m").alias("b"))).distinct(), k)
-        if new == state:
+        before, n_before = e, n
+        e, n = kept(small.unionByName(below.select("a", F.col("m").alias("b"))).distinct(), k)
+        if n == n_before and e.join(before, ["a", "b"], "left_anti").isEmpty():
             break
-        state = new
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -1,13 +1,19 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-Each paragraph (line) is a sparse vector of the word n-grams (1..3) that the training notices hold.
+Paragraphs are single lines and, for notices that are wrapped, groups of consecutive lines without an empty one: those
+where enough word pairs of a template lie close together, pairs across a line's end included (comment marks are no
+words).  A group is reported if it is confirmed, by its first line; it replaces what its lines would be confirmed as by
+fewer pairs.
+
+Each paragraph is a sparse vector of the word n-grams (1..3) that the training notices hold.
 Multinomial logistic regression gives a licence family or ``none`` (ordinary text); its temperature is
 calibrated on held-out paragraphs.  A paragraph that is not ``none`` but whose calibrated probability
 stays below ``SURE`` is ``unknown``: a licence, of no known family.  A family is confirmed if one of its
 templates is contained in the paragraph (share of the template's word pairs) to ``CONFIRM``.
 
 Trained on the notices below, varied by a rule, and on paragraphs of at most ``MAX_TRAIN_DOCS``
-documents that have no licence word; every paragraph of every document is scored.
+documents that have no licence word (their first ``PARAGRAPH_CHARS`` characters; of their words, ``FILLER`` picked by
+hash vary the notices); every paragraph of every document is scored, whole.
 
 Defined results: null and empty texts have no paragraphs; a paragraph without a known n-gram is ``none``
 and returned nowhere; equal rows give equal results; other columns are ignored; an empty table gives no
@@ -18,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -29,8 +36,10 @@ from layerflow.llm.common import lean, row_key, sample_of, table
 MAX_TRAIN_DOCS = 300
 MAX_TRAIN_PARAGRAPHS = 1_200
 PARAGRAPH_CHARS = 2_000  # of a training paragraph only
+FILLER = 5_000
 SURE = 0.6
 CONFIRM = 0.6
+STRETCH = 2  # a wrapped notice may have so many times its template's words
 NONE, UNKNOWN = "none", "unknown"
 
 #: Notices by licence family, as authors write them.
@@ -109,11 +118,15 @@ class Features:
             at.append(group[:m][ok])
         return (np.concatenate(keys), np.concatenate(at)) if keys else (np.zeros(0, np.int64),) * 2
 
-    def present(self, paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(paragraph, feature) pairs, each once."""
+    def numbered(self, paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers (0: unknown) of all paragraphs in a row, and the paragraph of each."""
         lists = [tokens(p) for p in paragraphs]
-        group = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        keys, at = self._keys(self._ids([w for x in lists for w in x]), group)
+        return (self._ids([w for x in lists for w in x]),
+                np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
+
+    def present(self, ids: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(paragraph, feature) pairs, each once."""
+        keys, at = self._keys(ids, group)
         if not len(keys):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         f = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
@@ -134,27 +147,104 @@ class Model:
         self.features, self.classes, self.weights, self.bias, self.heat = Features(words, keys), classes, weights, bias, heat
         self.templates = {f: [pairs(t) for t in ts] for f, ts in NOTICES.items()}
 
-    def logits(self, paragraphs: list[str]) -> np.ndarray:
-        row, f = self.features.present(paragraphs)
-        out = np.zeros((len(paragraphs), len(self.classes)))
+        # word pairs of the templates as numbers, and which templates have each
+        flat = [(f, t) for f, ts in NOTICES.items() for t in ts]
+        own = [np.unique(self._pair_keys(self.features.numbered([t])[0])) for _, t in flat]
+        self.sizes, self.words = [len(k) for k in own], [len(tokens(t)) for _, t in flat]
+        order = np.argsort(np.concatenate(own), kind="stable")
+        self.pair_keys = np.concatenate(own)[order]
+        self.pair_template = np.repeat(np.arange(len(own)), self.sizes)[order]
+
+    def _pair_keys(self, ids: np.ndarray) -> np.ndarray:
+        """A number per adjacent pair of known words, -1 where one is unknown."""
+        return np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] * self.features.base + ids[1:], -1)
+
+    def logits(self, ids: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+        row, f = self.features.present(ids, group)
+        out = np.zeros((n, len(self.classes)))
         np.add.at(out, row, self.weights[f])
         return out + self.bias
 
+    def judged(self, z: np.ndarray, text: str) -> tuple[str, float, float, bool]:
+        """(family, probability, similarity, confirmed) of a paragraph that is not ``none``."""
+        p = np.exp((z - z.max()) / self.heat)
+        p /= p.sum()
+        best = int(p.argmax())
+        family, own = self.classes[best] if p[best] >= SURE else UNKNOWN, pairs(text)
+        like = max((len(t & own) / len(t) for t in self.templates.get(family, [])), default=0.0)
+        return family, float(p[best]), like, like >= CONFIRM
+
     def scan(self, text: str | None) -> Iterator[tuple[int, int, str, float, float, bool]]:
         """(paragraph, its first code point, family, probability, similarity, confirmed)."""
         if not text:
             return
-        paragraphs = text.split("\n")
-        z = self.logits(paragraphs)
-        none = self.classes.index(NONE)
-        for k in np.flatnonzero(z.argmax(axis=1) != none).tolist():
-            p = np.exp((z[k] - z[k].max()) / self.heat)
-            p /= p.sum()
-            best = int(p.argmax())
-            family = self.classes[best] if p[best] >= SURE else UNKNOWN
-            own = pairs(paragraphs[k])
-            like = max((len(t & own) / len(t) for t in self.templates.get(family, [])), default=0.0)
-            yield (k, sum(len(x) + 1 for x in paragraphs[:k]), family, float(p[best]), like, like >= CONFIRM)
+        lines = text.split("\n")
+        start = np.cumsum([0] + [len(x) + 1 for x in lines])
+        ids, group = self.features.numbered(lines)
+        z, none = self.logits(ids, group, len(lines)), self.classes.index(NONE)
+        found = {k: self.judged(z[k], lines[k]) for k in np.flatnonzero(z.argmax(axis=1) != none).tolist()}
+        sure = {k: self.matched(f[0], lines[k]) for k, f in found.items() if f[-1]}
+        for a, b in self.wrapped(ids, group, lines, sure):
+            joined = " ".join(lines[a:b + 1])
+            z = self.logits(*self.features.numbered([joined]), 1)[0]
+            if int(z.argmax()) != none and (whole := self.judged(z, joined))[-1]:
+                found = {k: f for k, f in found.items() if not (a <= k <= b and f[-1])} | {a: whole}
+        for k, f in sorted(found.items()):
+            yield (k, int(start[k]), *f)
+
+    def matched(self, family: str, text: str) -> int:
+        """Word pairs that the text shares with the family's template it shares most with."""
+        own = pairs(text)
+        return max((len(t & own) for t in self.templates.get(family, [])), default=0)
+
+    def wrapped(self, ids: np.ndarray, group: np.ndarray, lines: list[str], sure: dict[int, int]) -> list[tuple[int, int]]:
+        """(first, last) line of groups where a template's word pairs are close together: enough different
+        ones to confirm it, and more than a line of the group has that is confirmed by itself (``sure``: line ->
+        pairs).  Groups do not overlap; those with most pairs come first."""
+        if len(ids) < 2 or len(lines) < 2:
+            return []
+        run = np.cumsum([not x.strip() for x in lines])[group]       # an empty line ends a run
+        keys = np.where(run[:-1] == run[1:], self._pair_keys(ids), -1)
+        lo, hi = (np.searchsorted(self.pair_keys, keys, side) for side in ("left", "right"))
+        hits = np.flatnonzero(hi > lo)
+        if not len(hits):
+            return []
+        n = (hi - lo)[hits]
+        which = np.repeat(lo[hits] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        template, at = self.pair_template[which], np.repeat(hits, n)
+        many = np.bincount(template, minlength=len(self.sizes)) >= CONFIRM * np.array(self.sizes)
+        spans = [(n, int(group[i]), int(group[j + 1])) for t in np.flatnonzero(many).tolist()
+                 for n, i, j in _close(at[template == t], keys, run, self.sizes[t], STRETCH * self.words[t])]
+        out, taken = [], set()
+        for n, a, b in sorted(spans, key=lambda x: (-x[0], x[1], x[2])):
+            own = range(a, b + 1)
+            if a < b and not taken.intersection(own) and n > max((sure.get(k, 0) for k in own)):
+                out.append((a, b))
+                taken.update(own)
+        return sorted(out)
+
+
+def _close(at: np.ndarray, keys: np.ndarray, run: np.ndarray, size: int, most: int) -> list[tuple[int, int, int]]:
+    """(different pairs, first, last place) of stretches of at most ``most`` words in one run that hold the
+    share ``CONFIRM`` of a template's ``size`` pairs; of overlapping ones the first that holds most.  No stretch
+    begins with a pair that it has again."""
+    out, held, i = [], {}, 0
+    at = at.tolist()
+    for j, p in enumerate(at):
+        key = int(keys[p])
+        held[key] = held.get(key, 0) + 1
+        while p - at[i] >= most or run[at[i]] != run[p] or held[int(keys[at[i]])] > 1:
+            k = int(keys[at[i]])
+            held[k] -= 1
+            if not held[k]:
+                del held[k]
+            i += 1
+        if len(held) >= CONFIRM * size:
+            if not out or at[i] > out[-1][2]:
+                out.append((len(held), at[i], p))
+            elif len(held) > out[-1][0]:
+                out[-1] = (len(held), at[i], p)
+    return out
 
 
 def _varied(rng: np.random.Generator, text: str, filler: list[str]) -> str:
@@ -168,7 +258,7 @@ def train(prose: list[str], seed: int = 11, copies: int = 14, steps: int = 250)
     """Logistic regression by gradient descent; the temperature minimises the held-out log loss."""
     rng = np.random.default_rng(seed)
     classes = [NONE, UNKNOWN, *NOTICES]
-    filler = sorted({w for p in prose for w in p.split()})[:5_000] or ["text"]
+    filler = sorted({w for p in prose for w in p.split()}, key=lambda w: (crc32(w.encode()), w))[:FILLER] or ["text"]
     rows = [(f, t if k == 0 else _varied(rng, t, filler)) for f, ts in NOTICES.items() for t in ts for k in range(copies)]
     rows += [(UNKNOWN, t if k == 0 else _varied(rng, t, filler)) for t in OTHERS for k in range(copies)]
     rows += [(NONE, t if k == 0 else _varied(rng, t, filler)) for t in PROSE for k in range(copies // 2)]
@@ -176,7 +266,7 @@ def train(prose: list[str], seed: int = 11, copies: int = 14, steps: int = 250)
     features = Features.of([t for ts in NOTICES.values() for t in ts] + list(OTHERS) + list(PROSE))
     order = rng.permutation(len(rows))
     y = np.array([classes.index(rows[k][0]) for k in order])
-    row, f = features.present([rows[k][1] for k in order])
+    row, f = features.present(*features.numbered([rows[k][1] for k in order]))
     x = np.zeros((len(rows), len(features.keys)), np.float32)
     x[row, f] = 1
     held = np.arange(len(rows)) % 5 == 0

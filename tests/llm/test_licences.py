@@ -45,3 +45,50 @@ def test_odd_rows(spark, model):
     assert sorted((r["doc_id"] or 0, r["family"], r["paragraph"]) for r in rows) == [(0, "MIT", 0), (2**60, "MIT", 1)]
     empty = df.limit(0)
     assert licences.scan(empty, licences.train(licences.training_prose(empty))).count() == 0
+
+
+def wrapped(text, width, mark):
+    import textwrap
+    return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# "])
+@pytest.mark.parametrize("width", [40, 69, 78])
+def test_wrapped_notices_are_confirmed(model, mark, width):
+    for family, k in (("MIT", 3), ("BSD", 2), ("GPL-3.0", 2), ("Apache-2.0", 1)):
+        notice = wrapped(licences.NOTICES[family][k], width, mark)
+        text = f"int x = 1;\n\n{mark}Copyright 2020 the authors\n{mark}\n{notice}\n\nplain words here"
+        found = [f for f in model.scan(text) if f[5]]
+        assert [f[2] for f in found] == [family], (family, width, mark, list(model.scan(text)))
+        line = text[found[0][1]:].split("\n")[0]
+        assert text.split("\n")[found[0][0]] == line and line in notice.split("\n")[:2]
+
+
+def test_two_wrapped_notices_and_text_between(model):
+    mit, bsd = (wrapped(licences.NOTICES[f][k], 60, "# ") for f, k in (("MIT", 3), ("BSD", 2)))
+    prose = "\n".join(["The weather is fine and the public garden is open to any person.", "He walked on, free of charge."] * 40)
+    found = [f for f in model.scan("\n\n".join([mit, prose, bsd, prose, mit])) if f[5]]
+    assert [f[2] for f in found] == ["MIT", "BSD", "MIT"]
+    # an empty line between the halves: no paragraph holds the notice
+    words = licences.NOTICES["MIT"][3].split()
+    halves = " ".join(words[:len(words) // 2]), " ".join(words[len(words) // 2:])
+    assert [f[0] for f in model.scan("\n".join(halves)) if f[5]] == [0]
+    assert not [f for f in model.scan("\n \n".join(halves)) if f[5]]
+
+
+def test_close_stretches_against_all_windows():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        keys = rng.integers(0, 6, 40)
+        run = np.sort(rng.integers(0, 3, 41))
+        at = np.sort(rng.choice(40, rng.integers(1, 30), replace=False))
+        size, most = int(rng.integers(3, 8)), int(rng.integers(2, 15))
+        want = max((len({keys[p] for p in at if i <= p <= j}) for i in at for j in at
+                    if i <= j and j - i < most and run[i] == run[j]), default=0)
+        got = licences._close(at, keys, run, size, most)
+        assert bool(got) == (want >= licences.CONFIRM * size)
+        assert all(x[2] < y[1] for x, y in zip(got, got[1:]))
+        if got:
+            assert max(s for s, _, _ in got) <= want
+            assert all(run[i] == run[j] and j - i < most and len({keys[p] for p in at if i <= p <= j}) == s for s, i, j in got)
