@@ -376,6 +376,7 @@ def oracle_sql() -> dict[str, str]:
             prio="o_orderpriority"),
         "add_column_backfill": ("SELECT *, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'FACT' "
                                 "ELSE 'DIMENSION' END AS table_group FROM customer"),
+        "create_schema": "SELECT *, 'it''s ours' AS comment, true AS in_place, 1::BIGINT AS tables FROM region",
         "create_target": curated_sql(P, product_raw_sql()),
         "column_mapping": _rules_sql(_MAP_RULES),
         "transformation_rules": _rules_sql(_RULES_RULES),
