@@ -576,13 +576,13 @@ def q_create_schema(spark, sf):
     """A schema with a comment and a place of its own, created twice; the regions in a table of it, with what the
     catalog says of the schema."""
     ws = Workspace(spark, sf)
-    name, place = f"{ws.schema}_own", f"{ws.root}/own schema"
+    name, place = f"{ws.schema}_own", f"{ws.root}/own_schema"
     for comment in ("it's ours", "not set again"):
         tb.create_schema(spark, name, comment, place)
     publish(spark, ws.t("region"), f"{name}.regions", "APPEND", root=f"{place}/regions")
     said = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE SCHEMA {name}").collect()}
     return spark.table(f"{name}.regions").withColumns({
-        "comment": F.lit(said["Comment"]), "in_place": F.lit(said["Location"].endswith("/own schema")),
+        "comment": F.lit(said["Comment"]), "in_place": F.lit(said["Location"].endswith("/own_schema")),
         "tables": F.lit(spark.sql(f"SHOW TABLES IN {name}").count()).cast("long")})
 
 
