@@ -23,7 +23,7 @@ HEADLINE = [
     "merge_upsert", "merge_upsert_broadcast", "merge_composite_key", "merge_repeated_target", "publish_append",
     "update_where", "incremental_read", "merge_partitioned", "merge_partition_moves",
     "update_partitioned", "run_table", "run_incremental",
-    "run_active",
+    "run_active", "merge_if_newer", "merge_range_pruned",
 ]
 
 
