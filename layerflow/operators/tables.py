@@ -100,7 +100,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
         if nullable:
             raise ValueError(f"bucket columns must be NOT NULL: {nullable}")
     loc = new_snapshot_location(root)
-    if provider == "parquet":
+    if provider == "parquet" and not bucket_by:
         empty = spark.createDataFrame([], schema)
         (empty.write.partitionBy(*partition_by) if partition_by else empty.write).parquet(loc)
     properties = dict(properties or {})
@@ -119,6 +119,9 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
         props = ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in properties.items())
         sql += f" TBLPROPERTIES ({props})"
     spark.sql(sql)
+    if provider == "parquet" and bucket_by:
+        # by the table: a file of no bucket would fail every scan by buckets
+        spark.createDataFrame([], spark.table(name).schema).write.insertInto(name)
     return True
 
 

@@ -50,3 +50,23 @@ def test_bucket_key_must_be_not_null(spark, ws):
     with pytest.raises(ValueError, match="NOT NULL"):
         tb.create_table(spark, ws.name("bad"), schema, ws.table_root("bad"),
                         bucket_by=["k"], buckets=4)
+
+
+def test_a_new_table_is_scanned_by_buckets(spark, ws):
+    """No file of a new bucketed table is outside the buckets: a merge or join of large inputs reads it by them."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        name, empty = ws.name("fresh"), ws.name("fresh_empty")
+        rows = spark.range(100).selectExpr("id AS k", "'a' AS v")
+        publish(spark, rows, name, "MERGE", "k", root=ws.table_root("fresh"), buckets=4)
+        res = publish(spark, spark.range(50, 150).selectExpr("id AS k", "'b' AS v"), name, "MERGE", "k")
+        assert (res.records_updated, res.records_inserted) == (50, 50)
+        got = {r.k: r.v for r in spark.table(name).collect()}
+        assert got == {k: "a" if k < 50 else "b" for k in range(150)}
+        tb.create_table(spark, empty, T.StructType([T.StructField("v", T.StringType()), T.StructField("k", T.LongType(), False)]),
+                        ws.table_root("fresh_empty"), bucket_by=["k"], buckets=4)
+        both = spark.table(name).join(spark.table(empty).select("k"), "k", "left_semi")
+        assert both.count() == 0 and "Bucketed: true" in both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
