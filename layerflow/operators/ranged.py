@@ -97,13 +97,18 @@ def range_of(key: Column, ranges: Sequence[tuple], kind: T.DataType) -> Column:
     return F.when(key.isNull(), F.lit(ids[0])).otherwise(found)
 
 
+def _sampled(keys: DataFrame, key: str, share: dict[str, float]) -> DataFrame:
+    """A share of the keys of each of the given ranges, picked by a hash where the keys are: a shuffle by range
+    would bring all keys of a first load, which has one range, to one task."""
+    wanted = keys.sparkSession.createDataFrame([(r, int(s * _HASH)) for r, s in share.items()], f"{RANGE} string, most long")
+    return keys.join(F.broadcast(wanted), RANGE).where(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(_HASH)) < F.col("most"))
+
+
 def _cuts(keys: DataFrame, key: str, pieces: dict[str, int], rows: dict[str, int]) -> dict[str, list]:
     """New lowest keys inside the ranges that are to become several: quantiles of a sample of their keys."""
     if not pieces:
         return {}
-    share = {r: min(1.0, SAMPLE_A_RANGE * k / max(rows[r], 1)) for r, k in pieces.items()}
-    wanted = keys.sparkSession.createDataFrame([(r, int(s * _HASH)) for r, s in share.items()], f"{RANGE} string, most long")
-    some = keys.join(wanted, RANGE).where(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(_HASH)) < F.col("most"))
+    some = _sampled(keys, key, {r: min(1.0, SAMPLE_A_RANGE * k / max(rows[r], 1)) for r, k in pieces.items()})
     lists = some.where(F.col(key).isNotNull()).groupBy(RANGE).agg(F.sort_array(F.collect_set(key)).alias("keys"))
     out = {}
     for r in lists.collect():

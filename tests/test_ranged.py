@@ -118,3 +118,14 @@ def test_pipeline_targets_in_ranges(spark):
     gold = ws.name("dim_product_gold")
     assert rg.is_ranged(spark, gold) and len(rg.live_ranges(spark, gold)) > 2
     assert rows_of(spark.table(gold)) == rows_of(spark.table(flat.name("dim_product_gold")))
+
+
+def test_keys_are_sampled_before_any_shuffle(spark):
+    """A first load has one range: a shuffle by range would bring all its keys to one task."""
+    keys = spark.range(1000).select(F.when(F.col("id") >= 0, "only").alias(rg.RANGE), F.col("id").alias("k"))
+    some = rg._sampled(keys, "k", {"only": 0.25, "none": 1.0})
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert 150 < some.count() < 350
+    cuts = rg._cuts(keys, "k", {"only": 4}, {"only": 1000})["only"]
+    assert len(cuts) == 3 and cuts == sorted(cuts) and all(150 < b - a < 350 for a, b in zip([0, *cuts], [*cuts, 1000]))
