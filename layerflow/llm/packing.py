@@ -43,6 +43,9 @@ DIMS, CENTRES, MAX_CENTRE_TAILS = 64, 256, 8_000
 K1, B = 1.2, 0.75
 SPECIAL = ("<|endoftext|>", 50256)  # fixed value of the vocabulary
 FLUSH_TOKENS = 4 << 20
+#: ``public_tokenizers.PATTERN`` with fewer steps back: the same pieces of any text.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+COUNT_TOKENS = 1 << 18
 SKETCH_TAILS = 256
 FULL, TAIL, STATS = 0, 1, 2
 SCHEMA = "kind int, row long, doc_id string, doc_tokens long, start long, sequence_id long, ids binary"
@@ -51,7 +54,7 @@ SCHEMA = "kind int, row long, doc_id string, doc_tokens long, start long, sequen
 def tokenizer(path: str) -> tiktoken.Encoding:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+    return tiktoken.Encoding("pack", pat_str=PATTERN, mergeable_ranks=ranks,
                              special_tokens=dict([SPECIAL]))
 
 
@@ -64,6 +67,13 @@ def encode(enc: tiktoken.Encoding, text: str | None) -> np.ndarray:
     return out
 
 
+def document_terms(docs: list[np.ndarray]) -> np.ndarray:
+    """The distinct ids of each of up to 65,536 documents, one after the other."""
+    own = np.repeat(np.arange(len(docs), dtype=np.uint32), [len(d) for d in docs])
+    pair = np.sort(own << 16 | np.concatenate(docs))
+    return (pair[np.concatenate([[True], pair[1:] != pair[:-1]])] & 0xFFFF).astype(np.uint16)
+
+
 def tokenized(docs: DataFrame, folder: str, id_col: str, text_col: str, vocab: str, window: int) -> DataFrame:
     """The token table: full windows, tails, and one row of term statistics per task."""
     if window < 2:
@@ -74,12 +84,15 @@ def tokenized(docs: DataFrame, folder: str, id_col: str, text_col: str, vocab: s
         enc, first = tokenizer(vocab), TaskContext.get().partitionId() << 33
         df, n_docs, n_tokens, row, seq = np.zeros(1 << 16, np.int64), 0, 0, first, first
         out: list[tuple] = []
-        held = 0
+        held, uncounted, some = 0, [], 0
         for p in parts:
             for doc_id, text in zip(p["doc_id"], p["text"]):
                 ids = encode(enc, text)
-                once = np.sort(ids)
-                df[once[np.concatenate([[True], once[1:] != once[:-1]])]] += 1
+                uncounted.append(ids)
+                some += len(ids)
+                if some >= COUNT_TOKENS or len(uncounted) == 1 << 16:
+                    df += np.bincount(document_terms(uncounted), minlength=1 << 16)
+                    uncounted, some = [], 0
                 n_docs, n_tokens = n_docs + 1, n_tokens + len(ids)
                 for at in range(0, len(ids), window):
                     cut = ids[at:at + window]
@@ -89,6 +102,8 @@ def tokenized(docs: DataFrame, folder: str, id_col: str, text_col: str, vocab: s
                 if held >= FLUSH_TOKENS:
                     yield pd.DataFrame(out, columns=COLUMNS).astype({"sequence_id": "Int64"})
                     out, held = [], 0
+        if uncounted:
+            df += np.bincount(document_terms(uncounted), minlength=1 << 16)
         if n_docs:
             terms = np.flatnonzero(df)
             out.append((STATS, row, None, n_docs, n_tokens, None, np.stack([terms, df[terms]]).tobytes()))

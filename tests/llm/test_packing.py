@@ -2,6 +2,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from layerflow.llm import packing
@@ -99,3 +102,26 @@ def test_every_term_of_a_seed_is_asked():
     idf[170:200] = 0.1
     s = packing.Index(tails, idf, 200.0).scores(0)
     assert s[7] > 0 and sorted(np.argsort(-s)[:2].tolist()) == [0, 7]
+
+
+VOCAB = public_tokenizers.path("byte_bpe_50k.tiktoken")
+QUICK = packing.tokenizer(VOCAB)
+PLAIN = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=QUICK._mergeable_ranks,
+                          special_tokens=QUICK._special_tokens)
+PARTS = [" ", "  ", "\n", "\t", "\r", "\x85", "\x1c", "\u00a0", "\u2028", "\u200b", "\u3000", "a", "S", "é", "e\u0301", "中", "😀", "'", "'s",
+         "'ll", "'re", "'S", "1", "٣", "½", ".", "_", packing.SPECIAL[0]]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.one_of(st.text(), st.lists(st.sampled_from(PARTS), max_size=12).map("".join)))
+def test_the_quicker_pattern_gives_the_same_ids(text):
+    assert packing.PATTERN != public_tokenizers.PATTERN
+    assert np.array_equal(packing.encode(QUICK, text), packing.encode(PLAIN, text))
+
+
+def test_terms_of_many_documents_at_once():
+    rng = np.random.default_rng(8)
+    docs = [rng.integers(0, 1 << 16, n).astype(np.uint16) for n in [1, 5000, 300, 1, 70000]] + [np.array([65535, 0, 65535], np.uint16)]
+    assert packing.document_terms(docs).tolist() == [t for d in docs for t in sorted(set(d.tolist()))]
+    many = [np.array([1, k % 7], np.uint16) for k in range(1 << 16)]
+    assert np.bincount(packing.document_terms(many))[1] == 1 << 16
