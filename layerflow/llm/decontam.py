@@ -8,9 +8,9 @@ in at most ``RADIUS`` bits agree in one block at least, so looking up a window's
 items of its size within the radius.  They are verified by the weighted Jaccard similarity of the
 shingles themselves, at least ``SIMILARITY``.
 
-A window with less than 2s/(1+s) of its shingle weight in the benchmark cannot reach similarity s with
-any item (equal sizes: overlap / (2w - overlap) >= s), so fingerprints are made for the other windows
-only; no pair is lost by that.  The benchmark is sent to the executors in blocks of at most
+A window with less than 2s/(1+s) of its shingle weight in the items of its size cannot reach similarity s
+with any of them (equal sizes: overlap / (2w - overlap) >= s), so fingerprints are made for the other
+windows only; no pair is lost by that.  The benchmark is sent to the executors in blocks of at most
 ``BLOCK_WORDS`` words, each compared with all documents, so what is broadcast does not grow with it.
 
 Words are runs of letters and digits, lower-cased.  Defined results: null and empty texts have no
@@ -54,12 +54,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """64-bit hash of each shingle, from the words' hashes."""
-    n = max(len(words) - size + 1, 0)
+def shingles(words: np.ndarray, size: int = SHINGLE, starts: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of each shingle, or of those that begin at ``starts``, from the words' hashes."""
+    n = max(len(words) - size + 1, 0) if starts is None else len(starts)
     h = np.zeros(n, np.uint64)
     for k in range(size):
-        h = (h ^ words[k:n + k]) * MIX + np.uint64(k + 1)
+        h = (h ^ (words[k:n + k] if starts is None else words[starts + k])) * MIX + np.uint64(k + 1)
         h ^= h >> np.uint64(29)
     return mixed(h)
 
@@ -111,10 +111,7 @@ class Benchmark:
             size = min(SHINGLE, len(words))
             h = shingles(np.array([self._hash(w) for w in words], np.uint64), size)
             self.by_words.setdefault(len(words), []).append((item, h))
-        self.hashes = {}  # shingle size -> sorted shingles of all items
-        for n, own in self.by_words.items():
-            self.hashes.setdefault(min(SHINGLE, n), []).extend(h for _, h in own)
-        self.hashes = {k: np.unique(np.concatenate(v)) for k, v in self.hashes.items()}
+        self.hashes = {size: self._held(size) for size in sorted({min(SHINGLE, n) for n in self.by_words})}
         self.index = {n: self._indexed(own) for n, own in self.by_words.items()}
 
     def _hash(self, word: str) -> int:
@@ -122,6 +119,16 @@ class Benchmark:
             self.vocab[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) | 1
         return self.vocab[word]
 
+    def _held(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The sorted shingles of all items; the lengths in words of the items that hold shingle k are
+        ``lengths[first[k]:first[k + 1]]``."""
+        held = {n: np.unique(np.concatenate([h for _, h in own]))
+                for n, own in self.by_words.items() if min(SHINGLE, n) == size}
+        h, lengths = np.concatenate(list(held.values())), np.repeat(list(held), [len(v) for v in held.values()])
+        order = np.argsort(h, kind="stable")
+        known, first = np.unique(h[order], return_index=True)
+        return known, np.append(first, len(h)), lengths[order]
+
     def _indexed(self, own):
         prints = np.concatenate([window_prints(h, np.array([0]), len(h)) for _, h in own])
         tables = []
@@ -137,29 +144,38 @@ class Benchmark:
         words = WORD.findall((text or "").lower())
         ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.uint64, len(words))
         strange = np.concatenate([[0], np.cumsum(ids == 0)])  # words that no item has
-        for size, known in self.hashes.items():
+        for size, (known, first, lengths) in self.hashes.items():
             if len(ids) < size:
                 continue
             # only shingles without a strange word can be an item's
             maybe = np.flatnonzero(strange[size:] == strange[:-size])
             if not len(maybe):
                 continue
-            some = shingles(ids[maybe[:, None] + np.arange(size)].ravel(), size)[::size]
+            some = shingles(ids, size, maybe)
             at = np.minimum(np.searchsorted(known, some), len(known) - 1)
-            hit = np.zeros(len(ids) - size + 1, bool)
-            hit[maybe[known[at] == some]] = True
-            if not hit.any():
+            same = known[at] == some
+            if not same.any():
                 continue
-            h, hits = shingles(ids, size), np.concatenate([[0], np.cumsum(hit)])
-            for n, own in self.by_words.items():
-                if min(SHINGLE, n) == size and len(words) >= n:
-                    yield from self._of_width(n, own, h, hits)
-
-    def _of_width(self, n, own, h, hits):
+            h, places = shingles(ids, size), maybe[same]
+            kinds, kind = np.unique(at[same], return_inverse=True)
+            # each distinct shingle with every length of the items that hold it
+            times = first[kinds + 1] - first[kinds]
+            who = np.repeat(np.arange(len(kinds)), times)
+            of = lengths[np.arange(len(who)) + np.repeat(first[kinds] - np.cumsum(times) + times, times)]
+            for n in np.unique(of).tolist():
+                if len(words) >= n:
+                    held = np.zeros(len(kinds), bool)
+                    held[who[of == n]] = True
+                    yield from self._of_width(n, self.by_words[n], h, places[held[kind]])
+
+    def _of_width(self, n, own, h, places):
         width = len(own[0][1])
         need = 2 * self.similar / (1 + self.similar) * width
-        if hits[-1] < need - 1e-9:
+        if len(places) < need - 1e-9:
             return
+        hits = np.zeros(len(h) + 1, np.int64)
+        hits[places + 1] = 1
+        hits = np.cumsum(hits)
         starts = np.flatnonzero(hits[width:] - hits[:-width] >= need - 1e-9)
         if not len(starts):
             return

@@ -80,3 +80,31 @@ def test_near_copies_and_odd_rows(spark):
         want = {(a, b) for a in (1, 2, 6, 7, None) for b in (1, 2)} | {(a, 6) for a in (1, 2, 6, 7, None)} | {(9, 5)}
         assert want - {(2, 6)} <= got <= want
     assert decontam.find_leaks(d.limit(0), i).count() == 0 and decontam.find_leaks(d, i.limit(0)).count() == 0
+
+
+def test_windows_of_other_lengths_are_not_fingerprinted(monkeypatch):
+    """A passage of one item is looked up at that item's length only, not at the length of every item."""
+    rng = np.random.default_rng(11)
+    items = [(str(n), " ".join(f"i{n}x{k}" for k in range(n))) for n in range(3, 60)]
+    bench = decontam.Benchmark(items, decontam.SIMILARITY, decontam.RADIUS)
+    made = []
+    real = decontam.window_prints
+    monkeypatch.setattr(decontam, "window_prints", lambda h, s, width: made.append(len(s)) or real(h, s, width))
+    fillers = [f"f{k}" for k in rng.integers(0, 99, 40)]
+    text = " ".join(fillers + items[-1][1].split() + fillers)
+    assert list(bench.matches(text)) == [("59", 40, 59, 1.0)]
+    assert 0 < sum(made) < 30
+
+
+def test_shingles_shared_by_items_of_many_lengths():
+    """Items that are parts of each other, at several lengths, as brute force finds them."""
+    rng = np.random.default_rng(13)
+    base = [f"b{k}" for k in rng.integers(0, 12, 40)]
+    items = [(f"{a}-{n}", " ".join(base[a:a + n])) for n in (1, 3, 4, 5, 6, 9, 17, 30) for a in (0, 4, 10)]
+    changed = base[:15] + ["other"] + base[16:]
+    docs = [(str(k), " ".join(w)) for k, w in enumerate([base, changed, base[::-1], base[5:25] * 3, base[:4], []])]
+    bench = decontam.Benchmark(items, decontam.SIMILARITY, decontam.RADIUS)
+    got = {(d, i): x for d, t in docs for i, _, _, x in bench.matches(t)}
+    want = brute(docs, items)
+    assert set(got) == set(want) and len(got) > 50
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
